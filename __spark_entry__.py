@@ -27,8 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return cl.spread(docs.select(F.col("doc_id").alias("row_id"), "text"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+
+
+def spread_documents(spark, sf_dir) -> DataFrame:
+    """For work per character: dealt to all cores where the scan is a single task."""
+    return cl.spread(documents(spark, sf_dir))
 
 
 def named_splits(spark, sf_dir) -> DataFrame:
@@ -245,7 +249,7 @@ def q_split_segments(spark, sf_dir):
 
 def q_sampled_windows(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    vocab = cl.char_table(cl.build_char_vocab(docs, extra=SEP))
+    vocab = cl.char_table(cl.build_char_vocab(cl.spread(docs), extra=SEP))
     stream = cl.contiguous_split(cl.materialize(cl.corpus_offsets(docs), "index"))
     windows = cl.sample_windows(stream, docs, n_batches=8, vocab=vocab)
     return windows.withColumns({"x": joined("x"), "y": joined("y")})
@@ -254,28 +258,28 @@ def q_sampled_windows(spark, sf_dir):
 # --- queries: tokens -----------------------------------------------------------------------------
 
 def q_char_vocab(spark, sf_dir):
-    return cl.build_char_vocab(documents(spark, sf_dir), extra=SEP)
+    return cl.build_char_vocab(spread_documents(spark, sf_dir), extra=SEP)
 
 
 def q_vocab_size(spark, sf_dir):
-    return cl.vocab_size(documents(spark, sf_dir), extra=SEP)
+    return cl.vocab_size(spread_documents(spark, sf_dir), extra=SEP)
 
 
 def q_char_encode(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     coded = cl.encode_chars(docs, cl.build_char_vocab(docs))
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
 def q_char_roundtrip(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     vocab = cl.char_table(cl.build_char_vocab(docs))
     coded = cl.encode_chars(docs, vocab).select("row_id", "ids")
     return cl.decode_chars(coded, vocab).select("row_id", "text")
 
 
 def q_char_encode_join(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     vocab = cl.build_char_vocab(docs).withColumnRenamed("ch", "token")
     coded = cl.encode_join(
         docs.withColumn("chars", characters(F.col("text"))), "chars", vocab)
@@ -283,11 +287,11 @@ def q_char_encode_join(spark, sf_dir):
 
 
 def q_word_vocab(spark, sf_dir):
-    return cl.build_word_vocab(documents(spark, sf_dir), 5000)
+    return cl.build_word_vocab(spread_documents(spark, sf_dir), 5000)
 
 
 def q_word_encode(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     vocab = cl.materialize(cl.build_word_vocab(docs, 5000), "vocab")
     coded = cl.encode_words(docs, vocab, vocab_rows=5000)
     return coded.select("row_id", joined("ids").alias("ids"))
@@ -295,9 +299,9 @@ def q_word_encode(spark, sf_dir):
 
 def q_tokenize_dataset(spark, sf_dir):
     """Blank rows out, end marker in, word ids cut to 256, masks and labels."""
-    text = cl.render(with_blanks(spark, sf_dir), eos=EOS)
+    text = cl.render(cl.spread(with_blanks(spark, sf_dir)), eos=EOS)
     vocab = cl.materialize(cl.build_word_vocab(
-        documents(spark, sf_dir), 3000, min_count=2, eos=EOS), "vocab")
+        spread_documents(spark, sf_dir), 3000, min_count=2, eos=EOS), "vocab")
     examples = cl.tokenize_dataset(text, vocab, eos=EOS, vocab_rows=3000)
     return examples.select(
         "row_id", "split", *[joined(c).alias(c) for c in
@@ -330,9 +334,9 @@ def q_map_batches(spark, sf_dir):
 # --- queries: batches ----------------------------------------------------------------------------
 
 def short_examples(spark, sf_dir) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     vocab = cl.char_table(cl.build_char_vocab(docs))
-    return cl.tokenize_dataset(docs.where(F.col("row_id").isNotNull()), vocab, 48)
+    return cl.tokenize_dataset(docs, vocab, 48)
 
 
 def q_batches(spark, sf_dir):
@@ -361,27 +365,21 @@ def q_accumulation(spark, sf_dir):
 
 
 def q_pad_report(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     sized = cl.tokenize_dataset(docs, cl.char_table(cl.build_char_vocab(docs)), 256)
     return cl.pad_report(cl.assign_batches(sized, 2), 8)
 
 
 # --- queries: next-token tables ------------------------------------------------------------------
 
-def train_counts(spark, sf_dir) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    index = cl.materialize(cl.corpus_offsets(docs), "index")
-    segments = cl.split_segments(docs, index).where("split = 'train'")
-    first = index.agg(F.min("row_id")).first()[0]
-    return cl.next_token_counts(segments, SEP, first)
+def train_counts(docs: DataFrame, index: DataFrame) -> DataFrame:
+    segments = cl.split_segments(cl.spread(docs), index).where("split = 'train'")
+    return cl.next_token_counts(segments, SEP, index.agg(F.min("row_id")).first()[0])
 
 
 def scores(spark, sf_dir) -> DataFrame:
-    """Log counts of the next character as logits; the previous character is the prompt.
-
-    Written once: the candidate filters read a small table, whatever they do with it.
-    """
-    docs = documents(spark, sf_dir)
+    """Log counts of the next character as logits; the previous character is the prompt."""
+    docs = spread_documents(spark, sf_dir)
     pairs = cl.next_token_counts(
         docs.select("row_id", F.concat("text", F.lit(SEP)).alias("text")), SEP)
     return pairs.select(
@@ -390,16 +388,15 @@ def scores(spark, sf_dir) -> DataFrame:
 
 
 def q_next_token_counts(spark, sf_dir):
-    return train_counts(spark, sf_dir)
+    docs = documents(spark, sf_dir)
+    return train_counts(docs, cl.materialize(cl.corpus_offsets(docs), "index"))
 
 
 def q_eval_loss(spark, sf_dir):
     docs = documents(spark, sf_dir)
     index = cl.materialize(cl.corpus_offsets(docs), "index")
-    segments = cl.split_segments(docs, index).where("split = 'train'")
-    first = index.agg(F.min("row_id")).first()[0]
-    counts = cl.next_token_counts(segments, SEP, first)
-    size = cl.build_char_vocab(docs, extra=SEP).count()
+    counts = train_counts(docs, index)
+    size = cl.build_char_vocab(cl.spread(docs), extra=SEP).count()
     windows = cl.sample_windows(cl.contiguous_split(index), docs, n_batches=8)
     loss = cl.eval_loss(counts, windows, 1.0, size)
     return loss.withColumn("loss", F.round("loss", 6))
@@ -572,7 +569,7 @@ CHATS = f"""chats as (select conv_id as row_id,
 VOCAB = """vocab as (select ch, (row_number() over (order by ch) - 1)::int as id from
   (select distinct unnest(string_split(text, '')) as ch from {src}) where ch <> '')"""
 CORPUS = DOCS + """, whole as (select string_agg(text, chr(10) || chr(10) order by row_id) as body,
-    string_agg(text, chr(10) || chr(10) order by row_id) || '' as text from docs),
+    count(*) as n_rows from docs), marks as (select text from docs union all select chr(10)),
   cut as (select length(body) as total, floor(0.9::double * length(body))::bigint as brk, body
     from whole),
   parts as (select 'train' as split, brk as total, left(body, brk) as body from cut
@@ -765,14 +762,14 @@ def oracle_sql() -> dict[str, str]:
               where off < brk
             union all select 'validation', row_id, substr(seg, greatest(0, brk - off)::bigint + 1)
               from cut where off + n > brk""",
-        "sampled_windows": f"""with {_windows(8)}, {VOCAB.format(src='whole')},
+        "sampled_windows": f"""with {_windows(8)}, {VOCAB.format(src='marks')},
             lut as (select map_from_entries(list(row(ch, id))) as m from vocab),
             ids as (select split, batch_id, slot, start, [m[c] for c in string_split(w, '')] as l
               from cuts, lut)
             select split, batch_id, slot, start, array_to_string(l[1:256], ',') as x,
               array_to_string(l[2:257], ',') as y from ids""",
-        "char_vocab": f"with {CORPUS}, {VOCAB.format(src='whole')} select ch, id from vocab",
-        "vocab_size": f"with {CORPUS}, {VOCAB.format(src='whole')} select count(*) as vocab_size"
+        "char_vocab": f"with {CORPUS}, {VOCAB.format(src='marks')} select ch, id from vocab",
+        "vocab_size": f"with {CORPUS}, {VOCAB.format(src='marks')} select count(*) as vocab_size"
                       " from vocab",
         "char_encode": f"""with {DOCS}, {VOCAB.format(src='docs')}, {_char_ids('docs')}
             select row_id, array_to_string(l, ',') as ids from coded""",
@@ -816,7 +813,7 @@ def oracle_sql() -> dict[str, str]:
             sum(t)::bigint as real_tokens, sum(r * m - t)::bigint as pad_tokens from b
             group by all""",
         "next_token_counts": f"with {TRAIN_PAIRS} select token, next, n from counts",
-        "eval_loss": f"""with {TRAIN_PAIRS}, {VOCAB.format(src='whole')},
+        "eval_loss": f"""with {TRAIN_PAIRS}, {VOCAB.format(src='marks')},
             ctx as (select token, sum(n) as total_n from counts group by token),
             size as (select count(*) as v from vocab),
             draws as (select split, total, body, i // 32 as batch_id, case when total - 257 <= 0

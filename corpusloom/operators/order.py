@@ -90,22 +90,23 @@ def prefix_sum(df: DataFrame, size: Column, key: str = "row_id", out: str = "off
                bounds: list | None = None) -> DataFrame:
     """``out`` = sum of ``size`` over all rows with a smaller key.
 
-    One shuffle, by bucket. Pass narrow rows where you can: everything in ``df`` goes through it.
+    One job finds the totals before each bucket (a number per bucket), which then are a constant of
+    the plan. The plan itself has one shuffle, by bucket. Pass narrow rows where you can: everything
+    in ``df`` goes through it.
     """
     if bounds is None:
         bounds = key_bounds(df, key, df.count())
     rows = df.withColumn("_size", size.cast("bigint")).withColumn(
         "_bucket", range_bucket(df, key, bounds))
     sums = rows.groupBy("_bucket").agg(F.sum("_size").alias("_size"))
-    base = _running_base(sums, "_bucket", "_size", [])
+    totals = [0] * (len(bounds) + 1)
+    for row in _running_base(sums, "_bucket", "_size", []).collect():
+        totals[row["_bucket"]] = row["_base"]
+    base = F.get(F.from_json(F.lit(json.dumps(totals)), "array<bigint>"), F.col("_bucket"))
     before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(
         Window.unboundedPreceding, -1)
-    return (
-        rows.withColumn("_inner", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .join(F.broadcast(base), "_bucket")  # one row per bucket
-        .withColumn(out, F.col("_base") + F.col("_inner"))
-        .drop("_bucket", "_size", "_inner", "_base")
-    )
+    return rows.withColumn(
+        out, base + F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_bucket", "_size")
 
 
 def global_rank(df: DataFrame, key: str = "row_id", out: str = "rank",
@@ -131,15 +132,15 @@ def key_at(df: DataFrame, ranks: list[int], key: str = "row_id", rows: int | Non
         tagged.groupBy("_bucket").agg(F.count("*").alias("_n")), "_bucket", "_n", [])
     nxt = F.lead("_base", 1, rows).over(Window.orderBy("_bucket"))
     wanted = F.array(*[F.lit(r).cast("bigint") for r in asked])
-    hit = (
+    hits = (
         base.withColumn("_next", nxt)
         .where(F.exists(wanted, lambda r: (r >= F.col("_base")) & (r < F.col("_next"))))
-        .drop("_next")
+        .collect()  # at most one row per asked position
     )
-    position = F.col("_base") - 1 + F.row_number().over(
-        Window.partitionBy("_bucket", "_base").orderBy(key))
+    before = F.coalesce(*[F.when(F.col("_bucket") == h["_bucket"], h["_base"]) for h in hits])
+    position = before - 1 + F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     found = (
-        tagged.join(F.broadcast(hit), "_bucket")  # at most one row per asked position
+        tagged.where(F.col("_bucket").isin([h["_bucket"] for h in hits]))
         .withColumn("_at", position)
         .where(F.col("_at").isin(asked))
         .select("_at", key)

@@ -17,12 +17,13 @@ TURNS_PER_PART = 100_000
 
 
 def _field(df: DataFrame, name: str) -> tuple[Column, object]:
-    return F.col(f"`{name}`"), df.schema[name].dataType if name in df.columns else None
+    # Resolving the name here makes a wrong one an AnalysisException before any job.
+    c = F.col(f"`{name}`")
+    return c, df.select(c).schema[0].dataType
 
 
 def _text_of(df: DataFrame, name: str) -> Column:
-    c, dtype = _field(df, name)
-    return c.cast("string") if dtype is None else strip(as_text(c, dtype))
+    return strip(as_text(*_field(df, name)))
 
 
 def render_text(df: DataFrame, text: str | None = None) -> Column:
@@ -55,7 +56,7 @@ def render_messages(df: DataFrame, conversation: str | None = None, style: str |
                     clean: bool = False) -> Column:
     """A message list as text, plain (``manual``) or with the markers of a style."""
     name = names.resolve_field(df, "conversation", conversation)
-    c, dtype = F.col(f"`{name}`"), df.schema[name].dataType
+    c, dtype = _field(df, name)
     if style == "manual":
         return render_conversation(c, dtype, clean)
     return render_roles(c, dtype, style, clean)
@@ -102,7 +103,7 @@ def render_trace(df: DataFrame, fields: tuple[str, ...] = ("context", "cot", "ou
     """
     parts = []
     for name in fields:
-        c, dtype = F.col(f"`{name}`"), df.schema[name].dataType
+        c, dtype = _field(df, name)
         if name in json_fields:
             as_is = json_as_is and dtype.typeName() in ("string", "varchar", "char")
             parts.append(F.coalesce(c, F.lit("null")) if as_is else json_text(c, dtype))

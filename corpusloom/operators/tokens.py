@@ -25,25 +25,26 @@ def characters(c: Column) -> Column:
 def _outside(seen: list[str]) -> str | None:
     """A pattern for characters that are not among ``seen``, or None.
 
-    It may leave out some of ``seen``: it only spares the work of listing what is known. Beyond the
-    first 256 code points it names at most 64 ranges, as each one costs time per character.
+    It may leave out some of ``seen``: it only spares the work of listing what is known. The first
+    256 code points are a bit set and cost nothing; of the others it names at most 64 ranges.
     """
     codes = sorted(ord(c) for c in seen)
+    low = [f"\\x{{{c:x}}}" for c in codes if c < 256]
     ranges: list[list[int]] = []
     for code in codes:
+        if code < 256:
+            continue
         if ranges and ranges[-1][1] == code - 1:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
-    low = [r for r in ranges if r[0] < 256]
-    high = sorted((r for r in ranges if r[0] >= 256), key=lambda r: r[0] - r[1])[:MAX_RANGES]
-    if not ranges:
-        return None
-    return "[^" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in low + high) + "]"
+    widest = sorted(ranges, key=lambda r: r[0] - r[1])[:MAX_RANGES]
+    high = [f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in widest]
+    return "[^" + "".join(low + high) + "]" if codes else None
 
 
 def build_char_vocab(df: DataFrame, text: str = "text", extra: str = "",
-                     seed_rows: int = 1000) -> DataFrame:
+                     seed_rows: int = 200) -> DataFrame:
     """Distinct characters in code point order with ids from 0: ``ch, id``.
 
     Counted on every split. The characters of a few rows are listed first; the full pass then only
@@ -58,7 +59,8 @@ def build_char_vocab(df: DataFrame, text: str = "text", extra: str = "",
     listed = (F.regexp_extract_all("_t", F.lit(outside), F.lit(0)) if outside
               else F.split("_t", ""))
     found = chars.select(F.explode(listed).alias("ch"))
-    known = spark.createDataFrame([(c,) for c in sorted({*seen, *extra})], "ch string")
+    known = spark.range(1).select(F.explode(F.from_json(
+        F.lit(json.dumps(sorted({*seen, *extra}))), "array<string>")).alias("ch"))
     order = F.row_number().over(Window.orderBy("ch")) - 1
     return found.union(known).distinct().select("ch", order.cast("int").alias("id"))
 
@@ -212,8 +214,9 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
         counts = counts.where(~F.col("token").isin(*specials))
     kept = counts.orderBy(F.desc("n"), "token").limit(max_size - len(specials))
     order = F.row_number().over(Window.orderBy(F.desc("n"), "token")) - 1 + len(specials)
-    first = df.sparkSession.createDataFrame(
-        [(s, i, 0) for i, s in enumerate(specials)], "token string, id int, n bigint")
+    first = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(s) for s in specials]).cast("array<string>"))
+        .alias("id", "token")).select("token", "id", F.lit(0).cast("bigint").alias("n"))
     return first.union(kept.select("token", order.cast("int").alias("id"), "n"))
 
 
