@@ -1,0 +1,96 @@
+"""What the physical plans may and may not hold, and the contract of the entry file."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpusloom as cl
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df):
+    # Broadcasts and the single-partition exchange over bucket totals move no table.
+    return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|"
+                          r"Exchange RoundRobin", plan_of(df)))
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, sf, name):
+    """Every query runs; no nested-loop join, and Python only for the user's hook."""
+    df = entry.queries()[name](spark, sf)
+    plan = plan_of(df)
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    if name != "map_batches":
+        assert "Python" not in plan and "MapInArrow" not in plan
+    assert df.count() > 0
+    assert name in entry.oracle_sql()
+
+
+def test_rows_stay_where_they_are(spark, docs):
+    """Labels, slices, rendering and encoding are projections and filters on the scan."""
+    vocab = cl.char_table(cl.build_char_vocab(docs))
+    index = cl.materialize(cl.corpus_offsets(docs), "index")
+    for df in (
+        cl.holdout(docs), cl.holdout_threshold(docs), cl.percent_slice(docs, 10, 60),
+        cl.render(docs, "text", eos="</s>"), cl.encode_chars(docs, vocab),
+        cl.tokenize_dataset(docs, vocab), cl.split_segments(docs, index),
+        cl.contiguous_split(index), cl.wrap_prompts(docs, "text"),
+    ):
+        assert "Exchange" not in plan_of(df)
+
+
+def test_slice_reaches_the_scan(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = plan_of(cl.percent_slice(docs, 10, 60, "doc_id").select("doc_id", "lang"))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(doc_id,20\), LessThan\(doc_id,120\)",
+                     plan)
+    assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+
+
+def test_index_moves_no_text(spark, docs):
+    index = cl.corpus_offsets(docs)
+    assert shuffles(index) == 1
+    exchange = next(line for line in plan_of(index).splitlines() if "Exchange hash" in line)
+    assert "text" not in exchange
+
+
+def test_ids_by_join_shuffle_once(spark, docs):
+    vocab = cl.materialize(cl.build_word_vocab(docs, 500), "vocab")
+    assert shuffles(cl.encode_words(docs, vocab, vocab_rows=500)) == 1
+
+
+def test_padding_shuffles_by_batch_only(spark, docs):
+    vocab = cl.char_table(cl.build_char_vocab(docs))
+    examples = cl.tokenize_dataset(docs, vocab, 32)
+    plan = plan_of(cl.pad_batches(cl.assign_batches(examples, 4), 0))
+    assert "hashpartitioning(epoch" in plan and "SinglePartition" not in plan
+
+
+def test_candidates_share_one_shuffle(spark):
+    scores = spark.createDataFrame([("p", "t", 1.0)], "prompt_id string, token string, logit double")
+    chain = cl.sample_next(cl.top_p(cl.temperature_softmax(cl.top_k(scores, 20)), 0.9))
+    assert shuffles(chain) == 1
+
+
+def test_streams_need_no_state(spark, tmp_path, docs):
+    schema = "row_id bigint, text string"
+    (tmp_path / "in").mkdir()
+    stream = cl.read_stream(spark, str(tmp_path / "in"), "json", schema)
+    plan = cl.drop_blank(cl.render(cl.holdout_threshold(stream), "text"))
+    assert plan.isStreaming
+    analyzed = plan._jdf.queryExecution().analyzed().toString()
+    assert not re.search(r"Aggregate|Window|Join|Deduplicate", analyzed)
+
+
+def test_entry(spark):
+    rows = entry.entry(spark).collect()
+    assert {r.split for r in rows} == {"train", "validation"}
+
+
+def test_same_names_on_both_sides():
+    assert set(entry.queries()) == set(entry.oracle_sql())
