@@ -56,13 +56,17 @@ def conversations(spark, sf_dir) -> DataFrame:
 
 
 def instructions(spark, sf_dir) -> DataFrame:
-    """User turns with the answer that follows, and the system turn of the conversation."""
+    """User turns with the answer that follows, and the first system turn of the conversation.
+
+    The pair meets on conversation and turn, so a long conversation is spread over all tasks.
+    """
     turns = cl.spread(table(spark, sf_dir, "conversations"))
     user = turns.where("role = 'user'").select(
         "conv_id", "turn", F.col("text").alias("instruction"))
     answer = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
-    system = turns.where("role = 'system'").select("conv_id", F.col("text").alias("input"))
+    system = turns.where("role = 'system'").groupBy("conv_id").agg(
+        F.min_by("text", "turn").alias("input"))
     return (
         user.join(answer, ["conv_id", "turn"]).join(system, "conv_id", "left")
         .select(F.concat_ws("-", "conv_id", "turn").alias("row_id"), "conv_id", "turn",
@@ -561,7 +565,8 @@ BLANKS = SPLITS + """, blanks as (select row_id, split, case
 PAIRS = """pairs as (select u.conv_id || '-' || u.turn as row_id, u.conv_id, u.turn,
     u.text as instruction, s.text as input, a.text as output
   from conversations u join conversations a on a.conv_id = u.conv_id and a.turn = u.turn + 1
-  left join conversations s on s.conv_id = u.conv_id and s.role = 'system'
+  left join (select conv_id, first(text order by turn) as text from conversations
+    where role = 'system' group by conv_id) s on s.conv_id = u.conv_id
   where u.role = 'user' and a.role = 'assistant')"""
 CHATS = f"""chats as (select conv_id as row_id,
   string_agg({LABEL} || ': ' || text, {NL2} order by turn) as body from conversations

@@ -13,6 +13,10 @@ from corpusloom.session import BROADCAST_ROWS
 WORD = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 PAD, UNKNOWN = "<pad>", "<unk>"
 MAX_RANGES = 64
+# Most ids that are put in order at once.
+SLAB = 65_536
+# A text is taken apart into tokens in pieces of about this many characters.
+PIECE = 65_536
 
 
 def characters(c: Column) -> Column:
@@ -147,19 +151,23 @@ def decode_chars(df: DataFrame, vocab: DataFrame | CharTable, ids: str = "ids",
 def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id",
                 out: str = "ids", keep: tuple[str, ...] = ("split",),
                 unknown_id: int | None = None, vocab_rows: int | None = None,
-                token: str = "token") -> DataFrame:
+                token: str = "token", part: str | None = None) -> DataFrame:
     """Arrays of tokens to arrays of ids by joining the vocabulary: ``key, keep..., out``.
 
-    The arrays are dealt by key before they are unrolled: that shuffle is the only one, as the join
-    with a broadcast vocabulary and the regrouping stay within it. A vocabulary past the broadcast
-    bound is joined in two steps, its first million entries (the frequent tokens) broadcast and only
-    the rest by shuffle, so no frequent token makes a hot partition.
+    ``part`` names a column that orders several arrays of one key. The arrays are dealt by key
+    before they are unrolled: that shuffle is the only one, as the join with a broadcast vocabulary
+    and the regrouping stay within it. Ids are collected in slabs of bounded size, and only plain
+    slabs meet per row. A vocabulary past the broadcast bound is joined in two steps, its first
+    million entries (the frequent tokens) broadcast and only the rest by shuffle, so no frequent
+    token makes a hot partition.
     """
     keep = tuple(c for c in keep if c in df.columns and c != key)
     vocab = vocab.select(F.col(token).alias("_token"), F.col("id").alias("_id"))
     rows = vocab.count() if vocab_rows is None else vocab_rows
-    unrolled = df.select(key, *keep, F.col(tokens).alias("_tokens")).repartition(key).select(
-        key, *keep, F.posexplode_outer("_tokens").alias("_pos", "_token"))
+    order = F.lit(0) if part is None else F.col(part)
+    unrolled = df.select(
+        key, *keep, order.alias("_part"), F.col(tokens).alias("_tokens")).repartition(key).select(
+        key, *keep, "_part", F.posexplode_outer("_tokens").alias("_pos", "_token"))
     if rows <= BROADCAST_ROWS:
         joined = unrolled.join(F.broadcast(vocab), "_token", "left")
     else:
@@ -167,7 +175,7 @@ def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id
         tail = vocab.where(F.col("_id") >= BROADCAST_ROWS).withColumnsRenamed(
             {"_token": "_rare", "_id": "_rare_id"})
         # Rows that are settled get a key of their own that matches nothing, dealt evenly.
-        settled = F.concat(F.lit("\0"), F.col(key).cast("string"), F.lit("|"), F.col("_pos"))
+        settled = F.concat_ws("|", F.lit("\0"), key, "_part", "_pos")
         joined = (
             unrolled.join(F.broadcast(head), "_token", "left")
             .withColumn("_rare", F.when(F.col("_id").isNull() & F.col("_token").isNotNull(),
@@ -177,8 +185,12 @@ def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id
         )
     found = F.coalesce(F.col("_id"), F.lit(unknown_id).cast("int"))
     slot = F.when(F.col("_pos").isNotNull(), F.struct(F.col("_pos"), found.alias("id")))
-    return joined.groupBy(key, *keep).agg(F.array_sort(F.collect_list(slot)).alias("_slots")).select(
-        key, *keep, F.transform("_slots", lambda s: s["id"]).alias(out))
+    slab = F.floor(F.coalesce("_pos", F.lit(0)) / SLAB).alias("_slab")
+    slabs = joined.groupBy(key, *keep, "_part", slab).agg(F.transform(
+        F.array_sort(F.collect_list(slot)), lambda s: s["id"]).alias("_ids"))
+    whole = F.array_sort(F.collect_list(F.struct("_part", "_slab", "_ids")))
+    return slabs.groupBy(key, *keep).agg(
+        F.flatten(F.transform(whole, lambda s: s["_ids"])).alias(out))
 
 
 # --- words ---------------------------------------------------------------------------------------
@@ -192,9 +204,25 @@ def words(c: Column, eos: str | None = None) -> Column:
     return F.regexp_extract_all(c, F.lit(word_pattern(eos)), F.lit(0))
 
 
+def pieces(c: Column) -> Column:
+    """A text in pieces that end before a whitespace, so that no token is cut.
+
+    A long text then never is one array of all its tokens.
+    """
+    long = F.regexp_extract_all(c, F.lit(f"(?s).{{1,{PIECE}}}\\S*"), F.lit(0))
+    return F.when(F.length(c) <= PIECE, F.array(c)).otherwise(long)
+
+
+def _check_eos(eos: str | None) -> None:
+    if eos and any(ch.isspace() for ch in eos):
+        raise ValueError("the end marker must not hold whitespace")
+
+
 def word_counts(df: DataFrame, text: str = "text", eos: str | None = None) -> DataFrame:
+    _check_eos(eos)
     return (
-        df.select(F.explode(words(F.col(text), eos)).alias("token"))
+        df.select(F.explode(pieces(F.col(text))).alias("_piece"))
+        .select(F.explode(words(F.col("_piece"), eos)).alias("token"))
         .groupBy("token").agg(F.count("*").alias("n"))
     )
 
@@ -224,13 +252,20 @@ def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str =
                  out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
                  unknown: str = UNKNOWN, max_len: int | None = None,
                  vocab_rows: int | None = None) -> DataFrame:
-    """Text to word ids. ``max_len`` cuts the token list before it is unrolled."""
+    """Text to word ids; ``max_len`` keeps the first ids of a row."""
+    _check_eos(eos)
     row = vocab.where(F.col("token") == unknown).select("id").first()
-    tokens = words(F.col(text), eos)
+    keep = tuple(c for c in keep if c in df.columns and c != key)
+    tokens = words(F.col("_piece"), eos)
     if max_len is not None:
+        # No piece can give more to the first ids; the row is cut below.
         tokens = F.slice(tokens, 1, max_len)
-    return encode_join(df.withColumn("_words", tokens), "_words", vocab, key, out, keep,
-                       row["id"] if row else None, vocab_rows)
+    parts = df.select(
+        key, *keep, F.posexplode_outer(pieces(F.col(text))).alias("_at", "_piece")).select(
+        key, *keep, F.coalesce("_at", F.lit(0)).alias("_at"), tokens.alias("_words"))
+    coded = encode_join(parts, "_words", vocab, key, out, keep, row["id"] if row else None,
+                        vocab_rows, part="_at")
+    return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
 
 
 # --- examples ------------------------------------------------------------------------------------

@@ -110,6 +110,23 @@ def test_word_vocab_and_ids(spark):
         cl.build_word_vocab(df, 2)
 
 
+def test_words_of_a_long_text(spark, monkeypatch):
+    """Cut into pieces and slabs, a text gives the same tokens in the same order."""
+    texts = ["ab cd, " * 40 + "x" * 90 + " é\n\n" + "." * 30 + "</s>", "", "short one</s>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string")
+    vocab = cl.build_word_vocab(df, 50, eos="</s>")
+    want = cl.encode_words(df, vocab, eos="</s>").collect()
+    first = cl.encode_words(df, vocab, eos="</s>", max_len=20).collect()
+    monkeypatch.setattr(tk, "PIECE", 16)
+    monkeypatch.setattr(tk, "SLAB", 4)
+    assert sorted(cl.build_word_vocab(df, 50, eos="</s>").collect()) == sorted(vocab.collect())
+    assert sorted(cl.encode_words(df, vocab, eos="</s>").collect()) == sorted(want)
+    assert sorted(cl.encode_words(df, vocab, eos="</s>", max_len=20).collect()) == sorted(first)
+    assert len(want[0].ids) > 100 or len(want[1].ids) > 100 or len(want[2].ids) > 100
+    with pytest.raises(ValueError):
+        cl.encode_words(df, vocab, eos="< / s>")
+
+
 def test_truncation(spark):
     df = spark.createDataFrame([([1, 2, 3, 9],), ([1, 9],), ([1, 2, 3, 4],)], "ids array<int>")
 
