@@ -11,6 +11,9 @@ ROLE_KEYS = ("role", "from")
 CONTENT_KEYS = ("content", "value", "text")
 UNKNOWN_ROLE = "unknown"
 
+# JSON text up to this size is parsed as one value.
+WHOLE_PARSE_BYTES = 8 * 1024 * 1024
+
 # Fixed values: (style, role) -> text before and after the content.
 STYLES = {
     "chatml": {
@@ -92,8 +95,14 @@ def _variant_parts(v: Column, clean: bool) -> tuple[Column, Column]:
     return role_text, F.when(content.isNull(), "").otherwise(_value_text(content))
 
 
-def _items(parsed: Column) -> Column:
-    return parsed.try_cast("array<variant>")
+def _items(c: Column) -> Column:
+    """The items of a JSON list; null for anything else.
+
+    One variant holds at most 16 MiB, so a longer list is parsed item by item.
+    """
+    return F.when(
+        F.octet_length(c) > WHOLE_PARSE_BYTES, F.from_json(c, "array<variant>")
+    ).otherwise(F.try_parse_json(c).try_cast("array<variant>"))
 
 
 def _render_json(c: Column, clean: bool) -> Column:
@@ -106,9 +115,9 @@ def _render_json(c: Column, clean: bool) -> Column:
 
     return (
         F.when(c.isNull(), "None")
+        .when(_items(c).isNotNull(), F.array_join(F.transform(_items(c), one), "\n\n"))
         .when(parsed.isNull(), c)
-        .when(_items(parsed).isNull(), _value_text(parsed))
-        .otherwise(F.array_join(F.transform(_items(parsed), one), "\n\n"))
+        .otherwise(_value_text(parsed))
     )
 
 
@@ -138,7 +147,7 @@ def _role_content(c: Column, dtype: T.DataType) -> Column | None:
         return F.transform(c, lambda m: F.struct(
             m["role"].cast("string").alias("role"), m["content"].cast("string").alias("content")))
     if isinstance(dtype, T.StringType):
-        return F.transform(_items(F.try_parse_json(c)), lambda v: F.struct(
+        return F.transform(_items(c), lambda v: F.struct(
             F.try_variant_get(v, "$.role", "string").alias("role"),
             F.try_variant_get(v, "$.content", "string").alias("content")))
     return None

@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import corpusloom as cl
+from corpusloom.functions import messages
 
 EOS = "</s>"
 
@@ -137,10 +138,24 @@ JSON_ROWS = [
 ]
 
 
-@pytest.mark.parametrize("value, want", JSON_ROWS)
-def test_json_messages(spark, value, want):
-    df = spark.createDataFrame([(value,)], "messages string")
-    assert one(df) == want
+@pytest.mark.parametrize("whole", [True, False])
+def test_json_messages(spark, monkeypatch, whole):
+    """Parsed as one value, or item by item as long texts are: the same."""
+    if not whole:
+        monkeypatch.setattr(messages, "WHOLE_PARSE_BYTES", 0)
+    df = spark.createDataFrame(
+        [(i, value) for i, (value, _) in enumerate(JSON_ROWS)], "row_id int, messages string")
+    got = {r.row_id: r.text for r in cl.render(df).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(JSON_ROWS)}
+
+
+def test_json_longer_than_a_variant(spark):
+    turn = F.concat(F.lit('{"role":"user","content":"'), F.repeat(F.lit("x"), F.lit(10 ** 6)),
+                    F.lit('"}'))
+    df = spark.range(1).select(F.concat(
+        F.lit("["), F.array_join(F.array_repeat(turn, 20), ","), F.lit("]")).alias("messages"))
+    sizes = cl.render(df).select(F.length("text"), F.left("text", F.lit(7))).first()
+    assert tuple(sizes) == (20 * (10 ** 6 + 6) + 19 * 2, "User: x")
 
 
 def test_null_role(spark):
