@@ -153,3 +153,15 @@ def test_shuffle_epochs(spark):
         assert sorted(k for _, k in mine) == list(range(50))
         orders.append([k for _, k in mine])
     assert orders[0] != orders[1] != orders[2]
+
+
+@pytest.mark.parametrize("dtype", ["int", "double", "decimal(12,2)", "date", "timestamp"])
+def test_rank_of_other_key_types(spark, dtype):
+    ids = spark.range(400)
+    key = {"date": F.date_add(F.lit("2020-02-27").cast("date"), F.col("id").cast("int")),
+           "timestamp": F.timestamp_micros(F.col("id") * 1234567)}.get(
+        dtype, (F.col("id") * 1.25).cast(dtype))
+    df = ids.where("id % 4 = 0").select("id", key.alias("row_id"))
+    got = {r.id: r.rank for r in cl.global_rank(df).collect()}
+    assert got == {i: n for n, i in enumerate(range(0, 400, 4))}
+    assert sorted(r.id for r in cl.percent_slice(df, 10, 50).collect()) == list(range(40, 200, 4))
