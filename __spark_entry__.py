@@ -423,7 +423,8 @@ def q_topp(spark, sf_dir):
 
 def q_penalty(spark, sf_dir):
     """Shifted logits, so that some are negative; seen is what follows a prompt in its own top 5."""
-    shifted = scores(spark, sf_dir).withColumn("logit", F.col("logit") - 3)
+    shifted = cl.materialize(scores(spark, sf_dir), "scores").withColumn(
+        "logit", F.col("logit") - 3)
     lowered = cl.repetition_penalty(shifted, cl.top_k(shifted, 5), 1.1)
     return lowered.select("prompt_id", "token", F.round("logit", 6).alias("logit"))
 
@@ -432,6 +433,12 @@ def q_sample(spark, sf_dir):
     return cl.sample_next(cl.temperature_softmax(cl.top_k(scores(spark, sf_dir), 20), 0.7))
 
 
+def q_choose_next(spark, sf_dir):
+    """All sampling settings at once; what follows a prompt most often counts as seen."""
+    logits = cl.materialize(scores(spark, sf_dir), "scores")
+    return cl.choose_next(logits, cl.PrepConfig(), cl.top_k(logits, 5))
+
+
 def q_greedy(spark, sf_dir):
     return cl.greedy_next(scores(spark, sf_dir))
 
@@ -852,6 +859,19 @@ def oracle_sql() -> dict[str, str]:
             from probs)
             select prompt_id, first(token order by prob desc, token) as token from summed
             where upto > u * total group by prompt_id""",
+        "choose_next": f"""with {SCORES}, marked as (select prompt_id, token, logit,
+            {RANKS.format(by='logit')} as r from scores), lowered as (select prompt_id, token,
+            case when r > 5 then logit when logit > 0 then logit / 1.1 else logit * 1.1 end as logit
+            from marked),
+            kept as (select * from lowered qualify {RANKS.format(by='logit')} <= 20),
+            {softmax.format(src='kept')}, summed as (select *, sum(prob) over (partition by prompt_id
+              order by prob desc, token rows unbounded preceding) as upto from probs),
+            nucleus as (select prompt_id, token, prob, upto from summed where upto - prob < 0.9),
+            drawn as (select *, sum(prob) over (partition by prompt_id) as total,
+              ('0x' || left(md5('42|' || prompt_id), 13))::bigint / 4503599627370496.0::double as u
+              from nucleus)
+            select prompt_id, first(token order by prob desc, token) as token from drawn
+            where upto > u * total group by prompt_id""",
         "greedy": f"""with {SCORES} select prompt_id, first(token order by logit desc, token)
             as token from scores group by prompt_id""",
         "src_json": "select doc_id, lang, text, 'train' as split from documents",

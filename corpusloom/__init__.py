@@ -29,7 +29,7 @@ from corpusloom.operators.tokens import (
     encode_words, tokenize_dataset, truncate, vocab_size, with_masks,
 )
 from corpusloom.operators.windows import sample_windows, shifted_pairs
-from corpusloom.plans.prepare import prepare, prepare_chars, prepare_stream
+from corpusloom.plans.prepare import choose_next, prepare, prepare_chars, prepare_stream
 from corpusloom.session import materialize, spread
 from corpusloom.sources.files import read_files, with_row_id
 from corpusloom.sources.tables import read_catalog, write_catalog, write_examples

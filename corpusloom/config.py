@@ -6,7 +6,20 @@ from dataclasses import dataclass
 
 from corpusloom.functions.layout import LAYOUTS
 
-SOURCES = ("catalog", "files")
+# What the settings may be (both ends included, None is open).
+CHOICES = {"source": ("catalog", "files"), "layout": LAYOUTS}
+RANGES = {
+    "validation_percent": (0, 50),
+    "epochs": (1, None),
+    "batch_size": (1, None),
+    "accum": (1, None),
+    "max_len": (16, None),
+    "block_size": (1, None),
+    "eval_batches": (1, None),
+    "temperature": (0, None),
+    "top_p": (0, 1),
+    "top_k": (1, None),
+}
 
 
 @dataclass(frozen=True)
@@ -42,27 +55,19 @@ class PrepConfig:
 
     def errors(self) -> list[str]:
         """Everything that is wrong, not just the first thing."""
-        rules = [
-            (self.source in SOURCES, f"source must be one of {SOURCES}, got {self.source!r}"),
-            (self.source != "catalog" or (self.root and self.name),
-             "root and name are required when source is 'catalog'"),
-            (self.source != "files" or self.path, "path is required when source is 'files'"),
-            (0 <= self.validation_percent <= 50,
-             f"validation_percent must be between 0 and 50, got {self.validation_percent}"),
-            (self.layout in LAYOUTS, f"layout must be one of {LAYOUTS}, got {self.layout!r}"),
-            (self.epochs >= 1, f"epochs must be >= 1, got {self.epochs}"),
-            (self.batch_size >= 1, f"batch_size must be >= 1, got {self.batch_size}"),
-            (self.accum >= 1, f"accum must be >= 1, got {self.accum}"),
-            (self.max_len >= 16, f"max_len must be >= 16, got {self.max_len}"),
-            (self.block_size >= 1, f"block_size must be >= 1, got {self.block_size}"),
-            (self.eval_batches >= 1, f"eval_batches must be >= 1, got {self.eval_batches}"),
-            (self.temperature >= 0, f"temperature must be >= 0, got {self.temperature}"),
-            (0 <= self.top_p <= 1, f"top_p must be between 0 and 1, got {self.top_p}"),
-            (self.top_k >= 1, f"top_k must be >= 1, got {self.top_k}"),
-            (self.repetition_penalty > 0,
-             f"repetition_penalty must be > 0, got {self.repetition_penalty}"),
-        ]
-        return [message for ok, message in rules if not ok]
+        found = [f"{name}={getattr(self, name)!r} is not one of {', '.join(allowed)}"
+                 for name, allowed in CHOICES.items() if getattr(self, name) not in allowed]
+        needed = {"catalog": ("root", "name"), "files": ("path",)}.get(self.source, ())
+        missing = [name for name in needed if not getattr(self, name)]
+        if missing:
+            found.append(f"source {self.source!r} needs {' and '.join(missing)}")
+        for name, (low, high) in RANGES.items():
+            value = getattr(self, name)
+            if value < low or (high is not None and value > high):
+                found.append(f"{name}={value} is outside {low} to {'any' if high is None else high}")
+        if self.repetition_penalty <= 0:
+            found.append(f"repetition_penalty={self.repetition_penalty} is not above 0")
+        return found
 
     def validate(self) -> "PrepConfig":
         errors = self.errors()

@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.config import PrepConfig
 from corpusloom.operators.corpus import contiguous_split, corpus_offsets, split_segments
 from corpusloom.operators.rendering import render
+from corpusloom.operators.scores import (
+    greedy_next, repetition_penalty, sample_next, temperature_softmax, top_k, top_p,
+)
 from corpusloom.operators.splits import (
-    VALIDATION, ensure_train, holdout, holdout_threshold, normalize_validation, percent_slice,
+    VALIDATION, VALIDATION_NAMES, ensure_train, holdout, holdout_threshold, normalize_validation, percent_slice,
 )
 from corpusloom.operators.tokens import build_char_vocab, build_word_vocab, char_table, tokenize_dataset
 from corpusloom.operators.windows import sample_windows
@@ -29,7 +32,7 @@ def load(spark: SparkSession, cfg: PrepConfig) -> DataFrame:
     else:
         df = read_catalog(spark, cfg.root, cfg.name, cfg.config, cfg.split)
         df = normalize_validation(ensure_train(df, clean=cfg.clean), cfg.clean)
-        names = (VALIDATION, "valid", "val", "test", "dev")
+        names = VALIDATION_NAMES
     return holdout(df, cfg.validation_percent, cfg.seed, cfg.key, names)
 
 
@@ -80,3 +83,18 @@ def prepare_stream(stream: DataFrame, cfg: PrepConfig, vocab: DataFrame) -> Data
     held = holdout_threshold(stream, cfg.validation_percent, cfg.seed, cfg.key)
     return tokenize_dataset(
         render_with(held, cfg), vocab, cfg.max_len, key=cfg.key, eos=cfg.eos, on_unknown="drop")
+
+
+def choose_next(scores: DataFrame, cfg: PrepConfig, seen: DataFrame | None = None) -> DataFrame:
+    """A next token per prompt from a score table, by the sampling settings.
+
+    Tokens already ``seen`` are made less likely, the best ``top_k`` and of these the likeliest up to
+    ``top_p`` are kept, and one is drawn. Temperature 0 takes the best one as it is. The steps share
+    one shuffle by prompt.
+    """
+    if cfg.temperature == 0:
+        return greedy_next(scores)
+    if seen is not None:
+        scores = repetition_penalty(scores, seen, cfg.repetition_penalty)
+    probs = temperature_softmax(top_k(scores, cfg.top_k), cfg.temperature)
+    return sample_next(top_p(probs, cfg.top_p), cfg.seed)

@@ -137,7 +137,7 @@ def test_settings():
         cl.PrepConfig(source="web", validation_percent=60, layout="table", epochs=0, batch_size=0,
                       accum=0, max_len=8, temperature=-1, top_p=2, repetition_penalty=0).validate()
     assert len(str(e.value).splitlines()) == 11
-    assert len(cl.PrepConfig().errors()) == 1
+    assert cl.PrepConfig().errors() == ["source 'catalog' needs root and name"]
     assert cl.PrepConfig(source="files", path="/x").errors() == []
 
 

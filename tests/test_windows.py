@@ -197,3 +197,13 @@ def test_greedy_and_draws(spark, scores):
     assert sum(drawn.values()) == 4000
     for token, p in probs(LOGITS).items():
         assert abs(drawn[token] / 4000 - p) < 0.03
+
+
+def test_choose_next(spark, scores):
+    greedy = cl.PrepConfig(temperature=0)
+    assert of(cl.choose_next(scores, greedy), "token") == {"a": "a"}
+    sure = cl.PrepConfig(top_k=1)
+    assert of(cl.choose_next(scores, sure), "token") == {"a": "a"}
+    seen = spark.createDataFrame([("p", "a")], "prompt_id string, token string")
+    strict = cl.PrepConfig(top_k=1, repetition_penalty=4.0)
+    assert of(cl.choose_next(scores, strict, seen), "token") == {"b": "b"}
