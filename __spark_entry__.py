@@ -297,7 +297,7 @@ def q_word_vocab(spark, sf_dir):
 def q_word_encode(spark, sf_dir):
     docs = spread_documents(spark, sf_dir)
     vocab = cl.materialize(cl.build_word_vocab(docs, 5000), "vocab")
-    coded = cl.encode_words(docs, vocab, vocab_rows=5000)
+    coded = cl.encode_words(docs, vocab)
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
@@ -306,7 +306,7 @@ def q_tokenize_dataset(spark, sf_dir):
     text = cl.render(cl.spread(with_blanks(spark, sf_dir)), eos=EOS)
     vocab = cl.materialize(cl.build_word_vocab(
         spread_documents(spark, sf_dir), 3000, min_count=2, eos=EOS), "vocab")
-    examples = cl.tokenize_dataset(text, vocab, eos=EOS, vocab_rows=3000)
+    examples = cl.tokenize_dataset(text, vocab, eos=EOS)
     return examples.select(
         "row_id", "split", *[joined(c).alias(c) for c in
                              ("input_ids", "attention_mask", "labels")])

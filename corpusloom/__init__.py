@@ -30,7 +30,7 @@ from corpusloom.operators.tokens import (
 )
 from corpusloom.operators.windows import sample_windows, shifted_pairs
 from corpusloom.plans.prepare import choose_next, prepare, prepare_chars, prepare_stream
-from corpusloom.session import materialize, spread
+from corpusloom.session import drop_scratch, materialize, spread
 from corpusloom.sources.files import read_files, with_row_id
 from corpusloom.sources.tables import read_catalog, write_catalog, write_examples
 from corpusloom.streaming.streams import read_stream, streaming_counts, write_stream

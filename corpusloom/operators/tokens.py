@@ -250,11 +250,15 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
 
 def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "row_id",
                  out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
-                 unknown: str = UNKNOWN, max_len: int | None = None,
-                 vocab_rows: int | None = None) -> DataFrame:
-    """Text to word ids; ``max_len`` keeps the first ids of a row."""
+                 unknown: str = UNKNOWN, max_len: int | None = None) -> DataFrame:
+    """Text to word ids; ``max_len`` keeps the first ids of a row.
+
+    The vocabulary is read twice, so pass a written one (``materialize``).
+    """
     _check_eos(eos)
-    row = vocab.where(F.col("token") == unknown).select("id").first()
+    facts = vocab.agg(
+        F.count("*").alias("rows"),
+        F.max(F.when(F.col("token") == unknown, F.col("id"))).alias("unknown_id")).first()
     keep = tuple(c for c in keep if c in df.columns and c != key)
     tokens = words(F.col("_piece"), eos)
     if max_len is not None:
@@ -263,8 +267,8 @@ def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str =
     parts = df.select(
         key, *keep, F.posexplode_outer(pieces(F.col(text))).alias("_at", "_piece")).select(
         key, *keep, F.coalesce("_at", F.lit(0)).alias("_at"), tokens.alias("_words"))
-    coded = encode_join(parts, "_words", vocab, key, out, keep, row["id"] if row else None,
-                        vocab_rows, part="_at")
+    coded = encode_join(
+        parts, "_words", vocab, key, out, keep, facts["unknown_id"], facts["rows"], part="_at")
     return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
 
 
@@ -291,8 +295,7 @@ def with_masks(df: DataFrame, ids: str = "ids") -> DataFrame:
 
 def tokenize_dataset(df: DataFrame, vocab: DataFrame | CharTable, max_len: int = 256,
                      text: str = "text", key: str = "row_id", eos: str | None = None,
-                     on_unknown: str = "error", vocab_rows: int | None = None,
-                     clean: bool = False) -> DataFrame:
+                     on_unknown: str = "error", clean: bool = False) -> DataFrame:
     """Blank rows out, ids in, cut to ``max_len``: key, split and the three example columns.
 
     All splits go through one plan. The vocabulary is one of characters (``ch, id``) or of words
@@ -311,11 +314,12 @@ def tokenize_dataset(df: DataFrame, vocab: DataFrame | CharTable, max_len: int =
         coded = df.select(*keep, table.encode(source, on_unknown).alias("ids"))
         cut = truncate(F.col("ids"), max_len, eos_id, clean)
     else:
-        eos_row = vocab.where(F.col("token") == eos).select("id").first() if eos else None
-        eos_id = eos_row["id"] if eos_row else None
+        eos_id = None
+        if clean and eos:
+            row = vocab.where(F.col("token") == eos).select("id").first()
+            eos_id = row["id"] if row else None
         # With clean the last token is looked at, so the list is cut after encoding.
-        early = None if clean else max_len
-        coded = encode_words(df, vocab, text, key, "ids", tuple(keep), eos, max_len=early,
-                             vocab_rows=vocab_rows)
+        coded = encode_words(df, vocab, text, key, "ids", tuple(keep), eos,
+                             max_len=None if clean else max_len)
         cut = truncate(F.col("ids"), max_len, eos_id, clean)
     return with_masks(coded.withColumn("ids", cut))

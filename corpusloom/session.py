@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Most rows a side may have to be sent to every executor.
 BROADCAST_ROWS = 1_000_000
 
+_handed_out: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster for checkpoints and written tables.
@@ -29,7 +31,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote under scratch paths; returns how many there were.
+
+    Call it when no table built on them is read any more.
+    """
+    dropped = 0
+    while _handed_out:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        dropped += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return dropped
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -193,3 +193,15 @@ def test_stream_of_examples(spark, tmp_path, docs, sf):
     assert char_table(vocab).size == vocab.count()
     with pytest.raises(ValueError):
         cl.prepare_stream(stream, cfg, vocab.withColumnRenamed("ch", "token"))
+
+
+def test_scratch_is_dropped(spark):
+    from corpusloom import session
+    session._handed_out.clear()
+    kept = session.materialize(spark.range(5), "t")
+    path = session._handed_out[0]
+    assert path.startswith(session.scratch_root(spark)) and kept.count() == 5
+    assert cl.drop_scratch(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert cl.drop_scratch(spark) == 0

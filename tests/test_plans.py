@@ -61,7 +61,7 @@ def test_index_moves_no_text(spark, docs):
 
 def test_ids_by_join_shuffle_once(spark, docs):
     vocab = cl.materialize(cl.build_word_vocab(docs, 500), "vocab")
-    assert shuffles(cl.encode_words(docs, vocab, vocab_rows=500)) == 1
+    assert shuffles(cl.encode_words(docs, vocab)) == 1
 
 
 def test_padding_shuffles_by_batch_only(spark, docs):

@@ -1,5 +1,8 @@
 """Hand-made rows with the expected text."""
 
+import json
+import random
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -246,3 +249,51 @@ def test_keep_only(spark):
     df = spark.createDataFrame([(1, "train", "a", "b")],
                                "row_id int, split string, text string, other string")
     assert cl.keep_only(df, "text").columns == ["row_id", "split", "text"]
+
+
+def expected(payload):
+    """The rendering of a JSON value, said in plain Python."""
+    if not isinstance(payload, list):
+        return str(payload)
+    lines = []
+    for item in payload:
+        if not isinstance(item, dict):
+            lines.append(str(item))
+            continue
+        role = next((item[k] for k in ("role", "from") if k in item), "unknown")
+        body = next((item[k] for k in ("content", "value", "text") if k in item), "")
+        lines.append(f"{role.capitalize()}: {body}")
+    return "\n\n".join(lines)
+
+
+def test_random_message_lists(spark):
+    rng = random.Random(5)
+    words = ["hi", "", " a b ", "é中😀", 'q"\\', "line\nbreak", "\t", "TRUE", "null", "[1]", "{"]
+
+    def value():
+        return rng.choice([rng.choice(words), rng.choice(words), 7, -3, True, False, None])
+
+    def item():
+        if rng.random() < 0.3:
+            return value()
+        keys = rng.sample(["role", "from", "content", "value", "text", "other"], rng.randint(0, 5))
+        return {k: rng.choice(["user", "ASSISTANT", "sYstem two", "x", ""])
+                if k in ("role", "from") else value() for k in keys}
+
+    payloads = [[item() for _ in range(rng.randint(0, 5))] for _ in range(400)]
+    payloads += [value() for _ in range(20)]
+    rows = [(i, json.dumps(p, ensure_ascii=rng.random() < 0.5)) for i, p in enumerate(payloads)]
+    df = spark.createDataFrame(rows, "row_id int, messages string")
+    got = {r.row_id: r.text for r in cl.render(df).collect()}
+    assert got == {i: expected(p) for i, p in enumerate(payloads)}
+
+
+def test_random_conversations_typed_and_as_json_agree(spark):
+    rng = random.Random(6)
+    rows = [(i, [(rng.choice(["user", "ASSISTANT"]), rng.choice(["hi", "", "é\n", None]))
+                 for _ in range(rng.randint(0, 4))]) for i in range(200)]
+    typed = spark.createDataFrame(
+        rows, "row_id int, messages array<struct<role string, content string>>")
+    # Nulls are kept as such, as a present key.
+    text = typed.withColumn("messages", F.to_json("messages", {"ignoreNullFields": "false"}))
+    assert sorted(cl.render(typed).collect()) == sorted(cl.render(text).collect())
