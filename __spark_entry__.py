@@ -511,7 +511,7 @@ def q_write_examples(spark, sf_dir):
 
 def events_stream(spark, sf_dir) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = cl.read_stream(spark, sf_dir, "parquet", schema, "events.parquet")
+    stream = cl.read_stream(spark, f"{sf_dir}/events.parquet*", "parquet", schema)
     return stream.select(F.col("event_id").alias("row_id"), F.col("event_type").alias("text"))
 
 
@@ -523,7 +523,7 @@ def q_stream_counts(spark, sf_dir):
 
 def q_stream_render(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
-    stream = cl.read_stream(spark, sf_dir, "parquet", schema, "documents.parquet").select(
+    stream = cl.read_stream(spark, f"{sf_dir}/documents.parquet*", "parquet", schema).select(
         F.col("doc_id").alias("row_id"), "text")
     held = cl.holdout_threshold(stream)
     path, checkpoint = scratch_path(spark, "rendered"), scratch_path(spark, "offsets")
@@ -534,7 +534,7 @@ def q_stream_render(spark, sf_dir):
 def q_stream_encode(spark, sf_dir):
     vocab = cl.build_char_vocab(documents(spark, sf_dir), extra=EOS)
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
-    stream = cl.read_stream(spark, sf_dir, "parquet", schema, "documents.parquet").select(
+    stream = cl.read_stream(spark, f"{sf_dir}/documents.parquet*", "parquet", schema).select(
         F.col("doc_id").alias("row_id"), "text")
     cfg = cl.PrepConfig(source="files", path=sf_dir, eos=EOS)
     path, checkpoint = scratch_path(spark, "examples"), scratch_path(spark, "offsets")

@@ -13,7 +13,10 @@ from corpusloom.operators.counts import split_counts
 
 def read_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str,
                 name_filter: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of files as a stream; new files are new rows. All rows belong to ``train``."""
+    """A folder of files as a stream; new files are new rows. All rows belong to ``train``.
+
+    ``path`` may be a pattern; one file alone must be given as a pattern too (``table.parquet*``).
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
