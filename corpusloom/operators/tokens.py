@@ -17,6 +17,8 @@ MAX_RANGES = 64
 SLAB = 65_536
 # A text is taken apart into tokens in pieces of about this many characters.
 PIECE = 65_536
+# Largest word vocabulary that is looked up in a constant of the plan rather than joined.
+LOOKUP_ROWS = 65_536
 
 
 def characters(c: Column) -> Column:
@@ -248,27 +250,53 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
     return first.union(kept.select("token", order.cast("int").alias("id"), "n"))
 
 
+def _word_lookup(vocab: DataFrame, rows: int):
+    """Token to id as an expression over a constant table: hash cells of a few entries each."""
+    size = 1 << (2 * rows).bit_length()
+
+    def cell(token):
+        return F.pmod(F.xxhash64(token), F.lit(size)).cast("int")
+
+    cells: list = [None] * size
+    for r in vocab.select("token", "id", cell("token").alias("cell")).collect():
+        cells[r["cell"]] = {**(cells[r["cell"]] or {}), r["token"]: r["id"]}
+    table = F.from_json(F.lit(json.dumps(cells)), "array<map<string,int>>")
+    return lambda token: F.try_element_at(F.get(table, cell(token)), token)
+
+
 def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "row_id",
                  out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
                  unknown: str = UNKNOWN, max_len: int | None = None) -> DataFrame:
     """Text to word ids; ``max_len`` keeps the first ids of a row.
 
-    The vocabulary is read twice, so pass a written one (``materialize``).
+    With a vocabulary of up to 65,536 words this is a projection and moves no row; a larger one is
+    joined (``encode_join``). The vocabulary is read twice, so pass a written one (``materialize``).
     """
     _check_eos(eos)
     facts = vocab.agg(
         F.count("*").alias("rows"),
         F.max(F.when(F.col("token") == unknown, F.col("id"))).alias("unknown_id")).first()
     keep = tuple(c for c in keep if c in df.columns and c != key)
-    tokens = words(F.col("_piece"), eos)
-    if max_len is not None:
+
+    def tokens(piece):
+        found = words(piece, eos)
         # No piece can give more to the first ids; the row is cut below.
-        tokens = F.slice(tokens, 1, max_len)
-    parts = df.select(
-        key, *keep, F.posexplode_outer(pieces(F.col(text))).alias("_at", "_piece")).select(
-        key, *keep, F.coalesce("_at", F.lit(0)).alias("_at"), tokens.alias("_words"))
-    coded = encode_join(
-        parts, "_words", vocab, key, out, keep, facts["unknown_id"], facts["rows"], part="_at")
+        return found if max_len is None else F.slice(found, 1, max_len)
+
+    if facts["rows"] <= LOOKUP_ROWS:
+        id_of = _word_lookup(vocab, facts["rows"])
+        unknown_id = F.lit(facts["unknown_id"]).cast("int")
+        ids = F.flatten(F.transform(pieces(F.col(text)), lambda piece: F.transform(
+            tokens(piece), lambda t: F.coalesce(id_of(t), unknown_id))))
+        coded = df.select(
+            key, *keep, F.coalesce(ids, F.array().cast("array<int>")).alias(out))
+    else:
+        parts = df.select(
+            key, *keep, F.posexplode_outer(pieces(F.col(text))).alias("_at", "_piece")).select(
+            key, *keep, F.coalesce("_at", F.lit(0)).alias("_at"),
+            tokens(F.col("_piece")).alias("_words"))
+        coded = encode_join(
+            parts, "_words", vocab, key, out, keep, facts["unknown_id"], facts["rows"], part="_at")
     return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
 
 

@@ -35,11 +35,13 @@ def test_rows_stay_where_they_are(spark, docs):
     """Labels, slices, rendering and encoding are projections and filters on the scan."""
     vocab = cl.char_table(cl.build_char_vocab(docs))
     index = cl.materialize(cl.corpus_offsets(docs), "index")
+    words = cl.materialize(cl.build_word_vocab(docs, 500), "vocab")
     for df in (
         cl.holdout(docs), cl.holdout_threshold(docs), cl.percent_slice(docs, 10, 60),
         cl.render(docs, "text", eos="</s>"), cl.encode_chars(docs, vocab),
         cl.tokenize_dataset(docs, vocab), cl.split_segments(docs, index),
-        cl.contiguous_split(index), cl.wrap_prompts(docs, "text"),
+        cl.contiguous_split(index), cl.wrap_prompts(docs, "text"), cl.encode_words(docs, words),
+        cl.tokenize_dataset(docs, words),
     ):
         assert "Exchange" not in plan_of(df)
 
@@ -61,7 +63,9 @@ def test_index_moves_no_text(spark, docs):
 
 def test_ids_by_join_shuffle_once(spark, docs):
     vocab = cl.materialize(cl.build_word_vocab(docs, 500), "vocab")
-    assert shuffles(cl.encode_words(docs, vocab)) == 1
+    tokens = docs.withColumn("words", F.split("text", " "))
+    joined = cl.encode_join(tokens, "words", vocab, unknown_id=2)
+    assert shuffles(joined) == 1 and "BroadcastHashJoin" in plan_of(joined)
 
 
 def test_padding_shuffles_by_batch_only(spark, docs):

@@ -120,13 +120,24 @@ def test_words_of_a_long_text(spark, monkeypatch):
     monkeypatch.setattr(tk, "PIECE", 16)
     monkeypatch.setattr(tk, "SLAB", 4)
     assert sorted(cl.build_word_vocab(df, 50, eos="</s>").collect()) == sorted(vocab.collect())
-    assert sorted(cl.encode_words(df, vocab, eos="</s>").collect()) == sorted(want)
-    assert sorted(cl.encode_words(df, vocab, eos="</s>", max_len=20).collect()) == sorted(first)
+    for lookup in (100, 0):  # by a constant table, by a join
+        monkeypatch.setattr(tk, "LOOKUP_ROWS", lookup)
+        assert sorted(cl.encode_words(df, vocab, eos="</s>").collect()) == sorted(want)
+        assert sorted(cl.encode_words(df, vocab, eos="</s>", max_len=20).collect()) == sorted(first)
     assert len(want[0].ids) > 100 or len(want[1].ids) > 100 or len(want[2].ids) > 100
     with pytest.raises(ValueError):
         cl.encode_words(df, vocab, eos="< / s>")
 
 
+def test_lookup_and_join_agree(spark, docs, monkeypatch):
+    texts = docs.unionByName(docs.limit(1).selectExpr("-1L as row_id", "cast(null as string) as text"))
+    vocab = cl.materialize(cl.build_word_vocab(docs, 300), "vocab")
+    looked_up = sorted(cl.encode_words(texts, vocab).collect())
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", 0)
+    assert sorted(cl.encode_words(texts, vocab).collect()) == looked_up
+    assert looked_up[0].ids == []
+
+
 def test_truncation(spark):
     df = spark.createDataFrame([([1, 2, 3, 9],), ([1, 9],), ([1, 2, 3, 4],)], "ids array<int>")
 
