@@ -16,6 +16,11 @@ from corpusloom.functions.text import WHITESPACE
 from corpusloom.operators.tokens import characters
 from corpusloom.session import scratch_path
 
+try:
+    from corpusloom.llm import queries as llm
+except ImportError:
+    llm = None
+
 EOS = "</s>"
 SEP = "\n\n"
 
@@ -669,7 +674,7 @@ def _padded(cut: int, batch: int, pad: int, side: str) -> str:
     from batches"""
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     holdout = """select row_id, case when row_number() over (order by md5('42|' || row_id), row_id)
       <= ceil(count(*) over () * 5 / 100.0) then 'validation' else 'train' end as split"""
     threshold = """case when ('0x' || left(md5('42|' || row_id), 8))::bigint / 4294967296.0::double
@@ -912,7 +917,11 @@ def oracle_sql() -> dict[str, str]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n[2:]: f for n, f in globals().items() if n.startswith("q_") and callable(f)}
-    return found
+    return found | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return own_sql() | (llm.oracle_sql() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
