@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.exact import exact_dedup
 from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
+from corpusloom.llm.mixing import mix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,10 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_mix_sources(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
