@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.llm.exact import exact_dedup
 from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
+from corpusloom.llm.simhash import simhash_groups
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_groups(spark, sf_dir):
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
