@@ -7,9 +7,11 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.exact import exact_dedup
+from corpusloom.llm.html import extract_text
 from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
 from corpusloom.llm.simhash import simhash_groups
+from corpusloom.llm.warc import archive_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,14 @@ def op7_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_round_trip(spark, sf_dir):
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op10_html_main_text(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def queries():
     return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
 
@@ -76,4 +86,11 @@ def oracle_sql() -> dict[str, str]:
             select w.doc_id, w.digest, k.license as whole_license,
               coalesce(n_notices, 0)::bigint as n_notices, coalesce(licenses, '') as licenses
             from w left join k on k.h = w.digest left join f on f.doc_id = w.doc_id""",
+        "op9_warc_round_trip": """with p as (select page_id, coalesce(html, '') as t from pages),
+            d as (select page_id, octet_length(encode(t)) as n, sha256(t) as h from p),
+            f as (select h, min(page_id) as first from d where n >= 100 group by h)
+            select page_id, n::bigint as payload_bytes, h as payload_digest,
+              case when first <> page_id then 'revisit' else 'response' end as record_type,
+              case when first <> page_id then first end as refers_to
+            from d left join f using (h)""",
     }
