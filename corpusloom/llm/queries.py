@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.exact import exact_dedup
 from corpusloom.llm.html import extract_text
 from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
+from corpusloom.llm.pieces import sample_pieces
 from corpusloom.llm.simhash import simhash_groups
 from corpusloom.llm.warc import archive_round_trip
 
 
+#: Public model file that the encoding queries use; every executor has it.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -22,6 +27,13 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_sampled_pieces(spark, sf_dir):
+    rows = sample_pieces(table(spark, sf_dir, "documents"), MODEL)
+    return rows.select("doc_id", "sample", F.size("pieces").alias("n_pieces"),
+                       F.xxhash64("pieces").alias("pieces_hash"), "log_prob", "log_inclusion",
+                       "round_trip")
+
+
 def op4_simhash_groups(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
