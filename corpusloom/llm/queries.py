@@ -12,6 +12,7 @@ from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
 from corpusloom.llm.pieces import sample_pieces
 from corpusloom.llm.simhash import simhash_groups
+from corpusloom.llm.toxicity import fit, held_out, score_toxicity
 from corpusloom.llm.warc import archive_round_trip
 
 
@@ -34,6 +35,12 @@ def op2_sampled_pieces(spark, sf_dir):
                        "round_trip")
 
 
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("held_out", held_out("doc_id"))
+
+
 def op4_simhash_groups(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 

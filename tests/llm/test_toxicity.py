@@ -1,0 +1,109 @@
+from itertools import product
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.llm import toxicity as tox
+
+
+def slow_marginals(chain, score):
+    total = np.zeros(len(score))
+    z = 0.0
+    for path in product((0, 1), repeat=len(score)):
+        w = sum(s for s, y in zip(score, path) if y) + (chain.start if path[0] else 0.0)
+        for a, b in zip(path, path[1:]):
+            w += {(0, 0): 0.0, (0, 1): chain.enter, (1, 0): chain.leave, (1, 1): chain.stay}[a, b]
+        total += np.exp(w) * np.array(path)
+        z += np.exp(w)
+    return total / z
+
+
+def test_marginals_match_all_paths():
+    rng = np.random.default_rng(1)
+    chain = tox.Chain(-1.0, -2.0, 0.5, 1.5)
+    docs = [rng.normal(0, 3, n) for n in (1, 7, 2, 10, 9, 1)]
+    first = np.concatenate([[True] + [False] * (len(d) - 1) for d in docs])
+    got = tox.Chain.marginals(chain, np.concatenate(docs), first)
+    want = np.concatenate([slow_marginals(chain, d) for d in docs])
+    assert np.allclose(got, want, atol=1e-9)
+
+
+def test_scan_over_many_blocks():
+    rng = np.random.default_rng(2)
+    n = 5 * tox.BLOCK + 3
+    a, b, c, d = rng.uniform(0.1, 1e6, (4, n))
+    x, want = 0.0, []
+    for i in range(n):
+        x = (a[i] * x + b[i]) / (c[i] * x + d[i])
+        want.append(x)
+    assert np.allclose(tox.scan(a, b, c, d), want)
+
+
+def made(n, seed):
+    rng = np.random.default_rng(seed)
+    plain = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    docs, toxic = [], []
+    for i in range(n):
+        words = [str(w).capitalize() if rng.random() < .1 else str(w)
+                 for w in rng.choice(plain, int(rng.integers(5, 60)))]
+        t = int(i % 3 == 0)
+        for _ in range(2 * t):
+            at = int(rng.integers(0, len(words) + 1))
+            words.insert(at, "zorq" + "".join(rng.choice(list("mnop"), 3)))
+        docs.append(" ".join(words) + ".")
+        toxic.append(t)
+    return docs, toxic
+
+
+def test_learns_beginnings_and_finds_spans():
+    model = tox.train(*made(300, 1), prior=0.2)
+    docs, toxic = made(300, 2)
+    got = list(tox.score_lot(model, tox._Scores(model), docs))
+    assert np.mean([(s >= .5) == t for (s, _, _), t in zip(got, toxic)]) > 0.98
+    for (_, n, spans), doc in zip(got, docs):
+        for span in filter(None, spans.split(",")):
+            a, b = map(int, span.split("-"))
+            assert "zorq" in doc[a:b].lower()
+
+
+def test_held_out_documents(spark):
+    base = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    labels = spark.read.parquet(f"{base}/labels.parquet")
+    model = tox.fit(docs, labels)
+    got = tox.score_toxicity(docs, model).join(labels, "doc_id").where(
+        tox.held_out("doc_id")).select("toxic", "predicted").toPandas()
+    assert (got.predicted[got.toxic == 1].mean() > 0.9
+            and got.predicted[got.toxic == 0].mean() < 0.01)
+
+
+def test_odd_rows(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    odd = spark.createDataFrame([(9001, None), (9002, ""), (None, "idiot"), (9004, "a " * 100_000),
+                                 (9005, "x"), (9005, "x")], "doc_id long, text string")
+    rows = docs.union(odd).withColumn("score", F.lit("s")).withColumn("predicted", F.lit("p"))
+    model = tox.fit(rows, labels)
+    got = tox.score_toxicity(rows, model)
+    assert got.columns[:3] == ["doc_id", "score", "predicted"]
+    got = got.collect()
+    assert len(got) == docs.count() + 6 and all(0 <= r.score <= 1 for r in got)
+    kept = tox.drop_toxic(rows, labels)
+    assert kept.columns == rows.columns
+    assert kept.count() == sum(r.predicted == 0 for r in got)
+    assert tox.score_toxicity(rows.limit(0), model).count() == 0
+    none = tox.fit(rows, labels.limit(0))
+    assert {r.predicted for r in tox.score_toxicity(rows, none).collect()} == {0}
+
+
+def test_labels_of_held_out_rows_are_not_read(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    flipped = labels.withColumn("toxic", F.when(tox.held_out("doc_id"), 1 - F.col("toxic"))
+                                .otherwise(F.col("toxic")))
+    assert tox.fit(docs, labels) == tox.fit(docs, flipped)
+    assert [r.h for r in docs.select(tox.held_out("doc_id").alias("h"), "doc_id").orderBy(
+        "doc_id").collect()] == [crc32(str(i).encode()) % 5 == 0 for i in sorted(
+            r.doc_id for r in docs.collect())]
