@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.exact import exact_dedup
 from corpusloom.llm.html import extract_text
+from corpusloom.llm.imatch import build_lexicon, compare_edited
 from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
 from corpusloom.llm.pieces import sample_pieces
@@ -49,6 +50,11 @@ def op5_mix_sources(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_imatch_fingerprints(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return compare_edited(docs, build_lexicon(docs))
+
+
 def op7_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
