@@ -12,6 +12,7 @@ from corpusloom.llm.imatch import build_lexicon, compare_edited
 from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
 from corpusloom.llm.pieces import sample_pieces
+from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.simhash import simhash_groups
 from corpusloom.llm.toxicity import fit, held_out, score_toxicity
 from corpusloom.llm.warc import archive_round_trip
@@ -59,6 +60,10 @@ def op7_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op8_repeated_passages(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_warc_round_trip(spark, sf_dir):
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
