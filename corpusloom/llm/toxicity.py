@@ -118,9 +118,9 @@ def summary(marginals: np.ndarray, words: list[str]) -> np.ndarray:
                      np.log(expected / (len(marginals) + 10))])
 
 
-def marking_features(doc_of, feature_of, times, toxic, tokens, purity: float = 0.9,
-                     risk: float = 0.01, most: int = 10) -> np.ndarray:
-    """Which features mark toxic documents, from (document, feature, times) triples.
+def marking_features(docs, toxic, n_features: int, features_of, purity: float = 0.9,
+                     risk: float = 0.01, most: int = 10, lot: int = 200) -> np.ndarray:
+    """Which features mark toxic documents; ``docs`` are arrays of word numbers.
 
     They stand in toxic documents so often that by chance alone fewer than ``risk`` of all features
     would (Chernoff bound of the binomial tail over documents that have it, over the number of
@@ -128,20 +128,40 @@ def marking_features(doc_of, feature_of, times, toxic, tokens, purity: float = 0
     in toxic documents.
     """
     toxic = np.asarray(toxic, bool)
-    base = toxic.mean()
-    n_features = int(feature_of.max()) + 1 if len(feature_of) else 0
-    t = toxic[doc_of]
-    n = np.bincount(feature_of, minlength=n_features)
-    k = np.bincount(feature_of[t], minlength=n_features)
+    have, times, tokens = (np.zeros((2, n_features)), np.zeros((2, n_features)), np.zeros(2))
+    for low in range(0, len(docs), lot):
+        part = docs[low:low + lot]
+        lengths = [len(d) for d in part]
+        words = np.concatenate(part)
+        # pairs of document and feature, with how often
+        row, feature = features_of(words)
+        doc = np.repeat(np.arange(len(part)), lengths)[row]
+        pair, n = np.unique(doc * n_features + feature, return_counts=True)
+        kind = toxic[low + pair // n_features].astype(int)
+        for t in (0, 1):
+            own = pair[kind == t] % n_features
+            have[t] += np.bincount(own, minlength=n_features)
+            times[t] += np.bincount(own, np.minimum(n[kind == t], most), n_features)
+            tokens[t] += sum(k for k, is_toxic in zip(lengths, toxic[low:low + lot])
+                             if is_toxic == t)
+    base, n, k = toxic.mean(), have.sum(axis=0), have[1]
     with np.errstate(divide="ignore", invalid="ignore"):
         share = k / n
         surprise = k * np.log(share / base) + np.where(
             n > k, (n - k) * np.log((1 - share) / (1 - base)), 0.0)
-        capped = np.minimum(times, most)
-        rate = [np.bincount(feature_of[s], capped[s], n_features) / max(1, tokens[d].sum())
-                for s, d in ((t, toxic), (~t, ~toxic))]
-        pure = rate[0] / (rate[0] + rate[1])
-    return (share > base) & (surprise > np.log(n_features / risk)) & (pure >= purity)
+        rate = times / np.maximum(tokens, 1)[:, None]
+        pure = rate[1] / rate.sum(axis=0)
+    return (share > base) & (surprise > np.log(max(1, n_features) / risk)) & (pure >= purity)
+
+
+class _Named:
+    """Words of a document by their place."""
+
+    def __init__(self, names, numbers):
+        self.names, self.numbers = names, numbers
+
+    def __getitem__(self, i):
+        return self.names[self.numbers[i]]
 
 
 def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
@@ -155,32 +175,28 @@ def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
     """
     if len(set(toxic)) < 2:
         return Model({}, -5.0, Chain(), (-10.0 if not any(toxic) else 10.0, 0.0, 0.0, 0.0))
-    docs = [[w.lower() for w in WORD.findall(t)] for t in texts]
-    names = sorted({w for ws in docs for w in ws})
-    number = {w: i for i, w in enumerate(names)}
+    number: dict[str, int] = {}
+    docs = [np.array([number.setdefault(w.lower(), len(number)) for w in WORD.findall(t)], np.int64)
+            for t in texts]
+    names = list(number)
     features: dict[str, int] = {}
-    word_of, feature_of = [], []
-    for i, w in enumerate(names):
-        for f in word_features(w):
-            word_of.append(i)
-            feature_of.append(features.setdefault(f, len(features)))
-    word_of, feature_of = np.array(word_of, np.int64), np.array(feature_of, np.int64)
-    lengths = np.array([len(ws) for ws in docs])
-    tokens = np.fromiter((number[w] for ws in docs for w in ws), np.int64, int(lengths.sum()))
+    own = [[features.setdefault(f, len(features)) for f in word_features(w)] for w in names]
+    per_word = np.array([len(fs) for fs in own], np.int64)
+    word_of = np.repeat(np.arange(len(names)), per_word)
+    feature_of = np.array([f for fs in own for f in fs], np.int64)
+    del own
+    at = np.cumsum(per_word) - per_word
+
+    def features_of(words):
+        reps = per_word[words]
+        nth = np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
+        return np.repeat(np.arange(len(words)), reps), feature_of[np.repeat(at[words], reps) + nth]
+
+    lengths = np.array([len(d) for d in docs])
+    tokens = np.concatenate(docs)
     of = np.repeat(np.arange(len(docs)), lengths)
     first = np.append(True, of[1:] != of[:-1]) if len(of) else np.zeros(0, bool)
-
-    pairs, times = np.unique(of * len(names) + tokens, return_counts=True)
-    per_word = np.bincount(word_of, minlength=len(names))
-    at = np.cumsum(per_word) - per_word
-    reps = per_word[pairs % len(names)]
-    nth = np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
-    seen = feature_of[np.repeat(at[pairs % len(names)], reps) + nth]
-    held, back_to = np.unique(np.repeat(pairs // len(names), reps) * len(features) + seen,
-                              return_inverse=True)
-    held_times = np.bincount(back_to, np.repeat(times, reps))
-    marks = marking_features(held // len(features), held % len(features), held_times, toxic,
-                             lengths)
+    marks = marking_features(docs, toxic, len(features), features_of)
     marked = np.bincount(word_of, marks[feature_of], len(names)) > 0
     y = (marked[tokens] & (np.array(toxic)[of] > 0)).astype(float)
 
@@ -224,7 +240,7 @@ def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
     per_word = rest[0] + np.bincount(word_of, weights[feature_of], len(names))
     p = chain.marginals(per_word[tokens], first)
     ends = np.cumsum(lengths)
-    x = np.stack([summary(p[b - n:b], ws) for b, n, ws in zip(ends, lengths, docs)])
+    x = np.stack([summary(p[b - n:b], _Named(names, d)) for b, n, d in zip(ends, lengths, docs)])
     line, target = np.zeros(4), np.array(toxic, float)
     for _ in range(25):  # Newton's method for the logistic line, slightly ridged
         q = 1.0 / (1.0 + np.exp(-np.clip(x @ line, -LIMIT, LIMIT)))
@@ -243,8 +259,8 @@ def held_out(id_col: str):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", max_toxic: int = 2000, max_clean: int = 4000,
-        max_chars: int = 10_000, seed: int = 42) -> Model:
+        label_col: str = "toxic", max_toxic: int = 1000, max_clean: int = 2000,
+        max_chars: int = 8_000, seed: int = 42) -> Model:
     """Train on at most ``max_toxic`` and ``max_clean`` labelled documents that are not held out and
     have at most ``max_chars`` characters, chosen by a hash of their id: a sample of fixed size
     that the driver can hold. A document with several labels counts as toxic if one says so."""
