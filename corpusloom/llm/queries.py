@@ -6,6 +6,7 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from corpusloom.llm.exact import exact_dedup
 from corpusloom.llm.html import extract_text
 from corpusloom.llm.imatch import build_lexicon, compare_edited
@@ -72,8 +73,13 @@ def op10_html_main_text(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
-    return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
+    found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
+    return {"pipeline": pipeline} | found
 
 
 # --- SQL twins -----------------------------------------------------------------------------------
