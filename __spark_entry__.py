@@ -915,9 +915,12 @@ def own_sql() -> dict[str, str]:
 
 # --- contract ------------------------------------------------------------------------------------
 
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {n[2:]: f for n, f in globals().items() if n.startswith("q_") and callable(f)}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {n[2:]: f for n, f in globals().items() if n.startswith("q_") and callable(f)}
-    return found | (llm.queries() if llm else {})
+    return own_queries() | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:

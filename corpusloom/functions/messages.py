@@ -11,8 +11,8 @@ ROLE_KEYS = ("role", "from")
 CONTENT_KEYS = ("content", "value", "text")
 UNKNOWN_ROLE = "unknown"
 
-# JSON text up to this size is parsed as one value.
-WHOLE_PARSE_BYTES = 8 * 1024 * 1024
+# What the JSON parser takes. Single quotes are no JSON; NaN and infinities are read.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
 
 # Fixed values: (style, role) -> text before and after the content.
 STYLES = {
@@ -84,9 +84,7 @@ def _first_present(v: Column, keys: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.variant_get(v, "$." + k, "variant") for k in keys])
 
 
-def _variant_parts(v: Column, clean: bool) -> tuple[Column, Column]:
-    role = _first_present(v, ROLE_KEYS)
-    content = _first_present(v, CONTENT_KEYS)
+def _variant_parts(role: Column, content: Column, clean: bool) -> tuple[Column, Column]:
     role_text = (
         F.when(role.isNull(), UNKNOWN_ROLE)
         .when(_kind(role) == "STRING", F.try_variant_get(role, "$", "string"))
@@ -95,37 +93,68 @@ def _variant_parts(v: Column, clean: bool) -> tuple[Column, Column]:
     return role_text, F.when(content.isNull(), "").otherwise(_value_text(content))
 
 
-def _items(c: Column) -> Column:
-    """The items of a JSON list; null for anything else.
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    One variant holds at most 16 MiB, so a longer list is parsed item by item.
+def _only(c: Column, element: str) -> Column:
+    """JSON text as one value of the type ``element``; null unless all of the text is that value.
+
+    The text stands in a list before an empty one: the parser stops where a list ends, so that
+    anything left over shows in the number of values.
     """
-    return F.when(
-        F.octet_length(c) > WHOLE_PARSE_BYTES, F.from_json(c, "array<variant>")
-    ).otherwise(F.try_parse_json(c).try_cast("array<variant>"))
+    whole = F.from_json(F.concat(F.lit("["), c, F.lit(",[]]")), f"array<{element}>", STRICT)
+    return _let(whole, lambda w: F.when(F.size(w) == 2, F.get(w, F.lit(0))))
 
 
-def _render_json(c: Column, clean: bool) -> Column:
-    parsed = F.try_parse_json(c)
+def _items(c: Column) -> Column:
+    """The items of a JSON list, each a variant of its own; null for anything else."""
+    return _only(c, "array<variant>")
 
-    def one(v):
-        return F.when(
-            F.startswith(_kind(v), F.lit("OBJECT")), _turn(*_variant_parts(v, clean))
-        ).otherwise(_value_text(v))
 
-    return (
-        F.when(c.isNull(), "None")
-        .when(_items(c).isNotNull(), F.array_join(F.transform(_items(c), one), "\n\n"))
-        .when(parsed.isNull(), c)
-        .otherwise(_value_text(parsed))
-    )
+def _item_text(v: Column, clean: bool) -> Column:
+    parts = _variant_parts(_first_present(v, ROLE_KEYS), _first_present(v, CONTENT_KEYS), clean)
+    return F.when(F.startswith(_kind(v), F.lit("OBJECT")), _turn(*parts)).otherwise(_value_text(v))
+
+
+def _repeating_text(item: Column, clean: bool) -> Column:
+    """An item as JSON text that may be an object with repeated keys, of which the last counts."""
+    def value(entries, key):
+        return F.try_element_at(
+            F.filter(entries, lambda e: e["key"] == key), F.lit(-1))["value"]
+
+    def last(entries, keys):
+        return F.coalesce(*[value(entries, key) for key in keys])
+
+    def one(entries):
+        parts = _variant_parts(last(entries, ROLE_KEYS), last(entries, CONTENT_KEYS), clean)
+        return F.when(entries.isNotNull(), _turn(*parts))
+
+    entries = F.map_entries(F.from_json(item, "map<string,variant>", STRICT))
+    return F.when(F.startswith(item, F.lit("{")), F.coalesce(_let(entries, one), item)).otherwise(
+        F.coalesce(item, F.lit("None")))
+
+
+def _render_json(c: Column, clean: bool) -> Column:
+    def joined(items, one):
+        return F.when(items.isNotNull(), F.array_join(F.transform(items, one), "\n\n"))
+
+    listed = _let(_items(c), lambda x: joined(x, lambda v: _item_text(v, clean)))
+    single = _let(_only(c, "variant"), lambda v: F.when(v.isNotNull(), _value_text(v)))
+    # A variant has no repeated keys: lists with such objects are taken apart as text.
+    repeating = _let(_only(c, "array<string>"), lambda x: joined(
+        x, lambda v: _repeating_text(v, clean)))
+    return F.when(c.isNull(), "None").otherwise(F.coalesce(listed, single, repeating, c))
 
 
 def render_conversation(c: Column, dtype: T.DataType, clean: bool = False) -> Column:
     """``Role: content`` per message, joined by an empty line; the text is not stripped.
 
-    Takes arrays of structs, arrays of scalars and JSON text. Text that is no JSON stays as it is.
-    Null lists read ``None``; ``clean=True`` leaves them null, and reads a null role as unknown.
+    Takes arrays of structs, arrays of scalars and JSON text. Text that is no JSON as a whole stays
+    as it is. JSON is read strictly, by one rule for texts of any size; an item may not pass the
+    size limit of a variant. Of repeated keys in a message the last counts (a message
+    with repeated keys further down stays as its JSON text), NaN and infinities print as they are written. Null lists read ``None``; ``clean=True`` leaves them null, and reads a null role as unknown.
     """
     if isinstance(dtype, T.ArrayType):
         text = _render_typed(c, dtype.elementType, clean)

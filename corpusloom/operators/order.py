@@ -6,7 +6,7 @@ rows) carries the running total from bucket to bucket, and a window inside each
 rest. Two kinds of buckets are used: the leading digits of an MD5 (even by construction), and
 ranges between key values taken from a sample of the keys (even whatever the keys look like).
 
-Keys must be unique.
+Keys must be unique and not null; the operators check it (:func:`check_keys`) and raise.
 """
 
 from __future__ import annotations
@@ -34,6 +34,32 @@ def hash_number(digest: Column, digits: int) -> Column:
     return F.conv(F.left(digest, F.lit(digits)), 16, 10).cast("bigint")
 
 
+# --- keys ----------------------------------------------------------------------------------------
+
+def check_keys(df: DataFrame, *key: str) -> int:
+    """The number of rows; raises if a key is null or stands twice.
+
+    Repeats are counted with partial sums by a hash of the key; only where two hashes agree are the
+    keys themselves compared.
+    """
+    digest = F.xxhash64(*key)
+    n, known = df.agg(F.count("*"), F.count(F.when(
+        ~F.exists(F.array(*[F.col(k).isNull() for k in key]), lambda x: x), 1))).first()
+    if known < n:
+        raise ValueError(f"{n - known} rows have a null in the key {', '.join(key)}")
+    twice = df.select(digest.alias("_hash")).groupBy("_hash").agg(
+        F.count("*").alias("_n")).where("_n > 1")
+    # one row is enough to look closer
+    if not twice.head(1):
+        return n
+    same = df.select(*key, digest.alias("_hash")).join(twice, "_hash", "left_semi").groupBy(
+        *key).agg(F.count("*").alias("_n")).where("_n > 1").head(1)
+    if same:
+        named = ", ".join(f"{k}={same[0][k]!r}" for k in key)
+        raise ValueError(f"the key is not unique: {named} stands {same[0]['_n']} times")
+    return n
+
+
 # --- ranges of keys ------------------------------------------------------------------------------
 
 def _json_value(v):

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.functions.text import append_eos
+from corpusloom.operators.order import check_keys, key_at
 from corpusloom.operators.rendering import drop_blank
-from corpusloom.session import BROADCAST_ROWS
+from corpusloom.session import BROADCAST_BYTES, BROADCAST_ROWS, materialize
 
 WORD = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 PAD, UNKNOWN = "<pad>", "<unk>"
 MAX_RANGES = 64
-# Most ids that are put in order at once.
-SLAB = 65_536
 # A text is taken apart into tokens in pieces of about this many characters.
 PIECE = 65_536
-# Largest word vocabulary that is looked up in a constant of the plan rather than joined.
-LOOKUP_ROWS = 65_536
+# Entries of a vocabulary (those with the least ids, and of so many bytes at most) that are a
+# constant of the plan. The rest is joined; the ids are the same.
+LOOKUP_ROWS, LOOKUP_BYTES = 65_536, 64
 
 
 def characters(c: Column) -> Column:
@@ -119,6 +119,12 @@ class CharTable:
             ids = F.array_compact(ids)
         return F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(ids)
 
+    def known(self, text: Column, value: Column) -> Column:
+        """``value``, or the error of an unknown character if ``text`` has one."""
+        left = F.translate(text, "".join(sorted(self.ids)), "")
+        return F.when(F.coalesce(left, F.lit("")) == "", value).otherwise(F.raise_error(F.concat(
+            F.lit("character not in the vocabulary: "), F.left(left, F.lit(1)))).cast("array<int>"))
+
     def decode(self, ids: Column) -> Column:
         by_id: list = [None] * (max(self.ids.values(), default=-1) + 1)
         for c, i in self.ids.items():
@@ -148,51 +154,97 @@ def decode_chars(df: DataFrame, vocab: DataFrame | CharTable, ids: str = "ids",
     return df.withColumn(out, char_table(vocab).decode(F.col(ids)))
 
 
-# --- ids through a join --------------------------------------------------------------------------
+# --- ids through a vocabulary table --------------------------------------------------------------
+
+def _lookup(entries: list[tuple[str, int]]):
+    """Token to id (null if unknown) as an expression over a constant table.
+
+    The table is cells of a few entries; tokens are values in it, of any length and content.
+    """
+    size = 1 << (2 * len(entries)).bit_length()
+    spark = SparkSession.active()
+
+    def cell(token):
+        return F.pmod(F.xxhash64(token), F.lit(size)).cast("int")
+
+    frame = spark.createDataFrame(entries, "token string, id int")
+    tokens: list = [[] for _ in range(size)]
+    ids: list = [[] for _ in range(size)]
+    for r in frame.select("token", "id", cell(F.col("token")).alias("cell")).collect():
+        tokens[r["cell"]].append(r["token"])
+        ids[r["cell"]].append(r["id"])
+
+    def constant(value, kind):
+        return F.from_json(F.lit(json.dumps(value)), f"array<array<{kind}>>", {"mode": "FAILFAST"})
+
+    tokens, ids = constant(tokens, "string"), constant(ids, "int")
+
+    def id_of(token):
+        at = cell(token)
+        return F.get(F.get(ids, at), F.array_position(F.get(tokens, at), token).cast("int") - 1)
+
+    return id_of
+
 
 def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id",
                 out: str = "ids", keep: tuple[str, ...] = ("split",),
-                unknown_id: int | None = None, vocab_rows: int | None = None,
-                token: str = "token", part: str | None = None) -> DataFrame:
-    """Arrays of tokens to arrays of ids by joining the vocabulary: ``key, keep..., out``.
-
-    ``part`` names a column that orders several arrays of one key. The arrays are dealt by key
-    before they are unrolled: that shuffle is the only one, as the join with a broadcast vocabulary
-    and the regrouping stay within it. Ids are collected in slabs of bounded size, and only plain
-    slabs meet per row. A vocabulary past the broadcast bound is joined in two steps, its first
-    million entries (the frequent tokens) broadcast and only the rest by shuffle, so no frequent
-    token makes a hot partition.
+                unknown_id: int | None = None, token: str = "token") -> DataFrame:
+    """Arrays of tokens to arrays of ids by a vocabulary of any size: ``key, keep..., out``.
+
+    The entries with the least ids (the frequent ones) are looked up in place, by a constant of the
+    plan. If the vocabulary has more, the positions that are still open leave their rows, meet the
+    other entries in a join on the token (broadcast up to a bound, else by shuffle: none of them is
+    frequent) and are put back by the key; ids that were found stay where they are. Tokens and keys
+    must be unique, else it raises.
     """
     keep = tuple(c for c in keep if c in df.columns and c != key)
     vocab = vocab.select(F.col(token).alias("_token"), F.col("id").alias("_id"))
-    rows = vocab.count() if vocab_rows is None else vocab_rows
-    order = F.lit(0) if part is None else F.col(part)
-    unrolled = df.select(
-        key, *keep, order.alias("_part"), F.col(tokens).alias("_tokens")).repartition(key).select(
-        key, *keep, "_part", F.posexplode_outer("_tokens").alias("_pos", "_token"))
-    if rows <= BROADCAST_ROWS:
-        joined = unrolled.join(F.broadcast(vocab), "_token", "left")
-    else:
-        head = vocab.where(F.col("_id") < BROADCAST_ROWS)
-        tail = vocab.where(F.col("_id") >= BROADCAST_ROWS).withColumnsRenamed(
-            {"_token": "_rare", "_id": "_rare_id"})
-        # Rows that are settled get a key of their own that matches nothing, dealt evenly.
-        settled = F.concat_ws("|", F.lit("\0"), key, "_part", "_pos")
-        joined = (
-            unrolled.join(F.broadcast(head), "_token", "left")
-            .withColumn("_rare", F.when(F.col("_id").isNull() & F.col("_token").isNotNull(),
-                                        F.col("_token")).otherwise(settled))
-            .join(tail, "_rare", "left")
-            .withColumn("_id", F.coalesce("_id", "_rare_id"))
-        )
-    found = F.coalesce(F.col("_id"), F.lit(unknown_id).cast("int"))
-    slot = F.when(F.col("_pos").isNotNull(), F.struct(F.col("_pos"), found.alias("id")))
-    slab = F.floor(F.coalesce("_pos", F.lit(0)) / SLAB).alias("_slab")
-    slabs = joined.groupBy(key, *keep, "_part", slab).agg(F.transform(
-        F.array_sort(F.collect_list(slot)), lambda s: s["id"]).alias("_ids"))
-    whole = F.array_sort(F.collect_list(F.struct("_part", "_slab", "_ids")))
-    return slabs.groupBy(key, *keep).agg(
-        F.flatten(F.transform(whole, lambda s: s["_ids"])).alias(out))
+    in_plan = (F.col("_id") < LOOKUP_ROWS) & (F.octet_length("_token") <= LOOKUP_BYTES)
+    check_keys(vocab, "_token")
+    head = [(r["_token"], r["_id"]) for r in vocab.where(in_plan).limit(LOOKUP_ROWS + 1).collect()]
+    if len(head) > LOOKUP_ROWS:
+        raise ValueError("ids of a vocabulary must be unique")
+    id_of = _lookup(head)
+    unknown = F.lit(unknown_id).cast("int")
+    rest = vocab.where(~in_plan)
+    n_rest = rest.count()
+    if n_rest == 0:
+        ids = F.transform(F.col(tokens), lambda t: F.coalesce(id_of(t), unknown))
+        return df.select(key, *keep, F.coalesce(ids, F.array().cast("array<int>")).alias(out))
+
+    check_keys(df, key)
+
+    def slot(t, i):
+        return F.struct(i.alias("pos"), id_of(t).alias("id"), t.alias("token"))
+
+    slots = df.select(key, *keep, F.transform(F.col(tokens), slot).alias("_slots"))
+    open_ = slots.select(key, F.inline(F.filter(
+        "_slots", lambda s: s["id"].isNull() & s["token"].isNotNull()))).select(
+        key, "pos", F.col("token").alias("_token"))
+    side = F.broadcast(rest) if n_rest <= BROADCAST_ROWS and _small(rest) else rest
+    found = open_.join(side, "_token").groupBy(key).agg(
+        F.collect_list(F.struct("pos", F.col("_id").alias("id"))).alias("_found"))
+    settled = F.transform(
+        F.filter("_slots", lambda s: s["id"].isNotNull()),
+        lambda s: F.struct(s["pos"].alias("pos"), s["id"].alias("id")))
+    lost = F.array_except(
+        F.transform(F.filter("_slots", lambda s: s["id"].isNull()), lambda s: s["pos"]),
+        F.transform("_found", lambda s: s["pos"]))
+    filled = F.concat(settled, F.col("_found"), F.transform(
+        lost, lambda pos: F.struct(pos.alias("pos"), unknown.alias("id"))))
+    none = F.array().cast("array<struct<pos:int,id:int>>")
+    ids = F.transform(F.sort_array(filled), lambda s: s["id"])
+    return (
+        slots.join(found, key, "left")
+        .withColumns({"_found": F.coalesce("_found", none),
+                      "_slots": F.coalesce("_slots", F.array().cast(slots.schema["_slots"].dataType))})
+        .select(key, *keep, ids.alias(out)))
+
+
+def _small(vocab: DataFrame) -> bool:
+    """Whether the tokens are few bytes enough to be sent to every executor."""
+    size = vocab.agg(F.sum(F.octet_length("_token").cast("bigint"))).first()[0] or 0
+    return size <= BROADCAST_BYTES
 
 
 # --- words ---------------------------------------------------------------------------------------
@@ -234,70 +286,57 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
                      eos: str | None = None) -> DataFrame:
     """The ``max_size`` most frequent words with ids, specials first: ``token, id, n``.
 
-    Counted on the map side before the shuffle, then taken in the order (count, token) from the top,
-    so only the kept words are ever numbered.
+    Counted on the map side before the shuffle; the counts are written once. A histogram of them
+    (a row for each different count) tells the least count that gets in, and, of the words that
+    have it, where the last one in stands. Words are numbered within their count, so no task sees
+    them all.
     """
     if max_size < len(specials):
         raise ValueError("max_size must leave room for the special tokens")
     counts = word_counts(df, text, eos).where(F.col("n") >= min_count)
     if specials:
         counts = counts.where(~F.col("token").isin(*specials))
-    kept = counts.orderBy(F.desc("n"), "token").limit(max_size - len(specials))
-    order = F.row_number().over(Window.orderBy(F.desc("n"), "token")) - 1 + len(specials)
+    counts = materialize(counts, "word-counts")
+    room = max_size - len(specials)
+    falling = Window.orderBy(F.desc("n"))
+    ranked = counts.groupBy("n").agg(F.count("*").alias("_words")).withColumn(
+        "_before", F.sum("_words").over(falling) - F.col("_words")).where(F.col("_before") < room)
+    ranked = materialize(ranked, "count-histogram")
+    edge = ranked.where(F.col("_before") + F.col("_words") > room).first()
+    if edge is not None:
+        tied = counts.where(F.col("n") == edge["n"])
+        stop = key_at(tied, [room - edge["_before"]], "token", edge["_words"])[0]
+        counts = counts.where((F.col("n") > edge["n"]) | (F.col("token") < F.lit(stop)))
+    inner = F.row_number().over(Window.partitionBy("n").orderBy("token")) - 1
+    kept = counts.join(ranked.select("n", "_before"), "n").select(
+        "token", (F.col("_before") + inner + len(specials)).cast("int").alias("id"), "n")
     first = df.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(s) for s in specials]).cast("array<string>"))
         .alias("id", "token")).select("token", "id", F.lit(0).cast("bigint").alias("n"))
-    return first.union(kept.select("token", order.cast("int").alias("id"), "n"))
-
-
-def _word_lookup(vocab: DataFrame, rows: int):
-    """Token to id as an expression over a constant table: hash cells of a few entries each."""
-    size = 1 << (2 * rows).bit_length()
-
-    def cell(token):
-        return F.pmod(F.xxhash64(token), F.lit(size)).cast("int")
-
-    cells: list = [None] * size
-    for r in vocab.select("token", "id", cell("token").alias("cell")).collect():
-        cells[r["cell"]] = {**(cells[r["cell"]] or {}), r["token"]: r["id"]}
-    table = F.from_json(F.lit(json.dumps(cells)), "array<map<string,int>>")
-    return lambda token: F.try_element_at(F.get(table, cell(token)), token)
+    return first.union(kept)
 
 
 def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "row_id",
                  out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
                  unknown: str = UNKNOWN, max_len: int | None = None) -> DataFrame:
-    """Text to word ids; ``max_len`` keeps the first ids of a row.
+    """Text to word ids by :func:`encode_join`; ``max_len`` keeps the first ids of a row.
 
-    With a vocabulary of up to 65,536 words this is a projection and moves no row; a larger one is
-    joined (``encode_join``). The vocabulary is read twice, so pass a written one (``materialize``).
+    With a vocabulary that is a constant of the plan this is a projection and moves no row. The
+    vocabulary is read more than once, so pass a written one (``materialize``).
     """
     _check_eos(eos)
-    facts = vocab.agg(
-        F.count("*").alias("rows"),
-        F.max(F.when(F.col("token") == unknown, F.col("id"))).alias("unknown_id")).first()
-    keep = tuple(c for c in keep if c in df.columns and c != key)
+    row = vocab.where(F.col("token") == unknown).select("id").first()
 
     def tokens(piece):
         found = words(piece, eos)
         # No piece can give more to the first ids; the row is cut below.
         return found if max_len is None else F.slice(found, 1, max_len)
 
-    if facts["rows"] <= LOOKUP_ROWS:
-        id_of = _word_lookup(vocab, facts["rows"])
-        unknown_id = F.lit(facts["unknown_id"]).cast("int")
-        ids = F.flatten(F.transform(pieces(F.col(text)), lambda piece: F.transform(
-            tokens(piece), lambda t: F.coalesce(id_of(t), unknown_id))))
-        coded = df.select(
-            key, *keep, F.coalesce(ids, F.array().cast("array<int>")).alias(out))
-    else:
-        parts = df.select(
-            key, *keep, F.posexplode_outer(pieces(F.col(text))).alias("_at", "_piece")).select(
-            key, *keep, F.coalesce("_at", F.lit(0)).alias("_at"),
-            tokens(F.col("_piece")).alias("_words"))
-        coded = encode_join(
-            parts, "_words", vocab, key, out, keep, facts["unknown_id"], facts["rows"], part="_at")
-    return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
+    all_words = F.flatten(F.transform(pieces(F.col(text)), tokens))
+    if max_len is not None:
+        all_words = F.slice(all_words, 1, max_len)
+    rows = df.withColumn("_words", F.coalesce(all_words, F.array().cast("array<string>")))
+    return encode_join(rows, "_words", vocab, key, out, keep, row["id"] if row else None)
 
 
 # --- examples ------------------------------------------------------------------------------------
@@ -336,10 +375,14 @@ def tokenize_dataset(df: DataFrame, vocab: DataFrame | CharTable, max_len: int =
     if isinstance(vocab, CharTable) or "ch" in vocab.columns:
         table = char_table(vocab)
         eos_id = table.ids.get(eos) if eos else None
-        # One id per character: what the cut would remove need not be encoded.
-        early = not clean and on_unknown != "drop"
-        source = F.left(F.col(text), F.lit(max_len)) if early else F.col(text)
-        coded = df.select(*keep, table.encode(source, on_unknown).alias("ids"))
+        if clean or on_unknown == "drop":
+            ids = table.encode(F.col(text), on_unknown)
+        else:
+            # One id per character: what the cut removes is checked, but needs no ids.
+            ids = table.encode(F.left(F.col(text), F.lit(max_len)), on_unknown)
+            if on_unknown == "error":
+                ids = table.known(F.substring(F.col(text), max_len + 1, 2 ** 31 - 1), ids)
+        coded = df.select(*keep, ids.alias("ids"))
         cut = truncate(F.col("ids"), max_len, eos_id, clean)
     else:
         eos_id = None

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Most rows a side may have to be sent to every executor.
-BROADCAST_ROWS = 1_000_000
+# Most rows a side may have to be sent to every executor, and most bytes of text in them.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 _handed_out: list[str] = []
 

@@ -19,16 +19,16 @@ def shuffles(df):
                           r"Exchange RoundRobin", plan_of(df)))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.own_queries()))
 def test_query(spark, sf, name):
     """Every query runs; no nested-loop join, and Python only for the user's hook."""
-    df = entry.queries()[name](spark, sf)
+    df = entry.own_queries()[name](spark, sf)
     plan = plan_of(df)
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     if name != "map_batches":
         assert "Python" not in plan and "MapInArrow" not in plan
     assert df.count() > 0
-    assert name in entry.oracle_sql()
+    assert name in entry.own_sql()
 
 
 def test_rows_stay_where_they_are(spark, docs):
@@ -61,11 +61,16 @@ def test_index_moves_no_text(spark, docs):
     assert "text" not in exchange
 
 
-def test_ids_by_join_shuffle_once(spark, docs):
+def test_only_open_positions_leave_their_row(spark, docs, monkeypatch):
+    from corpusloom.operators import tokens as tk
     vocab = cl.materialize(cl.build_word_vocab(docs, 500), "vocab")
-    tokens = docs.withColumn("words", F.split("text", " "))
-    joined = cl.encode_join(tokens, "words", vocab, unknown_id=2)
-    assert shuffles(joined) == 1 and "BroadcastHashJoin" in plan_of(joined)
+    words = docs.withColumn("words", F.split("text", " "))
+    assert shuffles(cl.encode_join(words, "words", vocab, unknown_id=2)) == 0
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", 100)
+    plan = plan_of(cl.encode_join(words, "words", vocab, unknown_id=2))
+    unrolled = plan[plan.index("Generate"):]
+    assert "Generate inline(filter(" in plan and "BroadcastHashJoin" in plan
+    assert "isnull(lambda" in unrolled
 
 
 def test_padding_shuffles_by_batch_only(spark, docs):
@@ -97,4 +102,4 @@ def test_entry(spark):
 
 
 def test_same_names_on_both_sides():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.own_queries()) == set(entry.own_sql())

@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import corpusloom as cl
-from corpusloom.functions import messages
 
 EOS = "</s>"
 
@@ -138,14 +137,21 @@ JSON_ROWS = [
     ("false", "False"),
     ("[]", ""),
     (None, "None"),
+    # Text that is no JSON as a whole stays as it is.
+    ('[{"role":"user","content":"a"}] trailing', '[{"role":"user","content":"a"}] trailing'),
+    ('[{"role":"user","content":"a"}]]', '[{"role":"user","content":"a"}]]'),
+    ("[{'role':'user','content':'a'}]", "[{'role':'user','content':'a'}]"),
+    ("[1],[2]", "[1],[2]"), ("1],[2", "1],[2"), ("[1],", "[1],"), ("", ""), (" [1] ", "1"),
+    ('[1, NaN, "x"]', "1\n\nNaN\n\nx"),
+    ('{"a": 1}', '{"a":1}'), ("3", "3"), ("null", "None"),
+    # The last of repeated keys counts.
+    ('[{"role":"x","content":1,"content":"two","role":"y"},"s",4]', "Y: two\n\ns\n\n4"),
+    ('[{"role":"u","content":{"k":1,"k":2}},{"role":"u","role":"v"}]',
+     '{"role":"u","content":{"k":1,"k":2}}\n\nV: '),
 ]
 
 
-@pytest.mark.parametrize("whole", [True, False])
-def test_json_messages(spark, monkeypatch, whole):
-    """Parsed as one value, or item by item as long texts are: the same."""
-    if not whole:
-        monkeypatch.setattr(messages, "WHOLE_PARSE_BYTES", 0)
+def test_json_messages(spark):
     df = spark.createDataFrame(
         [(i, value) for i, (value, _) in enumerate(JSON_ROWS)], "row_id int, messages string")
     got = {r.row_id: r.text for r in cl.render(df).collect()}

@@ -73,8 +73,9 @@ def test_encode_join_keeps_empty_rows(spark):
 
 
 def test_vocab_past_the_broadcast_bound(spark, monkeypatch):
-    """The two-step join gives the same ids; one frequent token makes up a third of all."""
+    """The join gives the same ids; one frequent token makes up a third of all."""
     monkeypatch.setattr(tk, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", 5)
     df = spark.range(200).select(
         F.col("id").alias("row_id"),
         F.array(F.lit("hot"), F.concat(F.lit("w"), F.col("id") % 50), F.lit("none")).alias("t"))
@@ -111,16 +112,15 @@ def test_word_vocab_and_ids(spark):
 
 
 def test_words_of_a_long_text(spark, monkeypatch):
-    """Cut into pieces and slabs, a text gives the same tokens in the same order."""
+    """Cut into pieces, a text gives the same tokens in the same order."""
     texts = ["ab cd, " * 40 + "x" * 90 + " é\n\n" + "." * 30 + "</s>", "", "short one</s>"]
     df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string")
     vocab = cl.build_word_vocab(df, 50, eos="</s>")
     want = cl.encode_words(df, vocab, eos="</s>").collect()
     first = cl.encode_words(df, vocab, eos="</s>", max_len=20).collect()
     monkeypatch.setattr(tk, "PIECE", 16)
-    monkeypatch.setattr(tk, "SLAB", 4)
     assert sorted(cl.build_word_vocab(df, 50, eos="</s>").collect()) == sorted(vocab.collect())
-    for lookup in (100, 0):  # by a constant table, by a join
+    for lookup in (100, 9, 0):  # by a constant table, by both, by a join
         monkeypatch.setattr(tk, "LOOKUP_ROWS", lookup)
         assert sorted(cl.encode_words(df, vocab, eos="</s>").collect()) == sorted(want)
         assert sorted(cl.encode_words(df, vocab, eos="</s>", max_len=20).collect()) == sorted(first)
@@ -133,11 +133,57 @@ def test_lookup_and_join_agree(spark, docs, monkeypatch):
     texts = docs.unionByName(docs.limit(1).selectExpr("-1L as row_id", "cast(null as string) as text"))
     vocab = cl.materialize(cl.build_word_vocab(docs, 300), "vocab")
     looked_up = sorted(cl.encode_words(texts, vocab).collect())
-    monkeypatch.setattr(tk, "LOOKUP_ROWS", 0)
-    assert sorted(cl.encode_words(texts, vocab).collect()) == looked_up
+    for rows, broadcast in ((0, 10 ** 6), (40, 10 ** 6), (40, 10)):
+        monkeypatch.setattr(tk, "LOOKUP_ROWS", rows)
+        monkeypatch.setattr(tk, "BROADCAST_ROWS", broadcast)
+        assert sorted(cl.encode_words(texts, vocab).collect()) == looked_up
     assert looked_up[0].ids == []
 
 
+@pytest.mark.parametrize("lookup", [65_536, 1])
+def test_long_and_odd_tokens(spark, monkeypatch, lookup):
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", lookup)
+    long = "z" * 60_000
+    tokens = ['a"b', "\\", "\n", "", "é", long, "null", "[1]"]
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(tokens)], "token string, id int")
+    df = spark.createDataFrame([(1, [*tokens, "other", None]), (2, None)],
+                               "row_id int, t array<string>")
+    got = {r.row_id: r.ids for r in cl.encode_join(df, "t", vocab, unknown_id=99).collect()}
+    assert got == {1: [0, 1, 2, 3, 4, 5, 6, 7, 99, 99], 2: []}
+
+
+def test_repeated_keys_and_tokens_raise(spark, monkeypatch):
+    df = spark.createDataFrame([(1, ["a"]), (1, ["b"])], "row_id int, t array<string>")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "token string, id int")
+    assert sorted(r.ids for r in cl.encode_join(df, "t", vocab).collect()) == [[0], [1]]
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", 1)
+    with pytest.raises(ValueError, match="row_id=1 stands 2 times"):
+        cl.encode_join(df, "t", vocab)
+    with pytest.raises(ValueError, match="not unique"):
+        cl.encode_join(df, "t", vocab.union(vocab))
+    with pytest.raises(ValueError, match="null in the key"):
+        cl.encode_join(df.selectExpr("if(t[0] = 'a', 1, null) as row_id", "t"), "t", vocab)
+
+
+def test_unknown_character_after_the_cut_is_an_error(spark):
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "ch string, id int")
+    df = spark.createDataFrame([(1, "abba"), (2, "abbaZ")], "row_id int, text string")
+    for max_len in (4, 20):
+        with pytest.raises(Exception, match="not in the vocabulary: Z"):
+            cl.tokenize_dataset(df, vocab, max_len).collect()
+        assert [len(r.input_ids) for r in cl.tokenize_dataset(
+            df, vocab, max_len, on_unknown="drop").collect()] == [4, 4]
+
+
+def test_vocabulary_cut_among_equal_counts(spark):
+    texts = [" ".join(f"t{i:03d}" for i in range(300)), "t001 t007 t007"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string")
+    got = cl.build_word_vocab(df, 53)
+    want = ["t007", "t001"] + [f"t{i:03d}" for i in range(300) if i not in (1, 7)]
+    assert [r.token for r in got.orderBy("id").collect()][3:] == want[:50]
+    assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_truncation(spark):
     df = spark.createDataFrame([([1, 2, 3, 9],), ([1, 9],), ([1, 2, 3, 4],)], "ids array<int>")
 
