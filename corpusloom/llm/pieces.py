@@ -329,7 +329,7 @@ def _branches(lat, seeds, sample, edge, lane, n_edges, head, before, top):
     with np.errstate(divide="ignore"):
         place = prefix + np.log(-np.expm1(np.minimum(logp, 0.0)))
     nth = np.arange(len(edge)) - np.repeat(begins, n_edges) + np.repeat(head, n_edges)
-    key = _key(np.repeat(seeds, n_edges), sample, nth, 7)
+    key = _key(np.repeat(_key(seeds, sample, 7), n_edges), nth)
     return logp, _below(np.repeat(top, n_edges), place, key)
 
 
@@ -360,7 +360,7 @@ def sample_lot(lat: Lattices, texts: list[str], seeds: np.ndarray, k: int):
     starts, stops = lat.start[kind], lat.stop[kind]
     root = -np.log(-np.log(_uniform(_key(seeds[docs], 0, 0, 3))))
 
-    edge, counts = _walk(lat, starts, stops, _key(seeds[doc_of], 1, in_doc, 5))
+    edge, counts = _walk(lat, starts, stops, _key(_key(seeds, 1, 5)[doc_of], in_doc))
     lane = np.repeat(np.arange(len(kind)), counts)
     n_edges = np.add.reduceat(counts, word_begins[docs])
     zero = np.zeros(len(docs))
@@ -409,7 +409,7 @@ def sample_lot(lat: Lattices, texts: list[str], seeds: np.ndarray, k: int):
             lane_word.append(np.arange(word, word_ends[d]))
             n_lanes[j] = word_ends[d] - word
         lane_at, lane_stop, lane_word = map(np.concatenate, (lane_at, lane_stop, lane_word))
-        key = _key(np.repeat(seeds[todo], n_lanes), nth, in_doc[lane_word], 5)
+        key = _key(np.repeat(_key(seeds[todo], nth, 5), n_lanes), in_doc[lane_word])
         tail, counts = _walk(lat, lane_at, lane_stop, key)
         tail_lane = np.repeat(lane_word, counts)
         cut = np.cumsum(n_lanes)
