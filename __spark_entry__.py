@@ -119,6 +119,29 @@ def q_conv_json_render(spark, sf_dir):
     return cl.render(lists.withColumn("messages", payload), eos=EOS)
 
 
+def q_conv_json_odd(spark, sf_dir):
+    """Text after a list, single quotes, no number, repeated keys, and JSON that is no list."""
+    lists = conversations(spark, sf_dir)
+    n = F.size("messages").cast("string")
+    said = F.translate(F.element_at("messages", 1)["content"], "\"\\\n\t\r", "")
+    listed = F.concat(F.lit('[{"role":"user","content":"'), said, F.lit('"}]'))
+    kinds = [
+        F.concat(listed, F.lit(" trailing")), F.translate(listed, '"', "'"),
+        F.concat(F.lit("["), n, F.lit(', NaN, "'), said, F.lit('"]')),
+        F.concat(F.lit('[{"role":"system","content":1,"role":"user","content":"'), said,
+                 F.lit('"},'), n, F.lit("]")),
+        F.concat(F.lit('{"turns": '), n, F.lit("}")), F.concat(F.lit('"'), said, F.lit('"'))]
+    kind = F.col("row_id") % len(kinds)
+    payload = F.coalesce(*[F.when(kind == i, k) for i, k in enumerate(kinds)])
+    return cl.render(lists.withColumn("messages", payload), eos=EOS)
+
+
+def q_layout_other_key(spark, sf_dir):
+    """A key of another name is no content."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+    return cl.render(docs, key="doc_id")
+
+
 def q_instr_render(spark, sf_dir):
     pairs = instructions(spark, sf_dir).select("row_id", "instruction", "output")
     return cl.render(pairs, eos=EOS)
@@ -140,7 +163,7 @@ def q_text_render_clean(spark, sf_dir):
 def q_trace_render(spark, sf_dir):
     traces = instructions(spark, sf_dir).select(
         "row_id", F.coalesce("input", F.lit("")).alias("context"),
-        F.left("output", F.lit(200)).alias("cot"),
+        F.col("output").alias("cot"),
         F.struct("conv_id", "turn", F.col("instruction").alias("asked")).alias("output"),
         F.col("output").alias("completion"))
     return cl.render_trace(traces)
@@ -159,7 +182,7 @@ def q_layout_fields(spark, sf_dir):
     """Layout and columns found by name, for the derived layouts; every row carries them."""
     docs = documents(spark, sf_dir)
     shapes = {
-        "prompt_text": docs.select("row_id", F.left("text", F.lit(40)).alias("prompt"), "text"),
+        "prompt_text": docs.select("row_id", F.col("text").alias("prompt"), "text"),
         "query_thinking": docs.select("row_id", F.col("text").alias("query"),
                                       F.upper("text").alias("thinking")),
         "body_only": docs.select("row_id", F.col("text").alias("body")),
@@ -199,8 +222,9 @@ def q_split_alias_clean(spark, sf_dir):
 
 
 def q_split_no_train(spark, sf_dir):
-    rest = named_splits(spark, sf_dir).where("split <> 'train'")
-    return cl.holdout(cl.ensure_train(rest)).select("row_id", "split")
+    """No split of the name: the first one by name, here ``corpus``, is the training data."""
+    named = named_splits(spark, sf_dir).replace("train", "corpus", "split")
+    return cl.holdout(cl.ensure_train(named)).select("row_id", "split")
 
 
 def q_percent_slice(spark, sf_dir):
@@ -217,10 +241,11 @@ def q_percent_slice_events(spark, sf_dir):
 
 
 def q_global_rank(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), "l_partkey")
-    # Line numbers repeat in the tables: one row per key.
-    return cl.global_rank(items.groupBy("row_id").agg(F.min("l_partkey").alias("l_partkey")))
+    """Every line, by a key that is text; orders have several lines of the same number."""
+    items = table(spark, sf_dir, "lineitem").select(F.concat_ws(
+        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("row_id"), "l_quantity")
+    return cl.global_rank(items)
 
 
 def q_shuffle_epochs(spark, sf_dir):
@@ -260,10 +285,18 @@ def q_sampled_windows(spark, sf_dir):
     docs = documents(spark, sf_dir)
     vocab = cl.char_table(cl.build_char_vocab(cl.spread(docs), extra=SEP))
     stream = cl.contiguous_split(cl.materialize(cl.corpus_offsets(docs), "index"))
-    windows = cl.sample_windows(stream, docs, n_batches=8, vocab=vocab)
+    windows = cl.sample_windows(stream, docs, n_batches=50, vocab=vocab)
     return windows.withColumns({"x": joined("x"), "y": joined("y")})
 
 
+def q_short_windows(spark, sf_dir):
+    """A corpus shorter than a block: all windows start at its beginning."""
+    names = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("row_id"), F.col("r_name").alias("text"))
+    stream = cl.contiguous_split(cl.materialize(cl.corpus_offsets(names), "index"))
+    return cl.sample_windows(stream, names, n_batches=50)
+
+
 # --- queries: tokens -----------------------------------------------------------------------------
 
 def q_char_vocab(spark, sf_dir):
@@ -306,6 +339,25 @@ def q_word_encode(spark, sf_dir):
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
+def q_word_encode_long_token(spark, sf_dir):
+    """One word of 60,000 letters among the frequent ones."""
+    docs = spread_documents(spark, sf_dir)
+    word = F.concat(F.repeat(F.lit("z"), F.lit(60_000)), F.lit(" "))
+    docs = docs.union(spark.range(1).select(
+        F.lit(-1).cast("bigint"), F.repeat(word, F.lit(50))))
+    vocab = cl.materialize(cl.build_word_vocab(docs, 5000), "vocab")
+    coded = cl.encode_words(docs, vocab)
+    return coded.select("row_id", joined("ids").alias("ids"))
+
+
+def q_word_encode_large(spark, sf_dir):
+    """A vocabulary of all words, past the bound of the look-up in place."""
+    docs = spread_documents(spark, sf_dir)
+    vocab = cl.materialize(cl.build_word_vocab(docs, 10 ** 9), "vocab")
+    coded = cl.encode_words(docs, vocab)
+    return coded.select("row_id", joined("ids").alias("ids"))
+
+
 def q_tokenize_dataset(spark, sf_dir):
     """Blank rows out, end marker in, word ids cut to 256, masks and labels."""
     text = cl.render(cl.spread(with_blanks(spark, sf_dir)), eos=EOS)
@@ -342,10 +394,10 @@ def q_map_batches(spark, sf_dir):
 
 # --- queries: batches ----------------------------------------------------------------------------
 
-def short_examples(spark, sf_dir) -> DataFrame:
+def char_examples(spark, sf_dir) -> DataFrame:
     docs = spread_documents(spark, sf_dir)
     vocab = cl.char_table(cl.build_char_vocab(docs))
-    return cl.tokenize_dataset(docs, vocab, 48)
+    return cl.tokenize_dataset(docs, vocab, 256)
 
 
 def q_batches(spark, sf_dir):
@@ -354,14 +406,14 @@ def q_batches(spark, sf_dir):
 
 
 def q_padded(spark, sf_dir):
-    batches = cl.assign_batches(short_examples(spark, sf_dir), batch_size=4, epochs=1)
+    batches = cl.assign_batches(char_examples(spark, sf_dir), batch_size=4, epochs=1)
     return cl.pad_batches(batches, pad_id=0).select(
         "row_id", "batch_id", "slot", *[joined(c).alias(c) for c in
                                         ("input_ids", "attention_mask", "labels")])
 
 
 def q_padded_left(spark, sf_dir):
-    batches = cl.assign_batches(short_examples(spark, sf_dir), batch_size=3, epochs=1)
+    batches = cl.assign_batches(char_examples(spark, sf_dir), batch_size=3, epochs=1)
     return cl.pad_batches(batches, pad_id=999, side="left").select(
         "row_id", "batch_id", "slot", *[joined(c).alias(c) for c in
                                         ("input_ids", "attention_mask", "labels")])
@@ -406,7 +458,7 @@ def q_eval_loss(spark, sf_dir):
     index = cl.materialize(cl.corpus_offsets(docs), "index")
     counts = train_counts(docs, index)
     size = cl.build_char_vocab(cl.spread(docs), extra=SEP).count()
-    windows = cl.sample_windows(cl.contiguous_split(index), docs, n_batches=8)
+    windows = cl.sample_windows(cl.contiguous_split(index), docs, n_batches=50)
     loss = cl.eval_loss(counts, windows, 1.0, size)
     return loss.withColumn("loss", F.round("loss", 6))
 
@@ -461,16 +513,79 @@ def q_src_json(spark, sf_dir):
     return cl.read_files(spark, path).select("doc_id", "lang", "text", "split")
 
 
+def named(spark: SparkSession, path: str, suffix: str) -> str:
+    """Give written text files another suffix."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(place):
+        old = status.getPath().toString()
+        if old.endswith(".txt"):
+            fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(
+                old.removesuffix(".txt") + suffix))
+    return path
+
+
+def json_lines(docs: DataFrame) -> F.Column:
+    return F.to_json(F.struct(*docs.columns))
+
+
+def q_src_json_mixed(spark, sf_dir):
+    """A folder with files of one object per line and files that are an array each."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    path = scratch_path(spark, "mixed")
+    docs.where("doc_id % 2 = 0").select(json_lines(docs).alias("v")).write.text(path)
+    arrays = docs.where("doc_id % 2 = 1").groupBy((F.col("doc_id") % 16).alias("g")).agg(F.concat(
+        F.lit("["), F.array_join(F.collect_list(json_lines(docs)), ",\n"), F.lit("]")).alias("v"))
+    arrays.select("v").write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    return cl.read_files(spark, named(spark, path, ".json")).select(
+        "doc_id", "lang", "text", "split")
+
+
+def broken_lines(spark, sf_dir) -> str:
+    """JSON lines of the documents; every tenth one breaks off."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_id"), F.col("text").alias("body"))
+    line = F.when(F.col("row_id") % 10 == 3, F.concat(
+        F.lit('{"row_id":'), F.col("row_id"), F.lit(',"body'))).otherwise(json_lines(docs))
+    path = scratch_path(spark, "broken")
+    docs.select(line.alias("v")).write.text(path)
+    return named(spark, path, ".jsonl")
+
+
+def with_lines(rows: DataFrame) -> DataFrame:
+    """Rendered rows, and beside them the lines that could not be read."""
+    bad = cl.split_bad_lines(rows)[1]
+    return cl.render(rows).select("row_id", "text", F.lit(None).cast("string").alias("line")).union(
+        bad.select(F.lit(None).cast("bigint"), F.lit(None).cast("string"), "line"))
+
+
+def q_src_json_bad_lines(spark, sf_dir):
+    """With a schema and without one: the same rows, and the same lines that are none."""
+    path = broken_lines(spark, sf_dir)
+    kinds = [with_lines(cl.materialize(cl.read_files(spark, path, schema), "rows")).withColumn(
+        "given", F.lit(schema is not None)) for schema in (None, "row_id bigint, body string")]
+    return kinds[0].union(kinds[1])
+
+
+def q_stream_bad_lines(spark, sf_dir):
+    stream = cl.read_stream(
+        spark, broken_lines(spark, sf_dir), "json", "row_id bigint, body string")
+    path, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "offsets")
+    cl.write_stream(stream, path, checkpoint)
+    return with_lines(spark.read.parquet(path))
+
+
 def q_src_csv(spark, sf_dir):
     path = written(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "c", "csv",
                    header=True, escape='"', quoteAll=True)
-    return cl.read_files(spark, path, "doc_id bigint, lang string, text string")
+    rows = cl.read_files(spark, path, "doc_id bigint, lang string, text string", multiline=True)
+    return cl.split_bad_lines(rows)[0]
 
 
 def q_src_csv_inferred(spark, sf_dir):
     path = written(table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice"), "c", "csv", header=True)
-    return cl.read_files(spark, path).withColumn(
+    return cl.split_bad_lines(cl.read_files(spark, path))[0].withColumn(
         "o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
@@ -492,7 +607,8 @@ def q_src_dir(spark, sf_dir):
     path = scratch_path(spark, "d")
     customers.where("c_custkey % 2 = 0").write.mode("append").json(path)
     customers.where("c_custkey % 2 = 1").write.mode("append").parquet(path)
-    return cl.read_files(spark, path, "c_custkey bigint, c_name string", clean=True)
+    rows = cl.read_files(spark, path, "c_custkey bigint, c_name string", clean=True)
+    return cl.split_bad_lines(rows)[0]
 
 
 def q_src_catalog(spark, sf_dir):
@@ -509,7 +625,7 @@ def q_row_ids(spark, sf_dir):
 
 def q_write_examples(spark, sf_dir):
     path = scratch_path(spark, "examples")
-    cl.write_examples(short_examples(spark, sf_dir).withColumn("split", F.lit("train")), path)
+    cl.write_examples(char_examples(spark, sf_dir).withColumn("split", F.lit("train")), path)
     return spark.read.parquet(path).select(
         "row_id", "split", joined("input_ids").alias("input_ids"))
 
@@ -523,7 +639,7 @@ def events_stream(spark, sf_dir) -> DataFrame:
 def q_stream_counts(spark, sf_dir):
     path, checkpoint = scratch_path(spark, "counts"), scratch_path(spark, "offsets")
     cl.streaming_counts(cl.holdout_threshold(events_stream(spark, sf_dir)), path, checkpoint)
-    return spark.read.parquet(path)
+    return cl.latest_counts(spark, path)
 
 
 def q_stream_render(spark, sf_dir):
@@ -548,6 +664,54 @@ def q_stream_encode(spark, sf_dir):
         "row_id", "split", joined("input_ids").alias("input_ids"))
 
 
+def q_stream_words(spark, sf_dir):
+    docs = spread_documents(spark, sf_dir)
+    vocab = cl.materialize(cl.build_word_vocab(docs, 3000, eos=EOS), "vocab")
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    stream = cl.read_stream(spark, f"{sf_dir}/documents.parquet*", "parquet", schema).select(
+        F.col("doc_id").alias("row_id"), "text")
+    cfg = cl.PrepConfig(source="files", path=sf_dir, eos=EOS)
+    path, checkpoint = scratch_path(spark, "examples"), scratch_path(spark, "offsets")
+    cl.write_stream(cl.prepare_stream(stream, cfg, vocab), path, checkpoint)
+    return spark.read.parquet(path).select(
+        "row_id", "split", joined("input_ids").alias("input_ids"))
+
+
+def q_prepared_plain_file(spark, sf_dir):
+    """An ordinary file: no key in it, rows are numbered from 0."""
+    path = written(table(spark, sf_dir, "documents").select("text"), "plain", "json")
+    cfg = cl.PrepConfig(source="files", path=path, schema="text string", vocab_size=2000, eos=EOS)
+    examples = cl.materialize(cl.prepare(spark, cfg), "examples")
+    ids = examples.agg(F.count_distinct("row_id"), F.min("row_id"), F.max("row_id"),
+                       F.count_if(F.col("split") == "validation")).first()
+    return examples.select(
+        joined("input_ids").alias("input_ids"), *[F.lit(v).cast("bigint").alias(name) for name, v in
+                                                  zip(("n_ids", "first_id", "last_id", "n_validation"), ids)])
+
+
+def q_prepared_batches(spark, sf_dir):
+    """Examples of conversations, shuffled and padded by the settings; the end marker pads."""
+    root = scratch_path(spark, "root")
+    cl.write_catalog(conversations(spark, sf_dir).withColumn("split", F.lit("train")), root, "chats")
+    cfg = cl.PrepConfig(root=root, name="chats", vocab_size=2000, eos=EOS, batch_size=4, accum=2)
+    vocab = cl.learn_words(cl.render(conversations(spark, sf_dir), eos=EOS), cfg)
+    examples = cl.materialize(cl.prepare(spark, cfg, vocab), "examples")
+    return cl.prepare_batches(examples, vocab, cfg).select(
+        "epoch", "step", "batch_id", "slot", "row_id",
+        *[joined(c).alias(c) for c in ("input_ids", "attention_mask", "labels")])
+
+
+def q_prepared_chars(spark, sf_dir):
+    """Windows over the first half of the joined traces."""
+    pairs = instructions(spark, sf_dir).select(
+        "row_id", F.coalesce("input", F.lit("")).alias("context"),
+        F.concat(F.lit("so: "), "output").alias("cot"),
+        F.struct("conv_id", "turn").alias("output"),
+        F.col("output").alias("completion"))
+    _, _, windows = cl.prepare_traces(cl.materialize(pairs, "pairs"), cl.PrepConfig())
+    return windows.withColumns({"x": joined("x"), "y": joined("y")})
+
+
 def q_prepared_examples(spark, sf_dir):
     """The whole way: catalog table, splits, rendering, vocabulary, examples."""
     root = scratch_path(spark, "root")
@@ -585,12 +749,13 @@ CHATS = f"""chats as (select conv_id as row_id,
   group by conv_id)"""
 VOCAB = """vocab as (select ch, (row_number() over (order by ch) - 1)::int as id from
   (select distinct unnest(string_split(text, '')) as ch from {src}) where ch <> '')"""
-CORPUS = DOCS + """, whole as (select string_agg(text, chr(10) || chr(10) order by row_id) as body,
+WHOLE = """, whole as (select string_agg(text, chr(10) || chr(10) order by row_id) as body,
     count(*) as n_rows from docs), marks as (select text from docs union all select chr(10)),
   cut as (select length(body) as total, floor(0.9::double * length(body))::bigint as brk, body
     from whole),
   parts as (select 'train' as split, brk as total, left(body, brk) as body from cut
     union all select 'validation', total - brk, substr(body, brk + 1) from cut)"""
+CORPUS = DOCS + WHOLE
 OFFSETS = DOCS + """, sized as (select row_id, text, length(text)
     + case when row_id = max(row_id) over () then 0 else 2 end as n from docs),
   placed as (select row_id, text, n, sum(n) over () as total,
@@ -636,12 +801,19 @@ def _char_ids(src: str, cut: int | None = None) -> str:
       from {src}, lut where text <> '')"""
 
 
+def _with_lines() -> str:
+    return f"""with lines as (select doc_id as row_id, trim(text, {WS}) as text,
+        null::varchar as line from documents where doc_id % 10 <> 3
+      union all select null, null, '{{"row_id":' || doc_id || ',"body' from documents
+        where doc_id % 10 = 3)"""
+
+
 SHUFFLED = """shuffled as (select row_id, epoch, row_number() over (partition by epoch order by
   md5('42|' || epoch || '|' || row_id), row_id) - 1 as pos from {src}, range({epochs}) e(epoch))"""
 
 
-def _windows(n_batches: int) -> str:
-    return CORPUS + f""", draws as (select split, total, body, i // 32 as batch_id,
+def _windows(n_batches: int, docs: str = DOCS) -> str:
+    return docs + WHOLE + f""", draws as (select split, total, body, i // 32 as batch_id,
       (i % 32)::int as slot, case when total - 257 <= 0 then 0 else
       ('0x' || substr(md5('1337|' || split || '|' || i), 1, 15))::bigint % (total - 257) end
       as start from parts, range({n_batches * 32}) r(i)),
@@ -703,6 +875,17 @@ def own_sql() -> dict[str, str]:
             bodies as (select row_id, case when row_id % 3 = 2 then head else body end as body
             from chats join firsts using (row_id))
             select row_id, {_eos('body')} as text from bodies""",
+        "conv_json_odd": f"""with heads as (select conv_id as row_id, count(*) as n,
+              translate(first(text order by turn), '"' || chr(92) || chr(10) || chr(9) || chr(13), '')
+              as said from conversations group by conv_id),
+            bodies as (select row_id, case row_id % 6
+              when 0 then '[{{"role":"user","content":"' || said || '"}}] trailing'
+              when 1 then replace('[{{"role":"user","content":"' || said || '"}}]', '"', chr(39))
+              when 2 then n || {NL2} || 'NaN' || {NL2} || said
+              when 3 then 'User: ' || said || {NL2} || n
+              when 4 then '{{"turns":' || n || '}}' else said end as body from heads)
+            select row_id, {_eos('body')} as text from bodies""",
+        "layout_other_key": f"select doc_id, {shaped} as text from documents",
         "instr_render": f"""with {PAIRS}, bodies as (select row_id, '### Instruction:' || {NL}
             || trim(instruction, {WS}) || {NL2} || '### Response:' || {NL} || trim(output, {WS})
             as body from pairs) select row_id, {_eos('body')} as text from bodies""",
@@ -717,7 +900,7 @@ def own_sql() -> dict[str, str]:
             as body from blanks) select row_id, split, {_eos('body')} as text from bodies
             where body <> ''""",
         "trace_render": f"""with {PAIRS} select row_id, coalesce(input, '') || {NL}
-            || left(output, 200) || {NL} || '{{"conv_id": ' || conv_id || ', "turn": ' || turn
+            || output || {NL} || '{{"conv_id": ' || conv_id || ', "turn": ' || turn
             || ', "asked": ' || to_json(instruction) || '}}' || {NL} || output as text from pairs""",
         "prompt_wrap": f"""with p as (select item_id, case when item_id % 4 = 0 then
             '### Instruction:' || {NL} || text || {NL2} || '### Response:' || {NL}
@@ -727,7 +910,7 @@ def own_sql() -> dict[str, str]:
             else '### Instruction:' || {NL} || prompt || {NL2} || '### Response:' || {NL} end
             as prompt from p""",
         "layout_fields": f"""with {DOCS} select 'prompt_text' as shape, 'instruction' as layout,
-            row_id, '### Instruction:' || {NL} || trim(left(text, 40), {WS}) || {NL2}
+            row_id, '### Instruction:' || {NL} || {shaped} || {NL2}
             || '### Response:' || {NL} || {shaped} as text from docs
             union all select 'query_thinking', 'text', row_id, {shaped} from docs
             union all select 'body_only', 'text', row_id, {shaped} from docs""",
@@ -741,7 +924,7 @@ def own_sql() -> dict[str, str]:
         "split_alias": f"""with {SPLITS} select row_id, case split when 'train' then 'train'
             else 'validation' end as split from named where split in ('train', 'dev')""",
         "split_alias_clean": f"with {SPLITS} select row_id, split from named",
-        "split_no_train": f"""with {SPLITS}, rest as (select row_id from named where split = 'dev')
+        "split_no_train": f"""with {SPLITS}, rest as (select row_id from named where split = 'train')
             {holdout} from rest""",
         "percent_slice": """select row_id, text, n_chars from (select doc_id as row_id, text, n_chars,
             row_number() over (order by doc_id) as r, count(*) over () as n from documents)
@@ -750,9 +933,9 @@ def own_sql() -> dict[str, str]:
             row_number() over (order by row_id) as r, count(*) over () as n from
             (select event_type || '-' || event_id as row_id, user_id, value from events))
             where r <= round_even(n / 100.0, 0)""",
-        "global_rank": """select row_id, l_partkey, row_number() over (order by row_id) - 1 as rank
-            from (select l_orderkey * 10 + l_linenumber as row_id, min(l_partkey) as l_partkey
-            from lineitem group by 1)""",
+        "global_rank": """select row_id, l_quantity, row_number() over (order by row_id) - 1 as rank
+            from (select l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
+              || '-' || round(l_extendedprice * 100)::bigint as row_id, l_quantity from lineitem)""",
         "shuffle_epochs": f"""with o as (select o_orderkey as row_id from orders),
             {SHUFFLED.format(src='o', epochs=2)} select row_id, epoch::int as epoch, pos
             from shuffled""",
@@ -779,12 +962,16 @@ def own_sql() -> dict[str, str]:
               where off < brk
             union all select 'validation', row_id, substr(seg, greatest(0, brk - off)::bigint + 1)
               from cut where off + n > brk""",
-        "sampled_windows": f"""with {_windows(8)}, {VOCAB.format(src='marks')},
+        "sampled_windows": f"""with {_windows(50)}, {VOCAB.format(src='marks')},
             lut as (select map_from_entries(list(row(ch, id))) as m from vocab),
             ids as (select split, batch_id, slot, start, [m[c] for c in string_split(w, '')] as l
               from cuts, lut)
             select split, batch_id, slot, start, array_to_string(l[1:256], ',') as x,
               array_to_string(l[2:257], ',') as y from ids""",
+        "short_windows": f"""with {_windows(50, """docs as (select r_regionkey as row_id,
+              r_name as text from region)""")}
+            select split, batch_id, slot, start::bigint as start, left(w, 256) as x,
+              substr(w, 2, 256) as y from cuts""",
         "char_vocab": f"with {CORPUS}, {VOCAB.format(src='marks')} select ch, id from vocab",
         "vocab_size": f"with {CORPUS}, {VOCAB.format(src='marks')} select count(*) as vocab_size"
                       " from vocab",
@@ -798,6 +985,13 @@ def own_sql() -> dict[str, str]:
         "word_encode": f"""with {DOCS}, {_word_vocab('docs', 5000, WORDS_RE, SPECIALS)},
             {_word_ids('docs', WORDS_RE, 2)} select docs.row_id, coalesce(ids, '') as ids
             from docs left join coded using (row_id)""",
+        "word_encode_long_token": f"""with docs as (select doc_id as row_id, text from documents
+              union all select -1, repeat(repeat('z', 60000) || ' ', 50)),
+            {_word_vocab('docs', 5000, WORDS_RE, SPECIALS)}, {_word_ids('docs', WORDS_RE, 2)}
+            select docs.row_id, coalesce(ids, '') as ids from docs left join coded using (row_id)""",
+        "word_encode_large": f"""with {DOCS}, {_word_vocab('docs', 10 ** 9, WORDS_RE, SPECIALS)},
+            {_word_ids('docs', WORDS_RE, 2)} select docs.row_id, coalesce(ids, '') as ids
+            from docs left join coded using (row_id)""",
         "tokenize_dataset": f"""with {BLANKS}, bodies as (select row_id, split, trim(text, {WS})
             as body from blanks), rows as (select row_id, split, {_eos('body')} as text from bodies),
             {_word_vocab('docs', 3000, WORDS_EOS_RE, SPECIALS, 2)},
@@ -817,8 +1011,8 @@ def own_sql() -> dict[str, str]:
         "batches": f"""with o as (select o_orderkey as row_id from orders),
             {SHUFFLED.format(src='o', epochs=2)} select row_id, epoch::int as epoch,
             pos // 4 as batch_id, (pos % 4)::int as slot from shuffled""",
-        "padded": _padded(48, 4, 0, "right"),
-        "padded_left": _padded(48, 3, 999, "left"),
+        "padded": _padded(256, 4, 0, "right"),
+        "padded_left": _padded(256, 3, 999, "left"),
         "accumulation": """with e as (select epoch, (row_number() over (partition by epoch) - 1)
             // 16 as step from orders, range(2) r(epoch))
             select epoch::int as epoch, step, count(*) as n_rows from e group by all""",
@@ -835,7 +1029,7 @@ def own_sql() -> dict[str, str]:
             size as (select count(*) as v from vocab),
             draws as (select split, total, body, i // 32 as batch_id, case when total - 257 <= 0
               then 0 else ('0x' || substr(md5('1337|' || split || '|' || i), 1, 15))::bigint
-              % (total - 257) end as start from parts, range(256) r(i)),
+              % (total - 257) end as start from parts, range(1600) r(i)),
             w as (select split, batch_id, string_split(substr(body, start + 1, 257), '') as c
               from draws),
             f as (select split, batch_id, unnest(list_zip(c[:-2], c[2:])) as p from w),
@@ -880,6 +1074,10 @@ def own_sql() -> dict[str, str]:
         "greedy": f"""with {SCORES} select prompt_id, first(token order by logit desc, token)
             as token from scores group by prompt_id""",
         "src_json": "select doc_id, lang, text, 'train' as split from documents",
+        "src_json_mixed": "select doc_id, lang, text, 'train' as split from documents",
+        "src_json_bad_lines": f"""{_with_lines()} select row_id, text, line, given from lines,
+            (values (true), (false)) v(given)""",
+        "stream_bad_lines": f"{_with_lines()} select row_id, text, line from lines",
         "src_csv": "select doc_id, lang, text, 'train' as split from documents",
         "src_csv_inferred": """select o_orderkey, o_orderstatus, o_totalprice, 'train' as split
             from orders""",
@@ -891,7 +1089,7 @@ def own_sql() -> dict[str, str]:
         "row_ids": """select lang || '/' || doc_id as name,
             row_number() over (order by lang || '/' || doc_id) - 1 as row_id from documents""",
         "write_examples": f"""with {DOCS}, {VOCAB.format(src='docs')}, full_docs as (select * from docs
-            where trim(text, {WS}) <> ''), {_char_ids('full_docs', 48)}
+            where trim(text, {WS}) <> ''), {_char_ids('full_docs', 256)}
             select row_id, 'train' as split, array_to_string(l, ',') as input_ids from coded""",
         "stream_counts": f"""with e as (select event_id as row_id, event_type as text from events)
             select {threshold} as split, count(*) as n_raw,
@@ -906,6 +1104,44 @@ def own_sql() -> dict[str, str]:
             rows as (select row_id, {_eos('body')} as text from bodies), {_char_ids('rows', 256)}
             select row_id, {threshold} as split, array_to_string(l, ',') as input_ids
             from coded""",
+        "stream_words": f"""with {DOCS}, bodies as (select row_id, {threshold} as split,
+            trim(text, {WS}) as body from docs),
+            rows as (select row_id, split, {_eos('body')} as text from bodies),
+            {_word_vocab('docs', 3000, WORDS_EOS_RE, SPECIALS)},
+            {_word_ids('rows', WORDS_EOS_RE, 2, 256, ', split')}
+            select row_id, split, ids as input_ids from coded""",
+        "prepared_plain_file": f"""with {DOCS}, bodies as (select row_id, trim(text, {WS}) as body
+            from docs), rows as (select row_id, {_eos('body')} as text from bodies),
+            {_word_vocab('rows', 2000, WORDS_EOS_RE, SPECIALS)},
+            {_word_ids('rows', WORDS_EOS_RE, 2, 256)},
+            facts as (select count(*) as n from docs)
+            select ids as input_ids, n as n_ids, 0::bigint as first_id, n - 1 as last_id,
+              ceil(n * 5 / 100.0)::bigint as n_validation from coded, facts""",
+        "prepared_batches": f"""with {CHATS}, rows as (select row_id, {_eos('body')} as text
+            from chats), {_word_vocab('rows', 2000, WORDS_EOS_RE, SPECIALS)},
+            {_word_ids('rows', WORDS_EOS_RE, 2, 256)}, held as ({holdout} from chats),
+            train as (select row_id from held where split = 'train'),
+            {SHUFFLED.format(src='train', epochs=2)},
+            b as (select epoch, pos // 4 as batch_id, pos % 4 as slot, row_id, string_split(ids, ',')
+              as l, max(len) over (partition by epoch, pos // 4) as width
+              from shuffled join coded using (row_id))
+            select epoch::int as epoch, batch_id // 2 as step, batch_id, slot::int as slot, row_id,
+              array_to_string(list_concat(l, ['1' for i in range(width - len(l))]), ',') as input_ids,
+              array_to_string(list_concat(['1' for i in l], ['0' for i in range(width - len(l))]),
+                ',') as attention_mask,
+              array_to_string(list_concat([case when i = '1' then '-100' else i end for i in l],
+                ['-100' for i in range(width - len(l))]), ',') as labels from b""",
+        "prepared_chars": f"""with {PAIRS}, traces as (select row_id, coalesce(input, '') || {NL}
+              || 'so: ' || output || {NL} || '{{"conv_id": ' || conv_id || ', "turn": ' || turn || '}}'
+              || {NL} || output as text, row_number() over (order by row_id) as r,
+              count(*) over () as n from pairs),
+            {_windows(50, "docs as (select row_id, text from traces where r <= round_even(n / 2.0, 0))")},
+            {VOCAB.format(src='marks')},
+            lut as (select map_from_entries(list(row(ch, id))) as m from vocab),
+            ids as (select split, batch_id, slot, start, [m[c] for c in string_split(w, '')] as l
+              from cuts, lut)
+            select split, batch_id, slot, start, array_to_string(l[1:256], ',') as x,
+              array_to_string(l[2:257], ',') as y from ids""",
         "prepared_examples": f"""with {CHATS}, rows as (select row_id, {_eos('body')} as text
             from chats), {_word_vocab('rows', 2000, WORDS_EOS_RE, SPECIALS)},
             {_word_ids('rows', WORDS_EOS_RE, 2, 256)}, held as ({holdout} from chats)

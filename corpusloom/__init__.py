@@ -12,10 +12,10 @@ from corpusloom.operators.corpus import (
 )
 from corpusloom.operators.counts import split_counts, token_stats
 from corpusloom.operators.hooks import map_batches
-from corpusloom.operators.order import exact_k, global_rank, key_at, prefix_sum
+from corpusloom.operators.order import check_keys, exact_k, global_rank, key_at, prefix_sum
 from corpusloom.operators.rendering import (
     assemble_conversations, drop_blank, keep_only, render, render_instruction, render_messages,
-    render_text, render_trace, wrap_prompts,
+    render_text, render_trace, split_bad_lines, wrap_prompts,
 )
 from corpusloom.operators.scores import (
     eval_loss, greedy_next, next_token_counts, repetition_penalty, sample_next,
@@ -29,8 +29,13 @@ from corpusloom.operators.tokens import (
     encode_words, tokenize_dataset, truncate, vocab_size, with_masks,
 )
 from corpusloom.operators.windows import sample_windows, shifted_pairs
-from corpusloom.plans.prepare import choose_next, prepare, prepare_chars, prepare_stream
+from corpusloom.plans.prepare import (
+    choose_next, learn_words, prepare, prepare_batches, prepare_chars, prepare_stream,
+    prepare_traces,
+)
 from corpusloom.session import drop_scratch, materialize, spread
 from corpusloom.sources.files import read_files, with_row_id
 from corpusloom.sources.tables import read_catalog, write_catalog, write_examples
-from corpusloom.streaming.streams import read_stream, streaming_counts, write_stream
+from corpusloom.streaming.streams import (
+    latest_counts, read_stream, streaming_counts, write_stream,
+)

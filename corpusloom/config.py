@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from corpusloom.functions.layout import LAYOUTS
 
 # What the settings may be (both ends included, None is open).
-CHOICES = {"source": ("catalog", "files"), "layout": LAYOUTS}
+CHOICES = {"source": ("catalog", "files"), "layout": LAYOUTS,
+           "on_unknown": ("error", "null", "drop")}
 RANGES = {
     "validation_percent": (0, 50),
     "epochs": (1, None),
@@ -29,7 +30,9 @@ class PrepConfig:
     name: str | None = None
     config: str | None = None
     path: str | None = None
-    split: str | None = None
+    schema: str | None = None       # of JSON and CSV files, else it is inferred
+    multiline: bool = False         # CSV with line breaks in quotes
+    split: str | None = None        # of a catalog table
     validation_percent: float = 5.0
     layout: str = "auto"
     text_field: str | None = None
@@ -43,6 +46,7 @@ class PrepConfig:
     accum: int = 8
     max_len: int = 256
     vocab_size: int = 50_000
+    on_unknown: str = "error"       # of characters that a vocabulary lacks
     epochs: int = 2
     seed: int = 42
     block_size: int = 256
@@ -61,6 +65,8 @@ class PrepConfig:
         missing = [name for name in needed if not getattr(self, name)]
         if missing:
             found.append(f"source {self.source!r} needs {' and '.join(missing)}")
+        if self.source == "files" and self.split not in (None, "train"):
+            found.append(f"split={self.split!r}: files are all of the split 'train'")
         for name, (low, high) in RANGES.items():
             value = getattr(self, name)
             if value < low or (high is not None and value > high):

@@ -20,21 +20,24 @@ FIELD_NAMES = {
     "conversation": ("conversations", "messages", "dialogue", "dialog", "chat"),
 }
 
-# Bookkeeping columns that are never content.
-SYSTEM_COLUMNS = ("row_id", "split")
+# The column that holds a line which could not be read, and nothing else.
+CORRUPT = "_corrupt_record"
 
+# Bookkeeping columns that are never content; the key is another one.
+SYSTEM_COLUMNS = ("row_id", "split", CORRUPT)
 
-def content_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in SYSTEM_COLUMNS]
+
+def content_columns(df: DataFrame, key: str = "row_id") -> list[str]:
+    return [c for c in df.columns if c not in SYSTEM_COLUMNS and c != key]
 
 
 def detect_layout(df: DataFrame, prompt: str | None = None, response: str | None = None,
-                  clean: bool = False) -> str:
-    """The layout of a table, from its column names.
+                  clean: bool = False, key: str = "row_id") -> str:
+    """The layout of a table, from the names of its content columns.
 
     ``clean=True`` also lets explicit fields decide and knows the column name ``chat``.
     """
-    names = set(content_columns(df))
+    names = set(content_columns(df, key))
     if clean and prompt and response:
         return "instruction"
     conversation = DETECT_CONVERSATION + (("chat",) if clean else ())
@@ -46,7 +49,7 @@ def detect_layout(df: DataFrame, prompt: str | None = None, response: str | None
 
 
 def resolve_field(df: DataFrame, kind: str, explicit: str | None = None,
-                  clean: bool = False) -> str | None:
+                  clean: bool = False, key: str = "row_id") -> str | None:
     """The column that plays the part ``kind``; an explicit name always wins.
 
     Without a known name the first column is taken (the second for a response); the optional input
@@ -54,7 +57,9 @@ def resolve_field(df: DataFrame, kind: str, explicit: str | None = None,
     """
     if explicit:
         return explicit
-    columns = content_columns(df)
+    columns = content_columns(df, key)
+    if not columns:
+        raise ValueError("the table has no column with content")
     names = FIELD_NAMES[kind]
     if clean and kind == "prompt":
         names += ("input",)

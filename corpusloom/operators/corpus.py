@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.operators.order import key_bounds, prefix_sum
+from corpusloom.operators.order import check_keys, key_bounds, prefix_sum
 from corpusloom.operators.splits import TRAIN, VALIDATION
 
 
@@ -35,7 +35,9 @@ def corpus_length(df: DataFrame, row_sep: str = "\n\n", text: str = "text") -> D
 
 def corpus_offsets(df: DataFrame, row_sep: str = "\n\n", text: str = "text",
                    key: str = "row_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """The corpus index ``(key, off, n, total)``; ``carry`` names columns to take along."""
+    """The corpus index ``(key, off, n, total)``; ``carry`` names columns to take along. Keys must be
+    unique and not null, else it raises."""
+    check_keys(df, key)
     shape = _shape(df, text, key)
     total = shape["chars"] + len(row_sep) * max(shape["rows"] - 1, 0)
     width = F.length(text) + F.when(F.col(key) == F.lit(shape["last"]), 0).otherwise(len(row_sep))

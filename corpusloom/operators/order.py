@@ -17,6 +17,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from corpusloom.session import BROADCAST_ROWS
+
 HASH_DIGITS = 4              # 16**4 = 65,536 buckets
 MAX_BUCKETS = 16 ** HASH_DIGITS
 ROWS_PER_BUCKET = 50_000
@@ -39,25 +41,23 @@ def hash_number(digest: Column, digits: int) -> Column:
 def check_keys(df: DataFrame, *key: str) -> int:
     """The number of rows; raises if a key is null or stands twice.
 
-    Repeats are counted with partial sums by a hash of the key; only where two hashes agree are the
-    keys themselves compared.
+    One job over the key: rows are counted per hash of it, combined before the shuffle. Only where a
+    hash stands twice are the keys themselves compared.
     """
-    digest = F.xxhash64(*key)
-    n, known = df.agg(F.count("*"), F.count(F.when(
-        ~F.exists(F.array(*[F.col(k).isNull() for k in key]), lambda x: x), 1))).first()
-    if known < n:
-        raise ValueError(f"{n - known} rows have a null in the key {', '.join(key)}")
-    twice = df.select(digest.alias("_hash")).groupBy("_hash").agg(
-        F.count("*").alias("_n")).where("_n > 1")
-    # one row is enough to look closer
-    if not twice.head(1):
-        return n
-    same = df.select(*key, digest.alias("_hash")).join(twice, "_hash", "left_semi").groupBy(
-        *key).agg(F.count("*").alias("_n")).where("_n > 1").head(1)
-    if same:
-        named = ", ".join(f"{k}={same[0][k]!r}" for k in key)
-        raise ValueError(f"the key is not unique: {named} stands {same[0]['_n']} times")
-    return n
+    null = F.greatest(F.lit(0), *[F.col(k).isNull().cast("int") for k in key])
+    hashed = df.select(*key, F.xxhash64(*key).alias("_hash"), null.alias("_null"))
+    seen = hashed.groupBy("_hash").agg(F.count("*").alias("_n"), F.sum("_null").alias("_null"))
+    n, nulls, most = seen.agg(F.sum("_n"), F.sum("_null"), F.max("_n")).first()
+    if nulls:
+        raise ValueError(f"{nulls} rows have a null in the key {', '.join(key)}")
+    if (most or 0) > 1:
+        twice = seen.where("_n > 1").select("_hash")
+        same = hashed.join(twice, "_hash", "left_semi").groupBy(*key).agg(
+            F.count("*").alias("_n")).where("_n > 1").head(1)
+        if same:
+            named = ", ".join(f"{k}={same[0][k]!r}" for k in key)
+            raise ValueError(f"the key is not unique: {named} stands {same[0]['_n']} times")
+    return n or 0
 
 
 # --- ranges of keys ------------------------------------------------------------------------------
@@ -69,24 +69,18 @@ def _json_value(v):
 def key_bounds(df: DataFrame, key: str, rows: int, buckets: int | None = None) -> list:
     """Key values that cut ``df`` into ranges of about equal row counts, ascending.
 
-    They come from the keys whose hash falls in a residue class, about 24 per bucket, so the sample
-    is bounded by the number of buckets and the same on every run. Only bounds reach the driver.
+    They come from the keys whose hash falls in a residue class, about 24 per bucket, which are
+    sorted in parallel; every so many of a partition is a bound, and only bounds reach the driver.
     """
     buckets = buckets or min(MAX_BUCKETS, max(64, rows // ROWS_PER_BUCKET))
     modulus = max(1, rows // (buckets * SAMPLES_PER_BUCKET))
-    sample = F.sort_array(F.collect_list(key))
-    step = F.greatest(F.lit(1), F.size("keys") / F.lit(buckets))
-    picked = F.transform(
-        F.sequence(F.lit(1), F.lit(buckets - 1)),
-        lambda i: F.get(F.col("keys"), F.floor(i * F.col("step")).cast("int")))
-    row = (
-        df.where(F.pmod(F.xxhash64(key), F.lit(modulus)) == 0)
-        .agg(sample.alias("keys"))
-        .withColumn("step", step)
-        .select(F.array_distinct(F.array_compact(picked)).alias("bounds"))
-        .first()
-    )
-    return row.bounds
+    step = max(1, rows // modulus // buckets)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    found = (
+        df.select(key).where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(modulus)) == 0))
+        .orderBy(key).withColumn("_place", place)
+        .where(F.col("_place") % step == step - 1).select(key).collect())
+    return sorted({r[0] for r in found})
 
 
 def range_bucket(df: DataFrame, key: str, bounds: list) -> Column:
@@ -121,7 +115,7 @@ def prefix_sum(df: DataFrame, size: Column, key: str = "row_id", out: str = "off
     in ``df`` goes through it.
     """
     if bounds is None:
-        bounds = key_bounds(df, key, df.count())
+        bounds = key_bounds(df, key, check_keys(df, key))
     rows = df.withColumn("_size", size.cast("bigint")).withColumn(
         "_bucket", range_bucket(df, key, bounds))
     sums = rows.groupBy("_bucket").agg(F.sum("_size").alias("_size"))
@@ -148,7 +142,7 @@ def key_at(df: DataFrame, ranks: list[int], key: str = "row_id", rows: int | Non
     an asked position are ranked.
     """
     keys = df.select(key)
-    rows = keys.count() if rows is None else rows
+    rows = check_keys(keys, key) if rows is None else rows
     asked = sorted({r for r in ranks if r < rows})
     if not asked:
         return [None] * len(ranks)
@@ -218,20 +212,22 @@ def exact_k(df: DataFrame, k: int, seed: int = 42, key: str = "row_id") -> DataF
 
 
 def hash_rank(df: DataFrame, digest: Column, key: str, within: list[str], out: str = "rank",
-              digits: int = HASH_DIGITS) -> DataFrame:
+              groups: int = 1) -> DataFrame:
     """Position of every row (from 0) in the order of a digest, within each group of ``within``.
 
-    Groups may be of any size: the shuffle is by group and leading digits.
+    Groups may be of any size: the shuffle is by group and leading digits. ``groups`` is how many
+    there are; the totals of their buckets are sent to all tasks while that is few enough.
     """
     rows = df.withColumn("_hash", digest).withColumn(
-        "_bucket", F.left("_hash", F.lit(digits)))
+        "_bucket", F.left("_hash", F.lit(HASH_DIGITS)))
     counts = rows.groupBy(*within, "_bucket").agg(F.count("*").alias("_n"))
     base = _running_base(counts, "_bucket", "_n", within)
     inner = F.row_number().over(
         Window.partitionBy(*within, "_bucket").orderBy("_hash", key)) - 1
     return (
         rows.withColumn("_inner", inner)
-        .join(F.broadcast(base), [*within, "_bucket"])  # 16**digits rows per group
+        .join(F.broadcast(base) if groups * MAX_BUCKETS <= BROADCAST_ROWS else base,
+              [*within, "_bucket"])
         .withColumn(out, F.col("_base") + F.col("_inner"))
         .drop("_hash", "_bucket", "_inner", "_base")
     )

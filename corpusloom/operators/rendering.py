@@ -26,21 +26,21 @@ def _text_of(df: DataFrame, name: str) -> Column:
     return strip(as_text(*_field(df, name)))
 
 
-def render_text(df: DataFrame, text: str | None = None) -> Column:
+def render_text(df: DataFrame, text: str | None = None, key: str = "row_id") -> Column:
     """The stripped text column; null reads ``None``."""
-    return _text_of(df, names.resolve_field(df, "text", text))
+    return _text_of(df, names.resolve_field(df, "text", text, key=key))
 
 
 def render_instruction(df: DataFrame, prompt: str | None = None, response: str | None = None,
-                       clean: bool = False) -> Column:
+                       clean: bool = False, key: str = "row_id") -> Column:
     """Prompt and response under their headings, with an input section where there is one.
 
     The section is shown for any input that is not empty before it is stripped. ``clean=True`` tests
     it after stripping and never uses one column as prompt and as input.
     """
-    prompt_name = names.resolve_field(df, "prompt", prompt, clean)
-    response_name = names.resolve_field(df, "response", response, clean)
-    input_name = names.resolve_field(df, "input")
+    prompt_name = names.resolve_field(df, "prompt", prompt, clean, key)
+    response_name = names.resolve_field(df, "response", response, clean, key)
+    input_name = names.resolve_field(df, "input", key=key)
     head = F.concat(F.lit(INSTRUCTION_HEAD), _text_of(df, prompt_name))
     tail = F.concat(F.lit(RESPONSE_HEAD), _text_of(df, response_name))
     if input_name is None or (clean and input_name == prompt_name):
@@ -53,9 +53,9 @@ def render_instruction(df: DataFrame, prompt: str | None = None, response: str |
 
 
 def render_messages(df: DataFrame, conversation: str | None = None, style: str | dict = "manual",
-                    clean: bool = False) -> Column:
+                    clean: bool = False, key: str = "row_id") -> Column:
     """A message list as text, plain (``manual``) or with the markers of a style."""
-    name = names.resolve_field(df, "conversation", conversation)
+    name = names.resolve_field(df, "conversation", conversation, key=key)
     c, dtype = _field(df, name)
     if style == "manual":
         return render_conversation(c, dtype, clean)
@@ -68,21 +68,23 @@ def render(df: DataFrame, layout: str = "auto", text: str | None = None, prompt:
            clean: bool = False) -> DataFrame:
     """Render every row and keep only the key, the split and ``text``.
 
-    A projection; no row moves. ``clean=True`` drops rows whose content is null or blank before
-    the end marker is added.
+    A projection; no row moves. Lines that could not be read (``split_bad_lines``) are no rows to
+    render and are left out. ``clean=True`` drops rows whose content is null or blank before the
+    end marker is added.
     """
+    df, _ = split_bad_lines(df)
     if layout == "auto":
-        layout = names.detect_layout(df, prompt, response, clean)
+        layout = names.detect_layout(df, prompt, response, clean, key)
     if layout == "instruction":
-        body = render_instruction(df, prompt, response, clean)
-        used = [names.resolve_field(df, "prompt", prompt, clean),
-                names.resolve_field(df, "response", response, clean)]
+        body = render_instruction(df, prompt, response, clean, key)
+        used = [names.resolve_field(df, "prompt", prompt, clean, key),
+                names.resolve_field(df, "response", response, clean, key)]
     elif layout in ("chat", "conversation"):
-        body = render_messages(df, conversation, style, clean)
-        used = [names.resolve_field(df, "conversation", conversation)]
+        body = render_messages(df, conversation, style, clean, key)
+        used = [names.resolve_field(df, "conversation", conversation, key=key)]
     else:
-        body = render_text(df, text)
-        used = [names.resolve_field(df, "text", text)]
+        body = render_text(df, text, key)
+        used = [names.resolve_field(df, "text", text, key=key)]
     if clean:
         for name in used:
             df = df.where(F.col(f"`{name}`").isNotNull())
@@ -123,6 +125,19 @@ def wrap_prompts(df: DataFrame, prompt: str = "prompt") -> DataFrame:
     return df.withColumn(prompt, wrap_prompt(F.col(prompt)))
 
 
+def split_bad_lines(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The rows that were read, and the lines that were not (or None, if the reader kept none).
+
+    Readers of JSON and CSV put a line that does not parse into a column of its own; that column
+    goes from the first table, and the second has it as ``line`` beside key-like columns.
+    """
+    if names.CORRUPT not in df.columns:
+        return df, None
+    bad = F.col(names.CORRUPT)
+    return df.where(bad.isNull()).drop(names.CORRUPT), df.where(bad.isNotNull()).select(
+        *[c for c in ("row_id", "split") if c in df.columns], bad.alias("line"))
+
+
 def drop_blank(df: DataFrame, text: str = "text") -> DataFrame:
     """Rows whose text is neither null nor blank."""
     return df.where(~is_blank(F.col(text)))

@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusloom.operators.order import hash_key, hash_number
 from corpusloom.operators.tokens import characters
+from corpusloom.session import materialize
+
+
+# Characters of a text whose pairs are listed at once.
+PIECE = 4096
 
 
 def _best_first(score: str):
@@ -24,7 +29,8 @@ def next_token_counts(df: DataFrame, row_sep: str = "\n\n", first_key=None, text
 
     ``df`` holds segments (text with its separator). A segment is preceded by the end of the
     separator, except the first one (``first_key``, looked up if not given). Every pair of
-    neighbours is taken by a look-ahead, so rows need nothing from each other.
+    neighbours is taken by a look-ahead, so rows need nothing from each other; a text is cut into
+    pieces that overlap by a character, so none becomes one array of all its pairs.
     """
     if not row_sep:
         raise ValueError("rows need a separator to be counted apart")
@@ -32,9 +38,13 @@ def next_token_counts(df: DataFrame, row_sep: str = "\n\n", first_key=None, text
         first_key = df.agg(F.min(key)).first()[0]
     run = F.when(F.col(key) == F.lit(first_key), F.col(text)).otherwise(
         F.concat(F.lit(row_sep[-1]), F.col(text)))
+    # Looks at a piece and the character behind it, moves on by the piece.
+    pieces = F.regexp_extract_all(
+        run, F.lit(f"(?s)(?=(.{{1,{PIECE + 1}}})).{{1,{PIECE}}}"), F.lit(1))
     # Looks at two characters, moves on by one.
-    pairs = F.regexp_extract_all(run, F.lit("(?s)(?=(..))."), F.lit(1))
-    counted = df.select(F.explode(pairs).alias("_pair")).groupBy("_pair").agg(
+    pairs = F.regexp_extract_all("_piece", F.lit("(?s)(?=(..))."), F.lit(1))
+    counted = df.select(F.explode(pieces).alias("_piece")).select(
+        F.explode(pairs).alias("_pair")).groupBy("_pair").agg(
         F.count("*").alias("n"))
     return counted.select(
         F.left("_pair", F.lit(1)).alias("token"), F.right("_pair", F.lit(1)).alias("next"), "n")
@@ -45,8 +55,10 @@ def eval_loss(counts: DataFrame, windows: DataFrame, smoothing: float = 1.0,
     """Mean over batches of the mean cross-entropy of a batch: ``split, n_batches, loss``.
 
     Probabilities are smoothed next-token counts. ``x`` and ``y`` of the windows may be text or
-    arrays. Pairs are counted per batch before they meet the table.
+    arrays. Pairs are counted per batch before they meet the table. The counts are written once:
+    they are at most the square of the vocabulary, and their text is read a single time.
     """
+    counts = materialize(counts, "next-counts")
     if vocab_size is None:
         vocab_size = counts.select("token").union(counts.select("next")).distinct().count()
     as_text = windows.schema["x"].dataType.typeName() == "string"

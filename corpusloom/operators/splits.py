@@ -12,7 +12,7 @@ from math import ceil
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.operators.order import (
-    below_cutoff, hash_cutoff, hash_key, hash_number, hash_rank, key_at,
+    below_cutoff, check_keys, hash_cutoff, hash_key, hash_number, hash_rank, key_at,
 )
 
 TRAIN, VALIDATION = "train", "validation"
@@ -92,7 +92,8 @@ def holdout(df: DataFrame, percent: float = 5.0, seed: int = 42, key: str = "row
             names: tuple[str, ...] = VALIDATION_NAMES) -> DataFrame:
     """Hold out a random part of ``train`` as ``validation``, of an exact size.
 
-    Nothing happens when a split called one of ``names`` exists already, or for percent 0.
+    Nothing happens when a split called one of ``names`` exists already, or for percent 0. Keys of
+    the training rows must be unique, else it raises.
     """
     if percent <= 0:
         return as_train(df)
@@ -103,7 +104,7 @@ def holdout(df: DataFrame, percent: float = 5.0, seed: int = 42, key: str = "row
     else:
         train = df
     df = as_train(df)
-    k = holdout_size(train.count(), percent)
+    k = holdout_size(check_keys(train, key), percent)
     if k == 0:
         return df
     picked = (F.col("split") == TRAIN) & below_cutoff(hash_cutoff(train, k, seed, key), seed, key)
@@ -130,11 +131,12 @@ def percent_slice(df: DataFrame, lo: float = 0, hi: float = 100,
                   key: str = "row_id") -> DataFrame:
     """The rows from ``lo`` to ``hi`` percent of the table in key order.
 
-    The two border keys are found first; the table is then read with a plain filter on the key.
+    The two border keys are found first; the table is then read with a plain filter on the key. Keys
+    must be unique and not null, else it raises.
     """
     if not 0 <= lo <= hi <= 100:
         raise ValueError("percentages must be ordered and within 0 and 100")
-    rows = df.select(key).count()
+    rows = check_keys(df, key)
     first, end = slice_bound(rows, lo), slice_bound(rows, hi)
     if first >= end:
         return df.where(F.lit(False))
@@ -150,6 +152,4 @@ def shuffle_epochs(df: DataFrame, epochs: int = 2, seed: int = 42, key: str = "r
                    out: str = "pos") -> DataFrame:
     """Every row once per epoch, with its place in that epoch's random order."""
     repeated = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    digits = 4 if epochs <= 4 else 3 if epochs <= 64 else 2
-    return hash_rank(
-        repeated, hash_key(seed, "epoch", key), key, ["epoch"], out, digits)
+    return hash_rank(repeated, hash_key(seed, "epoch", key), key, ["epoch"], out, epochs)

@@ -186,6 +186,15 @@ def _lookup(entries: list[tuple[str, int]]):
     return id_of
 
 
+def _in_plan(token: str, number: str) -> Column:
+    return (F.col(number) < LOOKUP_ROWS) & (F.octet_length(token) <= LOOKUP_BYTES)
+
+
+def fits_plan(vocab: DataFrame, token: str = "token") -> bool:
+    """Whether all of a vocabulary is looked up in place."""
+    return not vocab.where(~_in_plan(token, "id")).head(1)
+
+
 def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id",
                 out: str = "ids", keep: tuple[str, ...] = ("split",),
                 unknown_id: int | None = None, token: str = "token") -> DataFrame:
@@ -199,7 +208,7 @@ def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id
     """
     keep = tuple(c for c in keep if c in df.columns and c != key)
     vocab = vocab.select(F.col(token).alias("_token"), F.col("id").alias("_id"))
-    in_plan = (F.col("_id") < LOOKUP_ROWS) & (F.octet_length("_token") <= LOOKUP_BYTES)
+    in_plan = _in_plan("_token", "_id")
     check_keys(vocab, "_token")
     head = [(r["_token"], r["_id"]) for r in vocab.where(in_plan).limit(LOOKUP_ROWS + 1).collect()]
     if len(head) > LOOKUP_ROWS:

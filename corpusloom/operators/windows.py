@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.operators.corpus import segment
@@ -11,6 +12,8 @@ from corpusloom.session import BROADCAST_ROWS, materialize
 
 # Characters per chunk: rows are looked up and cut by chunks, so a very long row is many small ones.
 CHUNK = 8192
+# Most files that a scan is narrowed down to; past it all are read.
+FILES = 10_000
 
 
 def draw_starts(totals: DataFrame, n_batches: int, batch_size: int = 32, block_size: int = 256,
@@ -54,7 +57,7 @@ def sample_windows(stream: DataFrame, texts: DataFrame, n_batches: int, batch_si
 
     Windows and rows meet in an equi-join on the number of the chunk of the stream they touch. Only
     the pieces found there are cut from the texts; a text is scanned where it lies if the pieces are
-    few enough to broadcast.
+    few enough to broadcast, and of a table of many files only those are read that hold one.
     """
     spark = stream.sparkSession
     totals = stream.groupBy("split").agg(F.max("total").alias("total"))
@@ -93,6 +96,7 @@ def sample_windows(stream: DataFrame, texts: DataFrame, n_batches: int, batch_si
 
     last = texts.agg(F.max(key)).first()[0]
     needed = pieces.select(key).distinct()
+    texts = _files_with(texts, F.broadcast(needed) if small else needed, key)
     source = texts.select(key, segment(last, row_sep, text, key).alias("_segment")).join(
         F.broadcast(needed) if small else needed, key, "left_semi")
     parts = F.regexp_extract_all("_segment", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
@@ -116,6 +120,25 @@ def sample_windows(stream: DataFrame, texts: DataFrame, n_batches: int, batch_si
     return whole.select("split", "batch_id", "slot", "start", x.alias("x"), y.alias("y"))
 
 
+def _files_with(texts: DataFrame, needed: DataFrame, key: str) -> DataFrame:
+    """``texts`` without the files that hold none of the needed keys, where it is a scan of files.
+
+    Finds them by the key column alone; the names reach the scan as a filter on its file list.
+    """
+    try:
+        places = texts.select(key, F.col("_metadata.file_path").alias("_file"))
+    except AnalysisException:
+        return texts
+    listed = len(texts.inputFiles())
+    if listed < 2:
+        return texts
+    hit = [r["_file"] for r in places.join(needed, key, "left_semi").select("_file").distinct()
+           .limit(FILES + 1).collect()]
+    if len(hit) >= min(listed, FILES + 1):
+        return texts
+    return texts.where(F.col("_metadata.file_path").isin(hit))
+
+
 def shifted_pairs(ids, block_size: int = 256):
     """Input and target of a run of ids: the targets are one place further on."""
     return F.slice(ids, 1, block_size), F.slice(ids, 2, block_size)

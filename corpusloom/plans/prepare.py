@@ -2,38 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.config import PrepConfig
+from corpusloom.functions.layout import CORRUPT
+from corpusloom.operators.batches import (
+    accumulation_groups, assign_batches, default_pad_id, pad_batches,
+)
 from corpusloom.operators.corpus import contiguous_split, corpus_offsets, split_segments
-from corpusloom.operators.rendering import render
+from corpusloom.operators.rendering import render, render_trace, split_bad_lines
 from corpusloom.operators.scores import (
     greedy_next, repetition_penalty, sample_next, temperature_softmax, top_k, top_p,
 )
 from corpusloom.operators.splits import (
-    VALIDATION, VALIDATION_NAMES, ensure_train, holdout, holdout_threshold, normalize_validation, percent_slice,
+    VALIDATION, VALIDATION_NAMES, ensure_train, holdout, holdout_threshold, normalize_validation,
+    percent_slice,
+)
+from corpusloom.operators.tokens import (
+    LOOKUP_BYTES, LOOKUP_ROWS, build_char_vocab, build_word_vocab, char_table, fits_plan,
+    tokenize_dataset,
 )
-from corpusloom.operators.tokens import build_char_vocab, build_word_vocab, char_table, tokenize_dataset
 from corpusloom.operators.windows import sample_windows
 from corpusloom.session import materialize
-from corpusloom.sources.files import read_files
+from corpusloom.sources.files import read_files, with_row_id
 from corpusloom.sources.tables import read_catalog
 
 
 def load(spark: SparkSession, cfg: PrepConfig) -> DataFrame:
-    """Read the source and settle its splits.
+    """Read the source, number its rows if they have no key, and settle its splits.
 
-    Only a catalog table has other names for its validation split to look for.
+    Files other than Parquet are parsed once and written as a table, since the splits need more than
+    one look at the rows; lines that do not parse stay in it as ``_corrupt_record`` and are no
+    examples. Only a catalog table has other names for its validation split to look for.
     """
     cfg.validate()
     if cfg.source == "files":
-        df = read_files(spark, cfg.path, clean=cfg.clean)
+        df = read_files(spark, cfg.path, cfg.schema, cfg.clean, cfg.multiline)
+        if cfg.key not in df.columns:
+            df = with_row_id(df, out=cfg.key)
+        elif CORRUPT in df.columns:
+            df = materialize(df, "source")
         names = (VALIDATION,)
     else:
         df = read_catalog(spark, cfg.root, cfg.name, cfg.config, cfg.split)
+        if cfg.key not in df.columns:
+            df = with_row_id(df, out=cfg.key)
         df = normalize_validation(ensure_train(df, clean=cfg.clean), cfg.clean)
         names = VALIDATION_NAMES
-    return holdout(df, cfg.validation_percent, cfg.seed, cfg.key, names)
+    read, bad = split_bad_lines(df)
+    if read.where(F.col(cfg.key).isNull()).head(1):
+        raise ValueError(f"the key {cfg.key} is null in some rows")
+    held = holdout(read, cfg.validation_percent, cfg.seed, cfg.key, names)
+    return held if bad is None else held.unionByName(
+        df.where(F.col(CORRUPT).isNotNull()), allowMissingColumns=True)
 
 
 def render_with(df: DataFrame, cfg: PrepConfig) -> DataFrame:
@@ -42,8 +63,15 @@ def render_with(df: DataFrame, cfg: PrepConfig) -> DataFrame:
         cfg.conversation_field, cfg.style, cfg.eos, cfg.key, cfg.clean)
 
 
+def learn_words(text: DataFrame, cfg: PrepConfig) -> DataFrame:
+    """The word vocabulary of rendered text by the settings, as a written table."""
+    specials = ("<pad>", cfg.eos, "<unk>") if cfg.eos else ("<pad>", "<unk>")
+    return materialize(
+        build_word_vocab(text, cfg.vocab_size, specials=specials, eos=cfg.eos), "vocab")
+
+
 def prepare(spark: SparkSession, cfg: PrepConfig, vocab: DataFrame | None = None) -> DataFrame:
-    """Source to examples: ``row_id, split, input_ids, attention_mask, labels``.
+    """Source to examples: key, ``split, input_ids, attention_mask, labels``.
 
     Without a vocabulary, one of words is learned from the rendered text. Rendered text is written
     once then, as it is read for the vocabulary and for the examples.
@@ -51,10 +79,26 @@ def prepare(spark: SparkSession, cfg: PrepConfig, vocab: DataFrame | None = None
     text = render_with(load(spark, cfg), cfg)
     if vocab is None:
         text = materialize(text, "rendered")
-        specials = ("<pad>", cfg.eos, "<unk>") if cfg.eos else ("<pad>", "<unk>")
-        vocab = materialize(
-            build_word_vocab(text, cfg.vocab_size, specials=specials, eos=cfg.eos), "vocab")
-    return tokenize_dataset(text, vocab, cfg.max_len, key=cfg.key, eos=cfg.eos, clean=cfg.clean)
+        vocab = learn_words(text, cfg)
+    return tokenize_dataset(text, vocab, cfg.max_len, key=cfg.key, eos=cfg.eos,
+                            on_unknown=cfg.on_unknown, clean=cfg.clean)
+
+
+def prepare_batches(examples: DataFrame, vocab: DataFrame, cfg: PrepConfig,
+                    split: str = "train", side: str = "right") -> DataFrame:
+    """Examples of a split (best a written table) to padded batches in the order of training:
+    ``epoch, step, batch_id, slot``, key and the three example columns.
+
+    Shuffled anew for each of ``cfg.epochs``, ``cfg.batch_size`` rows to a batch and ``cfg.accum``
+    batches to a step. Padding is the end marker of the vocabulary, or a new id without one.
+    """
+    name = "ch" if "ch" in vocab.columns else "token"
+    row = vocab.agg(F.count("*").alias("n"), F.max(F.when(
+        F.col(name) == F.lit(cfg.eos), F.col("id"))).alias("eos")).first()
+    batches = assign_batches(
+        examples.where(F.col("split") == split), cfg.batch_size, cfg.epochs, cfg.seed, cfg.key)
+    return accumulation_groups(
+        pad_batches(batches, default_pad_id(row["n"], row["eos"]), side, cfg.clean), cfg.accum)
 
 
 def prepare_chars(df: DataFrame, hi: float = 50, row_sep: str = "\n\n", fraction: float = 0.9,
@@ -76,13 +120,32 @@ def prepare_chars(df: DataFrame, hi: float = 50, row_sep: str = "\n\n", fraction
     return table, segments, windows
 
 
+def prepare_traces(df: DataFrame, cfg: PrepConfig, hi: float = 50, batch_size: int = 32,
+                   seed: int = 1337, **fields):
+    """Rows of four trace fields to what :func:`prepare_chars` gives, ``cfg.eval_batches`` windows of
+    ``cfg.block_size`` each; ``fields`` go to ``render_trace``. Rows are numbered if they have no
+    key; the joined text is written once."""
+    if cfg.key not in df.columns:
+        df = with_row_id(df, out=cfg.key)
+    text = materialize(render_trace(df, key=cfg.key, clean=cfg.clean, **fields), "traces")
+    return prepare_chars(text, hi, n_batches=cfg.eval_batches, batch_size=batch_size,
+                         block_size=cfg.block_size, seed=seed, key=cfg.key)
+
+
 def prepare_stream(stream: DataFrame, cfg: PrepConfig, vocab: DataFrame) -> DataFrame:
-    """A stream of raw rows to examples with a given character vocabulary."""
-    if "ch" not in vocab.columns:
-        raise ValueError("streams are encoded with a character vocabulary")
+    """A stream of raw rows to examples with a given vocabulary of characters or words.
+
+    Lines that do not parse are left out (take them from the stream with ``split_bad_lines``). What
+    happens to characters that the vocabulary lacks is ``cfg.on_unknown``. A word vocabulary must fit
+    the plan, as rows of a stream cannot be put together again.
+    """
+    if "ch" not in vocab.columns and not fits_plan(vocab):
+        raise ValueError(f"streams take word vocabularies of up to {LOOKUP_ROWS} tokens of "
+                         f"up to {LOOKUP_BYTES} bytes")
     held = holdout_threshold(stream, cfg.validation_percent, cfg.seed, cfg.key)
     return tokenize_dataset(
-        render_with(held, cfg), vocab, cfg.max_len, key=cfg.key, eos=cfg.eos, on_unknown="drop")
+        render_with(held, cfg), vocab, cfg.max_len, key=cfg.key, eos=cfg.eos,
+        on_unknown=cfg.on_unknown, clean=cfg.clean)
 
 
 def choose_next(scores: DataFrame, cfg: PrepConfig, seen: DataFrame | None = None) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Most rows a side may have to be sent to every executor, and most bytes of text in them.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
-_handed_out: list[str] = []
+_handed_out: dict[str, list[str]] = defaultdict(list)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -22,28 +24,32 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="corpusloom-")
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _session_key(spark: SparkSession) -> str:
+    return f"{spark.sparkContext.applicationId}/{spark._jsparkSession.sessionUUID()}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    _handed_out.append(path)
+    _handed_out[_session_key(spark)].append(path)
     return path
 
 
 def drop_scratch(spark: SparkSession) -> int:
-    """Delete what this process wrote under scratch paths; returns how many there were.
+    """Delete what this session wrote under scratch paths; returns how many there were.
 
-    Call it when no table built on them is read any more.
+    Call it when no table built on them is read any more, as when a result has been written.
     """
-    dropped = 0
-    while _handed_out:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+    dropped, paths = 0, _handed_out.pop(_session_key(spark), [])
+    while paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         dropped += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     return dropped
 
@@ -66,4 +72,8 @@ def spread(df: DataFrame) -> DataFrame:
     returned unchanged, so at scale this costs nothing.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    plan = df._jdf.queryExecution().executedPlan()
+    # Counting the partitions of a plan with shuffles would run them; only scans are counted.
+    if "Exchange" in plan.toString() or "Adaptive" in plan.nodeName():
+        return df
+    return df.repartition(cores) if plan.execute().getNumPartitions() < cores else df

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from corpusloom.functions.layout import CORRUPT
 from corpusloom.operators.order import global_rank
 from corpusloom.session import materialize
 
@@ -38,48 +40,132 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def _starts_with_bracket(spark: SparkSession, path: str, glob: str | None) -> bool:
-    # One line of one file: tells a JSON array from one object per line.
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    first = reader.text(path).where(F.length(F.trim("value")) > 0).select(
-        F.left(F.trim("value"), F.lit(1)).alias("c")).first()
-    return first is not None and first["c"] == "["
+def _head(spark: SparkSession, path: str, size: int) -> str:
+    """The first bytes of a file, read by the driver."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        data = bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+    return data.decode("utf-8", "ignore").lstrip("\ufeff")
+
+
+def _part_files(spark: SparkSession, path: str, glob: str | None) -> list[str]:
+    """The files below a path that is one input (a folder that Spark wrote, or a file)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(target).isFile():
+        return [path]
+    names = sorted(s.getPath().toString() for s in fs.listStatus(target) if s.isFile())
+    return [n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", "."))
+            and (glob is None or n.endswith(glob.lstrip("*")))]
+
+
+def _is_array(spark: SparkSession, path: str) -> bool:
+    """Whether a JSON file is one array rather than one object per line."""
+    if _suffix(path) == ".jsonl":
+        return False
+    for size in (256, 1 << 20):
+        head = _head(spark, path, size).lstrip()
+        if head:
+            return head.startswith("[")
+    return False
+
+
+def _key_order(spark: SparkSession, path: str) -> list[str]:
+    """The names in the first record of a JSON file, in its order; empty if that is too long."""
+    head = _head(spark, path, 1 << 20).lstrip().removeprefix("[").lstrip()
+    try:
+        record, _ = json.JSONDecoder().raw_decode(head)
+    except ValueError:
+        return []
+    return list(record) if isinstance(record, dict) else []
+
+
+def with_corrupt(schema: T.StructType | str) -> T.StructType:
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if CORRUPT in schema.names:
+        return schema
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _common(schemas: list[T.StructType]) -> T.StructType:
+    """One schema for all; a field that has several types is text."""
+    fields: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            known = fields.get(f.name)
+            if known is None:
+                fields[f.name] = T.StructField(f.name, f.dataType)
+            elif known.dataType != f.dataType:
+                fields[f.name] = T.StructField(f.name, T.StringType())
+    return T.StructType(list(fields.values()))
+
+
+def _read_json(spark: SparkSession, paths: list[str], schema, glob: str | None) -> DataFrame:
+    files = [f for p in paths for f in _part_files(spark, p, glob)]
+    kinds = {f: _is_array(spark, f) for f in files}
+    groups = [(array, [f for f in files if kinds[f] == array]) for array in (False, True)]
+    groups = [(array, found) for array, found in groups if found]
+
+    def read(array, wanted, given):
+        reader = spark.read.option("mode", "PERMISSIVE").option(
+            "columnNameOfCorruptRecord", CORRUPT).option("multiLine", array)
+        if given is not None:
+            reader = reader.schema(given)
+        if len(groups) > 1:
+            return reader.json(wanted)
+        # All alike: Spark lists the folders by itself.
+        return (reader.option("pathGlobFilter", glob) if glob else reader).json(paths)
+
+    if not groups:
+        groups = [(False, files)]
+    if schema is None:
+        found = _common([read(array, wanted, None).schema for array, wanted in groups])
+        order = {name: i for i, name in enumerate(_key_order(spark, files[0]) if files else [])}
+        schema = T.StructType(sorted(found.fields, key=lambda f: order.get(f.name, len(order))))
+    schema = with_corrupt(schema)
+    return reduce(DataFrame.unionByName, [read(array, wanted, schema) for array, wanted in groups])
 
 
 def read_format(spark: SparkSession, paths: list[str], fmt: str,
-                schema: T.StructType | str | None = None, glob: str | None = None) -> DataFrame:
+                schema: T.StructType | str | None = None, glob: str | None = None,
+                multiline: bool = False) -> DataFrame:
     """Read files of one kind.
 
     Pass a ``schema`` for big JSON or CSV inputs; without one they are read twice, once to infer it.
-    Lines of JSON that do not parse are kept in the column ``_corrupt_record`` rather than fatal.
+    JSON files are arrays or one object per line, each by itself: the driver looks at the first
+    bytes of every one that is not named ``.jsonl``. Columns come in the order of the first record.
+    A line that does not parse is kept in the column ``_corrupt_record``, with a schema or without;
+    ``split_bad_lines`` takes such rows out. JSON arrays, and CSV files if ``multiline`` (line
+    breaks in quotes), are one task per file.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if fmt == "json":
-        # Arrays span lines: such files are one task each. The first file decides.
-        array = _suffix(glob or paths[0]) == ".json" and _starts_with_bracket(spark, paths[0], glob)
-        return (
-            reader.option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("multiLine", array).json(paths))
+        return _read_json(spark, paths, schema, glob)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
-        return (reader if schema is not None else reader.option("inferSchema", True)).csv(paths)
+        reader = (reader.option("header", True).option("multiLine", multiline)
+                  .option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT))
+        if schema is None:
+            schema = reader.option("inferSchema", True).csv(paths).schema
+        return reader.schema(with_corrupt(schema)).csv(paths)
     if fmt == "parquet":
-        return reader.parquet(*paths)
+        return (reader if schema is None else reader.schema(schema)).parquet(*paths)
     if fmt == "text":
-        text = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-        return text.text(paths).withColumnRenamed("value", "text")
+        return reader.text(paths).withColumnRenamed("value", "text")
     raise ValueError(f"unsupported format: {fmt}")
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               clean: bool = False) -> DataFrame:
+               clean: bool = False, multiline: bool = False) -> DataFrame:
     """A file, or all supported files of a folder, as one table in the split ``train``.
 
-    The first file by name decides how all are read. ``clean=True`` reads every kind with its own
-    reader and puts the tables together by column name.
+    The first file by name decides the kind (JSON, CSV, Parquet, text) by which all are read.
+    ``clean=True`` reads every kind with its own reader and puts the tables together by column name.
     """
     files = list_files(spark, path)
     kinds = [FORMATS.get(_suffix(f)) for f in files]
@@ -88,12 +174,13 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType | str | None
     endings = {f[-len(_suffix(f)):] for f in files}
     if len(files) > 1 and len(endings) == 1:
         # All alike: give Spark the folder, which it lists by itself, not a list of all names.
-        table = read_format(spark, [path], kinds[0], schema, "*" + endings.pop())
+        table = read_format(spark, [path], kinds[0], schema, "*" + endings.pop(), multiline)
     elif not clean:
-        table = read_format(spark, files, kinds[0], schema)
+        table = read_format(spark, files, kinds[0], schema, multiline=multiline)
     else:
         tables = [
-            read_format(spark, [f for f, k in zip(files, kinds) if k == kind], kind, schema)
+            read_format(spark, [f for f, k in zip(files, kinds) if k == kind], kind, schema,
+                        multiline=multiline)
             for kind in dict.fromkeys(kinds)]
         table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     return table.withColumn("split", F.lit("train"))

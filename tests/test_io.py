@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpusloom as cl
+from corpusloom.operators import tokens
 from corpusloom.operators.tokens import char_table
 
 LINE = '{"id": 1, "text": "a\\nb"}'
@@ -17,7 +18,7 @@ def test_kinds(spark, tmp_path):
     (tmp_path / "c.JSON").write_text(LINE)
     (tmp_path / "d.csv").write_text('id,text\n1,"x, ""y""\nz"\n')
     (tmp_path / "e.txt").write_text("one\n\ntwo\n")
-    read = {n: cl.read_files(spark, str(tmp_path / n)) for n in
+    read = {n: cl.read_files(spark, str(tmp_path / n), multiline=n == "d.csv") for n in
             ("a.jsonl", "b.json", "c.JSON", "d.csv", "e.txt")}
     assert [r.text for r in read["a.jsonl"].collect()] == ["a\nb"] * 2
     assert [r.text for r in read["b.json"].collect()] == ["a\nb"] * 2
@@ -27,11 +28,76 @@ def test_kinds(spark, tmp_path):
     assert [r.text for r in read["e.txt"].collect()] == ["one", "", "two"]
 
 
-def test_bad_lines_are_kept(spark, tmp_path):
-    (tmp_path / "a.jsonl").write_text(LINE + "\nnot json\n")
-    rows = cl.read_files(spark, str(tmp_path / "a.jsonl")).cache()
-    assert rows.count() == 2
-    assert rows.where("_corrupt_record = 'not json'").count() == 1
+@pytest.mark.parametrize("schema", [None, "id bigint, text string"])
+@pytest.mark.parametrize("name", ["a.jsonl", "a.json"])
+def test_bad_lines_are_kept(spark, tmp_path, schema, name):
+    (tmp_path / name).write_text(LINE + "\nnot json\n" + LINE + "\n")
+    rows = cl.materialize(cl.read_files(spark, str(tmp_path / name), schema), "rows")
+    good, bad = cl.split_bad_lines(rows)
+    assert [r.line for r in bad.collect()] == ["not json"]
+    assert [(r.id, r.text) for r in good.collect()] == [(1, "a\nb")] * 2
+    assert [r.text for r in cl.render(rows, key="id").collect()] == ["a\nb"] * 2
+
+
+def test_arrays_and_lines_in_one_folder(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"b": 1, "a": "x"},\n {"b": 2, "a": "y"}]')
+    (tmp_path / "b.json").write_text('\n\ufeff \n{"b": 3, "a": "z"}\n{"b": "four", "c": 1}\n')
+    (tmp_path / "c.json").write_text("")
+    for schema in (None, "b string, a string, c bigint"):
+        got = cl.read_files(spark, str(tmp_path), schema)
+        assert got.columns == ["b", "a", "c", "_corrupt_record", "split"]
+        assert sorted((r.b, r.a or "", r.c or 0) for r in got.collect() if r.b) == [
+            ("1", "x", 0), ("2", "y", 0), ("3", "z", 0), ("four", "", 1)]
+
+
+def test_columns_in_the_order_of_the_first_record(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"title": "t", "body": "b"}\n{"body": "c", "aa": 1}\n')
+    got = cl.read_files(spark, str(tmp_path / "a.jsonl"))
+    assert got.columns[:3] == ["title", "body", "aa"]
+    assert [r.text for r in cl.render(got).collect()] == ["t", "None"]
+
+
+def test_bad_csv_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n1,x\ntwo,y\n3,z,more\n")
+    rows = cl.materialize(cl.read_files(
+        spark, str(tmp_path / "a.csv"), "id bigint, text string"), "rows")
+    good, bad = cl.split_bad_lines(rows)
+    assert [(r.id, r.text) for r in good.collect()] == [(1, "x")]
+    assert sorted(r.line for r in bad.collect()) == ["3,z,more", "two,y"]
+
+
+def test_bad_lines_of_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"row_id": 1, "text": "x"}\n{"row_id": 2, "te\n')
+    stream = cl.read_stream(spark, str(tmp_path / "in"), "json", "row_id bigint, text string")
+    cl.write_stream(cl.render(stream), str(tmp_path / "out"), str(tmp_path / "m"))
+    assert [r.text for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["x"]
+    cl.write_stream(stream, str(tmp_path / "raw"), str(tmp_path / "n"))
+    _, bad = cl.split_bad_lines(spark.read.parquet(str(tmp_path / "raw")))
+    assert [r.line for r in bad.collect()] == ['{"row_id": 2, "te']
+
+
+def test_prepare_numbers_rows_of_a_plain_file(spark, tmp_path):
+    lines = [json.dumps({"text": f"t {i}"}) for i in range(40)] + ["broken"]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines))
+    cfg = cl.PrepConfig(source="files", path=str(tmp_path / "a.jsonl"), vocab_size=60, batch_size=4,
+                        accum=2, epochs=3, schema="text string")
+    got = cl.materialize(cl.prepare(spark, cfg), "examples")
+    assert got.count() == 40 and got.select("row_id").distinct().count() == 40
+    vocab = cl.learn_words(spark.createDataFrame([("t </s>",)], "text string"), cfg)
+    batches = cl.prepare_batches(got, vocab, cfg).collect()
+    assert len(batches) == 3 * 38 and {r.epoch for r in batches} == {0, 1, 2}
+    assert max(r.step for r in batches) == 4 and {r.slot for r in batches} == {0, 1, 2, 3}
+    with pytest.raises(ValueError, match="all of the split 'train'"):
+        cl.PrepConfig(source="files", path="/x", split="test").validate()
+
+
+def test_prepare_raises_on_bad_keys(spark, tmp_path):
+    for i, line in enumerate(('{"row_id": 1, "text": "b"}', '{"text": "b"}')):
+        path = tmp_path / f"{i}.jsonl"
+        path.write_text('{"row_id": 1, "text": "a"}\n' + line)
+        with pytest.raises(ValueError, match="key"):
+            cl.prepare(spark, cl.PrepConfig(source="files", path=str(path)))
 
 
 def test_folder(spark, tmp_path):
@@ -128,7 +194,7 @@ def test_streaming_counts(spark, tmp_path):
             1).write.mode("append").json(src)
         cl.streaming_counts(
             cl.read_stream(spark, src, "json", "text string", files_per_trigger=1), out, marks)
-    row = spark.read.parquet(out).first()
+    row = cl.latest_counts(spark, out).first()
     assert (row.split, row.n_raw, row.n_kept, row.n_dropped) == ("train", 20, 16, 4)
 
 
@@ -180,7 +246,7 @@ def test_prepare_chars(spark, docs):
     assert windows.count() == 16
 
 
-def test_stream_of_examples(spark, tmp_path, docs, sf):
+def test_stream_of_examples(spark, tmp_path, docs, sf, monkeypatch):
     vocab = cl.build_char_vocab(docs, extra="</s>")
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     stream = cl.read_stream(spark, sf, "parquet", schema, "documents.parquet").select(
@@ -191,17 +257,23 @@ def test_stream_of_examples(spark, tmp_path, docs, sf):
     rows = spark.read.parquet(out).collect()
     assert len(rows) == docs.count() and max(len(r.input_ids) for r in rows) == 256
     assert char_table(vocab).size == vocab.count()
+    words = vocab.withColumnRenamed("ch", "token")
+    assert cl.prepare_stream(stream, cfg, words).isStreaming
+    monkeypatch.setattr(tokens, "LOOKUP_ROWS", 10)
     with pytest.raises(ValueError):
-        cl.prepare_stream(stream, cfg, vocab.withColumnRenamed("ch", "token"))
+        cl.prepare_stream(stream, cfg, words)
 
 
 def test_scratch_is_dropped(spark):
     from corpusloom import session
-    session._handed_out.clear()
+    cl.drop_scratch(spark)
     kept = session.materialize(spark.range(5), "t")
-    path = session._handed_out[0]
+    path = session._handed_out[session._session_key(spark)][0]
+    other = spark.newSession()
+    elsewhere = session.materialize(other.range(3), "t")
     assert path.startswith(session.scratch_root(spark)) and kept.count() == 5
     assert cl.drop_scratch(spark) == 1
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
     assert cl.drop_scratch(spark) == 0
+    assert elsewhere.count() == 3 and cl.drop_scratch(other) == 1

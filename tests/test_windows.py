@@ -1,6 +1,7 @@
 """Windows, batches and next-token tables against plain Python on small tables."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 from math import exp, floor, log
 
@@ -207,3 +208,38 @@ def test_choose_next(spark, scores):
     seen = spark.createDataFrame([("p", "a")], "prompt_id string, token string")
     strict = cl.PrepConfig(top_k=1, repetition_penalty=4.0)
     assert of(cl.choose_next(scores, strict, seen), "token") == {"b": "b"}
+
+
+def test_only_files_hit_are_read(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    spark.range(400).repartitionByRange(40, "id").select(
+        F.col("id").alias("row_id"), F.repeat(F.lit("abcde"), F.lit(100)).alias("text")
+    ).write.parquet(path)
+    docs = spark.read.parquet(path)
+    stream = cl.contiguous_split(cl.materialize(cl.corpus_offsets(docs), "index"))
+    windows = cl.sample_windows(stream, docs, 1, 2, 16)
+    assert windows.count() == 4 and all(len(r.x) == 16 for r in windows.collect())
+    plan = windows._jdf.queryExecution().executedPlan().toString()
+    assert "file_path" in plan
+    read = windows._jdf.queryExecution().optimizedPlan().toString()
+    assert "file_path" in read
+
+
+def test_repeated_and_null_keys_raise(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "row_id int, text string")
+    for call in (cl.corpus_offsets, cl.global_rank, cl.holdout,
+                 lambda d: cl.percent_slice(d, 0, 50), lambda d: cl.assign_batches(d, 2)):
+        with pytest.raises(ValueError, match="row_id=2 stands 2 times"):
+            call(df)
+        with pytest.raises(ValueError, match="1 rows have a null"):
+            call(df.selectExpr("if(text = 'b', null, row_id) as row_id", "text"))
+
+
+def test_arrays_move_once(spark, docs):
+    examples = cl.tokenize_dataset(docs, cl.char_table(cl.build_char_vocab(docs)), 32)
+    padded = cl.pad_batches(cl.assign_batches(examples, 4, 3), 0)
+    plan = padded._jdf.queryExecution().explainString(
+        padded.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moves = [part for part in plan.split("\n\n") if re.search(r"^\(\d+\) (Broadcast)?Exchange", part.strip())]
+    wide = [part for part in moves if "input_ids" in part.split("Arguments")[0]]
+    assert len(moves) >= 3 and len(wide) <= 1
