@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +17,17 @@ from pyspark.sql.types import (
 WORD = re.compile(r"[^\W\d_]+")
 #: Length of a block in the scan, largest score of a token, most words whose score is remembered.
 BLOCK, LIMIT, KNOWN_WORDS = 128, 30.0, 300_000
+#: Tokens that a step of training holds at a time.
+TOKENS = 200_000
 
 
-def word_features(word: str) -> list[str]:
-    """What the field sees of a word: itself, its beginnings and its ends, in lower case."""
+def word_features(word: str) -> list[int]:
+    """What the field sees of a word: itself, its beginnings and its ends, in lower case, as hashes
+    of 32 bits."""
     w = word.lower()
-    return ([f"={w}"] + [f"<{w[:n]}" for n in range(2, 7) if n < len(w)]
+    seen = ([f"={w}"] + [f"<{w[:n]}" for n in range(2, 7) if n < len(w)]
             + [f">{w[-n:]}" for n in range(2, 5) if n < len(w)])
+    return [crc32(f.encode("utf-8", "surrogatepass")) for f in seen]
 
 
 # --- chain ---------------------------------------------------------------------------------------
@@ -176,15 +182,19 @@ def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
     if len(set(toxic)) < 2:
         return Model({}, -5.0, Chain(), (-10.0 if not any(toxic) else 10.0, 0.0, 0.0, 0.0))
     number: dict[str, int] = {}
-    docs = [np.array([number.setdefault(w.lower(), len(number)) for w in WORD.findall(t)], np.int64)
+    docs = [np.array([number.setdefault(w.lower(), len(number)) for w in WORD.findall(t)], np.int32)
             for t in texts]
     names = list(number)
-    features: dict[str, int] = {}
-    own = [[features.setdefault(f, len(features)) for f in word_features(w)] for w in names]
-    per_word = np.array([len(fs) for fs in own], np.int64)
+    del number
+    hashed, per_word = array("I"), array("I")
+    for w in names:
+        seen = word_features(w)
+        hashed.extend(seen)
+        per_word.append(len(seen))
+    per_word = np.array(per_word, np.int64)
+    features, feature_of = np.unique(np.array(hashed, np.uint32), return_inverse=True)
+    del hashed
     word_of = np.repeat(np.arange(len(names)), per_word)
-    feature_of = np.array([f for fs in own for f in fs], np.int64)
-    del own
     at = np.cumsum(per_word) - per_word
 
     def features_of(words):
@@ -198,36 +208,41 @@ def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
     first = np.append(True, of[1:] != of[:-1]) if len(of) else np.zeros(0, bool)
     marks = marking_features(docs, toxic, len(features), features_of)
     marked = np.bincount(word_of, marks[feature_of], len(names)) > 0
-    y = (marked[tokens] & (np.array(toxic)[of] > 0)).astype(float)
+    y = marked[tokens] & (np.array(toxic)[of] > 0)
+    del of, at
+    # the tokens of some documents at a time
+    heads = np.append(np.flatnonzero(first), len(tokens))
+    cuts = heads[np.unique(np.searchsorted(heads, np.arange(0, len(tokens) + TOKENS, TOKENS)
+                                           ).clip(0, len(heads) - 1))].tolist()
+    parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
 
     often = marks | (np.bincount(feature_of, minlength=len(features)) >= least)
     chosen = often[feature_of]
     word_of = word_of[chosen]
     feature_of = (np.cumsum(often) - 1)[feature_of[chosen]]
-    kept = [f for f, ok in zip(features, often.tolist()) if ok]
+    kept = features[often]
     evident = marks[often]
-    inner = np.flatnonzero(~first)
 
     weights = np.zeros(len(kept))
     rest = np.array([-3.0, -3.0, -3.0, 0.0, 0.0])  # bias, start, enter, leave, stay
     moment = [np.zeros(len(kept) + 5), np.zeros(len(kept) + 5)]
     for step in range(1, rounds + 1):
         per_word = rest[0] + np.bincount(word_of, weights[feature_of], len(names))
-        score = per_word[tokens]
         chain = Chain(*rest[1:])
-        e, ahead, back = chain.messages(score, first)
-        p = ahead * back / (ahead * back + 1.0 - ahead)
-        miss = y - p
-        by_word = np.bincount(tokens, miss, len(names))
-        grad = np.empty(len(kept) + 5)
-        grad[:len(kept)] = np.bincount(feature_of, by_word[word_of], len(kept))
         enter, leave, stay = np.exp(rest[2:])
-        f, er = ahead[inner - 1], e[inner] * back[inner]
-        moves = np.stack([(1 - f), (1 - f) * enter * er, f * leave, f * stay * er])
-        moves /= moves.sum(axis=0)
-        was, now = y[inner - 1], y[inner]
-        grad[-5:] = (miss.sum(), miss[first].sum(), ((1 - was) * now - moves[1]).sum(),
+        by_word, ends = np.zeros(len(names)), np.zeros(5)
+        for part in parts:
+            e, ahead, back = chain.messages(per_word[tokens[part]], first[part])
+            miss = y[part] - ahead * back / (ahead * back + 1.0 - ahead)
+            by_word += np.bincount(tokens[part], miss, len(names))
+            inner = np.flatnonzero(~first[part])
+            f, er = ahead[inner - 1], e[inner] * back[inner]
+            moves = np.stack([(1 - f), (1 - f) * enter * er, f * leave, f * stay * er])
+            moves /= moves.sum(axis=0)
+            was, now = y[part][inner - 1].astype(float), y[part][inner].astype(float)
+            ends += (miss.sum(), miss[first[part]].sum(), ((1 - was) * now - moves[1]).sum(),
                      (was * (1 - now) - moves[2]).sum(), (was * now - moves[3]).sum())
+        grad = np.append(np.bincount(feature_of, by_word[word_of], len(kept)), ends)
         grad[:len(kept)] -= decay * len(docs) * weights
         moment[0] = 0.9 * moment[0] + 0.1 * grad
         moment[1] = 0.99 * moment[1] + 0.01 * grad ** 2
@@ -238,7 +253,7 @@ def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
 
     chain = Chain(*(float(v) for v in rest[1:]))
     per_word = rest[0] + np.bincount(word_of, weights[feature_of], len(names))
-    p = chain.marginals(per_word[tokens], first)
+    p = np.concatenate([chain.marginals(per_word[tokens[part]], first[part]) for part in parts])
     ends = np.cumsum(lengths)
     x = np.stack([summary(p[b - n:b], _Named(names, d)) for b, n, d in zip(ends, lengths, docs)])
     line, target = np.zeros(4), np.array(toxic, float)
@@ -249,7 +264,7 @@ def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
     share = target.mean()
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     line[0] += np.log(prior / (1 - prior)) - np.log(share / (1 - share))
-    return Model({f: float(w) for f, w in zip(kept, weights) if abs(w) > 0.02},
+    return Model({int(f): float(w) for f, w in zip(kept, weights) if abs(w) > 0.02},
                  float(rest[0]), chain, tuple(float(v) for v in line))
 
 
