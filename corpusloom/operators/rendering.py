@@ -134,7 +134,11 @@ def split_bad_lines(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     if names.CORRUPT not in df.columns:
         return df, None
     bad = F.col(names.CORRUPT)
-    return df.where(bad.isNull()).drop(names.CORRUPT), df.where(bad.isNotNull()).select(
+    # Spark does not read that column of a file alone; any other one makes it read whole lines.
+    other = next((F.col(f"`{c}`") for c in df.columns if c not in (names.CORRUPT, "split")), bad)
+    read = other.isNull() | other.isNotNull()
+    return df.where(bad.isNull() & read).drop(names.CORRUPT), df.where(
+        bad.isNotNull() & read).select(
         *[c for c in ("row_id", "split") if c in df.columns], bad.alias("line"))
 
 

@@ -34,6 +34,10 @@ def test_bad_lines_are_kept(spark, tmp_path, schema, name):
     (tmp_path / name).write_text(LINE + "\nnot json\n" + LINE + "\n")
     rows = cl.materialize(cl.read_files(spark, str(tmp_path / name), schema), "rows")
     good, bad = cl.split_bad_lines(rows)
+    # of the written table or of the file itself
+    for found in (good, bad), cl.split_bad_lines(cl.read_files(
+            spark, str(tmp_path / name), schema)):
+        assert [x.count() for x in found] == [2, 1]
     assert [r.line for r in bad.collect()] == ["not json"]
     assert [(r.id, r.text) for r in good.collect()] == [(1, "a\nb")] * 2
     assert [r.text for r in cl.render(rows, key="id").collect()] == ["a\nb"] * 2
