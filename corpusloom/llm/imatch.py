@@ -19,10 +19,10 @@ from corpusloom.operators.order import MAX_BUCKETS, key_bounds, range_bucket
 
 TERM = re.compile(r"\w+")
 #: Subsets keep a term with chance 1/2 to the power of their level; level 0 is the whole lexicon.
-LEVELS, PER_LEVEL = 11, 3
+LEVELS, PER_LEVEL = 11, 5
 SUBSETS = 1 + LEVELS * PER_LEVEL
 #: Terms counted before a task hands counts on; characters fingerprinted together.
-TERMS_AT_ONCE, CHARS_AT_ONCE = 400_000, 2_000_000
+TERMS_AT_ONCE, CHARS_AT_ONCE = 400_000, 1_000_000
 
 
 def term_hash(term: str) -> int:
