@@ -402,7 +402,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     docs = _keyed(df, id_col, text_col)
     spans = repeated_spans(df, id_col, text_col, length, reach, lot).groupBy("_id", "_hash").agg(
-        F.collect_list("_span").alias("_spans"))
+        F.collect_set("_span").alias("_spans"))
 
     def run(batches):
         for batch in batches:
