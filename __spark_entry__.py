@@ -94,6 +94,13 @@ def q_conv_render(spark, sf_dir):
     return cl.render(conversations(spark, sf_dir), eos=EOS)
 
 
+def q_conv_render_parts(spark, sf_dir):
+    """Conversations put together from parts, as very long ones are."""
+    turns = cl.spread(table(spark, sf_dir, "conversations"))
+    lists = cl.assemble_conversations(turns, "conv_id", "turn", turns_per_part=3)
+    return cl.render(lists.withColumnRenamed("conv_id", "row_id"), eos=EOS)
+
+
 def q_conv_roles_chatml(spark, sf_dir):
     return cl.render(conversations(spark, sf_dir), style="chatml")
 
@@ -289,6 +296,13 @@ def q_sampled_windows(spark, sf_dir):
     return windows.withColumns({"x": joined("x"), "y": joined("y")})
 
 
+def q_sampled_windows_joined(spark, sf_dir):
+    """The same windows without any broadcast, as for very many of them."""
+    docs = documents(spark, sf_dir)
+    stream = cl.contiguous_split(cl.materialize(cl.corpus_offsets(docs), "index"))
+    return cl.sample_windows(stream, docs, n_batches=50, broadcast_rows=0)
+
+
 def q_short_windows(spark, sf_dir):
     """A corpus shorter than a block: all windows start at its beginning."""
     names = table(spark, sf_dir, "region").select(
@@ -358,6 +372,22 @@ def q_word_encode_large(spark, sf_dir):
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
+def q_word_encode_shuffled(spark, sf_dir):
+    """The same, with the rest of the vocabulary joined by shuffle."""
+    docs = spread_documents(spark, sf_dir)
+    vocab = cl.materialize(cl.build_word_vocab(docs, 10 ** 9), "vocab")
+    coded = cl.encode_words(docs, vocab, broadcast_rows=0)
+    return coded.select("row_id", joined("ids").alias("ids"))
+
+
+def q_char_encode_wide(spark, sf_dir):
+    """Characters of high code points in every text, which are looked up by pages."""
+    docs = spread_documents(spark, sf_dir).withColumn(
+        "text", F.concat("text", F.lit("漢字"), F.lit("😀"), F.lit("한")))
+    coded = cl.encode_chars(docs, cl.build_char_vocab(docs))
+    return coded.select("row_id", joined("ids").alias("ids"))
+
+
 def q_tokenize_dataset(spark, sf_dir):
     """Blank rows out, end marker in, word ids cut to 256, masks and labels."""
     text = cl.render(cl.spread(with_blanks(spark, sf_dir)), eos=EOS)
@@ -863,6 +893,7 @@ def own_sql() -> dict[str, str]:
     shaped = f"trim(text, {WS})"
     return {
         "conv_render": f"with {CHATS} select row_id, {_eos('body')} as text from chats",
+        "conv_render_parts": f"with {CHATS} select row_id, {_eos('body')} as text from chats",
         "conv_roles_chatml": f"""select conv_id as row_id, string_agg({role}, '' order by turn)
             as text from conversations group by conv_id""",
         "conv_roles_inst": f"""select conv_id as row_id, string_agg({inst}, '' order by turn)
@@ -968,6 +999,8 @@ def own_sql() -> dict[str, str]:
               from cuts, lut)
             select split, batch_id, slot, start, array_to_string(l[1:256], ',') as x,
               array_to_string(l[2:257], ',') as y from ids""",
+        "sampled_windows_joined": f"""with {_windows(50)} select split, batch_id, slot, start,
+            left(w, 256) as x, substr(w, 2, 256) as y from cuts""",
         "short_windows": f"""with {_windows(50, """docs as (select r_regionkey as row_id,
               r_name as text from region)""")}
             select split, batch_id, slot, start::bigint as start, left(w, 256) as x,
@@ -989,9 +1022,13 @@ def own_sql() -> dict[str, str]:
               union all select -1, repeat(repeat('z', 60000) || ' ', 50)),
             {_word_vocab('docs', 5000, WORDS_RE, SPECIALS)}, {_word_ids('docs', WORDS_RE, 2)}
             select docs.row_id, coalesce(ids, '') as ids from docs left join coded using (row_id)""",
-        "word_encode_large": f"""with {DOCS}, {_word_vocab('docs', 10 ** 9, WORDS_RE, SPECIALS)},
+        **dict.fromkeys(("word_encode_large", "word_encode_shuffled"), f"""with {DOCS},
+            {_word_vocab('docs', 10 ** 9, WORDS_RE, SPECIALS)},
             {_word_ids('docs', WORDS_RE, 2)} select docs.row_id, coalesce(ids, '') as ids
-            from docs left join coded using (row_id)""",
+            from docs left join coded using (row_id)"""),
+        "char_encode_wide": f"""with docs as (select doc_id as row_id, text || '漢字😀한' as text
+            from documents), {VOCAB.format(src='docs')}, {_char_ids('docs')}
+            select row_id, array_to_string(l, ',') as ids from coded""",
         "tokenize_dataset": f"""with {BLANKS}, bodies as (select row_id, split, trim(text, {WS})
             as body from blanks), rows as (select row_id, split, {_eos('body')} as text from bodies),
             {_word_vocab('docs', 3000, WORDS_EOS_RE, SPECIALS, 2)},

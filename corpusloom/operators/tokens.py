@@ -197,13 +197,14 @@ def fits_plan(vocab: DataFrame, token: str = "token") -> bool:
 
 def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id",
                 out: str = "ids", keep: tuple[str, ...] = ("split",),
-                unknown_id: int | None = None, token: str = "token") -> DataFrame:
+                unknown_id: int | None = None, token: str = "token",
+                broadcast_rows: int | None = None) -> DataFrame:
     """Arrays of tokens to arrays of ids by a vocabulary of any size: ``key, keep..., out``.
 
     The entries with the least ids (the frequent ones) are looked up in place, by a constant of the
     plan. If the vocabulary has more, the positions that are still open leave their rows, meet the
-    other entries in a join on the token (broadcast up to a bound, else by shuffle: none of them is
-    frequent) and are put back by the key; ids that were found stay where they are. Tokens and keys
+    other entries in a join on the token (broadcast up to ``broadcast_rows``, else by shuffle: none of
+    them is frequent) and are put back by the key; ids that were found stay where they are. Tokens and keys
     must be unique, else it raises.
     """
     keep = tuple(c for c in keep if c in df.columns and c != key)
@@ -230,7 +231,8 @@ def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id
     open_ = slots.select(key, F.inline(F.filter(
         "_slots", lambda s: s["id"].isNull() & s["token"].isNotNull()))).select(
         key, "pos", F.col("token").alias("_token"))
-    side = F.broadcast(rest) if n_rest <= BROADCAST_ROWS and _small(rest) else rest
+    most = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    side = F.broadcast(rest) if n_rest <= most and _small(rest) else rest
     found = open_.join(side, "_token").groupBy(key).agg(
         F.collect_list(F.struct("pos", F.col("_id").alias("id"))).alias("_found"))
     settled = F.transform(
@@ -327,7 +329,8 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
 
 def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "row_id",
                  out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
-                 unknown: str = UNKNOWN, max_len: int | None = None) -> DataFrame:
+                 unknown: str = UNKNOWN, max_len: int | None = None,
+                 broadcast_rows: int | None = None) -> DataFrame:
     """Text to word ids by :func:`encode_join`; ``max_len`` keeps the first ids of a row.
 
     With a vocabulary that is a constant of the plan this is a projection and moves no row. The
@@ -345,7 +348,8 @@ def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str =
     if max_len is not None:
         all_words = F.slice(all_words, 1, max_len)
     rows = df.withColumn("_words", F.coalesce(all_words, F.array().cast("array<string>")))
-    return encode_join(rows, "_words", vocab, key, out, keep, row["id"] if row else None)
+    return encode_join(rows, "_words", vocab, key, out, keep, row["id"] if row else None,
+                       broadcast_rows=broadcast_rows)
 
 
 # --- examples ------------------------------------------------------------------------------------

@@ -48,7 +48,7 @@ def _cells(lo, end):
 def sample_windows(stream: DataFrame, texts: DataFrame, n_batches: int, batch_size: int = 32,
                    block_size: int = 256, seed: int = 1337, row_sep: str = "\n\n",
                    vocab: DataFrame | CharTable | None = None, text: str = "text",
-                   key: str = "row_id") -> DataFrame:
+                   key: str = "row_id", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``n_batches`` batches of windows per split: ``split, batch_id, slot, start, x, y``.
 
     ``stream`` is the split corpus index (``contiguous_split``; best a written table, as it is read
@@ -57,13 +57,14 @@ def sample_windows(stream: DataFrame, texts: DataFrame, n_batches: int, batch_si
 
     Windows and rows meet in an equi-join on the number of the chunk of the stream they touch. Only
     the pieces found there are cut from the texts; a text is scanned where it lies if the pieces are
-    few enough to broadcast, and of a table of many files only those are read that hold one.
+    few enough to broadcast (``broadcast_rows``; else it is joined by key, to the same result), and
+    of a table of many files only those are read that hold one.
     """
     spark = stream.sparkSession
     totals = stream.groupBy("split").agg(F.max("total").alias("total"))
     width = block_size + 1
     draws = draw_starts(totals, n_batches, batch_size, block_size, seed)
-    few = n_batches * batch_size <= BROADCAST_ROWS // 8
+    few = n_batches * batch_size <= broadcast_rows // 8
 
     # Rows as chunks of at most CHUNK characters, each listed in the (one or two) cells it touches.
     # Chunks start at the segment, not at the split: `chunk` counts from the segment's first character.
@@ -92,7 +93,7 @@ def sample_windows(stream: DataFrame, texts: DataFrame, n_batches: int, batch_si
                 (end - lo).cast("int").alias("len"))
     )
     pieces = materialize(pieces, "pieces")
-    small = pieces.count() <= BROADCAST_ROWS
+    small = pieces.count() <= broadcast_rows
 
     last = texts.agg(F.max(key)).first()[0]
     needed = pieces.select(key).distinct()
