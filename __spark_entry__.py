@@ -380,6 +380,18 @@ def q_word_encode_shuffled(spark, sf_dir):
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
+def q_subword_encode(spark, sf_dir):
+    """By a token table of all characters and the short words among the frequent ones."""
+    docs = spread_documents(spark, sf_dir)
+    short = cl.build_word_vocab(docs, 1000, specials=()).where(
+        F.length("token").between(2, 4)).select("token")
+    tokens = cl.build_char_vocab(docs).select(F.col("ch").alias("token")).union(short)
+    vocab = cl.materialize(cl.global_rank(cl.materialize(tokens, "tokens"), "token", "id").select(
+        "token", F.col("id").cast("int").alias("id")), "vocab")
+    coded = cl.encode_subwords(docs, vocab, max_piece=4)
+    return coded.select("row_id", joined("ids").alias("ids"))
+
+
 def q_char_encode_wide(spark, sf_dir):
     """Characters of high code points in every text, which are looked up by pages."""
     docs = spread_documents(spark, sf_dir).withColumn(
@@ -1026,6 +1038,26 @@ def own_sql() -> dict[str, str]:
             {_word_vocab('docs', 10 ** 9, WORDS_RE, SPECIALS)},
             {_word_ids('docs', WORDS_RE, 2)} select docs.row_id, coalesce(ids, '') as ids
             from docs left join coded using (row_id)"""),
+        "subword_encode": f"""with recursive {DOCS}, said as (select row_id, unnest(w) as word,
+              generate_subscripts(w, 1) as pos from (select row_id,
+              regexp_extract_all(text, {WORDS_RE}) as w from docs)),
+            counted as (select word, count(*) as n from said group by word),
+            often as (select word from counted order by n desc, word limit 1000),
+            tokens as (select word as token from often where length(word) between 2 and 4
+              union select distinct unnest(string_split(text, '')) from docs where text <> ''),
+            pc as (select token, row_number() over (order by token) - 1 as id,
+              length(token) as len from tokens),
+            spots as (select word, unnest(range(1, length(word) + 1)) as spot from counted),
+            best as (select word, spot, max_by(pc.len, pc.len) as len, max_by(pc.id, pc.len) as id
+              from spots cross join range(1, 5) l(l) join pc on pc.token = substr(word, spot, l) and pc.len = l
+              group by word, spot),
+            walk as (select word, 1::bigint as spot from counted
+              union all select word, spot + len from walk join best using (word, spot)),
+            parts as (select word, string_agg(id::varchar, ',' order by spot) as ids
+              from walk join best using (word, spot) group by word),
+            rows as (select row_id, string_agg(ids, ',' order by pos) as ids
+              from said join parts using (word) group by row_id)
+            select row_id, coalesce(ids, '') as ids from docs left join rows using (row_id)""",
         "char_encode_wide": f"""with docs as (select doc_id as row_id, text || '漢字😀한' as text
             from documents), {VOCAB.format(src='docs')}, {_char_ids('docs')}
             select row_id, array_to_string(l, ',') as ids from coded""",

@@ -14,8 +14,8 @@ from corpusloom.operators.counts import split_counts, token_stats
 from corpusloom.operators.hooks import map_batches
 from corpusloom.operators.order import check_keys, exact_k, global_rank, key_at, prefix_sum
 from corpusloom.operators.rendering import (
-    assemble_conversations, drop_blank, keep_only, render, render_instruction, render_messages,
-    render_text, render_trace, split_bad_lines, wrap_prompts,
+    assemble_conversations, conversation_parts, drop_blank, keep_only, render,
+    render_instruction, render_messages, render_text, render_trace, split_bad_lines, wrap_prompts,
 )
 from corpusloom.operators.scores import (
     eval_loss, greedy_next, next_token_counts, repetition_penalty, sample_next,
@@ -26,7 +26,7 @@ from corpusloom.operators.splits import (
 )
 from corpusloom.operators.tokens import (
     build_char_vocab, build_word_vocab, char_table, decode_chars, encode_chars, encode_join,
-    encode_words, tokenize_dataset, truncate, vocab_size, with_masks,
+    encode_subwords, encode_words, split_words, tokenize_dataset, truncate, vocab_size, with_masks,
 )
 from corpusloom.operators.windows import sample_windows, shifted_pairs
 from corpusloom.plans.prepare import (

@@ -153,40 +153,54 @@ def keep_only(df: DataFrame, *columns: str, key: str = "row_id") -> DataFrame:
     return df.select(*system, *columns)
 
 
-def assemble_conversations(df: DataFrame, key: str, order: str, role: str = "role",
-                           text: str = "text", out: str = "messages",
-                           turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """A table of turns to one ordered message list per conversation.
-
-    The list is one value of one row, so a conversation ends in one task whatever is done. A cheap
-    count over the key column tells whether one is very long; its turns are then dealt into parts
-    that are collected and ordered apart, and only the finished parts meet.
+def conversation_parts(df: DataFrame, key: str, order: str, role: str = "role",
+                       text: str = "text", out: str = "messages",
+                       turns_per_part: int = TURNS_PER_PART) -> DataFrame:
+    """A table of turns to ordered message lists: ``key, part, out``.
+
+    A conversation is one part, unless it has more than ``turns_per_part`` turns: then it is cut at
+    values of ``order`` (a number, date or time) into parts of about that many, each a group of its
+    own, and no task holds it whole. Parts in turn are the conversation.
     """
+    return _parts(df, key, order, role, text, out, turns_per_part)[0]
+
+
+def _parts(df, key, order, role, text, out, turns_per_part) -> tuple[DataFrame, bool]:
+    """The parts, and whether any conversation has more than one."""
     turn = F.struct(
         F.col(order).alias("_order"), F.col(role).alias("role"), F.col(text).alias("content"))
+    turns = df.select(key, turn.alias("_turn"))
+    part = F.lit(0)
+    long = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > turns_per_part)
+    n_long, most = long.agg(F.count("*"), F.max("_n")).first()
+    if n_long:
+        pieces = -(-most // turns_per_part)
+        shares = [i / pieces for i in range(1, pieces)]
+        bounds = df.join(long, key, "left_semi").groupBy(key).agg(
+            F.percentile_approx(order, shares, 10_000).alias("_bounds"))
+        small = n_long * pieces <= BROADCAST_ROWS
+        turns = turns.join(F.broadcast(bounds) if small else bounds, key, "left")
+        part = F.coalesce(F.size(F.filter(
+            "_bounds", lambda b: F.coalesce(b <= F.col("_turn._order"), F.lit(False)))), F.lit(0))
+        part = F.when(F.col("_bounds").isNull(), 0).otherwise(part)
+    grouped = turns.groupBy(key, part.alias("part")).agg(
+        F.array_sort(F.collect_list("_turn")).alias("_turns"))
+    bare = F.transform("_turns", lambda m: F.struct(
+        m["role"].alias("role"), m["content"].alias("content")))
+    return grouped.select(key, "part", bare.alias(out)), bool(n_long)
 
-    def ordered(rows, *by):
-        return rows.groupBy(*by).agg(F.array_sort(F.collect_list("_turn")).alias("_turns"))
 
-    def bare(turns):
-        return F.transform(turns, lambda m: F.struct(
-            m["role"].alias("role"), m["content"].alias("content")))
+def assemble_conversations(df: DataFrame, key: str, order: str, role: str = "role",
+                           text: str = "text", out: str = "messages",
+                           turns_per_part: int = TURNS_PER_PART) -> DataFrame:
+    """A table of turns to one ordered message list per conversation.
 
-    turns = df.select(key, turn.alias("_turn"))
-    long = (
-        df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > turns_per_part)
-    )
-    long_count = long.count()
-    whole = ordered(turns, key).select(key, bare(F.col("_turns")).alias(out))
-    if long_count == 0:
-        return whole
-    if long_count <= BROADCAST_ROWS:
-        long = F.broadcast(long)
-    # Parts by the hash of the turn: even whatever the order values are; merged by one sort.
-    pieces = F.ceil(F.col("_n") / turns_per_part)
-    dealt = turns.join(long, key, "left").withColumn(
-        "_part", F.coalesce(F.pmod(F.xxhash64("_turn._order"), pieces), F.lit(0)))
-    parts = ordered(dealt, key, "_part")
-    merged = F.array_sort(F.flatten(F.collect_list("_turns")))
-    return parts.groupBy(key).agg(merged.alias("_turns")).select(
-        key, bare(F.col("_turns")).alias(out))
+    The list is one value of one row, so a conversation ends in one task whatever is done: the parts
+    of :func:`conversation_parts` are put one behind the other, without sorting them again. Go on
+    with the parts where a conversation may not fit a task.
+    """
+    parts, several = _parts(df, key, order, role, text, out, turns_per_part)
+    if not several:
+        return parts.drop("part")
+    whole = F.array_sort(F.collect_list(F.struct("part", out)))
+    return parts.groupBy(key).agg(F.flatten(F.transform(whole, lambda p: p[out])).alias(out))

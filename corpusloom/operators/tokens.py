@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.functions.text import append_eos
 from corpusloom.operators.order import check_keys, key_at
@@ -156,34 +156,36 @@ def decode_chars(df: DataFrame, vocab: DataFrame | CharTable, ids: str = "ids",
 
 # --- ids through a vocabulary table --------------------------------------------------------------
 
-def _lookup(entries: list[tuple[str, int]]):
-    """Token to id (null if unknown) as an expression over a constant table.
+def _lookup(vocab: DataFrame, rows: int):
+    """Token to id (null if unknown) as an expression over a constant table of ``rows`` entries.
 
     The table is cells of a few entries; tokens are values in it, of any length and content.
     """
-    size = 1 << (2 * len(entries)).bit_length()
-    spark = SparkSession.active()
+    size = 1 << (2 * rows).bit_length()
+    kind = vocab.schema["_id"].dataType.simpleString()
 
     def cell(token):
         return F.pmod(F.xxhash64(token), F.lit(size)).cast("int")
 
-    frame = spark.createDataFrame(entries, "token string, id int")
     tokens: list = [[] for _ in range(size)]
     ids: list = [[] for _ in range(size)]
-    for r in frame.select("token", "id", cell(F.col("token")).alias("cell")).collect():
-        tokens[r["cell"]].append(r["token"])
-        ids[r["cell"]].append(r["id"])
+    for r in vocab.select("_token", "_id", cell(F.col("_token")).alias("cell")).limit(
+            rows + 1).collect():
+        tokens[r["cell"]].append(r["_token"])
+        ids[r["cell"]].append(r["_id"])
+    if sum(map(len, ids)) > rows:
+        raise ValueError("ids of a vocabulary must be unique")
 
     def constant(value, kind):
         return F.from_json(F.lit(json.dumps(value)), f"array<array<{kind}>>", {"mode": "FAILFAST"})
 
-    tokens, ids = constant(tokens, "string"), constant(ids, "int")
+    n, tokens, ids = sum(map(len, ids)), constant(tokens, "string"), constant(ids, kind)
 
     def id_of(token):
         at = cell(token)
         return F.get(F.get(ids, at), F.array_position(F.get(tokens, at), token).cast("int") - 1)
 
-    return id_of
+    return id_of, n
 
 
 def _in_plan(token: str, number: str) -> Column:
@@ -197,30 +199,29 @@ def fits_plan(vocab: DataFrame, token: str = "token") -> bool:
 
 def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id",
                 out: str = "ids", keep: tuple[str, ...] = ("split",),
-                unknown_id: int | None = None, token: str = "token",
-                broadcast_rows: int | None = None) -> DataFrame:
+                unknown_id: int | list[int] | None = None, token: str = "token",
+                broadcast_rows: int | None = None, rank: str = "id") -> DataFrame:
     """Arrays of tokens to arrays of ids by a vocabulary of any size: ``key, keep..., out``.
 
     The entries with the least ids (the frequent ones) are looked up in place, by a constant of the
     plan. If the vocabulary has more, the positions that are still open leave their rows, meet the
     other entries in a join on the token (broadcast up to ``broadcast_rows``, else by shuffle: none of
-    them is frequent) and are put back by the key; ids that were found stay where they are. Tokens and keys
-    must be unique, else it raises.
+    them is frequent) and are put back by the key; ids that were found stay where they are. Tokens
+    and keys must be unique, else it raises. Ids may be lists; ``rank`` then names a column that
+    numbers the tokens, the frequent ones first.
     """
     keep = tuple(c for c in keep if c in df.columns and c != key)
-    vocab = vocab.select(F.col(token).alias("_token"), F.col("id").alias("_id"))
-    in_plan = _in_plan("_token", "_id")
-    check_keys(vocab, "_token")
-    head = [(r["_token"], r["_id"]) for r in vocab.where(in_plan).limit(LOOKUP_ROWS + 1).collect()]
-    if len(head) > LOOKUP_ROWS:
-        raise ValueError("ids of a vocabulary must be unique")
-    id_of = _lookup(head)
-    unknown = F.lit(unknown_id).cast("int")
-    rest = vocab.where(~in_plan)
-    n_rest = rest.count()
+    vocab = vocab.select(
+        F.col(token).alias("_token"), F.col("id").alias("_id"), F.col(rank).alias("_rank"))
+    kind = vocab.schema["_id"].dataType.simpleString()
+    in_plan = _in_plan("_token", "_rank")
+    rows = check_keys(vocab, "_token")
+    id_of, n_head = _lookup(vocab.where(in_plan), min(rows, LOOKUP_ROWS))
+    unknown = F.lit(unknown_id).cast(kind)
+    rest, n_rest = vocab.where(~in_plan), rows - n_head
     if n_rest == 0:
         ids = F.transform(F.col(tokens), lambda t: F.coalesce(id_of(t), unknown))
-        return df.select(key, *keep, F.coalesce(ids, F.array().cast("array<int>")).alias(out))
+        return df.select(key, *keep, F.coalesce(ids, F.array().cast(f"array<{kind}>")).alias(out))
 
     check_keys(df, key)
 
@@ -243,7 +244,7 @@ def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id
         F.transform("_found", lambda s: s["pos"]))
     filled = F.concat(settled, F.col("_found"), F.transform(
         lost, lambda pos: F.struct(pos.alias("pos"), unknown.alias("id"))))
-    none = F.array().cast("array<struct<pos:int,id:int>>")
+    none = F.array().cast(f"array<struct<pos:int,id:{kind}>>")
     ids = F.transform(F.sort_array(filled), lambda s: s["id"])
     return (
         slots.join(found, key, "left")
@@ -312,7 +313,6 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
     falling = Window.orderBy(F.desc("n"))
     ranked = counts.groupBy("n").agg(F.count("*").alias("_words")).withColumn(
         "_before", F.sum("_words").over(falling) - F.col("_words")).where(F.col("_before") < room)
-    ranked = materialize(ranked, "count-histogram")
     edge = ranked.where(F.col("_before") + F.col("_words") > room).first()
     if edge is not None:
         tied = counts.where(F.col("n") == edge["n"])
@@ -352,6 +352,65 @@ def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str =
                        broadcast_rows=broadcast_rows)
 
 
+# --- parts of words ------------------------------------------------------------------------------
+
+def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = None,
+                continuation: str = "", max_piece: int = 16) -> DataFrame:
+    """Words to the ids of their parts, by a given token table (``token, id``): the column ``token``
+    with ``id``, a list.
+
+    From its beginning on, each word is cut into the longest entry that it goes on with, of up to
+    ``max_piece`` characters; after the first one entries carry the mark ``continuation``. A word
+    that cannot be cut so is one unknown id. Every part that a word could have meets the table in
+    one join on the part.
+    """
+    piece = F.substring(F.col("token"), F.col("_at"), F.col("_len"))
+    parts = (
+        words.select("token", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("_at"))
+        .select("token", "_at", F.explode(F.sequence(F.lit(1), F.least(
+            F.lit(max_piece), F.length("token") - F.col("_at") + 1))).alias("_len"))
+        .withColumn("_piece", F.when(F.col("_at") == 1, piece).otherwise(
+            F.concat(F.lit(continuation), piece))))
+    table = vocab.select(F.col("token").alias("_piece"), F.col("id").alias("_id"))
+    longest = parts.join(table, "_piece").groupBy("token", "_at").agg(
+        F.max(F.struct("_len", "_id")).alias("_best"))
+    steps = longest.groupBy("token").agg(F.sort_array(F.collect_list(
+        F.struct("_at", "_best._len", "_best._id"))).alias("_steps"))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("ids"))
+
+    def walk(done, step):
+        return F.when(step["_at"] == done["at"], F.struct(
+            (done["at"] + step["_len"]).alias("at"),
+            F.concat(done["ids"], F.array(step["_id"])).alias("ids"))).otherwise(done)
+
+    walked = steps.select("token", F.aggregate("_steps", start, walk).alias("_done"))
+    whole = F.col("_done.at") == F.length("token") + 1
+    return words.join(walked, "token", "left").withColumn("id", F.when(
+        F.coalesce(whole, F.lit(False)), F.col("_done.ids")).otherwise(
+        F.array(F.lit(unknown_id).cast("int")))).drop("_done")
+
+
+def encode_subwords(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "row_id",
+                    out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
+                    unknown: str = UNKNOWN, continuation: str = "", max_piece: int = 16,
+                    max_len: int | None = None) -> DataFrame:
+    """Text to ids of parts of words by a given token table: each different word is split once
+    (:func:`split_words`), and its ids are put where it stands (:func:`encode_join`)."""
+    _check_eos(eos)
+    row = vocab.where(F.col("token") == unknown).select("id").first()
+    unknown_id = row["id"] if row else None
+    every = build_word_vocab(df, 2 ** 31 - 1, text=text, specials=(), eos=eos).select(
+        "token", F.col("id").alias("rank"))
+    table = materialize(
+        split_words(materialize(every, "words"), vocab, unknown_id, continuation, max_piece),
+        "split-words")
+    rows = df.withColumn("_words", F.coalesce(F.flatten(F.transform(
+        pieces(F.col(text)), lambda piece: words(piece, eos))), F.array().cast("array<string>")))
+    coded = encode_join(rows, "_words", table, key, "_parts", keep, [unknown_id], rank="rank")
+    ids = F.flatten("_parts")
+    return coded.withColumn(out, ids if max_len is None else F.slice(ids, 1, max_len)).drop("_parts")
+
+
 # --- examples ------------------------------------------------------------------------------------
 
 def truncate(ids: Column, max_len: int = 256, eos_id: int | None = None,

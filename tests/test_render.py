@@ -238,6 +238,19 @@ def test_prompts(spark):
                    wrapped.format("y[INST]")]
 
 
+def test_parts_of_a_conversation_are_in_order(spark):
+    turns = spark.range(1000).select(
+        F.when(F.col("id") < 900, F.lit("long")).otherwise(F.concat(F.lit("c"), F.col("id") % 7))
+        .alias("conv"), (F.col("id") * 37 % 1000).alias("turn"), F.lit("user").alias("role"),
+        (F.col("id") * 37 % 1000).cast("string").alias("text"))
+    rows = cl.conversation_parts(turns, "conv", "turn", turns_per_part=100).collect()
+    long = sorted((r for r in rows if r.conv == "long"), key=lambda r: r.part)
+    assert len(long) >= 8 and max(len(r.messages) for r in long) < 200
+    said = [int(m.content) for r in long for m in r.messages]
+    assert said == sorted(said) and len(said) == 900
+    assert all(r.part == 0 for r in rows if r.conv != "long")
+
+
 def test_hot_conversation_from_parts(spark):
     """One conversation holds a third of all turns; put together from parts it is the same."""
     turns = spark.range(3000).select(

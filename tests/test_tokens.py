@@ -236,3 +236,32 @@ def test_map_batches(spark):
     rows = cl.map_batches(df, make, "call bigint, rows bigint", batch_rows=100).collect()
     assert sum(r.rows for r in rows) == 1000
     assert sorted(r.call for r in rows) == sorted([1, 2, 3, 4, 5] * 2)
+
+
+def greedy(word, table, mark, most, unknown):
+    out, at = [], 0
+    while at < len(word):
+        for size in range(min(most, len(word) - at), 0, -1):
+            piece = (mark if at else "") + word[at:at + size]
+            if piece in table:
+                out.append(table[piece])
+                at += size
+                break
+        else:
+            return [unknown]
+    return out
+
+
+@pytest.mark.parametrize("mark, lookup", [("", 65_536), ("##", 65_536), ("##", 3)])
+def test_subwords_against_a_loop(spark, monkeypatch, mark, lookup):
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", lookup)
+    texts = ["unaffable unable, able!", "", "aaaa aab zq " * 5, None, "un" * 40, "able"]
+    starts = ["un", "a", "aa", "able", ",", "unaff"]
+    table = {t: i for i, t in enumerate(["<unk>", *starts, *[mark + t for t in (
+        "a", "b", "able", "un", "aff", "aaa")]][:64])}
+    vocab = spark.createDataFrame(list(table.items()), "token string, id int")
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string")
+    got = {r.row_id: r.ids for r in cl.encode_subwords(
+        df, vocab, continuation=mark, max_piece=5).collect()}
+    assert got == {i: [p for w in word_list(t or "") for p in greedy(w, table, mark, 5, 0)]
+                   for i, t in enumerate(texts)}
