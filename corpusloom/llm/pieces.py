@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 
 SPACE_MARK = "▁"
 #: Characters of text taken together in a task, and lattice positions kept for known words.
-CHARS_AT_ONCE, POSITIONS_KEPT = 2_000_000, 2_000_000
+CHARS_AT_ONCE, POSITIONS_KEPT = 1_000_000, 2_000_000
 DENSE = 160  # letters with a column of their own in the table of steps
 
 
@@ -129,7 +129,7 @@ class _Column:
     def add(self, values):
         n = self.n + len(values)
         if n > len(self.held):
-            grown = np.empty(n + n // 2, self.held.dtype)
+            grown = np.empty(n + n // 4, self.held.dtype)
             grown[:self.n] = self.held[:self.n]
             self.held = grown
         self.held[self.n:n] = values

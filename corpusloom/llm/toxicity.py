@@ -17,8 +17,8 @@ from pyspark.sql.types import (
 WORD = re.compile(r"[^\W\d_]+")
 #: Length of a block in the scan, largest score of a token, most words whose score is remembered.
 BLOCK, LIMIT, KNOWN_WORDS = 128, 30.0, 300_000
-#: Tokens that a step of training holds at a time.
-TOKENS = 200_000
+#: Tokens that a step of training holds at a time; characters of text that are scored together.
+TOKENS, CHARS_AT_ONCE = 200_000, 1_000_000
 
 
 def word_features(word: str) -> list[int]:
@@ -357,7 +357,7 @@ def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col
             low, out = 0, []
             while low < len(texts):
                 high, size = low, 0
-                while high < len(texts) and (high == low or size < 2_000_000):
+                while high < len(texts) and (high == low or size < CHARS_AT_ONCE):
                     size += len(texts[high])
                     high += 1
                 out += score_lot(model, known, texts[low:high])
