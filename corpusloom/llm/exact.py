@@ -20,12 +20,11 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
 
 
-def digest_runs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def digest_runs(df: DataFrame, number: Column, id_: Column, text: Column) -> DataFrame:
     """Row number, id and key of every row; the number's upper bits are the partition, its run."""
-    text = normalised(F.col(text_col))
+    text = normalised(text)
     return df.select(
-        F.monotonically_increasing_id().alias("_uid"), F.col(id_col).alias("_id"),
-        F.unhex(F.sha2(text, 256)).alias("_sha"),
+        number.alias("_uid"), id_.alias("_id"), F.unhex(F.sha2(text, 256)).alias("_sha"),
         F.octet_length(text).cast("long").alias("_bytes"), F.xxhash64(text).alias("_check"))
 
 
@@ -79,7 +78,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     row: exactly one row of a group is ``kept``. Other columns are not read, so their names do not
     matter. An empty table gives no rows.
     """
-    runs = materialize(digest_runs(df, id_col, text_col), "digests")
+    runs = materialize(digest_runs(
+        df, F.monotonically_increasing_id(), F.col(id_col), F.col(text_col)), "digests")
     return merge_runs(runs, keep, fan_in_bits).select(
         F.col("_id").alias(id_col), "keep_id", "group_size", "kept",
         F.lower(F.hex("_sha")).alias("text_sha256"))
@@ -88,13 +88,10 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "largest") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
-    row = F.monotonically_increasing_id()
-    numbered = materialize(df.select(row.alias("_uid"), F.struct(*[
-        F.col(f"`{c}`") for c in df.columns]).alias("_row")), "numbered")
-    text = normalised(F.col(f"_row.`{text_col}`"))
-    runs = materialize(numbered.select(
-        "_uid", F.col(f"_row.`{id_col}`").alias("_id"), F.unhex(F.sha2(text, 256)).alias("_sha"),
-        F.octet_length(text).cast("long").alias("_bytes"), F.xxhash64(text).alias("_check")),
-        "digests")
+    numbered = materialize(df.select(
+        F.monotonically_increasing_id().alias("_uid"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")), "numbered")
+    runs = materialize(digest_runs(numbered, F.col("_uid"), F.col(f"_row.`{id_col}`"),
+                                   F.col(f"_row.`{text_col}`")), "digests")
     kept = merge_runs(runs, keep).where("kept").select("_uid")
     return numbered.join(kept, "_uid", "left_semi").select("_row.*")

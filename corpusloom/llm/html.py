@@ -148,9 +148,7 @@ def main_text(page: str | None, window: int = 3, surge: float = 0.125) -> str:
     ``surge`` times the page's largest, and lines within a passage that are links only are left out.
     """
     lines, marked = page_lines(page or "")
-    counted = [n if (inside or not marked) else 0 for _, n, inside in lines]
-    if marked:
-        counted = [len(t) if inside else 0 for t, _, inside in lines]
+    counted = [(len(t) if inside else 0) if marked else n for t, n, inside in lines]
     full = [i for i, (t, _, _) in enumerate(lines) if t]
     counted = [counted[i] for i in full]
     sums, running = [0] * len(full), 0
