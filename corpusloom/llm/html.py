@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -35,6 +36,14 @@ ARTICLE = frozenset(("article", "main"))
 #: Words that mark furniture only outside an article, whose own heading may carry them.
 OUTSIDE_WORDS = frozenset(("header",))
 
+# Elements that may leave out their end tag, and what an end tag does not reach beyond.
+TABLE_PARTS = frozenset("caption colgroup tbody td tfoot th thead tr".split())
+OPEN_ENDED = TABLE_PARTS | frozenset("p li dd dt option optgroup".split())
+SCOPE = frozenset("applet caption html marquee object table td template th".split())
+SPECIAL = BLOCKS | FURNITURE | TABLE_PARTS
+#: Elements beyond this depth are kept track of only if they are blocks.
+DEPTH = 512
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -47,7 +56,7 @@ SPACE = re.compile(r"\s+")
 def _is_furniture(name: str, rest: str, inside: bool) -> bool:
     if name in FURNITURE or (name == "header" and not inside):
         return True
-    if not rest or name in ("html", "body") or name in ARTICLE:
+    if not rest or name in ("html", "body"):
         return False
     for key, value in MARK.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
@@ -64,56 +73,55 @@ def _is_furniture(name: str, rest: str, inside: bool) -> bool:
     return False
 
 
-def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """``(lines, marked)``: a line per block in page order as (text, its characters outside links,
-    whether it lies in an article element), and whether the page has such an element. Furniture,
-    scripts, comments and markup are empty lines."""
-    lines, parts = [], []
-    linked = plain = 0
-    depth, marked, in_link = 0, False, 0
-    skip, nested = None, 0
-    at, end_of = 0, len(page)
+class _Element:
+    """``closed``: whether it ends where the page says."""
 
-    def close():
-        nonlocal parts, linked, plain
-        # references first, so that a no-break space counts as white space
-        text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
-        share = plain / (plain + linked) if plain + linked else 0
-        lines.append((text, round(len(text) * share), depth > 0))
-        parts, linked, plain = [], 0, 0
+    __slots__ = ("name", "rest", "closed")
+
+    def __init__(self, name, rest):
+        self.name, self.rest, self.closed = name, rest, False
+
+
+def page_events(page: str) -> list[tuple]:
+    """Texts, starts and ends of elements in page order. Elements without an end tag end
+    with the one that they lie in."""
+    events, stack, open_ = [], [], Counter()
+    in_link = 0
+    at, end_of = 0, len(page)
 
     def add(text):
-        nonlocal linked, plain
-        parts.append(text)
-        n = len(text.strip())
-        if in_link:
-            linked += n
-        else:
-            plain += n
+        if text:
+            events.append(("text", text, in_link > 0))
+
+    def leave(place, closed):
+        while len(stack) > place:
+            e = stack.pop()
+            open_[e.name] -= 1
+            e.closed = closed if len(stack) == place else e.name in OPEN_ENDED and closed
+            events.append(("end", e, None))
+
+    def find(names, beyond):
+        """Place of the innermost open element of these names, or None."""
+        if not any(open_[n] for n in names):
+            return None
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i].name in names:
+                return i
+            if stack[i].name in beyond:
+                return None
+        return None
 
     while at < end_of:
         m = TOKEN.search(page, at)
         if m is None:
-            if skip is None:
-                add(page[at:])
+            add(page[at:])
             break
-        if skip is None and m.start() > at:
-            add(page[at:m.start()])
+        add(page[at:m.start()])
         at = m.end()
         name = m["name"]
         if name is None:
             continue
-        name, ends = name.lower(), bool(m["end"])
-        if skip is not None:
-            if name == skip:
-                nested += -1 if ends else 1
-                if nested == 0:
-                    skip = None
-                    close()
-                continue
-            if not (name in ARTICLE and not ends and depth == 0):
-                continue
-            skip = None  # the furniture before an article was never closed
+        name, ends, rest = name.lower(), bool(m["end"]), m["rest"]
         if not ends and name in RAW:
             stop = re.compile(rf"</{name}\s*>|\Z", re.I).search(page, at)
             at = stop.end()
@@ -121,51 +129,146 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if name == "a":
             in_link = max(0, in_link + (-1 if ends else 1))
         elif name == "br":
-            parts.append(" ")
-        if name in ARTICLE:
-            close()
-            depth = max(0, depth - 1) if ends else depth + 1
-            marked = True
+            events.append(("text", " ", True))
+        if name in BLOCKS:
             in_link = 0
-        elif not ends and name not in VOID and _is_furniture(name, m["rest"], depth > 0):
-            if not m["rest"].endswith("/"):
+        if ends:
+            if name in TABLE_PARTS or name == "table":
+                beyond = frozenset(("table", "template")) - {name}
+            elif name in ("li", "p"):
+                beyond = SCOPE | (frozenset(("ol", "ul")) if name == "li" else {"button"})
+            else:
+                beyond = SCOPE - {name} if name in SPECIAL else SPECIAL
+            place = find((name,), beyond)
+            if place is not None:
+                leave(place, True)
+            elif name in BLOCKS:
+                events.append(("break", None, None))
+            continue
+        if name in BLOCKS:
+            events.append(("break", None, None))
+        if name in VOID or name in ("html", "body"):
+            continue
+        if rest.endswith("/") and (name not in BLOCKS or _is_furniture(name, rest, False)):
+            continue
+        if len(stack) < DEPTH or name in SPECIAL:
+            e = _Element(name, rest)
+            stack.append(e)
+            open_[name] += 1
+            events.append(("start", e, None))
+    leave(0, False)
+    return events
+
+
+def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
+    """``(lines, marked)``: a line per block in page order as (text, its characters outside links,
+    whether it lies in an article element), and whether the page has such an element with text.
+    Furniture, with all that lies in it, scripts, comments and markup are empty lines. Furniture
+    that is not closed ends where an article starts."""
+    events = page_events(page)
+    lines, parts, skips = [], [], []
+    linked = plain = depth = 0
+
+    def close():
+        nonlocal parts, linked, plain
+        # references first, so that a no-break space counts as white space
+        text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
+        share = plain / (plain + linked) if plain + linked else 0
+        lines.append((text, round(len(text) * share), depth > 0))
+        parts, linked, plain = [], 0, 0
+
+    for kind, what, in_link in events:
+        if kind == "text":
+            if not skips:
+                parts.append(what)
+                n = len(what.strip())
+                if in_link:
+                    linked += n
+                else:
+                    plain += n
+            continue
+        if kind == "start":
+            if skips and (skips[0].closed or not (what.closed or what.name in ARTICLE)):
+                continue
+            furniture = _is_furniture(what.name, what.rest, depth > 0)
+            if skips and not furniture and what.name in ARTICLE and not any(
+                    e.closed for e in skips):
+                skips.clear()  # the furniture before an article was never closed
+            if furniture:
+                if not skips:
+                    close()
+                skips.append(what)
+            elif not skips and what.name in ARTICLE:
+                close()
+                depth += 1
+        elif kind == "end":
+            if skips:
+                if skips[-1] is what:
+                    skips.pop()
+                    if not skips:
+                        close()
+            elif what.name in ARTICLE:
                 close()
-                skip, nested = name, 1
-        elif name in BLOCKS:
+                depth -= 1
+            elif what.name in BLOCKS:
+                close()
+        elif not skips:
             close()
-            in_link = 0
     close()
-    return lines, marked
+    return lines, any(t and inside for t, _, inside in lines)
+
+
+def passages(lines: list[tuple[int, float]], window: int):
+    """``(number, characters)`` of lines, cut where ``window`` or more in a row have none."""
+    out, none = [], []
+    for line in lines:
+        if not line[1]:
+            none.append(line)
+            continue
+        if len(none) >= window and out:
+            yield out
+            out = []
+        if len(none) < window:
+            out += none
+        none = []
+        out.append(line)
+    if out:
+        yield out + (none if len(none) < window else [])
 
 
 def main_text(page: str | None, window: int = 3, surge: float = 0.125) -> str:
     """The article of a page, one line per block.
 
     The page is taken as lines (:func:`page_lines`) and the distribution is, for each line, the
-    characters outside links of ``window`` lines from it on. A passage begins where that sum
-    surges and ends where it dives to nothing. On a page that marks its article with an element,
-    lines outside it count nothing and any text is a surge; on others a surge is a sum of at least
-    ``surge`` times the page's largest, and lines within a passage that are links only are left out.
+    characters outside links of ``window`` lines from it on. A passage reaches from where that sum
+    dives to nothing to where it does so again, and is kept if the sum surges anywhere in it: to
+    ``surge`` times the page's largest.
+
+    On a page that marks its article with an element, the lines in it follow each other, whatever
+    stands between them; characters outside it weigh ``surge`` and make passages of their own.
+    Lines that are links only are left out, but for those within a passage of the element.
     """
     lines, marked = page_lines(page or "")
-    counted = [(len(t) if inside else 0) if marked else n for t, n, inside in lines]
-    full = [i for i, (t, _, _) in enumerate(lines) if t]
-    counted = [counted[i] for i in full]
-    sums, running = [0] * len(full), 0
-    for i in range(len(full) - 1, -1, -1):
-        running += counted[i] - (counted[i + window] if i + window < len(full) else 0)
-        sums[i] = running
-    top = max(sums, default=0)
-    least = 1 if marked else max(1, surge * top)
-    out, open_ = [], False
-    for i, line in enumerate(full):
-        if not open_ and sums[i] >= least:
-            open_ = True
-        elif open_ and sums[i] == 0:
-            open_ = False
-        if open_ and counted[i]:
-            out.append(lines[line][0])
-    return "\n".join(out)
+    within, stretches, last = [], [], None
+    for i, (text, n, inside) in enumerate(lines):
+        if text:
+            if inside:
+                within.append((i, n))
+            elif last is not False:
+                stretches.append([])
+            if not inside:
+                stretches[-1].append((i, n * surge if marked else n))
+            last = inside
+    found = []
+    for stretch in [within, *stretches]:
+        for passage in passages(stretch, window):
+            sums = [sum(n for _, n in passage[k:k + window]) for k in range(len(passage))]
+            found.append((passage, [x for x in sums if x]))
+    sums = [x for _, own in found for x in own]
+    least = max(1, surge * max(sums, default=0))
+    kept = sorted(i for passage, own in found if max(own) >= least
+                  for i, n in passage if n or lines[i][2])
+    return "\n".join(lines[i][0] for i in kept)
 
 
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -91,3 +91,23 @@ def test_columns_and_nulls(spark):
     assert sorted((str(r.page_id), r.text) for r in out.collect()) == [
         ("1", ""), ("1", ""), ("None", "x")]
     assert extract_text(df.limit(0)).count() == 0
+
+
+MAIN = "Main text goes on here for a while. " * 6
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<aside><article>teaser</article></aside><div><p>{MAIN}</p></div>", MAIN.strip()),
+    (f"<div class=related><article>teaser</article></div><div><p>{MAIN}</p></div>", MAIN.strip()),
+    (f"<article><p>{MAIN}</p></article><article class=comment><p>Nice!</p></article>", MAIN.strip()),
+    ("<div class=ad>open <aside><article>no</article></aside><article>kept</article>", "kept"),
+    # outside an element text weighs less, but counts
+    (f"<article>A teaser of some words.</article><div><p>{MAIN * 3}</p><p>{MAIN * 3}</p></div>",
+     f"A teaser of some words.\n{(MAIN * 3).strip()}\n{(MAIN * 3).strip()}"),
+    (f"<p>By Me</p><article><p>{MAIN}</p></article>", MAIN.strip()),
+    # window and surge act within an element: a dive of links
+    (f"<article><h1><a href=x>Title</a></h1><p>{MAIN}</p>" + "<p><a href=x>link</a></p>" * 3
+     + "</article>", f"Title\n{MAIN.strip()}"),
+])
+def test_distribution_on_marked_pages(page, text):
+    assert main_text(page) == text
