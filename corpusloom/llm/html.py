@@ -39,8 +39,20 @@ OUTSIDE_WORDS = frozenset(("header",))
 # Elements that may leave out their end tag, and what an end tag does not reach beyond.
 TABLE_PARTS = frozenset("caption colgroup tbody td tfoot th thead tr".split())
 OPEN_ENDED = TABLE_PARTS | frozenset("p li dd dt option optgroup".split())
+ENDS_P = BLOCKS - TABLE_PARTS - {"body", "html", "legend"}
 SCOPE = frozenset("applet caption html marquee object table td template th".split())
 SPECIAL = BLOCKS | FURNITURE | TABLE_PARTS
+#: Which open elements a start tag ends, and what lies beyond its reach.
+IMPLIED = {
+    **{n: (frozenset(("li",)), SPECIAL - {"address", "div", "p", "li"}) for n in ("li",)},
+    **{n: (frozenset(("dd", "dt")), SPECIAL - {"address", "div", "p", "dd", "dt"})
+       for n in ("dd", "dt")},
+    **{n: (frozenset(("option",)), frozenset(("select", "datalist", "optgroup")))
+       for n in ("option", "optgroup")},
+    **{n: (frozenset(("td", "th")), frozenset(("table", "template"))) for n in ("td", "th")},
+    "tr": (frozenset(("tr", "td", "th", "caption", "colgroup")), frozenset(("table", "template"))),
+    **{n: (TABLE_PARTS, frozenset(("table", "template"))) for n in ("tbody", "thead", "tfoot")},
+}
 #: Elements beyond this depth are kept track of only if they are blocks.
 DEPTH = 512
 
@@ -83,8 +95,8 @@ class _Element:
 
 
 def page_events(page: str) -> list[tuple]:
-    """Texts, starts and ends of elements in page order. Elements without an end tag end
-    with the one that they lie in."""
+    """Texts, starts and ends of elements in page order. Elements without an end tag end by the
+    rules of the markup language, at the latest with the page."""
     events, stack, open_ = [], [], Counter()
     in_link = 0
     at, end_of = 0, len(page)
@@ -145,6 +157,11 @@ def page_events(page: str) -> list[tuple]:
             elif name in BLOCKS:
                 events.append(("break", None, None))
             continue
+        if name in ENDS_P and (place := find(("p",), SCOPE | {"button"})) is not None:
+            leave(place, True)
+        if name in IMPLIED:
+            while (place := find(*IMPLIED[name])) is not None:
+                leave(place, True)
         if name in BLOCKS:
             events.append(("break", None, None))
         if name in VOID or name in ("html", "body"):

@@ -111,3 +111,19 @@ MAIN = "Main text goes on here for a while. " * 6
 ])
 def test_distribution_on_marked_pages(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p class=notice>Note<p>First<p>Second</article><footer>End</footer>",
+     "First\nSecond"),
+    ("<article><p class=notice>Note<div>First</div></article>", "First"),
+    ("<article><ul><li class=ad>x<li>y<ul><li class=ad>z</ul><li>w</ul><p>After</article>",
+     "y\nw\nAfter"),
+    ("<article><dl><dt class=ad>a<dd>b<dt>c<dd class=ad>d</dl><p>After</article>", "b\nc\nAfter"),
+    ("<article><table><tr class=ad><td>a<td>b<tr><td class=ad>c<td>d</table><p>After</article>",
+     "d\nAfter"),
+    ("<article><div><p class=ad>x</div><p>After</article>", "After"),
+    ("<article><option class=ad>x<option>y</article>", "y"),
+])
+def test_end_tags_left_out(page, text):
+    assert main_text(page) == text
