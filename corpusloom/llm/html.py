@@ -32,6 +32,13 @@ FURNITURE_WORDS = frozenset(
     "notice notices notification alert newsletter subscribe subscription signup login search "
     "related recommended share sharing social popup modal overlay pagination pager footer "
     "masthead topbar toolbar skip".split())
+#: Words that such names are put together with; any other ("no-sidebar") says something else.
+NAME_PARTS = frozenset(
+    "area bar block body bottom box button buttons card center column container content desktop "
+    "first form frame global group header heading holder icon icons inner item items label last "
+    "left line link links list main middle mobile module outer page panel policy post posts "
+    "primary region right row secondary section site slot space text thread title top unit "
+    "articles stories wrap wrapper zone".split())
 ARTICLE = frozenset(("article", "main"))
 #: Words that mark furniture only outside an article, whose own heading may carry them.
 OUTSIDE_WORDS = frozenset(("header",))
@@ -65,7 +72,16 @@ MARK = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']
 SPACE = re.compile(r"\s+")
 
 
-def _is_furniture(name: str, rest: str, inside: bool) -> bool:
+def _named_furniture(name: str, words: frozenset) -> bool:
+    """Whether a class or id is one of the words, or put together of them and ``NAME_PARTS``."""
+    if name in words:
+        return True
+    parts = [x for x in re.split(r"[^a-z0-9]+", name) if x and not x[0].isdigit()]
+    return any(x in words for x in parts) and all(x in words or x in NAME_PARTS for x in parts)
+
+
+def _is_furniture(name: str, rest: str, inside: bool, most: bool) -> bool:
+    """``most``: the element holds most of the text of the page, so its class and id do not count."""
     if name in FURNITURE or (name == "header" and not inside):
         return True
     if not rest or name in ("html", "body"):
@@ -78,37 +94,47 @@ def _is_furniture(name: str, rest: str, inside: bool) -> bool:
         elif key == "hidden" or key == "aria-hidden":
             if key == "hidden" or value == "true":
                 return True
-        else:
-            words = set(re.split(r"[^a-z0-9]+", value))
-            if words & FURNITURE_WORDS or (not inside and words & OUTSIDE_WORDS):
+        elif not most:
+            words = FURNITURE_WORDS if inside else FURNITURE_WORDS | OUTSIDE_WORDS
+            if any(_named_furniture(x, words) for x in value.split()):
                 return True
     return False
 
 
 class _Element:
-    """``closed``: whether it ends where the page says."""
+    """``start``, ``end`` and ``cut``: the characters outside links before it, before its end, and
+    before the first article in it; ``closed``: whether it ends where the page says."""
+
+    __slots__ = ("name", "rest", "start", "end", "cut", "closed")
 
-    __slots__ = ("name", "rest", "closed")
+    def __init__(self, name, rest, start):
+        self.name, self.rest, self.start = name, rest, start
+        self.end = self.cut = None
+        self.closed = False
 
-    def __init__(self, name, rest):
-        self.name, self.rest, self.closed = name, rest, False
+    def held(self) -> int:
+        return (self.end if self.closed or self.cut is None else self.cut) - self.start
 
 
-def page_events(page: str) -> list[tuple]:
-    """Texts, starts and ends of elements in page order. Elements without an end tag end by the
-    rules of the markup language, at the latest with the page."""
+def page_events(page: str) -> tuple[list[tuple], int]:
+    """Texts, starts and ends of elements in page order, and the characters outside links. Elements
+    without an end tag end by the rules of the markup language, at the latest with the page."""
     events, stack, open_ = [], [], Counter()
-    in_link = 0
+    plain = in_link = 0
     at, end_of = 0, len(page)
 
     def add(text):
+        nonlocal plain
         if text:
             events.append(("text", text, in_link > 0))
+            if not in_link:
+                plain += len(text.strip())
 
     def leave(place, closed):
         while len(stack) > place:
             e = stack.pop()
             open_[e.name] -= 1
+            e.end = plain
             e.closed = closed if len(stack) == place else e.name in OPEN_ENDED and closed
             events.append(("end", e, None))
 
@@ -166,15 +192,19 @@ def page_events(page: str) -> list[tuple]:
             events.append(("break", None, None))
         if name in VOID or name in ("html", "body"):
             continue
-        if rest.endswith("/") and (name not in BLOCKS or _is_furniture(name, rest, False)):
+        if name in ARTICLE:
+            for e in stack:
+                if e.cut is None:
+                    e.cut = plain
+        if rest.endswith("/") and (name not in BLOCKS or _is_furniture(name, rest, False, False)):
             continue
         if len(stack) < DEPTH or name in SPECIAL:
-            e = _Element(name, rest)
+            e = _Element(name, rest, plain)
             stack.append(e)
             open_[name] += 1
             events.append(("start", e, None))
     leave(0, False)
-    return events
+    return events, plain
 
 
 def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
@@ -182,7 +212,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     whether it lies in an article element), and whether the page has such an element with text.
     Furniture, with all that lies in it, scripts, comments and markup are empty lines. Furniture
     that is not closed ends where an article starts."""
-    events = page_events(page)
+    events, total = page_events(page)
     lines, parts, skips = [], [], []
     linked = plain = depth = 0
 
@@ -207,7 +237,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if kind == "start":
             if skips and (skips[0].closed or not (what.closed or what.name in ARTICLE)):
                 continue
-            furniture = _is_furniture(what.name, what.rest, depth > 0)
+            furniture = _is_furniture(what.name, what.rest, depth > 0, 2 * what.held() > total)
             if skips and not furniture and what.name in ARTICLE and not any(
                     e.closed for e in skips):
                 skips.clear()  # the furniture before an article was never closed

@@ -127,3 +127,20 @@ def test_distribution_on_marked_pages(page, text):
 ])
 def test_end_tags_left_out(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize("attributes", [
+    "class='content no-sidebar'", "id=page class=has-sidebar", "class='entry-content comments-open'",
+    "class=ad-free", "class=share-count", "class=sidebar", "id='widget-area'"])
+@pytest.mark.parametrize("page", ["<div {}><p>{}</p></div><p>Next to it.</p>",
+                                  "<article><div {}><p>{}</p></div><p>Next to it.</p></article>"])
+def test_wrappers_of_the_text_stay(page, attributes):
+    assert main_text(page.format(attributes, MAIN)) == f"{MAIN.strip()}\nNext to it."
+
+
+@pytest.mark.parametrize("name", ["ad", "site-footer", "ad-300x250", "comment-12", "post sidebar",
+                                  "main-nav", "cookie_banner", "share-buttons"])
+def test_names_of_furniture(name):
+    assert main_text(f"<p>{MAIN}</p><div class='{name}'>Buy this.</div>") == MAIN.strip()
+    kept = f"<p>{MAIN}</p><div class='no-{name.split()[-1]}'>Not this.</div>"
+    assert main_text(kept) == f"{MAIN.strip()}\nNot this."
