@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -62,6 +63,8 @@ IMPLIED = {
 }
 #: Elements beyond this depth are kept track of only if they are blocks.
 DEPTH = 512
+#: Characters outside links in a window that are running text on any page.
+DENSE = 40
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -289,7 +292,7 @@ def main_text(page: str | None, window: int = 3, surge: float = 0.125) -> str:
     The page is taken as lines (:func:`page_lines`) and the distribution is, for each line, the
     characters outside links of ``window`` lines from it on. A passage reaches from where that sum
     dives to nothing to where it does so again, and is kept if the sum surges anywhere in it: to
-    ``surge`` times the page's largest.
+    ``surge`` times the median over the page, or to ``DENSE`` characters if that is less.
 
     On a page that marks its article with an element, the lines in it follow each other, whatever
     stands between them; characters outside it weigh ``surge`` and make passages of their own.
@@ -312,7 +315,7 @@ def main_text(page: str | None, window: int = 3, surge: float = 0.125) -> str:
             sums = [sum(n for _, n in passage[k:k + window]) for k in range(len(passage))]
             found.append((passage, [x for x in sums if x]))
     sums = [x for _, own in found for x in own]
-    least = max(1, surge * max(sums, default=0))
+    least = max(1, min(surge * median(sums), DENSE)) if sums else 1
     kept = sorted(i for passage, own in found if max(own) >= least
                   for i, n in passage if n or lines[i][2])
     return "\n".join(lines[i][0] for i in kept)

@@ -144,3 +144,17 @@ def test_names_of_furniture(name):
     assert main_text(f"<p>{MAIN}</p><div class='{name}'>Buy this.</div>") == MAIN.strip()
     kept = f"<p>{MAIN}</p><div class='no-{name.split()[-1]}'>Not this.</div>"
     assert main_text(kept) == f"{MAIN.strip()}\nNot this."
+
+
+def test_short_paragraphs_beside_a_long_block():
+    short = [f"{'abcd ' * 15}{i:05d}" for i in range(10)]
+    page = "".join(f"<p>{p}</p>" for p in short)
+    block = ("word " * 1200).strip()
+    links = "<p><a href=x>link</a></p>" * 3
+    assert main_text(f"{page}<p>{block}</p>") == "\n".join([*short, block])
+    assert main_text(f"<p>{block}</p>{page}") == "\n".join([block, *short])
+    assert main_text(f"<p>{block}</p>{links}{page}") == "\n".join([block, *short])
+    assert main_text(f"{page}{links}<p>{block}</p>{links}<p>{short[0]}</p>") == "\n".join(
+        [*short, block, short[0]])
+    # far below the rest of the page, between links
+    assert main_text(f"{page}{links}<p>Page 3</p>") == "\n".join(short)
