@@ -11,14 +11,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
+from corpusloom.session import materialize
+
 WORD = re.compile(r"[^\W\d_]+")
 #: Length of a block in the scan, largest score of a token, most words whose score is remembered.
 BLOCK, LIMIT, KNOWN_WORDS = 128, 30.0, 300_000
-#: Tokens that a step of training holds at a time; characters of text that are scored together.
-TOKENS, CHARS_AT_ONCE = 200_000, 1_000_000
+#: Tokens that a step of training holds at a time, and with all their features; characters of text
+#: that are scored together.
+TOKENS, FEATURE_TOKENS, CHARS_AT_ONCE = 200_000, 50_000, 1_000_000
 
 
 def word_features(word: str) -> list[int]:
@@ -125,7 +128,7 @@ def summary(marginals: np.ndarray, words: list[str]) -> np.ndarray:
 
 
 def marking_features(docs, toxic, n_features: int, features_of, purity: float = 0.9,
-                     risk: float = 0.01, most: int = 10, lot: int = 200) -> np.ndarray:
+                     risk: float = 0.01, most: int = 10, lot: int = FEATURE_TOKENS) -> np.ndarray:
     """Which features mark toxic documents; ``docs`` are arrays of word numbers.
 
     They stand in toxic documents so often that by chance alone fewer than ``risk`` of all features
@@ -135,8 +138,13 @@ def marking_features(docs, toxic, n_features: int, features_of, purity: float =
     """
     toxic = np.asarray(toxic, bool)
     have, times, tokens = (np.zeros((2, n_features)), np.zeros((2, n_features)), np.zeros(2))
-    for low in range(0, len(docs), lot):
-        part = docs[low:low + lot]
+    sizes, low = [len(d) for d in docs], 0
+    while low < len(docs):
+        high, size = low, 0
+        while high < len(docs) and (high == low or size + sizes[high] <= lot):
+            size += sizes[high]
+            high += 1
+        part = docs[low:high]
         lengths = [len(d) for d in part]
         words = np.concatenate(part)
         # pairs of document and feature, with how often
@@ -148,8 +156,9 @@ def marking_features(docs, toxic, n_features: int, features_of, purity: float =
             own = pair[kind == t] % n_features
             have[t] += np.bincount(own, minlength=n_features)
             times[t] += np.bincount(own, np.minimum(n[kind == t], most), n_features)
-            tokens[t] += sum(k for k, is_toxic in zip(lengths, toxic[low:low + lot])
+            tokens[t] += sum(k for k, is_toxic in zip(lengths, toxic[low:high])
                              if is_toxic == t)
+        low = high
     base, n, k = toxic.mean(), have.sum(axis=0), have[1]
     with np.errstate(divide="ignore", invalid="ignore"):
         share = k / n
@@ -273,33 +282,64 @@ def held_out(id_col: str):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 == 0
 
 
+def sample(lengths: list[int], most: int, chars: int) -> list[int]:
+    """Places of up to ``most`` texts, in the order given, that have ``chars`` characters together;
+    one that no longer fits is passed over. If none fits, the shortest one."""
+    taken = []
+    for i, n in enumerate(lengths):
+        if n <= chars:
+            chars -= n
+            taken.append(i)
+            if len(taken) == most:
+                break
+    return taken or sorted(range(len(lengths)), key=lengths.__getitem__)[:1]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", max_toxic: int = 1000, max_clean: int = 2000,
-        max_chars: int = 8_000, seed: int = 42) -> Model:
-    """Train on at most ``max_toxic`` and ``max_clean`` labelled documents that are not held out and
-    have at most ``max_chars`` characters, chosen by a hash of their id: a sample of fixed size
-    that the driver can hold. A document with several labels counts as toxic if one says so."""
-    short = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
-        (F.length("_text") <= max_chars) & F.col("_id").isNotNull())
+        label_col: str = "toxic", max_toxic: int = 2000, max_clean: int = 4000,
+        sample_chars: int = 24_000_000, seed: int = 42) -> Model:
+    """Train on at most ``max_toxic`` and ``max_clean`` labelled documents that are not held out,
+    chosen by a hash of their id: a sample of fixed size that the driver can hold. They are whole
+    documents of any length; together they have up to ``sample_chars`` characters, of which each
+    class has a share like its number of documents (:func:`sample`).
+
+    A document with several labels counts as toxic if one says so; of several texts under one id
+    the shortest counts. Without any label, or with labels of one class, the model says the same of
+    all documents; if there are labels of both classes, but texts of one only, this raises.
+    """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_toxic")).where(
-        F.col("_toxic").isNotNull()).groupBy("_id").agg(F.max("_toxic").alias("_toxic")).where(
-        ~held_out("_id"))
+        F.col("_toxic").isNotNull()).groupBy("_id").agg(
+        (F.max("_toxic") > 0).alias("_toxic")).where(~held_out("_id"))
     counts = {r["_toxic"]: r["n"] for r in known.groupBy("_toxic").agg(
         F.count("*").alias("n")).collect()}
-    n_toxic, n_all = sum(n for t, n in counts.items() if t > 0), sum(counts.values())
+    n_toxic, n_all = counts.get(True, 0), sum(counts.values())
     if not n_all:
         return Model({}, -5.0, Chain(), (-10.0, 0.0, 0.0, 0.0))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
+        F.col("_id").isNotNull() & F.col("_text").isNotNull())
+    labelled = materialize(
+        texts.select("_id", F.struct(F.length("_text").alias("n"), F.xxhash64("_text").alias("h"))
+                     .alias("_size")).join(known, "_id")
+        .groupBy("_id", "_toxic").agg(F.min("_size").alias("_size")), "labelled")
     order = F.xxhash64(F.lit(seed), "_id")
-    parts = [known.where(F.col("_toxic") > 0).orderBy(order, "_id").limit(2 * max_toxic),
-             known.where(F.col("_toxic") <= 0).orderBy(order, "_id").limit(2 * max_clean)]
-    rows = short.join(F.broadcast(parts[0].union(parts[1])), "_id").dropDuplicates(["_id"])
-    texts, toxic = [], []
-    for part, most in ((rows.where("_toxic > 0"), max_toxic), (rows.where("_toxic <= 0"),
-                                                               max_clean)):
-        for r in part.orderBy(order, "_id").limit(most).collect():
-            texts.append(r["_text"])
-            toxic.append(int(r["_toxic"] > 0))
-    return train(texts, toxic, n_toxic / n_all)
+    chosen = []
+    for is_toxic, most in ((True, max_toxic), (False, max_clean)):
+        # twice as many, so that others stand in for those that do not fit
+        rows = labelled.where(F.col("_toxic") == is_toxic).orderBy(order, "_id").limit(
+            2 * most).collect()
+        if not rows and len(counts) == 2:
+            raise ValueError(
+                f"no text for any of {counts[is_toxic]} labels {label_col} = {int(is_toxic)}")
+        share = sample_chars * most // (max_toxic + max_clean)
+        chosen += [(len(chosen) + k, rows[i]["_id"], rows[i]["_size"]["h"], is_toxic)
+                   for k, i in enumerate(sample([r["_size"]["n"] for r in rows], most, share))]
+    schema = StructType([
+        StructField("_place", LongType()), StructField("_id", labelled.schema["_id"].dataType),
+        StructField("_h", LongType()), StructField("_toxic", BooleanType())])
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, schema))
+    found = {r["_place"]: r["_text"] for r in texts.withColumn("_h", F.xxhash64("_text")).join(
+        wanted, ["_id", "_h"]).dropDuplicates(["_place"]).select("_place", "_text").collect()}
+    return train([found.pop(c[0]) for c in chosen], [int(c[3]) for c in chosen], n_toxic / n_all)
 
 
 # --- scoring -------------------------------------------------------------------------------------

@@ -107,3 +107,46 @@ def test_labels_of_held_out_rows_are_not_read(spark, sf):
     assert [r.h for r in docs.select(tox.held_out("doc_id").alias("h"), "doc_id").orderBy(
         "doc_id").collect()] == [crc32(str(i).encode()) % 5 == 0 for i in sorted(
             r.doc_id for r in docs.collect())]
+
+
+def long_docs(spark, n, pad):
+    """Made documents, those of the given classes with so many more words."""
+    docs, toxic = made(n, 3)
+    rows = [(i, d + " abcde" * pad[t], t) for i, (d, t) in enumerate(zip(docs, toxic))]
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+@pytest.mark.parametrize("pad", [(0, 3000), (3000, 0), (3000, 3000)])
+def test_long_documents_are_learnt_from(spark, pad):
+    rows = long_docs(spark, 300, pad)
+    model = tox.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert model.word_score("zorqmno") > model.word_score("abcde")
+    got = tox.score_toxicity(rows, model).join(rows.select("doc_id", "toxic"), "doc_id").toPandas()
+    assert (got.predicted == got.toxic).mean() > 0.95
+
+
+def test_labels_of_both_classes_need_texts_of_both(spark):
+    rows = long_docs(spark, 60, (0, 0))
+    labels = rows.select("doc_id", "toxic")
+    for t in (0, 1):
+        with pytest.raises(ValueError, match=f"toxic = {1 - t}"):
+            tox.fit(rows.where(F.col("toxic") == t), labels)
+    one = tox.fit(rows.where("toxic = 0"), labels.where("toxic = 0"))
+    assert {r.predicted for r in tox.score_toxicity(rows, one).collect()} == {0}
+
+
+def test_sample_by_characters():
+    assert tox.sample([5, 90, 5, 5, 5], 3, 100) == [0, 1, 2]
+    assert tox.sample([5, 99, 5, 5, 5], 3, 100) == [0, 2, 3]
+    assert tox.sample([300, 200], 3, 100) == [1] and tox.sample([], 3, 100) == []
+
+
+def test_sample_is_of_labelled_texts(spark):
+    """Labels without a text take no place in the sample."""
+    rows = long_docs(spark, 300, (0, 0))
+    labels = rows.select("doc_id", "toxic")
+    more = spark.range(1000, 4000).select(F.col("id").alias("doc_id"),
+                                          F.col("id").cast("int") % 2)
+    docs = rows.select("doc_id", "text")
+    assert tox.fit(docs, labels, max_toxic=50, max_clean=80).weights == tox.fit(
+        docs, labels.union(more), max_toxic=50, max_clean=80).weights
