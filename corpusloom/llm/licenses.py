@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.session import materialize
@@ -62,6 +65,30 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
 ]
+#: Full texts as published, by name, in a folder beside this module.
+TEXTS = {f.stem: f.read_text("utf-8")
+         for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+#: Where the terms end and the advice to users of the licence begins.
+ADVICE = re.compile(r"\n *(?:APPENDIX: How to apply|(?:How to Apply|Appendix: How to Apply) )", re.I)
+APACHE_HEADER = TEXTS["Apache-2.0"][TEXTS["Apache-2.0"].rindex("Licensed under"):]
+TITLES = {"BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License"}
+
+
+def _forms(name: str, text: str) -> list[str]:
+    """The text with and without the advice at its end; of short ones with points for numbers and
+    with a title."""
+    out = [text]
+    if ADVICE.search(text):
+        out.append(text[:ADVICE.search(text).start()])
+    if name in TITLES:
+        out.append(re.sub(r"(?m)^ *[0-9]\.", "*", text))
+        out += [t.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR") for t in out]
+        out += [f"{TITLES[name]}\n\n{t}" for t in out]
+    return out
+
+
+KNOWN += [(name, form) for name, text in TEXTS.items() for form in _forms(name, text)]
+KNOWN.append(("Apache-2.0", APACHE_HEADER))
 # Spellings that count as the same, applied in this order.
 SPELLINGS = [
     ("licence", "license"), ("licencing", "licensing"), ("acknowledgement", "acknowledgment"),
@@ -77,12 +104,18 @@ SPELLINGS = [
 #: A line that only says whose the text is; it begins with the mark and a year, name or sign.
 COPYRIGHT_LINE = (r"(?m)^[^\p{L}\p{N}\n©(]*(?:copyright[ \t]*(?:\(c\)|©|[0-9])|\(c\)[ \t]*(?:copyright|[0-9])"
                   r"|©|all rights reserved)[^\n]*$")
+#: The same by a name or a blank to fill in, before case is made alike: prose goes on in lower case.
+NAMED_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n©(]*(?:(?i:copyright)(?:[ \t]*[:,]?[ \t]*[\[<{]|[ \t]*:[ \t]*[\p{Lu}0-9]"
+    r"|[ \t]+(?!(?i:notices?|holders?|owners?|and|or|laws?|licen[cs]es?|treaty|statements?|interests?|"
+    r"rights?|permissions?|in|is|on|of|to|the|protection|ownership|disclaimers?|by law)\b)"
+    r"(?:\p{Lu}|[^\n]*\b(?:19|20)[0-9]{2}\b))|(?i:\(c\))[ \t]+[^\n]*\b(?:19|20)[0-9]{2}\b)[^\n]*$")
 NOT_WORD = r"[^\p{L}\p{N}\n]+"
 
 
 def canonical_lines(text: Column) -> Column:
     """The text with case, punctuation, copyright lines and spellings made alike; lines remain."""
-    out = F.lower(F.coalesce(text, F.lit("")))
+    out = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), NAMED_LINE, ""))
     out = F.regexp_replace(out, COPYRIGHT_LINE, "")
     out = F.regexp_replace(out, NOT_WORD, " ")
     for said, meant in SPELLINGS:

@@ -51,3 +51,29 @@ def test_rows_stay_and_no_python(spark):
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "MapIn" not in plan
     assert licenses.license_scan(df.limit(0)).count() == 0
+
+
+def test_full_texts(spark):
+    texts = licenses.TEXTS
+    assert sorted(texts) == ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0",
+                             "GPL-3.0", "MPL-2.0", "Unlicense"]
+    assert [w for w, _, _ in scan(spark, list(texts.values()))] == list(texts)
+    flat = [t.upper() for t in texts.values()]
+    assert [w for w, _, _ in scan(spark, flat)] == list(texts)
+    filled = texts["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 Jane Doe")
+    bsd = "BSD 3-Clause License\n\nCopyright (c) 2020, Me\nAll rights reserved.\n\n"
+    head = "Copyright 2020 Jane Doe\n\n" + licenses.APACHE_HEADER
+    got = scan(spark, [filled, filled[:filled.index("   APPENDIX")], head,
+                       bsd + texts["BSD-3-Clause"], texts["GPL-3.0"][:-200]])
+    assert [w for w, _, _ in got] == ["Apache-2.0"] * 3 + ["BSD-3-Clause", None]
+
+
+def test_copyright_lines_by_name(spark):
+    mit, isc = licenses.MIT_BODY, licenses.ISC_BODY
+    lines = ["Copyright Jane Doe, 2020", "Copyright: 2020 X", "(c) Jane Doe 2020", "Copyright Jane",
+             "Copyright <YEAR> <HOLDER>"]
+    assert [w for w, _, _ in scan(spark, [f"{x}\n\n{mit}" for x in lines])] == ["MIT"] * 5
+    # prose that begins with the word, and points of a list, stay
+    prose = ["copyright notice and this", "COPYRIGHT NOTICE", "(c) You must retain it", "copyright 	x"]
+    assert [w for w, _, _ in scan(spark, [f"{x}\n{mit}" for x in prose])] == [None] * 4
+    assert [w for w, _, _ in scan(spark, [isc, isc.upper()])] == ["ISC"] * 2
