@@ -392,6 +392,17 @@ def q_subword_encode(spark, sf_dir):
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
+def q_subword_encode_whole(spark, sf_dir):
+    """By a token table of all characters and the frequent words of any length."""
+    docs = spread_documents(spark, sf_dir)
+    often = cl.build_word_vocab(docs, 1000, specials=()).select("token")
+    tokens = cl.build_char_vocab(docs).select(F.col("ch").alias("token")).union(often).distinct()
+    vocab = cl.materialize(cl.global_rank(cl.materialize(tokens, "tokens"), "token", "id").select(
+        "token", F.col("id").cast("int").alias("id")), "vocab")
+    coded = cl.encode_subwords(docs, vocab)
+    return coded.select("row_id", joined("ids").alias("ids"))
+
+
 def q_char_encode_wide(spark, sf_dir):
     """Characters of high code points in every text, which are looked up by pages."""
     docs = spread_documents(spark, sf_dir).withColumn(

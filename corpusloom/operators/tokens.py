@@ -355,15 +355,22 @@ def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str =
 # --- parts of words ------------------------------------------------------------------------------
 
 def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = None,
-                continuation: str = "", max_piece: int = 16) -> DataFrame:
+                continuation: str = "", max_piece: int | None = None) -> DataFrame:
     """Words to the ids of their parts, by a given token table (``token, id``): the column ``token``
     with ``id``, a list.
 
-    From its beginning on, each word is cut into the longest entry that it goes on with, of up to
-    ``max_piece`` characters; after the first one entries carry the mark ``continuation``. A word
-    that cannot be cut so is one unknown id. Every part that a word could have meets the table in
-    one join on the part.
+    From its beginning on, each word is cut into the longest entry that it goes on with; after the
+    first one entries carry the mark ``continuation``. A word that cannot be cut so is one unknown
+    id. Every part that a word could have meets the table in one join on the part; parts have up to
+    ``max_piece`` characters, as many as the longest entry. A value below that raises.
     """
+    size, mark = F.length("token"), F.lit(continuation)
+    part_size = F.when(F.startswith(F.col("token"), mark), size - len(continuation)).otherwise(size)
+    longest = vocab.agg(F.max(size).alias("whole"), F.max(part_size).alias("part")).first()
+    if max_piece is None:
+        max_piece = max(1, longest["whole"] or 1)
+    elif max_piece < (longest["part"] or 0):
+        raise ValueError(f"max_piece is {max_piece}, the table has an entry of {longest['part']}")
     piece = F.substring(F.col("token"), F.col("_at"), F.col("_len"))
     parts = (
         words.select("token", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("_at"))
@@ -392,7 +399,7 @@ def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = Non
 
 def encode_subwords(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "row_id",
                     out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
-                    unknown: str = UNKNOWN, continuation: str = "", max_piece: int = 16,
+                    unknown: str = UNKNOWN, continuation: str = "", max_piece: int | None = None,
                     max_len: int | None = None) -> DataFrame:
     """Text to ids of parts of words by a given token table: each different word is split once
     (:func:`split_words`), and its ids are put where it stands (:func:`encode_join`)."""

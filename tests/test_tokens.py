@@ -265,3 +265,14 @@ def test_subwords_against_a_loop(spark, monkeypatch, mark, lookup):
         df, vocab, continuation=mark, max_piece=5).collect()}
     assert got == {i: [p for w in word_list(t or "") for p in greedy(w, table, mark, 5, 0)]
                    for i, t in enumerate(texts)}
+
+
+def test_subwords_of_long_entries(spark):
+    long = "incomprehensibilities"
+    table = {t: i for i, t in enumerate(["<unk>", *sorted(set(long)), "incomprehensible", long])}
+    vocab = spark.createDataFrame(list(table.items()), "token string, id int")
+    df = spark.createDataFrame([(1, f"{long} {long}s")], "row_id int, text string")
+    assert cl.encode_subwords(df, vocab).first().ids == [
+        table[long], table[long], table["s"]]
+    with pytest.raises(ValueError, match="entry of 21"):
+        cl.encode_subwords(df, vocab, max_piece=16)
