@@ -16,6 +16,7 @@ from corpusloom.llm.pieces import sample_pieces
 from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.simhash import simhash_groups
 from corpusloom.llm.toxicity import fit, held_out, score_toxicity
+from corpusloom.llm.turns import repair_conversations
 from corpusloom.llm.warc import archive_round_trip
 
 
@@ -73,6 +74,10 @@ def op10_html_main_text(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_repair_conversations(spark, sf_dir):
+    return repair_conversations(table(spark, sf_dir, "conversations"), damaged=True)
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
