@@ -14,6 +14,7 @@ from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
 from corpusloom.llm.pieces import sample_pieces
 from corpusloom.llm.repeats import remove_repeats
+from corpusloom.llm.sharding import shard_rows
 from corpusloom.llm.simhash import simhash_groups
 from corpusloom.llm.toxicity import fit, held_out, score_toxicity
 from corpusloom.llm.turns import repair_conversations
@@ -78,6 +79,10 @@ def op11_repair_conversations(spark, sf_dir):
     return repair_conversations(table(spark, sf_dir, "conversations"), damaged=True)
 
 
+def op13_best_fit_shards(spark, sf_dir):
+    return shard_rows(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
