@@ -12,6 +12,7 @@ from corpusloom.llm.html import extract_text
 from corpusloom.llm.imatch import build_lexicon, compare_edited
 from corpusloom.llm.licenses import KNOWN, SPELLINGS, license_scan
 from corpusloom.llm.mixing import mix
+from corpusloom.llm.negatives import hard_negatives
 from corpusloom.llm.pieces import sample_pieces
 from corpusloom.llm.repeats import remove_repeats
 from corpusloom.llm.sharding import shard_rows
@@ -79,6 +80,10 @@ def op11_repair_conversations(spark, sf_dir):
     return repair_conversations(table(spark, sf_dir, "conversations"), damaged=True)
 
 
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives(table(spark, sf_dir, "embeddings"), relabel=7)
+
+
 def op13_best_fit_shards(spark, sf_dir):
     return shard_rows(table(spark, sf_dir, "documents"))
 
@@ -139,4 +144,20 @@ def oracle_sql() -> dict[str, str]:
               case when first <> page_id then 'revisit' else 'response' end as record_type,
               case when first <> page_id then first end as refers_to
             from d left join f using (h)""",
+        "op12_hard_negatives": """with v as (select vec_id,
+              case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+              list_transform(embedding, x -> floor(256 * x::double)) as e
+            from embeddings where label is not null and embedding is not null and not coalesce(
+              list_bool_or(list_transform(embedding, x -> x is null or not isfinite(x))), false)),
+            s as (select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+              list_inner_product(a.e, r.e)::bigint as score
+              from v a join v r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id),
+            p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+              qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+            select anchor_id, positive_id, (row_number() over (partition by anchor_id, positive_id
+              order by score desc, vec_id))::int as rank, vec_id as negative_id, positive_score,
+              score as negative_score
+            from p join s using (anchor_id) where not same
+              and 100 * score between 30 * positive_score and 90 * positive_score
+            qualify rank <= 10""",
     }
