@@ -169,6 +169,12 @@ def marking_features(docs, toxic, n_features: int, features_of, purity: float =
     return (share > base) & (surprise > np.log(max(1, n_features) / risk)) & (pure >= purity)
 
 
+def constant(prior: float) -> Model:
+    """A model that knows no words: every document has the score ``prior``."""
+    prior = min(max(prior, 1e-4), 1 - 1e-4)
+    return Model({}, -5.0, Chain(), (float(np.log(prior / (1 - prior))), 0.0, 0.0, 0.0))
+
+
 class _Named:
     """Words of a document by their place."""
 
@@ -188,8 +194,6 @@ def train(texts: list[str], toxic: list[int], prior: float, rounds: int = 40,
     features may speak for a span, all may speak against), then the line to the document labels,
     shifted from their share in the sample to ``prior``.
     """
-    if len(set(toxic)) < 2:
-        return Model({}, -5.0, Chain(), (-10.0 if not any(toxic) else 10.0, 0.0, 0.0, 0.0))
     number: dict[str, int] = {}
     docs = [np.array([number.setdefault(w.lower(), len(number)) for w in WORD.findall(t)], np.int32)
             for t in texts]
@@ -304,32 +308,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     class has a share like its number of documents (:func:`sample`).
 
     A document with several labels counts as toxic if one says so; of several texts under one id
-    the shortest counts. Without any label, or with labels of one class, the model says the same of
-    all documents; if there are labels of both classes, but texts of one only, this raises.
+    the shortest counts. Classes are counted over labels whose document is there. Where documents of
+    a class are missing, there is nothing to tell them by: every row then scores the share of toxic
+    ones among all labels (:func:`constant`; without labels as if there were none).
     """
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_toxic")).where(
         F.col("_toxic").isNotNull()).groupBy("_id").agg(
         (F.max("_toxic") > 0).alias("_toxic")).where(~held_out("_id"))
-    counts = {r["_toxic"]: r["n"] for r in known.groupBy("_toxic").agg(
-        F.count("*").alias("n")).collect()}
-    n_toxic, n_all = counts.get(True, 0), sum(counts.values())
-    if not n_all:
-        return Model({}, -5.0, Chain(), (-10.0, 0.0, 0.0, 0.0))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
         F.col("_id").isNotNull() & F.col("_text").isNotNull())
     labelled = materialize(
         texts.select("_id", F.struct(F.length("_text").alias("n"), F.xxhash64("_text").alias("h"))
                      .alias("_size")).join(known, "_id")
         .groupBy("_id", "_toxic").agg(F.min("_size").alias("_size")), "labelled")
+    counts = {r["_toxic"]: r["n"] for r in labelled.groupBy("_toxic").agg(
+        F.count("*").alias("n")).collect()}
+    n_toxic, n_all = counts.get(True, 0), sum(counts.values())
+    if len(counts) < 2:
+        return constant(known.agg(F.avg(F.col("_toxic").cast("int"))).first()[0] or 0.0)
     order = F.xxhash64(F.lit(seed), "_id")
     chosen = []
     for is_toxic, most in ((True, max_toxic), (False, max_clean)):
         # twice as many, so that others stand in for those that do not fit
         rows = labelled.where(F.col("_toxic") == is_toxic).orderBy(order, "_id").limit(
             2 * most).collect()
-        if not rows and len(counts) == 2:
-            raise ValueError(
-                f"no text for any of {counts[is_toxic]} labels {label_col} = {int(is_toxic)}")
         share = sample_chars * most // (max_toxic + max_clean)
         chosen += [(len(chosen) + k, rows[i]["_id"], rows[i]["_size"]["h"], is_toxic)
                    for k, i in enumerate(sample([r["_size"]["n"] for r in rows], most, share))]

@@ -125,14 +125,27 @@ def test_long_documents_are_learnt_from(spark, pad):
     assert (got.predicted == got.toxic).mean() > 0.95
 
 
-def test_labels_of_both_classes_need_texts_of_both(spark):
+def test_without_documents_of_a_class(spark):
+    """Empty, unlabelled and one-class tables score the share of toxic labels, whatever the text."""
     rows = long_docs(spark, 60, (0, 0))
     labels = rows.select("doc_id", "toxic")
-    for t in (0, 1):
-        with pytest.raises(ValueError, match=f"toxic = {1 - t}"):
-            tox.fit(rows.where(F.col("toxic") == t), labels)
-    one = tox.fit(rows.where("toxic = 0"), labels.where("toxic = 0"))
-    assert {r.predicted for r in tox.score_toxicity(rows, one).collect()} == {0}
+    docs = rows.select("doc_id", "text")
+    learnt = labels.where(~tox.held_out("doc_id"))
+    share = learnt.agg(F.avg("toxic")).first()[0]
+    elsewhere = labels.withColumn("doc_id", F.col("doc_id") + 10 ** 6)
+    share_elsewhere = elsewhere.where(~tox.held_out("doc_id")).agg(F.avg("toxic")).first()[0]
+    for own, known, want in (
+            (docs.limit(0), labels, share), (docs, elsewhere, share_elsewhere),
+            (rows.where("toxic = 0").select("doc_id", "text"), labels, share),
+            (rows.where("toxic = 1").select("doc_id", "text"), labels, share),
+            (docs, labels.limit(0), 1e-4), (docs, labels.where("toxic = 0"), 1e-4),
+            (docs, labels.where("toxic = 1"), 1 - 1e-4),
+            (docs.withColumn("text", F.lit(None).cast("string")), labels, share)):
+        model = tox.fit(own, known)
+        got = {round(r.score, 9) for r in tox.score_toxicity(docs, model).collect()}
+        assert got == {round(want, 9)}
+    for own in (docs.limit(0), rows.where("toxic = 0").select("doc_id", "text")):
+        assert tox.drop_toxic(own, labels).columns == own.columns
 
 
 def test_sample_by_characters():
