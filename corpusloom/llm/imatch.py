@@ -21,6 +21,10 @@ TERM = re.compile(r"\w+")
 #: Subsets keep a term with chance 1/2 to the power of their level; level 0 is the whole lexicon.
 LEVELS, PER_LEVEL = 11, 5
 SUBSETS = 1 + LEVELS * PER_LEVEL
+#: Subsets that the entries of all terms are made of: the whole and three of each level from 3 on.
+OWN = np.uint64(1 | sum(1 << i for i in range(1 + 2 * PER_LEVEL, SUBSETS)
+                        if (i - 1) % PER_LEVEL < 3))
+NO_ENTRIES = "." * (SUBSETS - 1)
 #: Terms counted before a task hands counts on; characters fingerprinted together.
 TERMS_AT_ONCE, CHARS_AT_ONCE = 400_000, 1_000_000
 
@@ -54,19 +58,26 @@ def document_counts(texts: DataFrame) -> DataFrame:
         F.sum("_n").alias("_n"))
 
 
+def subsets_of(terms: np.ndarray, seed: int) -> np.ndarray:
+    """For each term the subsets that keep it, as bits."""
+    kept = np.ones(len(terms), np.uint64)  # subset 0
+    with np.errstate(over="ignore"):
+        for i in range(1, SUBSETS):
+            x = terms ^ np.uint64(xxhash.xxh64_intdigest(b"subset%d" % i, seed))
+            x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+            x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+            level = 1 + (i - 1) // PER_LEVEL
+            kept |= (x >> np.uint64(64 - level) == 0).astype(np.uint64) << np.uint64(i)
+    return kept
+
+
 class Lexicon:
     """Hashes of the terms in use, ascending, and for each the subsets that keep it, as bits."""
 
     def __init__(self, terms: np.ndarray, seed: int = 42):
         self.terms = np.sort(terms.astype(np.uint64))
-        self.kept = np.ones(len(self.terms), np.uint64)  # subset 0
-        with np.errstate(over="ignore"):
-            for i in range(1, SUBSETS):
-                x = self.terms ^ np.uint64(xxhash.xxh64_intdigest(b"subset%d" % i, seed))
-                x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-                x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-                level = 1 + (i - 1) // PER_LEVEL
-                self.kept |= (x >> np.uint64(64 - level) == 0).astype(np.uint64) << np.uint64(i)
+        self.kept = subsets_of(self.terms, seed)
+        self.seed = seed
 
 
 def build_lexicon(df: DataFrame, text_col: str = "text", most_share: float = 0.1,
@@ -88,12 +99,25 @@ def build_lexicon(df: DataFrame, text_col: str = "text", most_share: float = 0.1
 
 # --- fingerprints --------------------------------------------------------------------------------
 
+def _entries(terms: np.ndarray, kept: np.ndarray) -> str:
+    bits = np.unpackbits(kept.view(np.uint8).reshape(-1, 8), axis=1,
+                         bitorder="little")[:, :SUBSETS]
+    data = memoryview(terms[np.nonzero(bits.T)[1]].tobytes())
+    digest, entries, a = xxhash.xxh32_hexdigest, [], 0
+    for n in bits.sum(axis=0, dtype=np.int64).tolist():
+        entries.append(f"{n:x}-{digest(data[8 * a:8 * (a + n)])}" if n else "")
+        a += n
+    return ".".join(entries)
+
+
 def fingerprints(lexicon: Lexicon, texts: list[str]) -> list[str]:
-    """Per text its entries for all subsets, joined by dots: ``n-hash`` (hex) of the ``n`` distinct
-    terms of the text that the subset keeps, in sorted order, or nothing where there are none.
+    """Per text two lists of entries, joined by dots, a bar between the lists.
 
-    A text without a term of the lexicon has the entry ``0-hash`` of all its distinct terms, or of
-    the text itself if it has no term, in place of the first.
+    The first list has an entry for each subset of the lexicon: ``n-hash`` (hex) of the ``n``
+    distinct terms of the text that the subset keeps, in sorted order, or nothing where there are
+    none. The second one is made alike from all distinct terms of the text, the lexicon or not, by
+    the whole and the thinner subsets alone (``OWN``): it is what texts are compared by that have no
+    term of the lexicon. A text without any term has the entry ``0-hash`` of itself there.
     """
     sets = [set(TERM.findall(t.lower())) for t in texts]
     number: dict[str, int] = {}
@@ -101,39 +125,41 @@ def fingerprints(lexicon: Lexicon, texts: list[str]) -> list[str]:
         for t in terms:
             number.setdefault(t, len(number))
     hashes = np.fromiter(map(term_hash, number), np.uint64, len(number))
+    own_kept = subsets_of(hashes, lexicon.seed) & OWN
     at = np.searchsorted(lexicon.terms, hashes)
     known = at < len(lexicon.terms)
     known[known] = lexicon.terms[at[known]] == hashes[known]
     at[~known] = -1
+    # terms in the order of their hashes, so that a text's are sorted where its places are
+    place = np.empty(len(hashes), np.int64)
+    by_hash = np.argsort(hashes)
+    place[by_hash] = np.arange(len(hashes))
+    hashes, own_kept, at = hashes[by_hash], own_kept[by_hash], at[by_hash]
     out = []
-    digest = xxhash.xxh32_hexdigest
     for text, terms in zip(texts, sets):
-        own = at[np.fromiter(map(number.__getitem__, terms), np.int64, len(terms))]
-        own = np.sort(own[own >= 0])
+        own = np.sort(place[np.fromiter(map(number.__getitem__, terms), np.int64, len(terms))])
         if not len(own):
-            rest = ("\0".join(sorted(terms)) if terms else text).encode("utf-8", "surrogatepass")
-            out.append(f"0-{digest(rest)}" + "." * (SUBSETS - 1))
+            rest = xxhash.xxh32_hexdigest(text.encode("utf-8", "surrogatepass"))
+            out.append(f"{NO_ENTRIES}|0-{rest}{NO_ENTRIES}")
             continue
-        bits = np.unpackbits(lexicon.kept[own].view(np.uint8).reshape(-1, 8), axis=1,
-                             bitorder="little")[:, :SUBSETS]
-        place = np.nonzero(bits.T)[1]
-        data = memoryview(lexicon.terms[own[place]].tobytes())
-        entries, a = [], 0
-        for n in bits.sum(axis=0, dtype=np.int64).tolist():
-            entries.append(f"{n:x}-{digest(data[8 * a:8 * (a + n)])}" if n else "")
-            a += n
-        out.append(".".join(entries))
+        listed = at[own]
+        listed = listed[listed >= 0]
+        out.append((_entries(lexicon.terms[listed], lexicon.kept[listed]) if len(listed)
+                    else NO_ENTRIES) + "|" + _entries(hashes[own], own_kept[own]))
     return out
 
 
 def likeness(one: str, other: str) -> float:
     """How much two fingerprints agree, 0 to 1: the share of equal entries among those that either
     has, an entry of n terms weighing 1/n (the more terms of the two), as one changed term changes
-    all of it. Without a term of the lexicon in either: whether they are the same."""
+    all of it. Where either has no term of the lexicon, the entries of all terms count."""
     if one == other:
         return 1.0
+    lists = list(zip(one.split("|"), other.split("|")))
+    if NO_ENTRIES in lists[0]:
+        lists.reverse()
     same = total = 0.0
-    for a, b in zip(one.split("."), other.split(".")):
+    for a, b in zip(*(x.split(".") for x in lists[0])):
         if a or b:
             n = max(int(a.partition("-")[0] or "0", 16), int(b.partition("-")[0] or "0", 16))
             if n:
