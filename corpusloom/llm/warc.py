@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.session import scratch_path
+from corpusloom.session import materialize, scratch_path
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -20,6 +20,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD_ID = "urn:page:"
 END = "\r\n\r\n"
 CHUNK = 1 << 20
+#: Repeated digests that are sent to all tasks, and, beyond them, copies from which one is (so many,
+#: or so small a share of all copies).
+SENT_DIGESTS, HOT_ROWS, HOT_SHARE = 200_000, 1000, 100_000
 
 
 # --- writing -------------------------------------------------------------------------------------
@@ -36,9 +39,9 @@ def warc_records(df: DataFrame, id_col: str, url_col: str, payload_col: str,
     rows = df.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"),
                      payload.alias("_payload"), F.sha2(payload, 256).alias("_digest"),
                      F.octet_length(payload).alias("_bytes"))
-    first = rows.where(F.col("_bytes") >= least_bytes).groupBy("_digest").agg(
-        F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    joined = rows.join(first, "_digest", "left")
+    first = materialize(rows.where(F.col("_bytes") >= least_bytes).groupBy("_digest").agg(
+        F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1"), "repeated")
+    joined = _with_first(rows, first, least_bytes)
     revisit = F.col("_first").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_first"))
 
     def name(col):
@@ -63,6 +66,25 @@ def warc_records(df: DataFrame, id_col: str, url_col: str, payload_col: str,
         head, http, F.when(revisit, "").otherwise(F.col("_payload"))).alias("value"))
 
 
+def _with_first(rows: DataFrame, first: DataFrame, least_bytes: int) -> DataFrame:
+    """``rows`` with ``_first``, the least id of their payload where it stands more than once.
+
+    Whole payloads stay where they are while the digests that stand twice are few enough to be sent
+    to them. Past that only those of very many copies are (at most ``HOT_SHARE``), and small payloads
+    still stay; the others go out by their digest, of which each has few rows.
+    """
+    n, copies = first.agg(F.count("*"), F.sum("_n")).first()
+    known = first.select("_digest", "_first")
+    if n <= SENT_DIGESTS:
+        return rows.join(F.broadcast(known), "_digest", "left")
+    hot = F.col("_n") > max(HOT_ROWS, copies // HOT_SHARE)
+    tagged = rows.join(F.broadcast(first.where(hot).select("_digest", "_first")), "_digest", "left")
+    here = F.col("_first").isNotNull() | (F.col("_bytes") < least_bytes)
+    others = tagged.where(~here).drop("_first").join(
+        first.where(~hot).select("_digest", "_first"), "_digest", "left")
+    return tagged.where(here).unionByName(others)
+
+
 def write_warc(records: DataFrame, path: str, per_file: int = 100_000) -> str:
     """Write records as archives of one gzip stream each, of up to ``per_file`` records."""
     (records.write.option("compression", "gzip").option("lineSep", END)

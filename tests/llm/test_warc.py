@@ -11,7 +11,10 @@ from corpusloom.session import scratch_path
 SCHEMA = "page_id long, url string, html string, record_type string"
 
 
-def test_round_trip(spark):
+@pytest.mark.parametrize("sent, hot", [(200_000, 1000), (0, 1000), (0, 2)])
+def test_round_trip(spark, monkeypatch, sent, hot):
+    monkeypatch.setattr(warc, "SENT_DIGESTS", sent)
+    monkeypatch.setattr(warc, "HOT_ROWS", hot)
     long = "é<p>" * 40
     rows = [(5, "http://a", long, "x"), (3, None, long, "x"), (9, "http://b\r\nEvil: 1", long, None),
             (1, "u", "short", "x"), (2, "u", "short", "x"), (4, "u", None, "x"), (6, "u", "", "x"),
