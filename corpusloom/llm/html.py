@@ -16,10 +16,11 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p "
     "pre section summary table tbody td tfoot th thead tr ul".split())
-RAW = frozenset("script style noscript template textarea title iframe noframes xmp".split())
+RAW = frozenset("script style noscript template textarea title iframe noframes xmp annotation "
+                "annotation-xml".split())
 FURNITURE = frozenset(
-    "head nav footer aside form button select dialog menu svg math canvas object audio video "
-    "map datalist fieldset".split())
+    "head nav footer aside form button select dialog menu svg canvas object audio "
+    "video map datalist".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE_ROLES = frozenset(
@@ -28,19 +29,33 @@ FURNITURE_ROLES = frozenset(
 # Words of class and id names that mark what is not the article.
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising banner banners sponsor "
-    "sponsored promo promotion sidebar sidebars widget widgets comment comments reply replies "
-    "respond disqus menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr "
-    "notice notices notification alert newsletter subscribe subscription signup login search "
-    "related recommended share sharing social popup modal overlay pagination pager footer "
-    "masthead topbar toolbar skip".split())
+    "sponsored promo promotion sidebar sidebars widget widgets menu nav navbar navigation "
+    "breadcrumb breadcrumbs cookie cookies consent gdpr notice notices notification alert "
+    "newsletter subscribe subscription signup login search related recommended share sharing "
+    "social popup modal overlay pagination pager footer masthead topbar toolbar skip".split())
+#: Of these, words that authors name their own paragraphs by too.
+SAID = frozenset(
+    "notice notices notification alert subscribe subscription signup login search menu navigation "
+    "related recommended share sharing social promotion banner skip".split())
+#: Names of reader comments, whatever their size, and names that mean them where no heading in the
+#: element says otherwise.
+COMMENT_WORDS = frozenset(
+    "comment comments commentlist reply replies respond responses disqus".split())
+TALK_WORDS = frozenset("discussion discussions feedback talkback".split())
 #: Words that such names are put together with; any other ("no-sidebar") says something else.
 NAME_PARTS = frozenset(
     "area bar block body bottom box button buttons card center column container content desktop "
     "first form frame global group header heading holder icon icons inner item items label last "
     "left line link links list main middle mobile module outer page panel policy post posts "
-    "primary region right row secondary section site slot space text thread title top unit "
-    "articles stories wrap wrapper zone".split())
+    "primary reader readers region right row secondary section site slot space text thread title "
+    "top unit user users visitor articles stories wrap wrapper zone".split())
 ARTICLE = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold text rather than other blocks.
+TEXT = HEADINGS | frozenset("p li dt dd td th blockquote pre figcaption".split())
+COMMENTS_HEADING = re.compile(
+    r"(?:\d+\s+|(?:reader|user|visitor)s?'?\s+|all\s+|leave\s+a\s+|post\s+a\s+|add\s+a\s+)?"
+    r"(?:comments?|replies|reply)(?:\s*\(?\d+\)?)?\s*:?", re.I)
 #: Words that mark furniture only outside an article, whose own heading may carry them.
 OUTSIDE_WORDS = frozenset(("header",))
 
@@ -83,12 +98,20 @@ def _named_furniture(name: str, words: frozenset) -> bool:
     return any(x in words for x in parts) and all(x in words or x in NAME_PARTS for x in parts)
 
 
-def _is_furniture(name: str, rest: str, inside: bool, most: bool) -> bool:
-    """``most``: the element holds most of the text of the page, so its class and id do not count."""
+def _is_furniture(name: str, rest: str, inside: bool, e=None, total: int = 0) -> bool:
+    """``inside``: within an article; ``e``: the element, where it has content, ``total``: the text
+    of the page outside links.
+
+    A name does not count on an element with most of that text, or, within an article, on a heading
+    or on running text, which its author may call so. Names of comments always count, but on an
+    element that the article itself lies in.
+    """
     if name in FURNITURE or (name == "header" and not inside):
         return True
     if not rest or name in ("html", "body"):
         return False
+    most = e is not None and 2 * e.held() > total
+    own = inside and name in TEXT
     for key, value in MARK.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "role":
@@ -97,23 +120,34 @@ def _is_furniture(name: str, rest: str, inside: bool, most: bool) -> bool:
         elif key == "hidden" or key == "aria-hidden":
             if key == "hidden" or value == "true":
                 return True
-        elif not most:
+        elif not own or (key == "class" and name not in HEADINGS):
             words = FURNITURE_WORDS if inside else FURNITURE_WORDS | OUTSIDE_WORDS
-            if any(_named_furniture(x, words) for x in value.split()):
-                return True
+            for x in value.split():
+                if _named_furniture(x, COMMENT_WORDS):
+                    if e is None or not e.wraps:
+                        return True
+                elif _named_furniture(x, TALK_WORDS):
+                    if e is not None and name not in TEXT and not e.headed:
+                        return True
+                elif not most and _named_furniture(x, words):
+                    if not (own and e is not None and e.held() >= DENSE
+                            and _named_furniture(x, SAID)):
+                        return True
     return False
 
 
 class _Element:
     """``start``, ``end`` and ``cut``: the characters outside links before it, before its end, and
-    before the first article in it; ``closed``: whether it ends where the page says."""
+    before the first article in it; ``closed``: whether it ends where the page says; ``wraps``: a
+    top heading or an article, which is no comment, lies in it; ``headed``: a heading does;
+    ``last``: a heading that none of its rank or above follows in its parent."""
 
-    __slots__ = ("name", "rest", "start", "end", "cut", "closed")
+    __slots__ = ("name", "rest", "start", "end", "cut", "closed", "parent", "wraps", "headed", "last")
 
-    def __init__(self, name, rest, start):
-        self.name, self.rest, self.start = name, rest, start
+    def __init__(self, name, rest, start, parent):
+        self.name, self.rest, self.start, self.parent = name, rest, start, parent
         self.end = self.cut = None
-        self.closed = False
+        self.closed = self.wraps = self.headed = self.last = False
 
     def held(self) -> int:
         return (self.end if self.closed or self.cut is None else self.cut) - self.start
@@ -122,7 +156,7 @@ class _Element:
 def page_events(page: str) -> tuple[list[tuple], int]:
     """Texts, starts and ends of elements in page order, and the characters outside links. Elements
     without an end tag end by the rules of the markup language, at the latest with the page."""
-    events, stack, open_ = [], [], Counter()
+    events, stack, open_, headings = [], [], Counter(), []
     plain = in_link = 0
     at, end_of = 0, len(page)
 
@@ -199,14 +233,27 @@ def page_events(page: str) -> tuple[list[tuple], int]:
             for e in stack:
                 if e.cut is None:
                     e.cut = plain
-        if rest.endswith("/") and (name not in BLOCKS or _is_furniture(name, rest, False, False)):
+        if name == "h1" or (name in ARTICLE and not _is_furniture(name, rest, False)):
+            for e in stack:
+                e.wraps = True
+        if name in HEADINGS:
+            for e in stack:
+                e.headed = True
+        if rest.endswith("/") and (name not in BLOCKS or _is_furniture(name, rest, False)):
             continue
         if len(stack) < DEPTH or name in SPECIAL:
-            e = _Element(name, rest, plain)
+            e = _Element(name, rest, plain, stack[-1] if stack else None)
+            if name in HEADINGS:
+                headings.append(e)
             stack.append(e)
             open_[name] += 1
             events.append(("start", e, None))
     leave(0, False)
+    least: dict = {}
+    for e in reversed(headings):
+        key = id(e.parent)
+        e.last = e.name < least.get(key, "h7")
+        least[key] = min(e.name, least.get(key, "h7"))
     return events, plain
 
 
@@ -214,10 +261,12 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     """``(lines, marked)``: a line per block in page order as (text, its characters outside links,
     whether it lies in an article element), and whether the page has such an element with text.
     Furniture, with all that lies in it, scripts, comments and markup are empty lines. Furniture
-    that is not closed ends where an article starts."""
+    that is not closed ends where an article starts. What follows a last heading "Comments" in its
+    element is furniture as well."""
     events, total = page_events(page)
     lines, parts, skips = [], [], []
     linked = plain = depth = 0
+    page_end = _Element("", "", 0, None)
 
     def close():
         nonlocal parts, linked, plain
@@ -240,7 +289,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if kind == "start":
             if skips and (skips[0].closed or not (what.closed or what.name in ARTICLE)):
                 continue
-            furniture = _is_furniture(what.name, what.rest, depth > 0, 2 * what.held() > total)
+            furniture = _is_furniture(what.name, what.rest, depth > 0, what, total)
             if skips and not furniture and what.name in ARTICLE and not any(
                     e.closed for e in skips):
                 skips.clear()  # the furniture before an article was never closed
@@ -262,6 +311,13 @@ def page_lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 depth -= 1
             elif what.name in BLOCKS:
                 close()
+                if (what.name in HEADINGS and what.last and COMMENTS_HEADING.fullmatch(lines[-1][0])
+                        and any(t for t, _, _ in lines[:-1])):
+                    lines[-1] = ("", 0, depth > 0)
+                    above = what.parent
+                    while above is not None and above.held() == what.held():
+                        above = above.parent  # a block of the heading alone
+                    skips.append(above if above is not None else page_end)
         elif not skips:
             close()
     close()
@@ -296,7 +352,7 @@ def main_text(page: str | None, window: int = 3, surge: float = 0.125) -> str:
 
     On a page that marks its article with an element, the lines in it follow each other, whatever
     stands between them; characters outside it weigh ``surge`` and make passages of their own.
-    Lines that are links only are left out, but for those within a passage of the element.
+    Lines that are links only are left out, but for those in the element between lines that are kept.
     """
     lines, marked = page_lines(page or "")
     within, stretches, last = [], [], None
@@ -316,9 +372,12 @@ def main_text(page: str | None, window: int = 3, surge: float = 0.125) -> str:
             found.append((passage, [x for x in sums if x]))
     sums = [x for _, own in found for x in own]
     least = max(1, min(surge * median(sums), DENSE)) if sums else 1
-    kept = sorted(i for passage, own in found if max(own) >= least
-                  for i, n in passage if n or lines[i][2])
-    return "\n".join(lines[i][0] for i in kept)
+    kept = {i for passage, own in found if max(own) >= least
+            for i, n in passage if n or lines[i][2]}
+    own = [i for i, _ in within if i in kept]
+    if own:
+        kept.update(i for i, n in within if not n and own[0] < i < own[-1])
+    return "\n".join(lines[i][0] for i in sorted(kept))
 
 
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url",

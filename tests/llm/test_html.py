@@ -4,7 +4,7 @@ import re
 import pytest
 from html.parser import HTMLParser
 
-from corpusloom.llm.html import extract_text, main_text
+from corpusloom.llm.html import extract_text, main_text, page_lines
 
 
 class Slow(HTMLParser):
@@ -158,3 +158,53 @@ def test_short_paragraphs_beside_a_long_block():
         [*short, block, short[0]])
     # far below the rest of the page, between links
     assert main_text(f"{page}{links}<p>Page 3</p>") == "\n".join(short)
+
+
+ARTICLE = "A plain sentence of the article, of no great length. " * 7
+TALK = "I do not agree with any of this, and here is at length why. " * 20
+
+
+@pytest.mark.parametrize("talk", [
+    "<div class=comments><p>{}</p></div>", "<section class=comments><p>{}</p></section>",
+    "<div id=disqus_thread>{}</div>", "<ol class=commentlist><li>{}</li></ol>",
+    "<div class=user-feedback><p>{}</p></div>", "<section class=discussion><p>{}</p></section>",
+    "<h2>Comments</h2><p>{}</p><p>Yes.</p>", "<h3>3 Comments</h3><ol><li>{}</li></ol>",
+    "<div><h2>Reader comments (12)</h2></div><div>{}</div>",
+    "<div id=comments><article class=comment><h3>Me</h3><p>{}</p></article></div>"])
+@pytest.mark.parametrize("page", [
+    "<article><h1>T</h1><p>{}</p></article>{}", "<article><h1>T</h1><p>{}</p>{}</article>",
+    "<div><h1>T</h1><p>{}</p></div>{}", "<div><h1>T</h1><p>{}</p>{}</div>"])
+def test_reader_comments_of_any_size(page, talk):
+    for text in (TALK, "Nice!"):
+        got = main_text(page.format(ARTICLE, talk.format(text)))
+        assert got == f"T\n{ARTICLE.strip()}", got
+
+
+@pytest.mark.parametrize("block, text", [
+    ("<p class=share>Share of the market fell to a third of what it had been.</p>", None),
+    ("<h2 id=related>Related work</h2>", None), ("<h2 class=discussion>Discussion</h2>", None),
+    ("<p id=notice>Notice how short this is.</p>", None),
+    ("<section class=discussion><h2>Discussion</h2><p>We discuss.</p></section>", None),
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p>",
+     "Let x=1 be."),
+    ("<fieldset><legend>Note</legend>grouped</fieldset>", "Note\ngrouped"),
+    ("<ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>",
+     "One\nTwo\nThree"),
+    ("<h2>Comments</h2><p>On comments in code.</p><h2>Names</h2><p>On names.</p>", None),
+    ("<p class=ad>Buy a new one today, at half the price of yesterday!</p>", ""),
+    ("<div class=share>Share of this: here, there and everywhere you like</div>", ""),
+])
+def test_blocks_of_an_article(block, text):
+    want = re.sub(r"<[^>]*>", "", re.sub(r"</(?:h2|p)>(?=<)", "\n", block)) if text is None else text
+    got = main_text(f"<article><h1>T</h1><p>{ARTICLE}</p>{block}<p>{MAIN}</p></article>")
+    assert got == "\n".join(filter(None, ["T", ARTICLE.strip(), want.strip(), MAIN.strip()]))
+
+
+def test_a_page_told_by_its_distribution():
+    """No article element and no telling names: only the window sums part text from the rest."""
+    links = "".join(f"<div class=x{i}><a href=/{i}>Section {i}</a></div>" for i in range(6))
+    page = (f"<div class=t1>The Daily</div>{links}<div class=b><p>{ARTICLE}</p><p>Short.</p>"
+            f"<p>{MAIN}</p></div>{links}<div class=z>Page 3</div>{links}<div class=q>Ltd.</div>")
+    assert main_text(page) == f"{ARTICLE.strip()}\nShort.\n{MAIN.strip()}"
+    lines, _ = page_lines(page)
+    assert {"The Daily", "Page 3", "Ltd."} <= {t for t, n, _ in lines if n}
