@@ -64,11 +64,11 @@ def schedule(spark, sources: list[dict], most: float) -> DataFrame:
     """
     total = sum(s["slots"] for s in sources)
     cells, low = [], 0.0
+    last = max((s["index"] for s in sources if s["slots"]), default=None)
     for s in sources:
         high = low + s["slots"] / total if total else low
         if s["slots"]:
-            last = s is [x for x in sources if x["slots"]][-1]
-            high = 1.0 if last else high
+            high = 1.0 if s["index"] == last else high
             for c in range(int(low * CELLS), min(CELLS - 1, int(high * CELLS)) + 1):
                 cells.append((c, s["index"], low, high, int(most * s["blocks"])))
         low = high
