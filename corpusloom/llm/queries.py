@@ -146,9 +146,9 @@ def oracle_sql() -> dict[str, str]:
             from d left join f using (h)""",
         "op12_hard_negatives": """with v as (select vec_id,
               case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-              list_transform(embedding, x -> floor(256 * x::double)) as e
+              list_transform(embedding, lambda x: floor(256 * x::double)) as e
             from embeddings where label is not null and embedding is not null and not coalesce(
-              list_bool_or(list_transform(embedding, x -> x is null or not isfinite(x))), false)),
+              list_bool_or(list_transform(embedding, lambda x: x is null or not isfinite(x))), false)),
             s as (select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
               list_inner_product(a.e, r.e)::bigint as score
               from v a join v r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id),
