@@ -380,26 +380,42 @@ def q_word_encode_shuffled(spark, sf_dir):
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
+def subword_table(docs) -> DataFrame:
+    """All characters and the frequent words of any length, with ids."""
+    often = cl.build_word_vocab(docs, 1000, specials=()).select("token")
+    tokens = cl.build_char_vocab(docs).select(F.col("ch").alias("token")).union(often).distinct()
+    return cl.materialize(cl.global_rank(cl.materialize(tokens, "tokens"), "token", "id").select(
+        "token", F.col("id").cast("int").alias("id")), "vocab")
+
+
 def q_subword_encode(spark, sf_dir):
-    """By a token table of all characters and the short words among the frequent ones."""
+    """By a token table of all characters and the frequent words of any length."""
     docs = spread_documents(spark, sf_dir)
-    short = cl.build_word_vocab(docs, 1000, specials=()).where(
-        F.length("token").between(2, 4)).select("token")
-    tokens = cl.build_char_vocab(docs).select(F.col("ch").alias("token")).union(short)
-    vocab = cl.materialize(cl.global_rank(cl.materialize(tokens, "tokens"), "token", "id").select(
-        "token", F.col("id").cast("int").alias("id")), "vocab")
-    coded = cl.encode_subwords(docs, vocab, max_piece=4)
+    coded = cl.encode_subwords(docs, subword_table(docs))
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
-def q_subword_encode_whole(spark, sf_dir):
-    """By a token table of all characters and the frequent words of any length."""
+def q_subword_encode_long_token(spark, sf_dir):
+    """The same with a word of 60,000 letters, once alone and once within a longer one."""
     docs = spread_documents(spark, sf_dir)
-    often = cl.build_word_vocab(docs, 1000, specials=()).select("token")
-    tokens = cl.build_char_vocab(docs).select(F.col("ch").alias("token")).union(often).distinct()
-    vocab = cl.materialize(cl.global_rank(cl.materialize(tokens, "tokens"), "token", "id").select(
-        "token", F.col("id").cast("int").alias("id")), "vocab")
-    coded = cl.encode_subwords(docs, vocab)
+    word = F.repeat(F.lit("z"), F.lit(60_000))
+    docs = docs.union(spark.range(1).select(F.lit(-1).cast("bigint"), F.concat(
+        F.repeat(F.concat(word, F.lit(" ")), F.lit(50)), F.lit("q"), word, F.lit("qz"))))
+    coded = cl.encode_subwords(docs, subword_table(docs))
+    return coded.select("row_id", joined("ids").alias("ids"))
+
+
+def q_subword_merges(spark, sf_dir):
+    """Merges learnt over the words of all documents."""
+    return cl.learn_merges(cl.word_counts(spread_documents(spark, sf_dir)), 64)
+
+
+def q_subword_merge_encode(spark, sf_dir):
+    """All documents by a vocabulary of characters and learnt merges."""
+    docs = spread_documents(spark, sf_dir)
+    merges = cl.materialize(cl.learn_merges(cl.word_counts(docs), 64), "merges")
+    vocab = cl.materialize(cl.merge_vocab(cl.build_char_vocab(docs), merges), "vocab")
+    coded = cl.encode_merges(docs, merges, vocab)
     return coded.select("row_id", joined("ids").alias("ids"))
 
 
@@ -899,6 +915,48 @@ def _padded(cut: int, batch: int, pad: int, side: str) -> str:
     from batches"""
 
 
+def _subwords(docs: str) -> str:
+    """Longest entry first; every part that a word could have meets the table on its text."""
+    return f"""with recursive docs as ({docs}), said as (select row_id, unnest(w) as word,
+          generate_subscripts(w, 1) as pos from (select row_id,
+          regexp_extract_all(text, {WORDS_RE}) as w from docs)),
+        counted as (select word, count(*) as n from said group by word),
+        often as (select word from counted order by n desc, word limit 1000),
+        tokens as (select word as token from often
+          union select distinct unnest(string_split(text, '')) from docs where text <> ''),
+        pc as (select token, row_number() over (order by token) - 1 as id,
+          length(token) as len from tokens),
+        lens as (select distinct len from pc),
+        spots as (select word, unnest(range(1, length(word) + 1)) as spot from counted),
+        best as (select word, spot, max(pc.len) as len, max_by(pc.id, pc.len) as id
+          from (select word, spot, len, substr(word, spot, len) as part from spots join lens
+            on len <= length(word) - spot + 1) join pc on pc.token = part group by word, spot),
+        walk as (select word, 1::bigint as spot from counted
+          union all select word, spot + len from walk join best using (word, spot)),
+        parts as (select word, string_agg(id::varchar, ',' order by spot) as ids
+          from walk join best using (word, spot) group by word),
+        rows as (select row_id, string_agg(ids, ',' order by pos) as ids
+          from said join parts using (word) group by row_id)
+        select row_id, coalesce(ids, '') as ids from docs left join rows using (row_id)"""
+
+
+def _merges(n: int) -> str:
+    """One merge a step, all words in each; symbols stand between two spaces."""
+    return f"""with recursive {DOCS}, said as (select row_id, unnest(w) as word,
+          generate_subscripts(w, 1) as pos from (select row_id,
+          regexp_extract_all(text, {WORDS_RE}) as w from docs)),
+        counted as (select word, count(*) as n from said group by word),
+        merging as (select 0 as step, word, n, null::varchar as a, null::varchar as b, 0::bigint as c,
+            ' ' || array_to_string(string_split(word, ''), '  ') || ' ' as s from counted
+          union all select step + 1, word, n, p.a, p.b, p.c,
+            replace(s, ' ' || p.a || '  ' || p.b || ' ', ' ' || p.a || p.b || ' ')
+          from merging, (select x.a, x.b, sum(n)::bigint as c from (select n, unnest(list_transform(
+              generate_series(1, len(l) - 1), lambda i: {{'a': l[i], 'b': l[i + 1]}})) as x
+              from (select n, string_split(s[2:length(s) - 1], '  ') as l from merging))
+            group by 1, 2 order by 3 desc, 1, 2 limit 1) p
+          where step < {n})"""
+
+
 def own_sql() -> dict[str, str]:
     holdout = """select row_id, case when row_number() over (order by md5('42|' || row_id), row_id)
       <= ceil(count(*) over () * 5 / 100.0) then 'validation' else 'train' end as split"""
@@ -1049,25 +1107,23 @@ def own_sql() -> dict[str, str]:
             {_word_vocab('docs', 10 ** 9, WORDS_RE, SPECIALS)},
             {_word_ids('docs', WORDS_RE, 2)} select docs.row_id, coalesce(ids, '') as ids
             from docs left join coded using (row_id)"""),
-        "subword_encode": f"""with recursive {DOCS}, said as (select row_id, unnest(w) as word,
-              generate_subscripts(w, 1) as pos from (select row_id,
-              regexp_extract_all(text, {WORDS_RE}) as w from docs)),
-            counted as (select word, count(*) as n from said group by word),
-            often as (select word from counted order by n desc, word limit 1000),
-            tokens as (select word as token from often where length(word) between 2 and 4
-              union select distinct unnest(string_split(text, '')) from docs where text <> ''),
-            pc as (select token, row_number() over (order by token) - 1 as id,
-              length(token) as len from tokens),
-            spots as (select word, unnest(range(1, length(word) + 1)) as spot from counted),
-            best as (select word, spot, max_by(pc.len, pc.len) as len, max_by(pc.id, pc.len) as id
-              from spots cross join range(1, 5) l(l) join pc on pc.token = substr(word, spot, l) and pc.len = l
-              group by word, spot),
-            walk as (select word, 1::bigint as spot from counted
-              union all select word, spot + len from walk join best using (word, spot)),
-            parts as (select word, string_agg(id::varchar, ',' order by spot) as ids
-              from walk join best using (word, spot) group by word),
+        "subword_encode": _subwords("select doc_id as row_id, text from documents"),
+        "subword_encode_long_token": _subwords("""select doc_id as row_id, text from documents
+            union all select -1, repeat(repeat('z', 60000) || ' ', 50) || 'q' || repeat('z', 60000)
+              || 'qz'"""),
+        "subword_merges": f"""{_merges(64)} select distinct step - 1 as rank, a as left, b as right,
+            c as n from merging where step > 0""",
+        "subword_merge_encode": f"""{_merges(64)}, {VOCAB.format(src='docs')},
+            made as (select a || b as token, min(step) as step from merging where step > 0 group by 1),
+            ids as (select ch as token, id from vocab union all select token,
+              (select count(*) from vocab) + row_number() over (order by step) - 1 from made),
+            parts as (select word, unnest(string_split(s[2:length(s) - 1], '  ')) as token,
+              generate_subscripts(string_split(s[2:length(s) - 1], '  '), 1) as place
+              from merging where step = 64),
+            coded as (select word, string_agg(id::varchar, ',' order by place) as ids
+              from parts join ids using (token) group by word),
             rows as (select row_id, string_agg(ids, ',' order by pos) as ids
-              from said join parts using (word) group by row_id)
+              from said join coded using (word) group by row_id)
             select row_id, coalesce(ids, '') as ids from docs left join rows using (row_id)""",
         "char_encode_wide": f"""with docs as (select doc_id as row_id, text || '漢字😀한' as text
             from documents), {VOCAB.format(src='docs')}, {_char_ids('docs')}

@@ -24,9 +24,13 @@ from corpusloom.operators.scores import (
 from corpusloom.operators.splits import (
     ensure_train, holdout, holdout_threshold, normalize_validation, percent_slice, shuffle_epochs,
 )
+from corpusloom.operators.subwords import (
+    encode_merges, learn_merges, merge_vocab, split_by_merges,
+)
 from corpusloom.operators.tokens import (
     build_char_vocab, build_word_vocab, char_table, decode_chars, encode_chars, encode_join,
     encode_subwords, encode_words, split_words, tokenize_dataset, truncate, vocab_size, with_masks,
+    word_counts,
 )
 from corpusloom.operators.windows import sample_windows, shifted_pairs
 from corpusloom.plans.prepare import (

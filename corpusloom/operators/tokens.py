@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusloom.functions.text import append_eos
-from corpusloom.operators.order import check_keys, key_at
+from corpusloom.operators.order import check_keys, key_at, key_bounds, range_bucket
 from corpusloom.operators.rendering import drop_blank
 from corpusloom.session import BROADCAST_BYTES, BROADCAST_ROWS, materialize
 
@@ -16,6 +16,11 @@ PAD, UNKNOWN = "<pad>", "<unk>"
 MAX_RANGES = 64
 # A text is taken apart into tokens in pieces of about this many characters.
 PIECE = 65_536
+# Words of one count that a task numbers; with more, ranges of them are numbered apart.
+TIED_WORDS = 1_000_000
+# Parts of words up to this long meet the table as they are; of longer entries the beginning does. A
+# long word is taken apart in windows of so many characters.
+SHORT, WINDOW = 16, 1024
 # Entries of a vocabulary (those with the least ids, and of so many bytes at most) that are a
 # constant of the plan. The rest is joined; the ids are the same.
 LOOKUP_ROWS, LOOKUP_BYTES = 65_536, 64
@@ -300,8 +305,8 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
 
     Counted on the map side before the shuffle; the counts are written once. A histogram of them
     (a row for each different count) tells the least count that gets in, and, of the words that
-    have it, where the last one in stands. Words are numbered within their count, so no task sees
-    them all.
+    have it, where the last one in stands. Words are numbered within their count, and where many
+    have the same one within ranges of words, so no task sees them all.
     """
     if max_size < len(specials):
         raise ValueError("max_size must leave room for the special tokens")
@@ -313,14 +318,31 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
     falling = Window.orderBy(F.desc("n"))
     ranked = counts.groupBy("n").agg(F.count("*").alias("_words")).withColumn(
         "_before", F.sum("_words").over(falling) - F.col("_words")).where(F.col("_before") < room)
-    edge = ranked.where(F.col("_before") + F.col("_words") > room).first()
+    shape = ranked.agg(F.sum("_words").alias("rows"), F.max("_words").alias("most"), F.max(F.when(
+        F.col("_before") + F.col("_words") > room, F.struct("n", "_before", "_words"))).alias(
+        "edge")).first()
+    edge = shape["edge"]
     if edge is not None:
         tied = counts.where(F.col("n") == edge["n"])
         stop = key_at(tied, [room - edge["_before"]], "token", edge["_words"])[0]
         counts = counts.where((F.col("n") > edge["n"]) | (F.col("token") < F.lit(stop)))
-    inner = F.row_number().over(Window.partitionBy("n").orderBy("token")) - 1
-    kept = counts.join(ranked.select("n", "_before"), "n").select(
-        "token", (F.col("_before") + inner + len(specials)).cast("int").alias("id"), "n")
+    kept = counts.join(ranked.select("n", "_before"), "n")
+    if (shape["most"] or 0) > TIED_WORDS:
+        # Most words stand once or twice: they are numbered by ranges of words, then within.
+        bounds = key_bounds(counts.select("token"), "token", shape["rows"])
+        kept = kept.withColumn("_range", range_bucket(kept, "token", bounds))
+        before = Window.partitionBy("n").orderBy("_range").rowsBetween(
+            Window.unboundedPreceding, -1)
+        base = kept.groupBy("n", "_range").agg(F.count("*").alias("_words")).select(
+            "n", "_range", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_ahead"))
+        inner = Window.partitionBy("n", "_range").orderBy("token")
+        kept = kept.withColumn("_inner", F.row_number().over(inner)).join(
+            base, ["n", "_range"]).withColumn("_inner", F.col("_inner") + F.col("_ahead"))
+    else:
+        kept = kept.withColumn(
+            "_inner", F.row_number().over(Window.partitionBy("n").orderBy("token")))
+    kept = kept.select("token", (F.col("_before") + F.col("_inner") - 1 + len(specials)).cast(
+        "int").alias("id"), "n")
     first = df.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(s) for s in specials]).cast("array<string>"))
         .alias("id", "token")).select("token", "id", F.lit(0).cast("bigint").alias("n"))
@@ -361,27 +383,56 @@ def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = Non
 
     From its beginning on, each word is cut into the longest entry that it goes on with; after the
     first one entries carry the mark ``continuation``. A word that cannot be cut so is one unknown
-    id. Every part that a word could have meets the table in one join on the part; parts have up to
-    ``max_piece`` characters, as many as the longest entry. A value below that raises.
+    id. At every place of a word the next ``SHORT`` characters meet the table, by each length that
+    entries have; of a longer entry its beginning does, and the few hits are compared in full. So a
+    long word or entry costs its length, not its square. ``max_piece`` is the length of entries that
+    the caller expects at most; the table may not have longer ones.
     """
-    size, mark = F.length("token"), F.lit(continuation)
-    part_size = F.when(F.startswith(F.col("token"), mark), size - len(continuation)).otherwise(size)
-    longest = vocab.agg(F.max(size).alias("whole"), F.max(part_size).alias("part")).first()
-    if max_piece is None:
-        max_piece = max(1, longest["whole"] or 1)
-    elif max_piece < (longest["part"] or 0):
-        raise ValueError(f"max_piece is {max_piece}, the table has an entry of {longest['part']}")
-    piece = F.substring(F.col("token"), F.col("_at"), F.col("_len"))
-    parts = (
-        words.select("token", F.explode(F.sequence(F.lit(1), F.length("token"))).alias("_at"))
-        .select("token", "_at", F.explode(F.sequence(F.lit(1), F.least(
-            F.lit(max_piece), F.length("token") - F.col("_at") + 1))).alias("_len"))
-        .withColumn("_piece", F.when(F.col("_at") == 1, piece).otherwise(
-            F.concat(F.lit(continuation), piece))))
-    table = vocab.select(F.col("token").alias("_piece"), F.col("id").alias("_id"))
-    longest = parts.join(table, "_piece").groupBy("token", "_at").agg(
-        F.max(F.struct("_len", "_id")).alias("_best"))
-    steps = longest.groupBy("token").agg(F.sort_array(F.collect_list(
+    size, mark = F.length("token"), len(continuation)
+    marked = F.startswith(F.col("token"), F.lit(continuation))
+    longest = vocab.agg(F.max(F.when(marked, size - mark).otherwise(size))).first()[0] or 0
+    if max_piece is not None and max_piece < longest:
+        raise ValueError(f"max_piece is {max_piece}, the table has an entry of {longest}")
+    entry = vocab.select("token", F.col("id").alias("_id"))
+    table = entry.select(F.col("token").alias("_part"), F.lit(True).alias("_first"), "_id").union(
+        entry.where(marked).select(F.substring("token", mark + 1, 2 ** 31 - 1), F.lit(False), "_id"))
+    table = materialize(table.withColumn("_len", F.length("_part")).where("_len > 0"), "parts")
+    small, n_table, n_bytes = (table.agg(
+        F.collect_set(F.when(F.col("_len") <= SHORT, F.col("_len"))), F.count("*"),
+        F.sum(F.octet_length("_part").cast("bigint"))).first())
+    few = n_table <= BROADCAST_ROWS and (n_bytes or 0) <= BROADCAST_BYTES
+
+    def side(t):
+        return F.broadcast(t) if few else t
+
+    keyed = words.where(F.length("token") > 0).select(
+        F.unhex(F.sha2("token", 256)).alias("_w"), F.length("token").alias("_n"), "token")
+    window = F.transform(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(WINDOW)), lambda s: F.struct(
+        s.alias("_from"), F.substring("token", s + 1, F.lit(WINDOW + SHORT - 1)).alias("_text")))
+    heads = (
+        keyed.select("_w", "_n", F.inline(window))
+        .select("_w", "_n", "_from", "_text", F.explode(F.sequence(F.lit(1), F.least(
+            F.lit(WINDOW), F.col("_n") - F.col("_from")))).alias("_in"))
+        .select("_w", "_n", (F.col("_from") + F.col("_in")).alias("_at"),
+                F.substring("_text", F.col("_in"), F.lit(SHORT)).alias("_head"))
+        .withColumn("_first", F.col("_at") == 1))
+    lengths = F.array(*[F.lit(n) for n in sorted(small)]).cast("array<int>")
+    hits = (
+        heads.select("_w", "_at", "_first", "_head", F.explode(F.filter(
+            lengths, lambda n: n <= F.length("_head"))).alias("_len"))
+        .withColumn("_part", F.left("_head", F.col("_len"))).drop("_head")
+        .join(side(table.where(F.col("_len") <= SHORT).drop("_len")), ["_part", "_first"])
+        .select("_w", "_at", "_len", "_id"))
+    if longest > SHORT:
+        begun = table.where(F.col("_len") > SHORT).withColumn("_head", F.left("_part", F.lit(SHORT)))
+        hits = hits.union(
+            heads.join(side(begun), ["_head", "_first"])
+            .where(F.col("_len") <= F.col("_n") - F.col("_at") + 1)
+            .join(keyed.select("_w", "token"), "_w")
+            .where(F.substring("token", F.col("_at"), F.col("_len")) == F.col("_part"))
+            .select("_w", "_at", "_len", "_id"))
+    best = hits.groupBy("_w", "_at").agg(F.max(F.struct("_len", "_id")).alias("_best"))
+    steps = best.groupBy("_w").agg(F.sort_array(F.collect_list(
         F.struct("_at", "_best._len", "_best._id"))).alias("_steps"))
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
@@ -390,11 +441,11 @@ def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = Non
             (done["at"] + step["_len"]).alias("at"),
             F.concat(done["ids"], F.array(step["_id"])).alias("ids"))).otherwise(done)
 
-    walked = steps.select("token", F.aggregate("_steps", start, walk).alias("_done"))
+    walked = steps.select("_w", F.aggregate("_steps", start, walk).alias("_done"))
     whole = F.col("_done.at") == F.length("token") + 1
-    return words.join(walked, "token", "left").withColumn("id", F.when(
-        F.coalesce(whole, F.lit(False)), F.col("_done.ids")).otherwise(
-        F.array(F.lit(unknown_id).cast("int")))).drop("_done")
+    return words.withColumn("_w", F.unhex(F.sha2("token", 256))).join(walked, "_w", "left").withColumn(
+        "id", F.when(F.coalesce(whole, F.lit(False)), F.col("_done.ids")).otherwise(
+            F.array(F.lit(unknown_id).cast("int")))).drop("_done", "_w")
 
 
 def encode_subwords(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "row_id",

@@ -42,16 +42,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a table of this session that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    paths = _handed_out[_session_key(spark)]
+    if path in paths:
+        paths.remove(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete what this session wrote under scratch paths; returns how many there were.
 
     Call it when no table built on them is read any more, as when a result has been written.
     """
-    dropped, paths = 0, _handed_out.pop(_session_key(spark), [])
-    while paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
-        dropped += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return dropped
+    return sum(drop_path(spark, path) for path in list(_handed_out.pop(_session_key(spark), [])))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
