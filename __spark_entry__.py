@@ -311,6 +311,42 @@ def q_short_windows(spark, sf_dir):
     return cl.sample_windows(stream, names, n_batches=50)
 
 
+def null_texts(spark, sf_dir) -> DataFrame:
+    """Half of the texts are null; rows and separators stay."""
+    return documents(spark, sf_dir).withColumn(
+        "text", F.when(F.col("row_id") % 20 >= 10, F.col("text")))
+
+
+def q_null_offsets(spark, sf_dir):
+    return cl.corpus_offsets(null_texts(spark, sf_dir))
+
+
+def q_null_segments(spark, sf_dir):
+    docs = null_texts(spark, sf_dir)
+    return cl.split_segments(docs, cl.materialize(cl.corpus_offsets(docs), "index"))
+
+
+def q_null_windows(spark, sf_dir):
+    docs = null_texts(spark, sf_dir)
+    stream = cl.contiguous_split(cl.materialize(cl.corpus_offsets(docs), "index"))
+    return cl.sample_windows(stream, docs, n_batches=50)
+
+
+def q_null_next_counts(spark, sf_dir):
+    docs = null_texts(spark, sf_dir)
+    return train_counts(docs, cl.materialize(cl.corpus_offsets(docs), "index"))
+
+
+def q_id_windows(spark, sf_dir):
+    """Windows over word ids from a store in blocks."""
+    docs = spread_documents(spark, sf_dir)
+    vocab = cl.materialize(cl.build_word_vocab(docs, 5000), "vocab")
+    coded = cl.materialize(cl.encode_words(docs, vocab), "coded")
+    store = cl.write_id_store(coded, scratch_path(spark, "ids"), block_ids=1024)
+    windows = cl.sample_id_windows(store, n_batches=50)
+    return windows.withColumns({"x": joined("x"), "y": joined("y")})
+
+
 # --- queries: tokens -----------------------------------------------------------------------------
 
 def q_char_vocab(spark, sf_dir):
@@ -502,9 +538,9 @@ def q_pad_report(spark, sf_dir):
 
 # --- queries: next-token tables ------------------------------------------------------------------
 
-def train_counts(docs: DataFrame, index: DataFrame) -> DataFrame:
+def train_counts(docs: DataFrame, index: DataFrame, order: int = 1) -> DataFrame:
     segments = cl.split_segments(cl.spread(docs), index).where("split = 'train'")
-    return cl.next_token_counts(segments, SEP, index.agg(F.min("row_id")).first()[0])
+    return cl.next_token_counts(segments, SEP, index.agg(F.min("row_id")).first()[0], order=order)
 
 
 def scores(spark, sf_dir) -> DataFrame:
@@ -532,6 +568,22 @@ def q_eval_loss(spark, sf_dir):
     return loss.withColumn("loss", F.round("loss", 6))
 
 
+def q_context_counts(spark, sf_dir):
+    """Next characters after three others."""
+    docs = documents(spark, sf_dir)
+    return train_counts(docs, cl.materialize(cl.corpus_offsets(docs), "index"), 3)
+
+
+def q_back_off_loss(spark, sf_dir):
+    """Loss by contexts of up to three characters, with back-off to shorter ones."""
+    docs = documents(spark, sf_dir)
+    index = cl.materialize(cl.corpus_offsets(docs), "index")
+    size = cl.build_char_vocab(cl.spread(docs), extra=SEP).count()
+    windows = cl.sample_windows(cl.contiguous_split(index), docs, n_batches=50)
+    loss = cl.eval_back_off(train_counts(docs, index, 3), windows, 3, size)
+    return loss.withColumn("loss", F.round("loss", 6))
+
+
 def q_softmax(spark, sf_dir):
     return cl.temperature_softmax(scores(spark, sf_dir)).select(
         "prompt_id", "token", F.round("prob", 6).alias("prob"))
@@ -829,6 +881,16 @@ OFFSETS = DOCS + """, sized as (select row_id, text, length(text)
     + case when row_id = max(row_id) over () then 0 else 2 end as n from docs),
   placed as (select row_id, text, n, sum(n) over () as total,
     sum(n) over (order by row_id) - n as off from sized)"""
+NULL_DOCS = """docs as (select doc_id as row_id, case when doc_id % 20 >= 10 then text else '' end
+  as text from documents)"""
+GRAMS = OFFSETS + f""", cut4 as (select *, floor(0.9::double * total)::bigint as brk, text
+    || case when off + n = total then '' else {NL2} end as seg from placed),
+  runs as (select string_split(case when row_id = (select min(row_id) from docs) then ''
+    else repeat(chr(10), 3) end || left(seg, least(n, brk - off)::bigint), '') as c
+    from cut4 where off < brk),
+  grams as (select p[1] || p[2] || p[3] || p[4] as g, count(*)::bigint as n
+    from (select unnest(list_zip(c[:-4], c[2:-3], c[3:-2], c[4:])) as p from runs)
+    where p[4] is not null group by 1)"""
 SCORES = DOCS + """, chars as (select row_id, string_split(
     case when row_id = (select min(row_id) from docs) then '' else chr(10) end
     || text || chr(10) || chr(10), '') as c from docs),
@@ -1080,6 +1142,37 @@ def own_sql() -> dict[str, str]:
               from cuts, lut)
             select split, batch_id, slot, start, array_to_string(l[1:256], ',') as x,
               array_to_string(l[2:257], ',') as y from ids""",
+        "null_offsets": f"""with {OFFSETS.replace(DOCS, NULL_DOCS)} select row_id,
+            off::bigint as off, n::bigint as n, total::bigint as total from placed""",
+        "null_segments": f"""with {OFFSETS.replace(DOCS, NULL_DOCS)}, cut as (select *,
+            floor(0.9::double * total)::bigint as brk,
+            text || case when off + n = total then '' else {NL2} end as seg from placed)
+            select 'train' as split, row_id, left(seg, least(n, brk - off)::bigint) as text from cut
+              where off < brk
+            union all select 'validation', row_id, substr(seg, greatest(0, brk - off)::bigint + 1)
+              from cut where off + n > brk""",
+        "null_windows": f"""with {_windows(50, NULL_DOCS)} select split, batch_id, slot, start,
+            left(w, 256) as x, substr(w, 2, 256) as y from cuts""",
+        "null_next_counts": f"""with {TRAIN_PAIRS.replace(DOCS, NULL_DOCS)}
+            select token, next, n from counts""",
+        "id_windows": f"""with {DOCS}, {_word_vocab('docs', 5000, WORDS_RE, SPECIALS)},
+            tokens as (select row_id, unnest(w) as token, generate_subscripts(w, 1) as pos from
+              (select row_id, regexp_extract_all(text, {WORDS_RE}) as w from docs)),
+            flat as (select coalesce(id, 2) as id, row_number() over (order by row_id, pos) - 1 as nth
+              from tokens left join vocab using (token)),
+            size as (select count(*) as total, floor(0.9::double * count(*))::bigint as cut from flat),
+            parts as (select 'train' as split, 0 as base, cut as stop from size
+              union all select 'validation', cut, total from size),
+            draws as (select split, i // 32 as batch_id, (i % 32)::int as slot, base, stop,
+              case when stop - base - 257 <= 0 then 0 else
+              ('0x' || substr(md5('1337|' || split || '|' || i), 1, 15))::bigint
+              % (stop - base - 257) end as start from parts, range(1600) r(i)),
+            spots as (select *, unnest(range(base + start, least(base + start + 257, stop))) as nth
+              from draws)
+            select split, batch_id, slot, start,
+              string_agg(id::varchar, ',' order by nth) filter (nth < base + start + 256) as x,
+              string_agg(id::varchar, ',' order by nth) filter (nth > base + start) as y
+            from spots join flat using (nth) group by split, batch_id, slot, start""",
         "sampled_windows_joined": f"""with {_windows(50)} select split, batch_id, slot, start,
             left(w, 256) as x, substr(w, 2, 256) as y from cuts""",
         "short_windows": f"""with {_windows(50, """docs as (select r_regionkey as row_id,
@@ -1160,6 +1253,39 @@ def own_sql() -> dict[str, str]:
             sum(t)::bigint as real_tokens, sum(r * m - t)::bigint as pad_tokens from b
             group by all""",
         "next_token_counts": f"with {TRAIN_PAIRS} select token, next, n from counts",
+        "context_counts": f"""with {GRAMS} select left(g, 3) as token, right(g, 1) as next, n
+            from grams""",
+        "back_off_loss": f"""with {GRAMS}{_windows(50)[len(DOCS):]}, {VOCAB.format(src='marks')},
+            l3 as (select left(g, 3) as ctx, right(g, 1) as nxt, n as c from grams),
+            l2 as (select substr(g, 2, 2) as ctx, right(g, 1) as nxt, count(*) as c from grams
+              group by 1, 2),
+            l1 as (select right(ctx, 1) as ctx, nxt, count(*) as c from l2 group by 1, 2),
+            l0 as (select nxt, count(*) as c from l1 group by 1),
+            s3 as (select ctx, sum(c) as t, count(*) as k from l3 group by 1),
+            s2 as (select ctx, sum(c) as t, count(*) as k from l2 group by 1),
+            s1 as (select ctx, sum(c) as t, count(*) as k from l1 group by 1),
+            s0 as (select sum(c) as t, count(*) as k from l0),
+            spots as (select split, batch_id, w, unnest(range(1, length(w))) as i from cuts),
+            seen as (select split, batch_id, substr(w, greatest(1, i - 2), least(i, 3)) as ctx,
+              substr(w, i + 1, 1) as nxt, count(*) as n from spots group by all),
+            p0 as (select split, batch_id, seen.ctx, nxt, n, (greatest(coalesce(c, 0) - 0.75::double, 0)
+              + 0.75::double * k / (select count(*) from vocab)) / t as p
+              from seen left join l0 using (nxt), s0),
+            p1 as (select p0.* exclude (p), case when s1.t is null then p else
+              (greatest(coalesce(c, 0) - 0.75::double, 0) + 0.75::double * k * p) / t end as p
+              from p0 left join l1 on l1.ctx = right(p0.ctx, 1) and l1.nxt = p0.nxt
+              left join s1 on s1.ctx = right(p0.ctx, 1)),
+            p2 as (select p1.* exclude (p), case when s2.t is null then p else
+              (greatest(coalesce(c, 0) - 0.75::double, 0) + 0.75::double * k * p) / t end as p
+              from p1 left join l2 on l2.ctx = right(p1.ctx, 2) and l2.nxt = p1.nxt
+              left join s2 on s2.ctx = right(p1.ctx, 2)),
+            p3 as (select p2.* exclude (p), case when s3.t is null then p else
+              (greatest(coalesce(c, 0) - 0.75::double, 0) + 0.75::double * k * p) / t end as p
+              from p2 left join l3 on l3.ctx = p2.ctx and l3.nxt = p2.nxt
+              left join s3 on s3.ctx = p2.ctx),
+            losses as (select split, batch_id, sum(n * -ln(p)) / sum(n) as loss from p3 group by all)
+            select split, count(*) as n_batches, round(avg(loss), 6) as loss from losses
+            group by split""",
         "eval_loss": f"""with {TRAIN_PAIRS}, {VOCAB.format(src='marks')},
             ctx as (select token, sum(n) as total_n from counts group by token),
             size as (select count(*) as v from vocab),

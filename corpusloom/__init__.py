@@ -18,12 +18,15 @@ from corpusloom.operators.rendering import (
     render_instruction, render_messages, render_text, render_trace, split_bad_lines, wrap_prompts,
 )
 from corpusloom.operators.scores import (
-    eval_loss, greedy_next, next_token_counts, repetition_penalty, sample_next,
+    back_off_levels, back_off_probability, eval_back_off, eval_loss, greedy_next, next_token_counts, repetition_penalty, sample_next,
     temperature_softmax, top_k, top_p,
 )
 from corpusloom.operators.splits import (
     ensure_train, holdout, holdout_threshold, normalize_validation, percent_slice, shuffle_epochs,
 )
+from corpusloom.operators.store import (
+    IdStore, read_id_store, sample_id_windows, write_id_store,
+)
 from corpusloom.operators.subwords import (
     encode_merges, learn_merges, merge_vocab, split_by_merges,
 )

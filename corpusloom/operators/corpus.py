@@ -3,6 +3,7 @@
 A row contributes its *segment*: its text and the separator after it (none after the last row).
 Segments in key order, put end to end, are the joined corpus. The corpus *index* gives the place of
 every segment: ``row_id, off, n, total``. It is narrow, so the shuffle that numbers it moves no text.
+A null text is an empty one: the row is there, and so is its separator.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ def _shape(df: DataFrame, text: str, key: str):
 
 def segment(last, row_sep: str, text: str = "text", key: str = "row_id") -> Column:
     """The text of a row with its separator; ``last`` is the greatest key."""
-    return F.when(F.col(key) == F.lit(last), F.col(text)).otherwise(
-        F.concat(F.col(text), F.lit(row_sep)))
+    known = F.coalesce(F.col(text), F.lit(""))
+    return F.when(F.col(key) == F.lit(last), known).otherwise(F.concat(known, F.lit(row_sep)))
 
 
 def corpus_length(df: DataFrame, row_sep: str = "\n\n", text: str = "text") -> DataFrame:
@@ -40,7 +41,7 @@ def corpus_offsets(df: DataFrame, row_sep: str = "\n\n", text: str = "text",
     check_keys(df, key)
     shape = _shape(df, text, key)
     total = shape["chars"] + len(row_sep) * max(shape["rows"] - 1, 0)
-    width = F.length(text) + F.when(F.col(key) == F.lit(shape["last"]), 0).otherwise(len(row_sep))
+    width = F.coalesce(F.length(text), F.lit(0)) + F.when(F.col(key) == F.lit(shape["last"]), 0).otherwise(len(row_sep))
     rows = df.select(key, *carry, width.cast("bigint").alias("n"))
     bounds = key_bounds(df.select(key), key, shape["rows"])
     placed = prefix_sum(rows, F.col("n"), key, "off", bounds)
