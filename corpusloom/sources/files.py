@@ -74,13 +74,19 @@ def _is_array(spark: SparkSession, path: str) -> bool:
 
 
 def _key_order(spark: SparkSession, path: str) -> list[str]:
-    """The names in the first record of a JSON file, in its order; empty if that is too long."""
-    head = _head(spark, path, 1 << 20).lstrip().removeprefix("[").lstrip()
-    try:
-        record, _ = json.JSONDecoder().raw_decode(head)
-    except ValueError:
-        return []
-    return list(record) if isinstance(record, dict) else []
+    """The names in the first record of a JSON file, in its order; as much is read as it takes."""
+    size, head, more = 1 << 20, "", True
+    while more:
+        data = _head(spark, path, size)
+        more, head = len(data) > len(head), data
+        try:
+            record, _ = json.JSONDecoder().raw_decode(
+                head.lstrip().removeprefix("[").lstrip())
+        except ValueError:
+            size *= 8
+            continue
+        return list(record) if isinstance(record, dict) else []
+    return []
 
 
 def with_corrupt(schema: T.StructType | str) -> T.StructType:

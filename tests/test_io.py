@@ -281,3 +281,13 @@ def test_scratch_is_dropped(spark):
         spark.read.parquet(path)
     assert cl.drop_scratch(spark) == 0
     assert elsewhere.count() == 3 and cl.drop_scratch(other) == 1
+
+
+def test_columns_keep_the_order_of_a_long_first_record(spark, tmp_path):
+    first = {"text": "t" * 3_000_000, "answer": "a", "Body": "b"}
+    path = tmp_path / "long.jsonl"
+    path.write_text("\n".join(json.dumps(r) for r in (first, {"Body": "c", "answer": "d"})))
+    assert cl.read_files(spark, str(path)).columns[:3] == ["text", "answer", "Body"]
+    assert cl.read_files(spark, f"file:{path}").count() == 2
+    (tmp_path / "bad.json").write_text("[{\"a\": ")
+    cl.read_files(spark, str(tmp_path / "bad.json")).columns
