@@ -65,7 +65,9 @@ def op7_license_scan(spark, sf_dir):
 
 
 def op8_repeated_passages(spark, sf_dir):
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    found = remove_repeats(table(spark, sf_dir, "documents"), texts=True)
+    # A removed run may begin or end within a character; what is left of it is U+FFFD here.
+    return found.withColumn("kept_text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def op9_warc_round_trip(spark, sf_dir):

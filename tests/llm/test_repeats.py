@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import repeats
+from corpusloom.llm.queries import op8_repeated_passages
 
 
 def brute(texts, length):
@@ -127,3 +128,16 @@ def test_repeated_ids_and_rows(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove_repeats(empty).count() == 0
+
+
+def test_query_returns_what_is_left(spark, sf):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op8_repeated_passages(spark, sf).collect()
+    assert {r.doc_id for r in rows} == set(docs) and any(r.n_removed for r in rows)
+    for r in rows:
+        assert len(docs[r.doc_id].encode()) == r.n_bytes
+        if "\ufffd" not in r.kept_text:
+            assert len(r.kept_text.encode()) == r.n_bytes - r.n_removed
+            assert hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
+        if not r.n_removed:
+            assert r.kept_text == docs[r.doc_id]
