@@ -662,6 +662,19 @@ def q_src_json_mixed(spark, sf_dir):
         "doc_id", "lang", "text", "split")
 
 
+def q_src_json_array(spark, sf_dir):
+    """All documents as one array in one file, named by its URI; a null element is no row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    line = F.concat(F.lit(","), json_lines(docs)).alias("v")
+    ends = spark.createDataFrame([(0, "[null"), (2, "]")], "at int, v string")
+    path = scratch_path(spark, "array")
+    docs.select(F.lit(1).alias("at"), line).union(ends).coalesce(1).sortWithinPartitions(
+        "at").select("v").write.text(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(named(spark, path, ".json"))
+    uri = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return cl.split_bad_lines(cl.read_files(spark, uri))[0]
+
+
 def broken_lines(spark, sf_dir) -> str:
     """JSON lines of the documents; every tenth one breaks off."""
     docs = table(spark, sf_dir, "documents").select(
@@ -1337,6 +1350,7 @@ def own_sql() -> dict[str, str]:
             as token from scores group by prompt_id""",
         "src_json": "select doc_id, lang, text, 'train' as split from documents",
         "src_json_mixed": "select doc_id, lang, text, 'train' as split from documents",
+        "src_json_array": "select doc_id, lang, text, 'train' as split from documents",
         "src_json_bad_lines": f"""{_with_lines()} select row_id, text, line, given from lines,
             (values (true), (false)) v(given)""",
         "stream_bad_lines": f"{_with_lines()} select row_id, text, line from lines",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from corpusloom.functions.layout import CORRUPT
 from corpusloom.operators.order import global_rank
 from corpusloom.session import materialize
+from corpusloom.sources.arrays import array_records, infer_records, parse_records
 
 # The reader of every supported suffix.
 FORMATS = {
@@ -17,6 +19,10 @@ FORMATS = {
 }
 
 
+# Files whose kind is asked for at a time.
+LOOKS = 64
+
+
 def _suffix(path: str) -> str:
     name = path.rstrip("/").rsplit("/", 1)[-1]
     return "." + name.rsplit(".", 1)[-1].lower() if "." in name[1:] else ""
@@ -64,8 +70,6 @@ def _part_files(spark: SparkSession, path: str, glob: str | None) -> list[str]:
 
 def _is_array(spark: SparkSession, path: str) -> bool:
     """Whether a JSON file is one array rather than one object per line."""
-    if _suffix(path) == ".jsonl":
-        return False
     for size in (256, 1 << 20):
         head = _head(spark, path, size).lstrip()
         if head:
@@ -73,6 +77,17 @@ def _is_array(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def _array_files(spark: SparkSession, files: list[str]) -> set[str]:
+    """The files that are arrays; a file named ``.jsonl`` is never opened for it."""
+    asked = [f for f in files if _suffix(f) != ".jsonl"]
+    if not asked:
+        return set()
+    # Waiting for the file system is all there is to it, so many files are asked at a time.
+    with ThreadPoolExecutor(min(LOOKS, len(asked))) as pool:
+        found = pool.map(lambda f: _is_array(spark, f), asked)
+        return {f for f, array in zip(asked, found) if array}
+
+
 def _key_order(spark: SparkSession, path: str) -> list[str]:
     """The names in the first record of a JSON file, in its order; as much is read as it takes."""
     size, head, more = 1 << 20, "", True
@@ -112,28 +127,29 @@ def _common(schemas: list[T.StructType]) -> T.StructType:
 
 def _read_json(spark: SparkSession, paths: list[str], schema, glob: str | None) -> DataFrame:
     files = [f for p in paths for f in _part_files(spark, p, glob)]
-    kinds = {f: _is_array(spark, f) for f in files}
-    groups = [(array, [f for f in files if kinds[f] == array]) for array in (False, True)]
-    groups = [(array, found) for array, found in groups if found]
+    found = _array_files(spark, files)
+    arrays, lines = [f for f in files if f in found], [f for f in files if f not in found]
+    records = array_records(spark, arrays) if arrays else None
 
-    def read(array, wanted, given):
-        reader = spark.read.option("mode", "PERMISSIVE").option(
-            "columnNameOfCorruptRecord", CORRUPT).option("multiLine", array)
+    def read(given):
+        reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         if given is not None:
             reader = reader.schema(given)
-        if len(groups) > 1:
-            return reader.json(wanted)
+        if arrays:
+            return reader.json(lines)
         # All alike: Spark lists the folders by itself.
         return (reader.option("pathGlobFilter", glob) if glob else reader).json(paths)
 
-    if not groups:
-        groups = [(False, files)]
     if schema is None:
-        found = _common([read(array, wanted, None).schema for array, wanted in groups])
+        schemas = [read(None).schema] if lines or not files else []
+        common = _common(schemas + ([infer_records(records)] if arrays else []))
         order = {name: i for i, name in enumerate(_key_order(spark, files[0]) if files else [])}
-        schema = T.StructType(sorted(found.fields, key=lambda f: order.get(f.name, len(order))))
+        schema = T.StructType(sorted(common.fields, key=lambda f: order.get(f.name, len(order))))
     schema = with_corrupt(schema)
-    return reduce(DataFrame.unionByName, [read(array, wanted, schema) for array, wanted in groups])
+    tables = [read(schema)] if lines or not files else []
+    if arrays:
+        tables.append(parse_records(records, schema))
+    return reduce(DataFrame.unionByName, tables)
 
 
 def read_format(spark: SparkSession, paths: list[str], fmt: str,
@@ -143,10 +159,11 @@ def read_format(spark: SparkSession, paths: list[str], fmt: str,
 
     Pass a ``schema`` for big JSON or CSV inputs; without one they are read twice, once to infer it.
     JSON files are arrays or one object per line, each by itself: the driver looks at the first
-    bytes of every one that is not named ``.jsonl``. Columns come in the order of the first record.
-    A line that does not parse is kept in the column ``_corrupt_record``, with a schema or without;
-    ``split_bad_lines`` takes such rows out. JSON arrays, and CSV files if ``multiline`` (line
-    breaks in quotes), are one task per file.
+    bytes of every one that is not named ``.jsonl``, many at a time. Columns come in the order of
+    the first record. A line or an element that does not parse is kept in the column
+    ``_corrupt_record``, with a schema or without; ``split_bad_lines`` takes such rows out. Arrays
+    are read in byte ranges (``array_records``). CSV files are one task each if ``multiline`` (line
+    breaks in quotes).
     """
     reader = spark.read
     if glob:
