@@ -18,11 +18,18 @@ RANGE = ["_file", "_start"]
 
 def _depth(outside: Column) -> Column:
     """Opened less closed brackets of a text without strings."""
-    return F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))
+    return F.octet_length(F.translate(outside, "]}", "")) - F.octet_length(
+        F.translate(outside, "[{", ""))
 
 
-def _without_strings(text: Column) -> Column:
-    return F.regexp_replace(text, '"[^"]*("|$)', "")
+def _without_strings(signs: Column) -> Column:
+    return F.regexp_replace(signs, '"[^"]*("|$)', "")
+
+
+def _signs(text: Column) -> Column:
+    """The quotes and brackets of a text. Escaped backslashes go first, escaped quotes then."""
+    bare = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    return F.regexp_replace(bare, r'[^"\[\]{}]++', "")
 
 
 def _pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -32,16 +39,17 @@ def _pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
         spark.read.option("lineSep", "}").text(paths)
         .select("value", F.col("_metadata.file_path").alias("_file"),
                 F.col("_metadata.file_block_start").alias("_start"),
-                F.monotonically_increasing_id().alias("_place"))
-        .withColumn("_bare", F.regexp_replace("value", r"(?s)\\(.|$)", ""))
-        .withColumn("_quotes", F.length("_bare") - F.length(F.replace("_bare", F.lit('"'), F.lit(""))))
+                F.monotonically_increasing_id().alias("_place"),
+                _signs(F.col("value")).alias("_signs"))
+        .withColumn("_quotes", F.octet_length("_signs") - F.octet_length(
+            F.translate("_signs", '"', "")))
     )
     odd = F.col("_quotes") % 2
     return pieces.withColumn(
-        "_d0", _depth(_without_strings(F.col("_bare"))) - (1 - odd)
+        "_d0", _depth(_without_strings(F.col("_signs"))) - (1 - odd)
     ).withColumn(
-        "_d1", _depth(_without_strings(F.concat(F.lit('"'), "_bare"))) - odd
-    ).drop("_bare")
+        "_d1", _depth(_without_strings(F.concat(F.lit('"'), "_signs"))) - odd
+    ).drop("_signs")
 
 
 def _within_ranges(pieces: DataFrame) -> DataFrame:
