@@ -260,6 +260,15 @@ def q_shuffle_epochs(spark, sf_dir):
     return cl.shuffle_epochs(orders)
 
 
+def q_shuffle_resume(spark, sf_dir):
+    """An epoch as a whole, and the next one entered at three fifths of its places."""
+    docs = cl.with_row_id(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    rows = docs.count()
+    whole = cl.shuffled_part(docs, rows, 0, rows, epoch=0)
+    rest = cl.shuffled_part(docs, rows, rows * 3 // 5, rows, epoch=1)
+    return whole.withColumn("epoch", F.lit(0)).unionByName(rest.withColumn("epoch", F.lit(1)))
+
+
 def q_exact_k(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"))
     return cl.exact_k(customers, 100, 11)
@@ -956,6 +965,19 @@ SHUFFLED = """shuffled as (select row_id, epoch, row_number() over (partition by
   md5('42|' || epoch || '|' || row_id), row_id) - 1 as pos from {src}, range({epochs}) e(epoch))"""
 
 
+def _grid_step(src: str, where: str = "") -> str:
+    """One pass of the keyed permutation over the cells of a grid of ``w`` by ``h``."""
+    step = f"""select doc_id, row_id, epoch, v // h as x, v % h as y, w, h
+        from {src}, cells {where}"""
+    for r in range(6):
+        moved, kept, size = ("x", "y", "w") if r % 2 == 0 else ("y", "x", "h")
+        digest = f"md5('42|' || epoch || '|{r}|' || {kept})"
+        step = f"""select doc_id, row_id, epoch, w, h, {kept},
+            ({moved} + ('0x' || left({digest}, 15))::bigint % {size}) % {size} as {moved}
+            from ({step})"""
+    return f"select doc_id, row_id, epoch, x * h + y as v from ({step})"
+
+
 def _windows(n_batches: int, docs: str = DOCS) -> str:
     return docs + WHOLE + f""", draws as (select split, total, body, i // 32 as batch_id,
       (i % 32)::int as slot, case when total - 257 <= 0 then 0 else
@@ -1126,6 +1148,18 @@ def own_sql() -> dict[str, str]:
         "shuffle_epochs": f"""with o as (select o_orderkey as row_id from orders),
             {SHUFFLED.format(src='o', epochs=2)} select row_id, epoch::int as epoch, pos
             from shuffled""",
+        "shuffle_resume": f"""with recursive docs as (select doc_id,
+              row_number() over (order by doc_id) - 1 as row_id from documents),
+            facts as (select count(*) as n, floor(sqrt(count(*)))::bigint as root from docs),
+            widths as (select unnest(range(greatest(1, root - least(262144, root // 2)), root + 1))
+              as w, n from facts),
+            cells as (select w, (n + w - 1) // w as h, n from widths
+              order by (w - n % w) % w, w desc limit 1),
+            walk as ({_grid_step("""(select doc_id, row_id, e as epoch, row_id as v
+                from docs, range(2) t(e))""")}
+              union all {_grid_step("walk", "where v >= n")})
+            select doc_id, row_id, v as pos, epoch::int as epoch from walk, facts
+            where v < n and (epoch = 0 or v >= n * 3 // 5)""",
         "exact_k": """select c_custkey as row_id from customer
             order by md5('11|' || c_custkey), c_custkey limit 100""",
         "corpus_length": """select count(*) as n_rows,

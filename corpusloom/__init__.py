@@ -13,6 +13,7 @@ from corpusloom.operators.corpus import (
 from corpusloom.operators.counts import split_counts, token_stats
 from corpusloom.operators.hooks import map_batches
 from corpusloom.operators.order import check_keys, exact_k, global_rank, key_at, prefix_sum
+from corpusloom.operators.permute import place_of_row, row_at_place, shuffled_part
 from corpusloom.operators.rendering import (
     assemble_conversations, conversation_parts, drop_blank, keep_only, render,
     render_instruction, render_messages, render_text, render_trace, split_bad_lines, wrap_prompts,
