@@ -785,6 +785,16 @@ def q_stream_counts(spark, sf_dir):
     return cl.latest_counts(spark, path)
 
 
+def q_stream_holdout(spark, sf_dir):
+    """The exact holdout of the documents as they arrive in files, one a trigger."""
+    parts = scratch_path(spark, "arrivals")
+    documents(spark, sf_dir).select("row_id").repartition(3).write.parquet(parts)
+    stream = cl.read_stream(spark, parts, "parquet", "row_id bigint", files_per_trigger=1)
+    path, checkpoint = scratch_path(spark, "held"), scratch_path(spark, "offsets")
+    cl.write_holdout_stream(stream, path, checkpoint)
+    return cl.read_holdout_stream(spark, path)
+
+
 def q_stream_render(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     stream = cl.read_stream(spark, f"{sf_dir}/documents.parquet*", "parquet", schema).select(
@@ -1405,6 +1415,7 @@ def own_sql() -> dict[str, str]:
             select {threshold} as split, count(*) as n_raw,
             count(*) filter (trim(text, {WS}) <> '') as n_kept,
             count(*) filter (trim(text, {WS}) = '') as n_dropped from e group by 1""",
+        "stream_holdout": f"with {DOCS} {holdout} from docs",
         "stream_render": f"""with {DOCS}, bodies as (select row_id, {threshold} as split,
             trim(text, {WS}) as body from docs)
             select row_id, split, {_eos('body')} as text from bodies""",
