@@ -795,6 +795,31 @@ def q_stream_holdout(spark, sf_dir):
     return cl.read_holdout_stream(spark, path)
 
 
+def q_stream_chats(spark, sf_dir):
+    """Turns in the order of two files: every seventh comes with the second, some of them too late.
+
+    From the fifth turn on an hour has passed, which is a session of its own.
+    """
+    second = F.col("conv_id") * 600 + F.col("turn") * 60 + F.when(F.col("turn") >= 4, 3600).otherwise(0)
+    turns = cl.spread(table(spark, sf_dir, "conversations")).withColumn(
+        "at", F.timestamp_seconds(second))
+    straggles = F.col("conv_id") * 3 + F.col("turn")
+    files = scratch_path(spark, "arrivals")
+    for part in (straggles % 7 != 0, straggles % 7 == 0):
+        turns.where(part).coalesce(1).write.mode("append").parquet(files)
+    stream = cl.read_stream(spark, files, "parquet", turns.schema, files_per_trigger=1)
+    path, checkpoint = scratch_path(spark, "chats"), scratch_path(spark, "offsets")
+    cl.write_chat_stream(stream, path, checkpoint, "conv_id", "turn", "at", delay=20_000)
+    chats = cl.read_chat_stream(spark, path, "conv_id", "turn", "at", open_too=True).withColumnRenamed(
+        "conv_id", "row_id")
+    whole = cl.render(chats.withColumn("row_id", F.struct(
+        "row_id", F.unix_seconds("start").alias("start"))), eos=EOS)
+    late = cl.read_late_turns(spark, path).select(
+        F.col("conv_id").alias("row_id"), F.unix_seconds("at").alias("start"), "text",
+        F.lit(True).alias("late"))
+    return whole.select("row_id.*", "text", F.lit(False).alias("late")).union(late)
+
+
 def q_stream_render(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     stream = cl.read_stream(spark, f"{sf_dir}/documents.parquet*", "parquet", schema).select(
@@ -1416,6 +1441,20 @@ def own_sql() -> dict[str, str]:
             count(*) filter (trim(text, {WS}) <> '') as n_kept,
             count(*) filter (trim(text, {WS}) = '') as n_dropped from e group by 1""",
         "stream_holdout": f"with {DOCS} {holdout} from docs",
+        "stream_chats": f"""with timed as (select *, (conv_id * 3 + turn) % 7 = 0 as straggles,
+              conv_id * 600 + turn * 60 + case when turn >= 4 then 3600 else 0 end as sec
+              from conversations),
+            marked as (select *, straggles and sec < (select max(sec) from timed where not straggles)
+              - 20000 as late from timed),
+            breaks as (select *, case when sec - lag(sec) over (partition by conv_id order by sec) < 1800
+              then null else sec end as begins from marked where not late),
+            runs as (select *, last_value(begins ignore nulls) over (partition by conv_id order by sec)
+              as start from breaks),
+            chats as (select conv_id as row_id, start,
+              string_agg({LABEL} || ': ' || text, {NL2} order by turn) as body from runs
+              group by conv_id, start)
+            select row_id, start, {_eos('body')} as text, false as late from chats
+            union all select conv_id, sec, text, true from marked where late""",
         "stream_render": f"""with {DOCS}, bodies as (select row_id, {threshold} as split,
             trim(text, {WS}) as body from docs)
             select row_id, split, {_eos('body')} as text from bodies""",

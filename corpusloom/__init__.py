@@ -44,6 +44,9 @@ from corpusloom.plans.prepare import (
 from corpusloom.session import drop_scratch, materialize, spread
 from corpusloom.sources.files import read_files, with_row_id
 from corpusloom.sources.tables import read_catalog, write_catalog, write_examples
+from corpusloom.streaming.chats import (
+    read_chat_stream, read_late_turns, with_sessions, write_chat_stream,
+)
 from corpusloom.streaming.holdouts import read_holdout_stream, write_holdout_stream
 from corpusloom.streaming.streams import (
     latest_counts, read_stream, streaming_counts, write_stream,

@@ -11,20 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.order import HASH_DIGITS, hash_key
 from corpusloom.operators.splits import TRAIN, VALIDATION, as_train, holdout_size
+from corpusloom.streaming.folders import is_whole, trigger_name, whole_triggers
 
 DIGEST, LEADING = "_digest", "_leading"
 
 
-def _path(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _is_whole(spark: SparkSession, folder: str) -> bool:
-    place, fs = _path(spark, f"{folder}/_SUCCESS")
-    return fs.exists(place)
-
-
 def write_holdout_stream(df: DataFrame, path: str, checkpoint: str, seed: int = 42,
                          key: str = "row_id", wait: bool = True):
     """Write what has arrived so that :func:`read_holdout_stream` can split it exactly.
@@ -35,8 +26,8 @@ def write_holdout_stream(df: DataFrame, path: str, checkpoint: str, seed: int =
     null, which a stream cannot look up; a null key stays in its split.
     """
     def add(batch: DataFrame, batch_id: int) -> None:
-        spark, trigger = batch.sparkSession, f"trigger={batch_id:012d}"
-        if _is_whole(spark, f"{path}/counts/{trigger}"):
+        spark, trigger = batch.sparkSession, trigger_name(batch_id)
+        if is_whole(spark, f"{path}/counts/{trigger}"):
             return
         digest = F.when(F.col("split").eqNullSafe(TRAIN) & F.col(key).isNotNull(), hash_key(seed, key))
         # In order of the hash a range of it is a few row groups of a file.
@@ -60,9 +51,7 @@ def read_holdout_stream(spark: SparkSession, path: str, percent: float = 5.0,
     These are the same rows that ``holdout`` would pick from the table of all rows so far, whatever
     the triggers were.
     """
-    place, fs = _path(spark, f"{path}/counts")
-    names = sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
-    whole = [name for name in names if _is_whole(spark, f"{path}/counts/{name}")]
+    whole = whole_triggers(spark, f"{path}/counts")
     if not whole:
         raise FileNotFoundError(f"no rows in {path} yet")
     rows = spark.read.parquet(*[f"{path}/rows/{name}" for name in whole])
