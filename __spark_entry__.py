@@ -820,6 +820,35 @@ def q_stream_chats(spark, sf_dir):
     return whole.select("row_id.*", "text", F.lit(False).alias("late")).union(late)
 
 
+def grown_words(spark, sf_dir) -> str:
+    """A vocabulary of all documents, those with odd numbers in a second file."""
+    docs = spread_documents(spark, sf_dir)
+    files = scratch_path(spark, "arrivals")
+    for rest in (0, 1):
+        docs.where(F.abs("row_id") % 2 == rest).coalesce(1).write.mode("append").parquet(files)
+    stream = cl.read_stream(spark, files, "parquet", "row_id bigint, text string",
+                            files_per_trigger=1)
+    path = scratch_path(spark, "grown")
+    cl.write_vocab_stream(stream, path, scratch_path(spark, "offsets"), min_count=3, counters=1000,
+                          key="row_id")
+    return path
+
+
+def q_stream_vocab(spark, sf_dir):
+    """The dictionary by versions, and the bounds of the words that are still counted."""
+    path = grown_words(spark, sf_dir)
+    known = cl.read_vocab_stream(spark, path, 0).select("token", F.lit(0).alias("version"))
+    return cl.read_vocab_stream(spark, path).join(known, "token", "left").join(
+        cl.read_heavy_hitters(spark, path), "token", "left").withColumn(
+        "version", F.coalesce("version", F.lit(1)))
+
+
+def q_stream_vocab_encode(spark, sf_dir):
+    """Every document by the version of its own trigger."""
+    return cl.read_vocab_ids(spark, grown_words(spark, sf_dir)).select(
+        "row_id", "version", joined("ids").alias("ids"))
+
+
 def q_stream_render(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     stream = cl.read_stream(spark, f"{sf_dir}/documents.parquet*", "parquet", schema).select(
@@ -989,6 +1018,31 @@ def _char_ids(src: str, cut: int | None = None) -> str:
       from {src}, lut where text <> '')"""
 
 
+def _grown_words(counters: int, min_count: int) -> str:
+    """Dictionary and summary after each of two triggers: ``dict``, ``kept2`` and ``off``."""
+    names = ", ".join(f"'{s}'" for s in SPECIALS)
+    listed = ", ".join(f"('{s}', {i}, 0)" for i, s in enumerate(SPECIALS))
+
+    def summary(i, merged):
+        return f"""merged{i} as ({merged}), off{i} as (select coalesce((select n from merged{i}
+          order by n desc limit 1 offset {counters}), 0) as off),
+        kept{i} as (select token, n - off as n from merged{i}, off{i} where n > off)"""
+
+    return f"""counted as (select row_id % 2 as part, token, count(*) as n from (select row_id,
+          unnest(regexp_extract_all(text, {WORDS_RE})) as token from docs)
+          where token not in ({names}) group by all),
+        {summary(1, "select token, n from counted where part = 0")},
+        {summary(2, """select token, sum(n)::bigint as n from (select token, n from counted where part = 1
+          union all select token, n from kept1) group by token""")},
+        dict1 as (select token, ({len(SPECIALS)} - 1 + row_number() over (order by n desc, token))::int
+          as id, 0 as version from kept1 where n >= {min_count}
+          union all select * from (values {listed}) v(token, id, version)),
+        dict as (select * from dict1 union all select token, ((select count(*) from dict1) - 1
+          + row_number() over (order by n desc, token))::int, 1 from kept2
+          where n >= {min_count} and token not in (select token from dict1)),
+        off as (select off1.off + off2.off as off from off1, off2)"""
+
+
 def _with_lines() -> str:
     return f"""with lines as (select doc_id as row_id, trim(text, {WS}) as text,
         null::varchar as line from documents where doc_id % 10 <> 3
@@ -1455,6 +1509,18 @@ def own_sql() -> dict[str, str]:
               group by conv_id, start)
             select row_id, start, {_eos('body')} as text, false as late from chats
             union all select conv_id, sec, text, true from marked where late""",
+        "stream_vocab": f"""with {DOCS}, {_grown_words(1000, 3)}
+            select token, id, version, n, n + off as n_most
+            from dict left join kept2 using (token), off""",
+        "stream_vocab_encode": f"""with {DOCS}, {_grown_words(1000, 3)},
+            tokens as (select row_id, row_id % 2 as version, unnest(w) as token,
+              generate_subscripts(w, 1) as pos
+              from (select row_id, regexp_extract_all(text, {WORDS_RE}) as w from docs)),
+            coded as (select row_id, string_agg(coalesce(id, 2)::varchar, ',' order by pos) as ids
+              from tokens left join dict on tokens.token = dict.token
+              and dict.version <= tokens.version group by row_id)
+            select row_id, row_id % 2 as version, coalesce(ids, '') as ids
+            from docs left join coded using (row_id)""",
         "stream_render": f"""with {DOCS}, bodies as (select row_id, {threshold} as split,
             trim(text, {WS}) as body from docs)
             select row_id, split, {_eos('body')} as text from bodies""",

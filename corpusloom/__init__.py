@@ -51,3 +51,6 @@ from corpusloom.streaming.holdouts import read_holdout_stream, write_holdout_str
 from corpusloom.streaming.streams import (
     latest_counts, read_stream, streaming_counts, write_stream,
 )
+from corpusloom.streaming.vocabs import (
+    read_heavy_hitters, read_vocab_ids, read_vocab_stream, write_vocab_stream,
+)

@@ -298,23 +298,13 @@ def word_counts(df: DataFrame, text: str = "text", eos: str | None = None) -> Da
     )
 
 
-def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str = "text",
-                     specials: tuple[str, ...] = (PAD, "</s>", UNKNOWN),
-                     eos: str | None = None) -> DataFrame:
-    """The ``max_size`` most frequent words with ids, specials first: ``token, id, n``.
+def number_words(counts: DataFrame, room: int, first: int) -> DataFrame:
+    """The ``room`` most frequent of written counts (``token, n``), numbered from ``first`` on.
 
-    Counted on the map side before the shuffle; the counts are written once. A histogram of them
-    (a row for each different count) tells the least count that gets in, and, of the words that
-    have it, where the last one in stands. Words are numbered within their count, and where many
-    have the same one within ranges of words, so no task sees them all.
+    A histogram of the counts (a row for each different one) tells the least count that gets in, and,
+    of the words that have it, where the last one in stands. Words are numbered within their count,
+    and where many have the same one within ranges of words, so no task sees them all.
     """
-    if max_size < len(specials):
-        raise ValueError("max_size must leave room for the special tokens")
-    counts = word_counts(df, text, eos).where(F.col("n") >= min_count)
-    if specials:
-        counts = counts.where(~F.col("token").isin(*specials))
-    counts = materialize(counts, "word-counts")
-    room = max_size - len(specials)
     falling = Window.orderBy(F.desc("n"))
     ranked = counts.groupBy("n").agg(F.count("*").alias("_words")).withColumn(
         "_before", F.sum("_words").over(falling) - F.col("_words")).where(F.col("_before") < room)
@@ -341,8 +331,25 @@ def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str
     else:
         kept = kept.withColumn(
             "_inner", F.row_number().over(Window.partitionBy("n").orderBy("token")))
-    kept = kept.select("token", (F.col("_before") + F.col("_inner") - 1 + len(specials)).cast(
+    return kept.select("token", (F.col("_before") + F.col("_inner") - 1 + first).cast(
         "int").alias("id"), "n")
+
+
+def build_word_vocab(df: DataFrame, max_size: int, min_count: int = 1, text: str = "text",
+                     specials: tuple[str, ...] = (PAD, "</s>", UNKNOWN),
+                     eos: str | None = None) -> DataFrame:
+    """The ``max_size`` most frequent words with ids, specials first: ``token, id, n``.
+
+    Counted on the map side before the shuffle; the counts are written once and numbered by
+    :func:`number_words`.
+    """
+    if max_size < len(specials):
+        raise ValueError("max_size must leave room for the special tokens")
+    counts = word_counts(df, text, eos).where(F.col("n") >= min_count)
+    if specials:
+        counts = counts.where(~F.col("token").isin(*specials))
+    counts = materialize(counts, "word-counts")
+    kept = number_words(counts, max_size - len(specials), len(specials))
     first = df.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(s) for s in specials]).cast("array<string>"))
         .alias("id", "token")).select("token", "id", F.lit(0).cast("bigint").alias("n"))
