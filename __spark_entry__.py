@@ -849,6 +849,21 @@ def q_stream_vocab_encode(spark, sf_dir):
         "row_id", "version", joined("ids").alias("ids"))
 
 
+def q_stream_sketch(spark, sf_dir):
+    """Lengths in words and different words per language, of documents that come in three files;
+    the estimate is held against the count."""
+    docs = cl.spread(table(spark, sf_dir, "documents").select("lang", "text"))
+    files = scratch_path(spark, "arrivals")
+    docs.repartition(3).write.parquet(files)
+    stream = cl.read_stream(spark, files, "parquet", docs.schema, files_per_trigger=1)
+    path = scratch_path(spark, "sketches")
+    cl.write_sketch_stream(stream, path, scratch_path(spark, "offsets"), by=("lang",))
+    exact = cl.word_rows(docs, by=("lang",)).groupBy("lang").agg(
+        F.count_distinct("token").alias("exact"))
+    return cl.read_sketch_stream(spark, path, ("lang",)).join(exact, "lang").withColumn(
+        "near", F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")).drop("n_distinct")
+
+
 def q_stream_render(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     stream = cl.read_stream(spark, f"{sf_dir}/documents.parquet*", "parquet", schema).select(
@@ -1521,6 +1536,20 @@ def own_sql() -> dict[str, str]:
               and dict.version <= tokens.version group by row_id)
             select row_id, row_id % 2 as version, coalesce(ids, '') as ids
             from docs left join coded using (row_id)""",
+        "stream_sketch": f"""with found as (select lang, regexp_extract_all(text, {WORDS_RE}) as w
+              from documents), sizes as (select lang, len(w)::bigint as n from found),
+            cells as (select lang, n, greatest(length(bin(n)) - 8, 0) as e from sizes),
+            stats as (select lang, count(*) as n_rows, sum(n)::bigint as n_tokens,
+              quantile_disc((n >> e) << e, 0.5) as p50_least,
+              quantile_disc((n >> e) << e, 0.9) as p90_least,
+              quantile_disc((n >> e) << e, 0.99) as p99_least,
+              max((n >> e) << e) as longest_least from cells group by lang),
+            words as (select lang, count(distinct token) as exact
+              from (select lang, unnest(w) as token from found) group by lang)
+            select lang, n_rows, n_tokens, p50_least, p90_least, p99_least, longest_least,
+              {", ".join(f"{c}_least + (1::bigint << greatest(length(bin({c}_least)) - 8, 0)) - 1 as "
+                         f"{c}_most" for c in ("p50", "p90", "p99", "longest"))},
+              exact, true as near from stats join words using (lang)""",
         "stream_render": f"""with {DOCS}, bodies as (select row_id, {threshold} as split,
             trim(text, {WS}) as body from docs)
             select row_id, split, {_eos('body')} as text from bodies""",

@@ -22,6 +22,9 @@ from corpusloom.operators.scores import (
     back_off_levels, back_off_probability, eval_back_off, eval_loss, greedy_next, next_token_counts, repetition_penalty, sample_next,
     temperature_softmax, top_k, top_p,
 )
+from corpusloom.operators.sketches import (
+    distinct_sketch, length_sketch, merge_distinct, merge_lengths, n_words, sketch_stats, word_rows,
+)
 from corpusloom.operators.splits import (
     ensure_train, holdout, holdout_threshold, normalize_validation, percent_slice, shuffle_epochs,
 )
@@ -48,6 +51,7 @@ from corpusloom.streaming.chats import (
     read_chat_stream, read_late_turns, with_sessions, write_chat_stream,
 )
 from corpusloom.streaming.holdouts import read_holdout_stream, write_holdout_stream
+from corpusloom.streaming.sketches import read_sketch_stream, write_sketch_stream
 from corpusloom.streaming.streams import (
     latest_counts, read_stream, streaming_counts, write_stream,
 )
