@@ -773,6 +773,29 @@ def q_write_examples(spark, sf_dir):
         "row_id", "split", joined("input_ids").alias("input_ids"))
 
 
+def sharded(spark, sf_dir) -> tuple[str, DataFrame]:
+    """All characters of the documents, by split, in shards of about 20,000."""
+    docs = cl.holdout(spread_documents(spark, sf_dir))
+    coded = cl.encode_chars(docs, cl.build_char_vocab(docs)).select("row_id", "split", "ids")
+    path = scratch_path(spark, "shards")
+    return path, cl.write_shards(coded, path, tokens=20_000, ids="ids")
+
+
+def q_shard_manifest(spark, sf_dir):
+    return sharded(spark, sf_dir)[1].drop("folder")
+
+
+def q_shard_reads(spark, sf_dir):
+    """A range of the training examples, some by their numbers, and all for validation."""
+    path, _ = sharded(spark, sf_dir)
+    kinds = {"range": cl.read_numbers(spark, path, 50, 130),
+             "some": cl.read_at(spark, path, [n * n for n in range(30)]),
+             "all": cl.read_numbers(spark, path, split="validation")}
+    parts = [df.select("row_id", "split", "number", "shard", F.size("ids").alias("n"),
+                       F.lit(kind).alias("kind")) for kind, df in kinds.items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def events_stream(spark, sf_dir) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     stream = cl.read_stream(spark, f"{sf_dir}/events.parquet*", "parquet", schema)
@@ -1167,6 +1190,12 @@ def own_sql() -> dict[str, str]:
       exp(logit / 0.7 - max(logit / 0.7) over (partition by prompt_id)) as e from {src}),
       probs as (select prompt_id, token, logit, e / sum(e) over (partition by prompt_id) as prob
       from soft)"""
+    sharded = f"""with {DOCS}, held as ({holdout} from docs), sized as (select row_id, split,
+      length(text) as n, row_number() over (partition by split order by row_id) - 1 as number,
+      sum(length(text)) over (partition by split order by row_id) - length(text) as off
+      from held join docs using (row_id)), dealt as (select *, (dense_rank() over (partition by split
+      order by greatest(off - case when n = 0 then 1 else 0 end, 0) // 20000) - 1)::int as shard
+      from sized)"""
     best20 = f"""kept as (select * from scores qualify {RANKS.format(by='logit')} <= 20)"""
     role = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)"
     inst = """case role when 'system' then '<<SYS>>' || chr(10) || text || chr(10) || '<</SYS>>'
@@ -1505,6 +1534,15 @@ def own_sql() -> dict[str, str]:
         "write_examples": f"""with {DOCS}, {VOCAB.format(src='docs')}, full_docs as (select * from docs
             where trim(text, {WS}) <> ''), {_char_ids('full_docs', 256)}
             select row_id, 'train' as split, array_to_string(l, ',') as input_ids from coded""",
+        "shard_manifest": f"""{sharded} select split, shard, min(row_id) as first_key,
+            max(row_id) as last_key, count(*) as n_rows, sum(n)::bigint as n_tokens,
+            min(number) as first_number, min(off)::bigint as first_token from dealt group by all""",
+        "shard_reads": f"""{sharded}, kinds as (
+            select *, 'range' as kind from dealt where split = 'train' and number between 50 and 129
+            union all select *, 'some' from dealt where split = 'train' and number < 900
+              and sqrt(number) = floor(sqrt(number))
+            union all select *, 'all' from dealt where split = 'validation')
+            select row_id, split, number, shard, n::int as n, kind from kinds""",
         "stream_counts": f"""with e as (select event_id as row_id, event_type as text from events)
             select {threshold} as split, count(*) as n_raw,
             count(*) filter (trim(text, {WS}) <> '') as n_kept,

@@ -46,6 +46,7 @@ from corpusloom.plans.prepare import (
 )
 from corpusloom.session import drop_scratch, materialize, spread
 from corpusloom.sources.files import read_files, with_row_id
+from corpusloom.sources.shards import read_at, read_manifest, read_numbers, write_shards
 from corpusloom.sources.tables import read_catalog, write_catalog, write_examples
 from corpusloom.streaming.chats import (
     read_chat_stream, read_late_turns, with_sessions, write_chat_stream,

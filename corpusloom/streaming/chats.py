@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.operators.rendering import TURNS_PER_PART, assemble_conversations
 from corpusloom.session import drop_path
-from corpusloom.streaming.folders import is_whole, trigger_name, whole_triggers
+from corpusloom.sources.folders import is_whole, trigger_name, whole_triggers
 
 #: Seconds of a key's time that one task puts in order, in gaps.
 SLOT_GAPS = 256

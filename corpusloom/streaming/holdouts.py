@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.order import HASH_DIGITS, hash_key
 from corpusloom.operators.splits import TRAIN, VALIDATION, as_train, holdout_size
-from corpusloom.streaming.folders import is_whole, trigger_name, whole_triggers
+from corpusloom.sources.folders import is_whole, trigger_name, whole_triggers
 
 DIGEST, LEADING = "_digest", "_leading"
 

@@ -8,7 +8,7 @@ from corpusloom.operators.counts import QUANTILES
 from corpusloom.operators.sketches import (
     BITS, LG_K, distinct_sketch, length_sketch, n_words, sketch_stats, word_rows,
 )
-from corpusloom.streaming.folders import is_whole, trigger_name, whole_triggers
+from corpusloom.sources.folders import is_whole, trigger_name, whole_triggers
 
 
 def write_sketch_stream(df: DataFrame, path: str, checkpoint: str, text: str = "text",

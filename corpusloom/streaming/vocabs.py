@@ -16,7 +16,7 @@ from corpusloom.operators.tokens import (
     PAD, UNKNOWN, build_char_vocab, encode_chars, encode_words, number_words, word_counts,
 )
 from corpusloom.session import drop_path
-from corpusloom.streaming.folders import is_whole, trigger_name, whole_triggers
+from corpusloom.sources.folders import is_whole, trigger_name, whole_triggers
 
 MARK = "size int, taken_off bigint, seen bigint"
 WORDS, SUMMARY = "token string, id int", "token string, n bigint"
