@@ -7,36 +7,58 @@ space. Only the leading pairs of a round reach the driver.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from heapq import heapify, heappop, heappush
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusloom.operators.order import check_keys
-from corpusloom.operators.tokens import (UNKNOWN, _check_eos, _lookup, build_word_vocab, characters,
-                                         encode_join, pieces, word_counts, words)
+from corpusloom.operators.tokens import (UNKNOWN, _check_eos, build_word_vocab, characters,
+                                         encode_join, pieces, words)
 from corpusloom.session import drop_path, materialize, scratch_path
 
 #: Pairs that the driver looks at to find the merges of a round, and most merges of a round.
 LEADING, ROUND = 512, 64
-#: Merges that may be a constant of the plan.
+#: Merges that may be sent to every task.
 MERGES = 262_144
-#: Merges within a word that the first pass over the words makes; each pass makes four times more.
+#: Symbols of a word up to which all its pairs are looked at in each step; longer ones have a heap.
 STEPS = 32
+#: Pairs counted before a task hands counts on.
+PAIRS_AT_ONCE = 400_000
 
 
 def spaced(word: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(characters(word), "  "), F.lit(" "))
 
 
-def symbols(s: Column) -> Column:
-    return F.split(F.substring(s, F.lit(2), F.length(s) - 2), "  ")
-
-
-def neighbours(s: Column) -> Column:
-    """The neighbouring symbols of a word as ``left  right``, each pair as often as it stands."""
-    parts = symbols(s)
-    return F.zip_with(F.slice(parts, 1, F.size(parts) - 1), F.slice(parts, 2, F.size(parts)),
-                      lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit("  "), b)))
+def pair_counts(words: DataFrame) -> DataFrame:
+    """``pair, n``: how often symbols stand side by side (``left  right``) in the words ``_s``, each
+    ``n`` times, less how often they did in ``_old`` where that is not null."""
+    def rows(counts):
+        found = {f"{a}  {b}": n for (a, b), n in counts.items() if n}
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["pair", "n"])
+
+    def run(batches):
+        counts = Counter()
+        for batch in batches:
+            for s, old, n in zip(*(batch.column(c).to_pylist() for c in ("_s", "_old", "n"))):
+                parts = s[1:-1].split("  ")
+                for pair in zip(parts, parts[1:]):
+                    counts[pair] += n
+                if old is not None:
+                    parts = old[1:-1].split("  ")
+                    for pair in zip(parts, parts[1:]):
+                        counts[pair] -= n
+                if len(counts) > PAIRS_AT_ONCE:
+                    yield rows(counts)
+                    counts.clear()
+        if counts:
+            yield rows(counts)
+
+    return words.select("_s", "_old", "n").mapInArrow(run, "pair string, n bigint")
 
 
 def merged(s: Column, pair: Column) -> Column:
@@ -94,14 +116,10 @@ def learn_merges(counts: DataFrame, n_merges: int, min_count: int = 2) -> DataFr
         df.write.parquet(path)
         return path, spark.read.schema(df.schema).parquet(path)
 
-    def pairs_of(s, n):
-        return F.transform(neighbours(F.col(s)), lambda p: F.struct(
-            p.alias("pair"), n.alias("n")))
-
     state_path, state = write(counts.where(F.length("token") > 1).select(
         spaced(F.col("token")).alias("_s"), F.col("n").cast("bigint").alias("n")), "symbols")
-    pairs_path, pairs = write(state.select(F.inline(pairs_of("_s", F.col("n")))).groupBy(
-        "pair").agg(F.sum("n").alias("n")), "pairs")
+    pairs_path, pairs = write(pair_counts(state.withColumn(
+        "_old", F.lit(None).cast("string"))).groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     merges: list = []
     known: set[str] = set()
     while len(merges) < n_merges:
@@ -122,8 +140,7 @@ def learn_merges(counts: DataFrame, n_merges: int, min_count: int = 2) -> DataFr
             state.withColumn("_new", after).select(
                 F.col("_new").alias("_s"), "n",
                 F.when(F.col("_new") != F.col("_s"), F.col("_s")).alias("_old")), "symbols")
-        change = state.where(F.col("_old").isNotNull()).select(F.inline(F.concat(
-            pairs_of("_s", F.col("n")), pairs_of("_old", -F.col("n")))))
+        change = pair_counts(state.where(F.col("_old").isNotNull()))
         pairs_path, pairs = write(
             pairs.union(change).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0"), "pairs")
         state = state.select("_s", "n")
@@ -148,51 +165,86 @@ def merge_vocab(chars: DataFrame, merges: DataFrame, specials: tuple[str, ...] =
     return spark.createDataFrame([(t, i) for i, t in enumerate(listed)], "token string, id int")
 
 
+def _merged_once(parts: list[str], left: str, right: str) -> list[str]:
+    """One merge, left to right."""
+    out, i, last = [], 0, len(parts) - 1
+    while i <= last:
+        if i < last and parts[i] == left and parts[i + 1] == right:
+            out.append(left + right)
+            i += 2
+        else:
+            out.append(parts[i])
+            i += 1
+    return out
+
+
+def _split_short(parts: list[str], ranks: dict) -> list[str]:
+    """The pairs are looked at again after each merge."""
+    while len(parts) > 1:
+        found = [(ranks[p], p) for p in zip(parts, parts[1:]) if p in ranks]
+        if not found:
+            break
+        parts = _merged_once(parts, *min(found)[1])
+    return parts
+
+
+def _split_long(parts: list[str], ranks: dict) -> list[str]:
+    """The pairs wait in a heap by rank and place, so a word costs little more than its length."""
+    n = len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in ranks]
+    heapify(heap)
+    while heap:
+        rank, fresh = heap[0][0], []
+        while heap and heap[0][0] == rank:
+            i = heappop(heap)[1]
+            j = after[i]
+            if parts[i] is None or j >= n or ranks.get((parts[i], parts[j])) != rank:
+                continue
+            parts[i], parts[j], after[i] = parts[i] + parts[j], None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            fresh.append(i)
+        # What comes of a merge is looked at when the merge is made all over the word.
+        for i in fresh:
+            for k in (before[i], i):
+                if k >= 0 and parts[k] is not None and after[k] < n:
+                    found = ranks.get((parts[k], parts[after[k]]))
+                    if found is not None:
+                        heappush(heap, (found, k))
+    return [p for p in parts if p is not None]
+
+
 def split_by_merges(distinct: DataFrame, merges: DataFrame) -> DataFrame:
     """Adds ``parts`` to a table of different words (``token``): its symbols after all merges.
 
-    In each word the merge of the least rank is made until none is left. The merges are a constant
-    of the plan; a pass makes so many merges in every word, and only words that are not done yet go
-    through another. A word may be of any length: a pass makes four times as many as the one before.
+    In each word the merge of the least rank is made until none is left. The merges (bounded by
+    ``MERGES``) are with every task, which goes through its words once, a batch at a time; a word
+    may be of any length.
     """
-    spark = distinct.sparkSession
     check_keys(merges, "rank")
-    listed = merges.select(F.concat("left", F.lit("  "), "right").alias("_token"),
-                           F.col("rank").alias("_id"))
-    n = listed.count()
-    if n > MERGES:
+    listed = merges.select("rank", "left", "right").limit(MERGES + 1).collect()
+    if len(listed) > MERGES:
         raise ValueError(f"at most {MERGES} merges")
-    rank_of, _ = _lookup(listed, n)
+    # Of a pair that is listed twice the first merge counts.
+    ranks = {(r["left"], r["right"]): r["rank"]
+             for r in sorted(listed, key=lambda r: r["rank"], reverse=True)}
+    steps = STEPS
 
-    def best(s):
-        ranked = F.transform(neighbours(s), lambda p: F.struct(rank_of(p).alias("r"), p.alias("p")))
-        return F.array_min(F.filter(ranked, lambda x: x["r"].isNotNull()))
+    def split(word):
+        parts = list(word or "")
+        return (_split_short if len(parts) <= steps else _split_long)(parts, ranks)
 
-    def step(s, _):
-        found = best(s)["p"]
-        return F.when(found.isNull(), s).otherwise(merged(s, found))
+    def run(batches):
+        for batch in batches:
+            parts = [split(word) for word in batch.column("token").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(parts, pa.list_(pa.string()))],
+                [*batch.schema.names, "parts"])
 
-    path = scratch_path(spark, "split-words")
-    todo = distinct.withColumn("_s", spaced(F.col("token")))
-    empty = F.coalesce(F.length("token"), F.lit(0)) == 0
-    steps = STEPS
-    while n:
-        # No word needs more merges than it has symbols or than there are.
-        most = F.least(F.lit(min(steps, n)), F.greatest(F.size(symbols(F.col("_s"))) - 1, F.lit(1)))
-        passed = materialize(todo.withColumn("_s", F.when(empty, F.col("_s")).otherwise(F.aggregate(
-            F.sequence(F.lit(1), most), F.col("_s"), step))).withColumn(
-            "_open", ~empty & best(F.col("_s")).isNotNull()), "merged")
-        passed.where(~F.col("_open")).drop("_open").write.mode("append").parquet(path)
-        todo = passed.where("_open").drop("_open")
-        if not todo.head(1):
-            break
-        steps *= 4
-    if not n:
-        todo.write.parquet(path)
-    schema = distinct.withColumn("_s", F.lit("")).schema
-    done = spark.read.schema(schema).parquet(path)
-    return done.withColumn("parts", F.when(empty, F.array().cast("array<string>")).otherwise(
-        symbols(F.col("_s")))).drop("_s")
+    schema = T.StructType([*distinct.schema.fields,
+                           T.StructField("parts", T.ArrayType(T.StringType()))])
+    return materialize(distinct.mapInArrow(run, schema), "split-words")
 
 
 def encode_merges(df: DataFrame, merges: DataFrame, vocab: DataFrame, text: str = "text",
