@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from corpusloom.functions.text import append_eos
 from corpusloom.operators.order import check_keys, key_at, key_bounds, range_bucket
@@ -21,6 +24,9 @@ TIED_WORDS = 1_000_000
 # Parts of words up to this long meet the table as they are; of longer entries the beginning does. A
 # long word is taken apart in windows of so many characters.
 SHORT, WINDOW = 16, 1024
+# Entries of a given token table that may be with every task (of BROADCAST_BYTES at most), and words
+# of a batch that are cut at once.
+TABLE_ROWS, WORDS_AT_ONCE = 262_144, 1_000_000
 # Entries of a vocabulary (those with the least ids, and of so many bytes at most) that are a
 # constant of the plan. The rest is joined; the ids are the same.
 LOOKUP_ROWS, LOOKUP_BYTES = 65_536, 64
@@ -197,9 +203,9 @@ def _in_plan(token: str, number: str) -> Column:
     return (F.col(number) < LOOKUP_ROWS) & (F.octet_length(token) <= LOOKUP_BYTES)
 
 
-def fits_plan(vocab: DataFrame, token: str = "token") -> bool:
+def fits_plan(vocab: DataFrame, token: str = "token", number: str = "id") -> bool:
     """Whether all of a vocabulary is looked up in place."""
-    return not vocab.where(~_in_plan(token, "id")).head(1)
+    return not vocab.where(~_in_plan(token, number)).head(1)
 
 
 def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id",
@@ -383,6 +389,96 @@ def encode_words(df: DataFrame, vocab: DataFrame, text: str = "text", key: str =
 
 # --- parts of words ------------------------------------------------------------------------------
 
+def _longest_entry(vocab: DataFrame, mark: str, max_piece: int | None) -> int:
+    size = F.length("token")
+    marked = F.startswith(F.col("token"), F.lit(mark))
+    longest = vocab.agg(F.max(F.when(marked, size - len(mark)).otherwise(size))).first()[0] or 0
+    if max_piece is not None and max_piece < longest:
+        raise ValueError(f"max_piece is {max_piece}, the table has an entry of {longest}")
+    return longest
+
+
+def _word_splitter(vocab: DataFrame, unknown_id: int | None, mark: str):
+    """A word to the ids of its parts as a function that tasks are given, or None if the table is too
+    large for that."""
+    entries = vocab.select("token", F.col("id").cast("int").alias("id")).where(F.length("token") > 0)
+    n, n_bytes = entries.agg(
+        F.count("*"), F.sum(F.octet_length("token").cast("bigint"))).first()
+    if n > TABLE_ROWS or (n_bytes or 0) > BROADCAST_BYTES:
+        return None
+    # Of an entry that is listed twice the greatest id counts.
+    first = dict(sorted(((r["token"], r["id"]) for r in entries.collect()),
+                        key=lambda e: (e[1] is not None, e[1] or 0)))
+    later = {t[len(mark):]: i for t, i in first.items()
+             if t.startswith(mark) and len(t) > len(mark)} if mark else first
+
+    def by_size(table):
+        short = sorted({len(t) for t in table if len(t) <= SHORT}, reverse=True)
+        long: dict = {}
+        for t in sorted((t for t in table if len(t) > SHORT), key=len, reverse=True):
+            long.setdefault(t[:SHORT], []).append(t)
+        return table, short, long
+
+    begin, size, none = by_size(first), SHORT, [unknown_id]
+    go_on = by_size(later) if mark else begin
+
+    def split(word):
+        ids, at, (table, short, long) = [], 0, begin
+        while at < len(word or ""):
+            head = word[at:at + size]
+            for part in long.get(head, ()):
+                if word.startswith(part, at):
+                    break
+            else:
+                for n in short:
+                    part = head[:n]
+                    if part in table:
+                        break
+                else:
+                    return none
+            ids.append(table[part])
+            at += len(part)
+            table, short, long = go_on
+        return ids or none
+
+    return split
+
+
+def _split_batches(split):
+    """Words (``token``) to the lists of their ids."""
+    def run(batches):
+        for batch in batches:
+            ids = [split(word) for word in batch.column("token").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ids, pa.list_(pa.int32()))],
+                [*batch.schema.names, "_id"])
+
+    return run
+
+
+def _split_rows(split, most: int):
+    """Rows whose last column is a list of words to the same with the ids of all their parts; of the
+    rows of about ``most`` words each different word is split once."""
+    def run(batches):
+        for batch in batches:
+            sizes = pc.list_value_length(batch.columns[-1]).to_numpy(zero_copy_only=False)
+            lot = np.cumsum(sizes, dtype=np.int64) // most
+            edges = np.append(np.flatnonzero(np.diff(lot, prepend=-1)), len(lot)).tolist()
+            for a, b in zip(edges, edges[1:]):
+                yield coded(batch.slice(a, b - a), np.append(0, np.cumsum(sizes[a:b])))
+
+    def coded(batch, ends):
+        words = batch.columns[-1].flatten().dictionary_encode()
+        parts = pa.array([split(word) for word in words.dictionary.to_pylist()],
+                         pa.list_(pa.int32()))
+        ids = parts.take(words.indices)
+        starts = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False)))
+        column = pa.ListArray.from_arrays(pa.array(starts[ends], pa.int32()), ids.flatten())
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], column], batch.schema.names)
+
+    return run
+
+
 def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = None,
                 continuation: str = "", max_piece: int | None = None) -> DataFrame:
     """Words to the ids of their parts, by a given token table (``token, id``): the column ``token``
@@ -390,16 +486,22 @@ def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = Non
 
     From its beginning on, each word is cut into the longest entry that it goes on with; after the
     first one entries carry the mark ``continuation``. A word that cannot be cut so is one unknown
-    id. At every place of a word the next ``SHORT`` characters meet the table, by each length that
-    entries have; of a longer entry its beginning does, and the few hits are compared in full. So a
-    long word or entry costs its length, not its square. ``max_piece`` is the length of entries that
-    the caller expects at most; the table may not have longer ones.
+    id. The next ``SHORT`` characters meet the table, by each length that entries have; of a longer
+    entry its beginning does, and the few hits are compared in full. So a long word or entry costs
+    its length, not its square. A table of up to ``TABLE_ROWS`` entries is with every task, which
+    goes from part to part; with a larger one every place of a word meets it in a join.
+    ``max_piece`` is the length of entries that the caller expects at most; the table may not have
+    longer ones.
     """
-    size, mark = F.length("token"), len(continuation)
+    longest = _longest_entry(vocab, continuation, max_piece)
+    split = _word_splitter(vocab, unknown_id, continuation)
+    if split is not None:
+        schema = T.StructType([
+            *words.schema.fields, T.StructField("_id", T.ArrayType(T.IntegerType()))])
+        return words.mapInArrow(_split_batches(split), schema).withColumn(
+            "id", F.col("_id")).drop("_id")
+    mark = len(continuation)
     marked = F.startswith(F.col("token"), F.lit(continuation))
-    longest = vocab.agg(F.max(F.when(marked, size - mark).otherwise(size))).first()[0] or 0
-    if max_piece is not None and max_piece < longest:
-        raise ValueError(f"max_piece is {max_piece}, the table has an entry of {longest}")
     entry = vocab.select("token", F.col("id").alias("_id"))
     table = entry.select(F.col("token").alias("_part"), F.lit(True).alias("_first"), "_id").union(
         entry.where(marked).select(F.substring("token", mark + 1, 2 ** 31 - 1), F.lit(False), "_id"))
@@ -459,18 +561,40 @@ def encode_subwords(df: DataFrame, vocab: DataFrame, text: str = "text", key: st
                     out: str = "ids", keep: tuple[str, ...] = ("split",), eos: str | None = None,
                     unknown: str = UNKNOWN, continuation: str = "", max_piece: int | None = None,
                     max_len: int | None = None) -> DataFrame:
-    """Text to ids of parts of words by a given token table: each different word is split once
-    (:func:`split_words`), and its ids are put where it stands (:func:`encode_join`)."""
+    """Text to ids of parts of words by a given token table, cut as in :func:`split_words`.
+
+    With a table of up to ``TABLE_ROWS`` entries each different word of a batch of rows is split once,
+    where it stands; no row is moved. With a larger one each different word of all rows is split once,
+    and its ids are put where it stands (:func:`encode_join`). Keys that are null or stand twice raise
+    if there are more words than are looked up in place.
+    """
     _check_eos(eos)
     row = vocab.where(F.col("token") == unknown).select("id").first()
     unknown_id = row["id"] if row else None
-    every = build_word_vocab(df, 2 ** 31 - 1, text=text, specials=(), eos=eos).select(
-        "token", F.col("id").alias("rank"))
-    table = materialize(
-        split_words(materialize(every, "words"), vocab, unknown_id, continuation, max_piece),
-        "split-words")
     rows = df.withColumn("_words", F.coalesce(F.flatten(F.transform(
         pieces(F.col(text)), lambda piece: words(piece, eos))), F.array().cast("array<string>")))
+
+    def every():
+        return build_word_vocab(df, 2 ** 31 - 1, text=text, specials=(), eos=eos).select(
+            "token", F.col("id").alias("rank"))
+
+    _longest_entry(vocab, continuation, max_piece)
+    split = _word_splitter(vocab, unknown_id, continuation)
+    if split is not None:
+        try:
+            check_keys(df, key)
+        except ValueError:
+            if not fits_plan(every(), number="rank"):
+                raise
+        rows = rows.select(key, *[c for c in keep if c in df.columns and c != key],
+                           F.col("_words").alias(out))
+        schema = T.StructType([
+            *rows.schema.fields[:-1], T.StructField(out, T.ArrayType(T.IntegerType()))])
+        coded = rows.mapInArrow(_split_rows(split, WORDS_AT_ONCE), schema)
+        return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
+    table = materialize(
+        split_words(materialize(every(), "words"), vocab, unknown_id, continuation, max_piece),
+        "split-words")
     coded = encode_join(rows, "_words", table, key, "_parts", keep, [unknown_id], rank="rank")
     ids = F.flatten("_parts")
     return coded.withColumn(out, ids if max_len is None else F.slice(ids, 1, max_len)).drop("_parts")

@@ -267,6 +267,48 @@ def test_subwords_against_a_loop(spark, monkeypatch, mark, lookup):
                    for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("rows, at_once", [(0, 1), (100, 1), (100, 7), (100, 10 ** 6)])
+@pytest.mark.parametrize("mark", ["", "##"])
+def test_subwords_in_place_and_by_join(spark, monkeypatch, mark, rows, at_once):
+    """A table that tasks are given and one that is joined, entries and marks of odd kinds."""
+    monkeypatch.setattr(tk, "TABLE_ROWS", rows)
+    monkeypatch.setattr(tk, "WORDS_AT_ONCE", at_once)
+    long = "abcdefghijklmnopqr"
+    listed = [("<unk>", 0), ("a", 1), ("a", 9), (mark + "a", 7), ("b", None), ("", 3), ("#", 4),
+              (mark + "b", 5), (long, 6), (mark + long[:17], 8), (mark, 10), ("😀", 11), ("漢", 12),
+              (mark + "漢", 13), (None, 14), (mark + long, 15)]
+    texts = ["", None, "a ab ba # ##a 😀 漢漢 b", f"{long} a{long} a{long}{long[:17]} {long[:17]}b",
+             "c ac", "  \n", f"{long[:16]} {long}b" + " aab" * 9]
+    table = {t: max((i for u, i in listed if u == t and i is not None), default=None)
+             for t, _ in listed if t}
+    vocab = spark.createDataFrame(listed, "token string, id int")
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)],
+                               "row_id int, text string, split string")
+    coded = cl.encode_subwords(df, vocab, continuation=mark)
+    assert coded.columns == ["row_id", "split", "ids"]
+    want = {i: [p for w in word_list(t or "") for p in greedy(w, table, mark, 40, 0)]
+            for i, t in enumerate(texts)}
+    assert {r.row_id: r.ids for r in coded.collect()} == want
+    first = cl.encode_subwords(df, vocab, continuation=mark, max_len=3)
+    assert {r.row_id: r.ids for r in first.collect()} == {i: ids[:3] for i, ids in want.items()}
+    words = spark.createDataFrame([("ab", 1), (None, 2), ("", 3), ("ax", 4)], "token string, id int")
+    assert {r.token: r.id for r in cl.split_words(words, vocab, 0, mark).collect()} == {
+        "ab": greedy("ab", table, mark, 40, 0), None: [0], "": [0], "ax": [0]}
+
+
+def test_subwords_of_many_words_move_no_row(spark, monkeypatch):
+    """More words than are looked up in place: rows are cut where they are."""
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", 3)
+    vocab = spark.createDataFrame([(c, i) for i, c in enumerate("abc")], "token string, id int")
+    rows = [(i, "a b c ab bc ca abc") for i in range(3)]
+    coded = cl.encode_subwords(spark.createDataFrame(rows, "row_id int, text string"), vocab)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert [r.ids for r in coded.collect()] == [[0, 1, 2, 0, 1, 1, 2, 2, 0, 0, 1, 2]] * 3
+    with pytest.raises(ValueError, match="not unique"):
+        cl.encode_subwords(spark.createDataFrame(rows[:1] * 2, "row_id int, text string"), vocab)
+
+
 def test_subwords_of_long_entries(spark):
     long = "incomprehensibilities"
     table = {t: i for i, t in enumerate(["<unk>", *sorted(set(long)), "incomprehensible", long])}
