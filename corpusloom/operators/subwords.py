@@ -14,10 +14,11 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from corpusloom.operators import tokens
 from corpusloom.operators.order import check_keys
-from corpusloom.operators.tokens import (UNKNOWN, _check_eos, build_word_vocab, characters,
-                                         encode_join, pieces, words)
-from corpusloom.session import drop_path, materialize, scratch_path
+from corpusloom.operators.tokens import (ID_TYPES, UNKNOWN, _check_eos, _cut_in_place, _row_words,
+                                         build_word_vocab, characters, encode_join)
+from corpusloom.session import BROADCAST_BYTES, drop_path, materialize, scratch_path
 
 #: Pairs that the driver looks at to find the merges of a round, and most merges of a round.
 LEADING, ROUND = 512, 64
@@ -215,13 +216,8 @@ def _split_long(parts: list[str], ranks: dict) -> list[str]:
     return [p for p in parts if p is not None]
 
 
-def split_by_merges(distinct: DataFrame, merges: DataFrame) -> DataFrame:
-    """Adds ``parts`` to a table of different words (``token``): its symbols after all merges.
-
-    In each word the merge of the least rank is made until none is left. The merges (bounded by
-    ``MERGES``) are with every task, which goes through its words once, a batch at a time; a word
-    may be of any length.
-    """
+def _merge_splitter(merges: DataFrame):
+    """A word to its symbols after all merges as a function that tasks are given."""
     check_keys(merges, "rank")
     listed = merges.select("rank", "left", "right").limit(MERGES + 1).collect()
     if len(listed) > MERGES:
@@ -235,6 +231,18 @@ def split_by_merges(distinct: DataFrame, merges: DataFrame) -> DataFrame:
         parts = list(word or "")
         return (_split_short if len(parts) <= steps else _split_long)(parts, ranks)
 
+    return split
+
+
+def split_by_merges(distinct: DataFrame, merges: DataFrame) -> DataFrame:
+    """Adds ``parts`` to a table of different words (``token``): its symbols after all merges.
+
+    In each word the merge of the least rank is made until none is left. The merges (bounded by
+    ``MERGES``) are with every task, which goes through its words once, a batch at a time; a word
+    may be of any length.
+    """
+    split = _merge_splitter(merges)
+
     def run(batches):
         for batch in batches:
             parts = [split(word) for word in batch.column("token").to_pylist()]
@@ -247,17 +255,39 @@ def split_by_merges(distinct: DataFrame, merges: DataFrame) -> DataFrame:
     return materialize(distinct.mapInArrow(run, schema), "split-words")
 
 
+def _known_ids(vocab: DataFrame) -> dict | None:
+    """A vocabulary that tasks are given, or None if it is too large for that."""
+    entries = vocab.select(F.col("token").alias("_token"), "id")
+    n = check_keys(entries, "_token")
+    n_bytes = entries.agg(F.sum(F.octet_length("_token").cast("bigint"))).first()[0] or 0
+    if n > tokens.TABLE_ROWS or n_bytes > BROADCAST_BYTES:
+        return None
+    return {r["_token"]: r["id"] for r in entries.collect() if r["id"] is not None}
+
+
 def encode_merges(df: DataFrame, merges: DataFrame, vocab: DataFrame, text: str = "text",
                   key: str = "row_id", out: str = "ids", keep: tuple[str, ...] = ("split",),
                   eos: str | None = None, unknown: str = UNKNOWN,
                   max_len: int | None = None) -> DataFrame:
-    """Text to ids of learnt subwords: every different word is split once and looked up.
+    """Text to ids of learnt subwords.
 
-    A part that is not in ``vocab`` (``token, id``) is the unknown id, or null without one. The end
-    marker is one token. ``max_len`` keeps the first ids of a row.
+    With a vocabulary of up to ``TABLE_ROWS`` entries each different word of a batch of rows is split
+    once, where it stands; no row is moved. With a larger one every different word of all rows is
+    split once and looked up. Keys that are null or stand twice raise if there are more words than are
+    looked up in place. A part that is not in ``vocab`` (``token, id``) is the unknown id, or null
+    without one. The end marker is one token. ``max_len`` keeps the first ids of a row.
     """
     _check_eos(eos)
     row = vocab.where(F.col("token") == unknown).select("id").first()
+    kind = vocab.schema["id"].dataType.simpleString()
+    known = _known_ids(vocab) if kind in ID_TYPES else None
+    if known is not None:
+        split, unknown_id = _merge_splitter(merges), row["id"] if row else None
+
+        def ids_of(word):
+            return [known.get(part, unknown_id) for part in ([eos] if word == eos else split(word))]
+
+        return _cut_in_place(df, ids_of, kind, text, key, out, keep, eos, max_len)
     every = materialize(build_word_vocab(df, 2 ** 31 - 1, text=text, specials=(), eos=eos).select(
         "token", F.col("id").alias("rank")), "words")
     split = split_by_merges(every, merges)
@@ -267,8 +297,7 @@ def encode_merges(df: DataFrame, merges: DataFrame, vocab: DataFrame, text: str
     numbered = encode_join(split, "parts", vocab, "rank", "id", ("token",),
                            row["id"] if row else None)
     table = materialize(numbered, "word-ids")
-    rows = df.withColumn("_words", F.coalesce(F.flatten(F.transform(
-        pieces(F.col(text)), lambda piece: words(piece, eos))), F.array().cast("array<string>")))
+    rows = df.withColumn("_words", _row_words(text, eos))
     coded = encode_join(rows, "_words", table, key, "_parts", keep,
                         [row["id"] if row else None], rank="rank")
     ids = F.flatten("_parts")

@@ -27,6 +27,7 @@ SHORT, WINDOW = 16, 1024
 # Entries of a given token table that may be with every task (of BROADCAST_BYTES at most), and words
 # of a batch that are cut at once.
 TABLE_ROWS, WORDS_AT_ONCE = 262_144, 1_000_000
+ID_TYPES = {"int": (T.IntegerType(), pa.int32()), "bigint": (T.LongType(), pa.int64())}
 # Entries of a vocabulary (those with the least ids, and of so many bytes at most) that are a
 # constant of the plan. The rest is joined; the ids are the same.
 LOOKUP_ROWS, LOOKUP_BYTES = 65_536, 64
@@ -203,9 +204,9 @@ def _in_plan(token: str, number: str) -> Column:
     return (F.col(number) < LOOKUP_ROWS) & (F.octet_length(token) <= LOOKUP_BYTES)
 
 
-def fits_plan(vocab: DataFrame, token: str = "token", number: str = "id") -> bool:
+def fits_plan(vocab: DataFrame, token: str = "token") -> bool:
     """Whether all of a vocabulary is looked up in place."""
-    return not vocab.where(~_in_plan(token, number)).head(1)
+    return not vocab.where(~_in_plan(token, "id")).head(1)
 
 
 def encode_join(df: DataFrame, tokens: str, vocab: DataFrame, key: str = "row_id",
@@ -456,7 +457,7 @@ def _split_batches(split):
     return run
 
 
-def _split_rows(split, most: int):
+def _split_rows(split, most: int, kind: pa.DataType):
     """Rows whose last column is a list of words to the same with the ids of all their parts; of the
     rows of about ``most`` words each different word is split once."""
     def run(batches):
@@ -469,8 +470,7 @@ def _split_rows(split, most: int):
 
     def coded(batch, ends):
         words = batch.columns[-1].flatten().dictionary_encode()
-        parts = pa.array([split(word) for word in words.dictionary.to_pylist()],
-                         pa.list_(pa.int32()))
+        parts = pa.array([split(word) for word in words.dictionary.to_pylist()], pa.list_(kind))
         ids = parts.take(words.indices)
         starts = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False)))
         column = pa.ListArray.from_arrays(pa.array(starts[ends], pa.int32()), ids.flatten())
@@ -479,6 +479,29 @@ def _split_rows(split, most: int):
     return run
 
 
+def _row_words(text: str, eos: str | None) -> Column:
+    """All words of a text; null has none."""
+    return F.coalesce(F.flatten(F.transform(pieces(F.col(text)), lambda piece: words(piece, eos))),
+                      F.array().cast("array<string>"))
+
+
+def _cut_in_place(df: DataFrame, split, kind: str, text: str, key: str, out: str,
+                  keep: tuple[str, ...], eos: str | None, max_len: int | None) -> DataFrame:
+    """Text to the ids (of the type ``kind``) that ``split`` makes of its words; no row is moved. Keys
+    that are null or stand twice raise if there are more words than are looked up in place."""
+    try:
+        check_keys(df, key)
+    except ValueError:
+        if not fits_plan(build_word_vocab(df, 2 ** 31 - 1, text=text, specials=(), eos=eos)):
+            raise
+    rows = df.select(key, *[c for c in keep if c in df.columns and c != key],
+                     _row_words(text, eos).alias(out))
+    spark_type, arrow_type = ID_TYPES[kind]
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.ArrayType(spark_type))])
+    coded = rows.mapInArrow(_split_rows(split, WORDS_AT_ONCE, arrow_type), schema)
+    return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
+
+
 def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = None,
                 continuation: str = "", max_piece: int | None = None) -> DataFrame:
     """Words to the ids of their parts, by a given token table (``token, id``): the column ``token``
@@ -571,30 +594,16 @@ def encode_subwords(df: DataFrame, vocab: DataFrame, text: str = "text", key: st
     _check_eos(eos)
     row = vocab.where(F.col("token") == unknown).select("id").first()
     unknown_id = row["id"] if row else None
-    rows = df.withColumn("_words", F.coalesce(F.flatten(F.transform(
-        pieces(F.col(text)), lambda piece: words(piece, eos))), F.array().cast("array<string>")))
-
-    def every():
-        return build_word_vocab(df, 2 ** 31 - 1, text=text, specials=(), eos=eos).select(
-            "token", F.col("id").alias("rank"))
-
     _longest_entry(vocab, continuation, max_piece)
     split = _word_splitter(vocab, unknown_id, continuation)
     if split is not None:
-        try:
-            check_keys(df, key)
-        except ValueError:
-            if not fits_plan(every(), number="rank"):
-                raise
-        rows = rows.select(key, *[c for c in keep if c in df.columns and c != key],
-                           F.col("_words").alias(out))
-        schema = T.StructType([
-            *rows.schema.fields[:-1], T.StructField(out, T.ArrayType(T.IntegerType()))])
-        coded = rows.mapInArrow(_split_rows(split, WORDS_AT_ONCE), schema)
-        return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
+        return _cut_in_place(df, split, "int", text, key, out, keep, eos, max_len)
+    every = build_word_vocab(df, 2 ** 31 - 1, text=text, specials=(), eos=eos).select(
+        "token", F.col("id").alias("rank"))
     table = materialize(
-        split_words(materialize(every(), "words"), vocab, unknown_id, continuation, max_piece),
+        split_words(materialize(every, "words"), vocab, unknown_id, continuation, max_piece),
         "split-words")
+    rows = df.withColumn("_words", _row_words(text, eos))
     coded = encode_join(rows, "_words", table, key, "_parts", keep, [unknown_id], rank="rank")
     ids = F.flatten("_parts")
     return coded.withColumn(out, ids if max_len is None else F.slice(ids, 1, max_len)).drop("_parts")

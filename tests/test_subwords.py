@@ -118,6 +118,31 @@ def tk_words(text):
     return regex.findall(r"</s>|[\p{L}\p{N}]+|[^\s\p{L}\p{N}]", text)
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_merges_in_place_and_by_join(spark, monkeypatch, kind):
+    """A vocabulary that tasks are given moves no row, a larger one is joined; the ids are the same."""
+    monkeypatch.setattr(tk, "LOOKUP_ROWS", 2)
+    rows = [(1, "abab ab,</s>abx"), (2, ""), (3, None), (4, "ab " * 9 + "</s> b😀a")]
+    df = spark.createDataFrame(rows, "row_id int, text string")
+    merges = spark.createDataFrame([(0, "a", "b", 5), (1, "ab", "ab", 2)],
+                                   "rank int, left string, right string, n bigint")
+    known = ["<unk>", "a", "b", "ab", "abab", ",", "</s>", "😀"]
+    for vocab in (known, known[1:]):
+        ids = {t: i for i, t in enumerate(vocab)}
+        table = spark.createDataFrame([*ids.items()], f"token string, id {kind}")
+        x = ids.get("<unk>")
+        want = {1: ["abab", "ab", ",", "</s>", "ab", None], 2: [], 3: [],
+                4: ["ab"] * 9 + ["</s>", "b", "😀", "a"]}
+        want = {k: [ids.get(t, x) for t in v] for k, v in want.items()}
+        for most in (100, 0):
+            monkeypatch.setattr(tk, "TABLE_ROWS", most)
+            coded = cl.encode_merges(df, merges, table, eos="</s>")
+            assert dict(coded.dtypes)["ids"] == f"array<{kind}>"
+            assert {r.row_id: r.ids for r in coded.collect()} == want
+            joins = "Join" in coded._jdf.queryExecution().executedPlan().toString()
+            assert joins == (most == 0)
+
+
 def test_no_merges(spark):
     none = cl.learn_merges(spark.createDataFrame([("ab", 1)], "token string, n bigint"), 5)
     assert none.count() == 0
