@@ -487,8 +487,9 @@ def _row_words(text: str, eos: str | None) -> Column:
 
 def _cut_in_place(df: DataFrame, split, kind: str, text: str, key: str, out: str,
                   keep: tuple[str, ...], eos: str | None, max_len: int | None) -> DataFrame:
-    """Text to the ids (of the type ``kind``) that ``split`` makes of its words; no row is moved. Keys
-    that are null or stand twice raise if there are more words than are looked up in place."""
+    """Text to the ids (of the type ``kind``) that ``split`` makes of its words; no row is moved, and the
+    ids are written, so that words are cut once however often they are read. Keys that are null or
+    stand twice raise if there are more words than are looked up in place."""
     try:
         check_keys(df, key)
     except ValueError:
@@ -499,7 +500,8 @@ def _cut_in_place(df: DataFrame, split, kind: str, text: str, key: str, out: str
     spark_type, arrow_type = ID_TYPES[kind]
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.ArrayType(spark_type))])
     coded = rows.mapInArrow(_split_rows(split, WORDS_AT_ONCE, arrow_type), schema)
-    return coded if max_len is None else coded.withColumn(out, F.slice(out, 1, max_len))
+    return materialize(coded if max_len is None else coded.withColumn(
+        out, F.slice(out, 1, max_len)), "cut-words")
 
 
 def split_words(words: DataFrame, vocab: DataFrame, unknown_id: int | None = None,
